@@ -1,0 +1,48 @@
+"""Test data at any scale: numbered tables with numeric, code and text columns.
+
+Every value is a function of the table number, the row id and the column name, so a lost task
+recomputes the same rows and any run gives the same data.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Ranges and choices of the generated columns.
+STEPS = 350
+STEP_SIZE = 86400 + 3600
+CODES = ("a", "b", "c")
+WEIGHTS = (9, 1, 1)
+
+
+def _draw(table: int, name: str, sides: int) -> Column:
+    """A number in 0 .. sides-1 from the MD5 of table, column and id."""
+    text = F.concat_ws(":", F.lit(str(table)), F.lit(name), F.col("id").cast("string"))
+    return F.pmod(F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long"), F.lit(sides))
+
+
+def _pick(draw: Column) -> Column:
+    return F.get(F.array(*[F.lit(c) for c in CODES]), draw.cast("int"))
+
+
+def generate_table(spark: SparkSession, table: int, rows: int, columns: int, tables: int) -> DataFrame:
+    """One table: ``id``, ``r_0..`` numbers, two running codes, three text codes (the last one
+    weighted)."""
+    weighted = F.array(*[F.lit(c) for c, w in zip(CODES, WEIGHTS) for _ in range(w)])
+    return spark.range(rows).select(
+        "id",
+        *[(_draw(table, f"r_{i}", STEPS) * STEP_SIZE).cast("float").alias(f"r_{i}") for i in range(columns)],
+        (F.lit(100) + F.col("id") % (tables + 101)).cast("int").alias("code1"),
+        (F.lit(1) + F.col("id") % (tables + 10)).cast("int").alias("code2"),
+        _pick(F.col("id") % len(CODES)).alias("code3"),
+        _pick(_draw(table, "code4", len(CODES))).alias("code4"),
+        F.get(weighted, _draw(table, "code5", sum(WEIGHTS)).cast("int")).alias("code5"),
+    )
+
+
+def generate_tables(spark: SparkSession, tables: int, rows: int, columns: int) -> dict[str, DataFrame]:
+    """``table_1`` to ``table_<n>``."""
+    return {
+        f"table_{t}": generate_table(spark, t, rows, columns, tables) for t in range(1, tables + 1)
+    }
