@@ -27,29 +27,40 @@ def clustered(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.repartitionByRange(*columns, _row_hash(df)).sortWithinPartitions(*columns)
 
 
-def rank_column(df: DataFrame, name: str, bits: int = ZORDER_BITS) -> Column:
-    """The quantile bucket (0 .. 2^bits - 1) a value falls in. Numbers, dates and timestamps
-    use their value, text its first bytes.
-    """
+def _as_number(df: DataFrame, name: str) -> Column:
+    """A number in the order of the column: numbers, dates and timestamps by value, text by its
+    first seven bytes."""
     kind = df.schema[name].dataType
     if isinstance(kind, T.StringType):
-        # the first seven bytes as a number: same order as the text itself
         head = F.rpad(F.hex(F.substring(F.col(name).cast("binary"), 1, 7)), 14, "0")
-        value = F.conv(head, 16, 10).cast("double")
-    elif isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        value = F.unix_micros(F.col(name).cast("timestamp")).cast("double")
-    else:
-        value = F.col(name).cast("double")
+        return F.conv(head, 16, 10).cast("double")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return F.unix_micros(F.col(name).cast("timestamp")).cast("double")
+    return F.col(name).cast("double")
+
+
+def rank_columns(df: DataFrame, columns: Sequence[str], bits: int = ZORDER_BITS) -> list[Column]:
+    """Per column the quantile bucket (0 .. 2^bits - 1) its value falls in.
+
+    Runs one job over the columns for the cut points, 2^bits - 1 numbers each.
+    """
     steps = 1 << bits
     fractions = F.array(*[F.lit(i / steps) for i in range(1, steps)])
-    cuts = df.agg(F.percentile_approx(value, fractions, F.lit(1000)).alias("c")).scalar()
-    return F.when(value.isNull(), F.lit(0)).otherwise(
-        F.aggregate(
-            F.array(*[F.lit(1 << b) for b in reversed(range(bits))]),
-            F.lit(0),
-            lambda at, step: F.when(F.get(cuts, at + step - 1) <= value, at + step).otherwise(at),
-        )
-    )
+    numbers = [_as_number(df, c) for c in columns]
+    cuts = df.agg(*[F.percentile_approx(n, fractions, F.lit(1000)) for n in numbers]).first()
+    places = F.array(*[F.lit(1 << b) for b in reversed(range(bits))])
+
+    def rank(number: Column, found: list[float] | None) -> Column:
+        if not found:
+            return F.lit(0)
+        bounds = F.array(*[F.lit(float(v)) for v in found])
+
+        def advance(at: Column, step: Column) -> Column:
+            return F.when(F.get(bounds, at + step - 1) <= number, at + step).otherwise(at)
+
+        return F.when(number.isNull(), F.lit(0)).otherwise(F.aggregate(places, F.lit(0), advance))
+
+    return [rank(n, cut) for n, cut in zip(numbers, cuts)]
 
 
 def interleave(ranks: Sequence[Column], bits: int = ZORDER_BITS) -> Column:
@@ -68,7 +79,7 @@ def zordered(df: DataFrame, columns: Sequence[str], bits: int = ZORDER_BITS) ->
     """
     if len(columns) * bits > 62:
         bits = 62 // len(columns)
-    ranked = df.withColumns({f"__z{i}": rank_column(df, c, bits) for i, c in enumerate(columns)})
+    ranked = df.withColumns({f"__z{i}": r for i, r in enumerate(rank_columns(df, columns, bits))})
     coded = ranked.withColumn("__z", interleave([F.col(f"__z{i}") for i in range(len(columns))], bits))
     return (
         coded.repartitionByRange("__z", _row_hash(df))

@@ -60,10 +60,11 @@ class Scd1Store(VersionedStore):
             return self.spark.createDataFrame([], self.bound_schema)
         return self.spark.read.schema(self.bound_schema).parquet(*paths)
 
-    def apply(self, batch: DataFrame, batch_id: int, flow: str = "main") -> None:
+    def apply(self, batch: DataFrame, batch_id: int, flow: str = "main") -> bool:
+        """Take one batch; False if it was taken before."""
         pointer = self.pointer()
         if self.done(pointer, flow, batch_id):
-            return
+            return False
         following = self.advance(pointer, flow, batch_id)
         version = following["version"]
         rows = ops.prepare(batch, self.cdc)
@@ -87,6 +88,7 @@ class Scd1Store(VersionedStore):
         finally:
             partial.unpersist()
         self.commit(following)
+        return True
 
     def table(self) -> DataFrame:
         pointer = self.pointer()
@@ -197,10 +199,11 @@ class Scd2Store(VersionedStore):
 
     # writing ------------------------------------------------------------------------------
 
-    def apply(self, batch: DataFrame, batch_id: int, flow: str = "main") -> None:
+    def apply(self, batch: DataFrame, batch_id: int, flow: str = "main") -> bool:
+        """Take one batch; False if it was taken before."""
         pointer = self.pointer()
         if self.done(pointer, flow, batch_id):
-            return
+            return False
         following = self.advance(pointer, flow, batch_id)
         version = following["version"]
         keys = self.cdc.keys
@@ -213,6 +216,7 @@ class Scd2Store(VersionedStore):
         finally:
             rows.unpersist()
         self.commit(following)
+        return True
 
     def _apply_rows(self, pointer, following, rows, touched, version) -> None:
         keys = self.cdc.keys

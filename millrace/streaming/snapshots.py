@@ -35,12 +35,13 @@ class SnapshotStore(VersionedStore):
         paths = [f"v={v}/{PART}={part}" for v in held]
         return self.read("rows", schema, paths, f"{PART} string").drop("__v", PART)
 
-    def apply(self, version, snapshot: DataFrame) -> None:
-        """Take the next snapshot. Versions are numbers or text that rise."""
+    def apply(self, version, snapshot: DataFrame) -> bool:
+        """Take the next snapshot; False if it was taken before. Versions are numbers or text
+        that rise."""
         pointer = self.pointer()
         latest = pointer.get("snapshot")
         if latest is not None and version <= latest:
-            return
+            return False
         following = self.advance(pointer)
         following["snapshot"] = version
         if self.cdc.scd_type == 1:
@@ -62,6 +63,7 @@ class SnapshotStore(VersionedStore):
             held = following["parts"].setdefault("closed", {"by_version": {}})
             held["by_version"][now] = []
         self.commit(following)
+        return True
 
     def apply_all(self, snapshots: Iterable[tuple[object, DataFrame]]) -> None:
         for version, snapshot in snapshots:
