@@ -1,8 +1,8 @@
 """Ordered per-key work that does not pin a hot key to one task.
 
 A window partitioned by a key sorts all rows of that key in one task. When one key holds a large
-share of the rows that task never ends. Here such keys are found first (a count that combines
-before its shuffle), and their rows are cut along the sequence into slices of roughly equal size.
+share of the rows that task never ends. Here such keys are found first (from a sample of the key
+columns), and their rows are cut along the sequence into slices of roughly equal size.
 Windows then run per (key, slice); what a slice needs to know of its neighbours is aggregated per
 slice, rolled along the few slices of the key, and joined back. Cut points come from a hash
 sample, so they only affect balance: results are exact wherever the cuts fall.
@@ -25,11 +25,13 @@ from millrace.session import materialise
 SLICE = "__slice"
 CUTS = "__cuts"
 
-# A key above this many rows is cut; one task sorts this many rows of a few hundred bytes well.
+# A key above about this many rows is cut; one task sorts this many rows of a few hundred bytes well.
 HOT_KEY_ROWS = 2_000_000
 # Most slices per key, a power of two; with the sample below it bounds the cut arrays.
 MAX_SLICES = 4096
 SAMPLES_PER_SLICE = 16
+# How often a key at the threshold shows in the sample that looks for hot keys.
+SAMPLED_ROWS = 200
 # Up to this many hot keys their cut table (at most 4,096 cuts each) is sent to every executor.
 BROADCAST_KEYS = 64
 
@@ -72,16 +74,30 @@ class KeyOrder:
 
 
 def find_hot_keys(rows: DataFrame, keys: Sequence[str], sequence: str, threshold: int) -> DataFrame | None:
-    """Keys with more than ``threshold`` rows and their cut points, or None. Runs a job.
+    """Keys with more than about ``threshold`` rows and their cut points, or None. Runs a job.
 
-    The result has at most (rows / threshold) rows, each with an array of at most MAX_SLICES cuts.
+    Counting every key would shuffle as many rows as there are keys. A row sample in which a key
+    at the threshold still shows ``SAMPLED_ROWS`` times finds the same keys from a scan of the key
+    columns alone. The result has at most about (rows / threshold) rows, each with an array of at
+    most MAX_SLICES cuts.
     """
+    fraction = min(1.0, SAMPLED_ROWS / threshold)
+    seen = rows.select(*keys)
+    if fraction < 1.0:
+        seen = seen.sample(fraction, seed=1)
     counted = (
-        rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > threshold)
+        seen.groupBy(*keys)
+        .agg((F.count(F.lit(1)) / fraction).cast("long").alias("__n"))
+        .where(F.col("__n") > (threshold if fraction == 1.0 else threshold // 2))
+        .persist()
     )
-    hot = materialise(counted, "hot-keys")
-    if hot.isEmpty():
-        return None
+    try:
+        if counted.count() == 0:
+            return None
+        # the sample must not be drawn again: what follows has to see one set of keys
+        hot = materialise(counted, "hot-keys")
+    finally:
+        counted.unpersist()
     slices = F.least(F.lit(MAX_SLICES), F.ceil(F.col("__n") / threshold)).cast("int")
     hot = hot.withColumns(
         {"__k": slices, "__mod": F.greatest(F.lit(1), F.floor(F.col("__n") / (slices * SAMPLES_PER_SLICE)))}

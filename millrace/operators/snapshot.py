@@ -1,6 +1,8 @@
 """A series of full snapshots to an SCD table.
 
-Keys are unique within a snapshot, so no key is hot: a full outer join on the keys is balanced.
+A key names one row of a snapshot; a snapshot where it is NULL or names two rows is refused. So no
+key is hot, and a full outer join on the keys is balanced. Before a join the check groups by the
+keys (combining before its shuffle), and the join uses that same partitioning.
 """
 
 from __future__ import annotations
@@ -12,13 +14,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import pack
+from millrace.functions.columns import fail_unless, pack
 from millrace.operators.cdc import END_AT, START_AT
+from millrace.operators.tables import require_unique
 from millrace.specs import SnapshotCdc
 
 
+def checked(snapshot: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The snapshot; the job fails if a key is NULL or occurs twice."""
+    for k in keys:
+        snapshot = snapshot.where(fail_unless(F.col(k).isNotNull(), f"NULL key {k} in a snapshot"))
+    return require_unique(snapshot, keys)
+
+
 def _sides(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per key with the old and the new row as structs, NULL where there is none."""
+    new = checked(new, keys)
     left = old.select(*keys, F.struct(*old.columns).alias("__old"))
     right = new.select(*keys, F.struct(*new.columns).alias("__new"))
     return left.join(right, list(keys), "full_outer")
@@ -43,16 +54,17 @@ def diff(old: DataFrame, new: DataFrame, cdc: SnapshotCdc) -> DataFrame:
         .when(_same(tracked), "N")
         .otherwise("U")
     )
-    return _sides(old, new, cdc.keys).select(*cdc.keys, change.alias("change"))
+    return _sides(checked(old, cdc.keys), new, cdc.keys).select(*cdc.keys, change.alias("change"))
 
 
-def snapshot_scd1(snapshot: DataFrame) -> DataFrame:
+def snapshot_scd1(snapshot: DataFrame, cdc: SnapshotCdc) -> DataFrame:
     """SCD1 after a snapshot: keys not in it go, the others are as in it. No join is needed."""
-    return snapshot
+    return checked(snapshot, cdc.keys)
 
 
-def first_scd2(snapshot: DataFrame, version) -> DataFrame:
+def first_scd2(snapshot: DataFrame, version, cdc: SnapshotCdc) -> DataFrame:
     """The SCD2 table after its first snapshot."""
+    snapshot = checked(snapshot, cdc.keys)
     start = version if isinstance(version, Column) else F.lit(version)
     return snapshot.select("*", start.alias(START_AT), F.lit(None).cast(_type_of(snapshot, start)).alias(END_AT))
 
@@ -110,9 +122,13 @@ def snapshots_scd2(snapshots: Iterable[tuple[object, DataFrame]], cdc: SnapshotC
         DataFrame.unionByName,
         [df.select(*columns, F.lit(rank).alias("__rank")) for rank, (_, df) in enumerate(listed)],
     )
+    for k in cdc.keys:
+        rows = rows.where(fail_unless(F.col(k).isNotNull(), f"NULL key {k} in a snapshot"))
     window = W.partitionBy(*cdc.keys).orderBy("__rank")
     now = F.struct(F.col("__rank").alias("rank"), pack(tracked).alias("t"))
     rows = rows.withColumns({"__prev": F.lag(now).over(window), "__next": F.lead(now).over(window)})
+    twice = F.col("__prev").isNotNull() & (F.col("__prev")["rank"] == F.col("__rank"))
+    rows = rows.where(fail_unless(~twice, f"duplicate key in {cdc.keys}"))
     at = F.array(*[F.lit(v) for v in versions])
     mine = pack(tracked)
     prev, after = F.col("__prev"), F.col("__next")
@@ -132,4 +148,4 @@ def snapshot_table(snapshots: Iterable[tuple[object, DataFrame]], cdc: SnapshotC
     if cdc.scd_type == 2:
         return snapshots_scd2(snapshots, cdc)
     *_, (_, newest) = snapshots
-    return snapshot_scd1(newest)
+    return snapshot_scd1(newest, cdc)

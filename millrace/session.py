@@ -6,6 +6,8 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def build_session(app: str = "millrace", **conf: str) -> SparkSession:
@@ -48,3 +50,13 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows, known to the planner to be none: joins with it cost nothing."""
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def write_text(spark: SparkSession, text: str, path: str, mode: str = "overwrite") -> None:
+    """One line of text as a folder with one file."""
+    spark.range(1).coalesce(1).select(F.lit(text).alias("value")).write.mode(mode).text(path)

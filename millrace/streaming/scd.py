@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 from millrace.functions.columns import null_safe_join
 from millrace.operators import cdc as ops
 from millrace.operators.hotkeys import HOT_KEY_ROWS
+from millrace.session import empty_frame
 from millrace.specs import Cdc
 from millrace.streaming.store import BUCKET, DEFAULT_BUCKETS, VersionedStore, bucket_of
 
@@ -42,7 +43,7 @@ class Scd1Store(VersionedStore):
         super().__init__(spark, root, buckets)
         self.cdc = cdc
         self.schema = schema
-        empty = ops.prepare(spark.createDataFrame([], schema), cdc)
+        empty = ops.prepare(empty_frame(spark, schema), cdc)
         self.state_schema = ops.scd1_partial(empty, cdc).schema
         self.bound_schema = ops.truncate_bound(empty).schema
 
@@ -57,7 +58,7 @@ class Scd1Store(VersionedStore):
         held = pointer["parts"].get("bound", {"by_version": {}})["by_version"]
         paths = [f"{self.root}/bound/v={v}" for v in held]
         if not paths:
-            return self.spark.createDataFrame([], self.bound_schema)
+            return empty_frame(self.spark, self.bound_schema)
         return self.spark.read.schema(self.bound_schema).parquet(*paths)
 
     def apply(self, batch: DataFrame, batch_id: int, flow: str = "main") -> bool:
@@ -109,7 +110,8 @@ class Scd1Store(VersionedStore):
         gone = F.col(ops.LAST)[ops.DEL] & F.col("__expired")
         marked = old.withColumn("seq", F.col(ops.LAST)[ops.SEQ]).withColumn("__expired", F.expr(horizon_sql))
         kept = marked.where(~F.coalesce(gone, F.lit(False))).drop("seq", "__expired")
-        written = self.write(kept, following["version"], [BUCKET], "state")
+        self.write(kept, following["version"], [BUCKET], "state")
+        written = self.written(following["version"], [BUCKET], "state")
         following["parts"]["state"] = {
             "by_bucket": {str(r[BUCKET]): following["version"] for r in written}
         }
@@ -136,7 +138,7 @@ class Scd2Store(VersionedStore):
         self.schema = schema
         self.columns = schema.names
         self.split_rows = split_rows
-        prepared = ops.prepare(spark.createDataFrame([], schema), cdc).schema
+        prepared = ops.prepare(empty_frame(spark, schema), cdc).schema
         sequence = prepared[ops.SEQ].dataType
         self.event_schema = T.StructType([*schema.fields, prepared[ops.SEQ], prepared[ops.DEL]])
         self.span_schema = T.StructType(
@@ -225,6 +227,7 @@ class Scd2Store(VersionedStore):
         lows = rows.groupBy(*keys, BUCKET).agg(F.min(ops.SEQ).alias("__lo"))
         known = null_safe_join(lows, heads.drop(BUCKET), keys, "left")
         known = known.persist(StorageLevel.MEMORY_AND_DISK)
+        work = None
         try:
             is_late = F.col(ops.TOP).isNotNull() & (F.col("__lo") <= F.col(ops.TOP))
             late = known.where(is_late).select(*keys, BUCKET, "__lo", F.col(ops.START).alias("__open_start"))
@@ -246,10 +249,12 @@ class Scd2Store(VersionedStore):
                     "inner",
                 ).where(F.col(ops.SEQ) >= F.col(ops.FROM))
                 events = events.unionByName(past.drop(ops.FROM), allowMissingColumns=True)
-                taken = self.write(replay, version, [BUCKET], "retract")
-                self._note(following, "retract", version, taken)
+                self.write(replay, version, [BUCKET], "retract")
+                self._note(following, "retract", version, late_buckets)
             no_start = F.lit(None).cast(self.event_schema[ops.SEQ].dataType)
             work = events.drop(BUCKET).withColumn(ops.FROM, no_start).unionByName(seeds)
+            # looked at for hot keys first and then used: joined with the log only once
+            work = work.persist(StorageLevel.MEMORY_AND_DISK)
             spans = ops.scd2_spans(work, self.cdc, self.columns, self.split_rows)
             is_open = F.col(ops.END).isNull()
             spans = spans.where(is_open | ~F.col(ops.DEL)).withColumns(
@@ -260,13 +265,18 @@ class Scd2Store(VersionedStore):
             )
             resting = null_safe_join(heads, lows.select(*keys), keys, "left_anti")
             everything = spans.unionByName(resting.withColumn(PART, F.lit("open")))
-            written = self.write(everything, version, [PART, BUCKET], "spans")
-            self._note(following, "closed", version, [r for r in written if r[PART] == "closed"])
+            self.write(everything, version, [PART, BUCKET], "spans")
+            self.write(rows, version, [BUCKET], "log")
+            # every key of the batch has an open row, so the touched buckets all got some
             held = following["parts"].setdefault("open", {"by_bucket": {}})["by_bucket"]
-            held.update({str(r[BUCKET]): version for r in written if r[PART] == "open"})
-            self._note(following, "log", version, self.write(rows, version, [BUCKET], "log"))
+            held.update({str(b): version for b in touched})
+            self._note(following, "log", version, touched)
+            closed = [r[BUCKET] for r in self.written(version, [PART, BUCKET], "spans") if r[PART] == "closed"]
+            self._note(following, "closed", version, closed)
         finally:
             known.unpersist()
+            if work is not None:
+                work.unpersist()
 
     def _replay_points(self, pointer, late: DataFrame, buckets: Sequence[int]) -> DataFrame:
         """Per late key the sequence from which its history is made anew: the start of the
@@ -293,23 +303,25 @@ class Scd2Store(VersionedStore):
         )
 
     @staticmethod
-    def _note(following: dict, part: str, version: int, written: list[dict]) -> None:
-        if written:
+    def _note(following: dict, part: str, version: int, buckets: list[int]) -> None:
+        if buckets:
             held = following["parts"].setdefault(part, {"by_version": {}})["by_version"]
-            held[str(version)] = sorted({r[BUCKET] for r in written})
+            held[str(version)] = sorted(buckets)
 
     def compact(self) -> None:
         """Rewrite closed versions and the log as one version each; retractions are used up."""
         pointer = self.pointer()
         following = self.advance(pointer)
         version = following["version"]
-        closed = self._closed(pointer).withColumn(PART, F.lit("closed"))
-        written = self.write(closed, version, [PART, BUCKET], "spans")
-        log = self.write(self._appended(pointer, "log", "log", self.event_schema).drop("__v"), version, [BUCKET], "log")
+        held = pointer["parts"]
+        log_buckets = sorted({b for bs in held.get("log", {"by_version": {}})["by_version"].values() for b in bs})
+        self.write(self._closed(pointer).withColumn(PART, F.lit("closed")), version, [PART, BUCKET], "spans")
+        self.write(self._log(pointer, log_buckets), version, [BUCKET], "log")
         for part in ("closed", "log", "retract"):
             following["parts"].pop(part, None)
-        self._note(following, "closed", version, written)
-        self._note(following, "log", version, log)
+        closed = [r[BUCKET] for r in self.written(version, [PART, BUCKET], "spans")]
+        self._note(following, "closed", version, closed)
+        self._note(following, "log", version, log_buckets)
         self.commit(following)
 
 

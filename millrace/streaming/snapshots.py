@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from millrace.operators import snapshot as ops
 from millrace.operators.cdc import END_AT, START_AT
+from millrace.session import empty_frame
 from millrace.specs import SnapshotCdc
 from millrace.streaming.store import VersionedStore
 
@@ -45,18 +46,19 @@ class SnapshotStore(VersionedStore):
         following = self.advance(pointer)
         following["snapshot"] = version
         if self.cdc.scd_type == 1:
-            rows = ops.snapshot_scd1(snapshot).withColumn(PART, F.lit("open"))
+            rows = ops.snapshot_scd1(snapshot, self.cdc).withColumn(PART, F.lit("open"))
         else:
             opened = self._rows(pointer, "open")
             if "schema" not in pointer:
-                rows = ops.first_scd2(snapshot, version)
+                rows = ops.first_scd2(snapshot, version, self.cdc)
             else:
                 if opened is None:
-                    opened = self.spark.createDataFrame([], T.StructType.fromJson(pointer["schema"]))
+                    opened = empty_frame(self.spark, T.StructType.fromJson(pointer["schema"]))
                 rows = ops.step_scd2(opened, snapshot, version, self.cdc)
             rows = rows.withColumn(PART, F.when(F.col(END_AT).isNull(), "open").otherwise("closed"))
         following["schema"] = rows.drop(PART).schema.jsonValue()
-        written = {r[PART] for r in self.write(rows, following["version"], [PART], "rows")}
+        self.write(rows, following["version"], [PART], "rows")
+        written = {r[PART] for r in self.written(following["version"], [PART], "rows")}
         now = str(following["version"])
         following["parts"]["open"] = {"by_version": {now: []} if "open" in written else {}}
         if "closed" in written:
@@ -74,7 +76,7 @@ class SnapshotStore(VersionedStore):
         parts = [self._rows(pointer, part) for part in ("closed", "open")]
         found = [p for p in parts if p is not None]
         if not found:
-            return self.spark.createDataFrame([], T.StructType.fromJson(pointer["schema"]))
+            return empty_frame(self.spark, T.StructType.fromJson(pointer["schema"]))
         return found[0] if len(found) == 1 else found[0].unionByName(found[1])
 
 

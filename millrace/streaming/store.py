@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.session import empty_frame, write_text
+
 DEFAULT_BUCKETS = 64
 BUCKET = "__bucket"
 
@@ -55,8 +57,8 @@ class VersionedStore:
         return newest
 
     def commit(self, pointer: dict) -> None:
-        line = self.spark.createDataFrame([(json.dumps(pointer),)], "value string").coalesce(1)
-        line.write.mode("overwrite").text(f"{self.root}/pointer/slot={pointer['version'] % 2}")
+        slot = f"{self.root}/pointer/slot={pointer['version'] % 2}"
+        write_text(self.spark, json.dumps(pointer), slot)
 
     def done(self, pointer: dict, flow: str, batch_id: int) -> bool:
         return pointer["flows"].get(flow, -1) >= batch_id
@@ -72,20 +74,22 @@ class VersionedStore:
     # parts --------------------------------------------------------------------------------
     # parts: {part name: {version: [buckets]}}
 
-    def write(self, df: DataFrame, version: int, partitions: Sequence[str], folder: str) -> list[dict]:
-        """Write one version folder and say which partitions it got. ``df`` is rebalanced so that
-        a partition is few files, and one that is too large for a task is split.
+    def write(self, df: DataFrame, version: int, partitions: Sequence[str], folder: str) -> None:
+        """Write one version folder. ``df`` is rebalanced so that a partition is few files, and
+        one that is too large for a task is split.
         """
-        path = f"{self.root}/{folder}/v={version}"
         spread = df.hint("rebalance", *[F.col(p) for p in partitions])
-        spread.write.mode("overwrite").partitionBy(*partitions).parquet(path)
+        spread.write.mode("overwrite").partitionBy(*partitions).parquet(f"{self.root}/{folder}/v={version}")
+
+    def written(self, version: int, partitions: Sequence[str], folder: str) -> list[dict]:
+        """The partitions a version folder got, for writes where that is not known beforehand."""
         try:
-            written = self.spark.read.parquet(path).select(*partitions).distinct().collect()
+            found = self.spark.read.parquet(f"{self.root}/{folder}/v={version}").select(*partitions)
         except AnalysisException as error:
             if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
                 raise
             return []
-        return [row.asDict() for row in written]
+        return [row.asDict() for row in found.distinct().collect()]
 
     def read(
         self, folder: str, schema: T.StructType, paths: Sequence[str], partitions: str
@@ -94,7 +98,7 @@ class VersionedStore:
         as ``__v`` and the partition columns given as DDL."""
         full = T.StructType([*schema.fields, *T.StructType.fromDDL(partitions).fields])
         if not paths:
-            return self.spark.createDataFrame([], full.add("__v", T.IntegerType()))
+            return empty_frame(self.spark, full.add("__v", T.IntegerType()))
         base = f"{self.root}/{folder}"
         df = (
             self.spark.read.option("basePath", base)

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from millrace.operators.layout import writer
 from millrace.operators.transforms import select_exprs, where_all
+from millrace.session import empty_frame, write_text
 from millrace.sources.messages import Secrets, message_payload, message_sink_options
 from millrace.specs import Sink, Target
 
@@ -39,7 +40,7 @@ class AppendTable:
     def create(self, schema: T.StructType) -> None:
         """An empty typed table, before any flow has run."""
         self._remember(schema)
-        empty = self.spark.createDataFrame([], schema).coalesce(1)
+        empty = empty_frame(self.spark, schema).coalesce(1)
         empty.write.mode("overwrite").parquet(f"{self.root}/{FLOW}=created/{BATCH}=0")
         self.register()
 
@@ -85,8 +86,7 @@ class AppendTable:
         if new:
             self._fields = self._stored()
             if {f.name for f in schema.fields} - {f.name for f in self._fields}:
-                line = self.spark.createDataFrame([(schema.json(),)], "value string").coalesce(1)
-                line.write.mode("append").text(f"{self.root}.schema")
+                write_text(self.spark, schema.json(), f"{self.root}.schema", "append")
                 self._fields = self._stored()
 
     def exists(self) -> bool:
@@ -225,7 +225,7 @@ def run_once(
         if not _path_missing(error):
             raise
     count = run_available(stream(), handle, checkpoint, name)
-    spark.createDataFrame([("done",)], "value string").coalesce(1).write.mode("overwrite").text(mark)
+    write_text(spark, "done", mark)
     return count
 
 
