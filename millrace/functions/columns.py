@@ -22,11 +22,6 @@ def fail_unless(condition: Column, message: str) -> Column:
     return F.when(condition, F.lit(True)).otherwise(F.raise_error(F.lit(message)).cast("boolean"))
 
 
-def pack(columns: Sequence[str]) -> Column:
-    """A struct of the columns; never NULL itself, so it can stand for 'there is a row'."""
-    return F.struct(*[F.col(c) for c in columns]) if columns else F.struct(F.lit(0).alias("_"))
-
-
 def is_orderable(data_type: T.DataType) -> bool:
     """Whether values of the type can be compared by ``max`` and ``orderBy``."""
     if isinstance(data_type, (T.MapType, T.VariantType)):

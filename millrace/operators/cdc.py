@@ -4,7 +4,7 @@ Contract:
 
 1. Order is ``sequence_by`` (a struct if there are several columns), never arrival. A NULL
    sequence is an error. Of several events of a key with one sequence value the one that is
-   greatest in (is a delete, remaining columns) counts and the others do not exist.
+   greatest in (is a delete, target columns) counts and the others do not exist.
 2. ``where`` filters the feed, then rules, then CDC, then the keep or drop list.
 3. SCD1: the latest event per key; a key whose latest event is a delete is absent. A truncate
    event clears what has a smaller or equal sequence.
@@ -26,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import fail_unless, holds, orderable_columns, pack
+from millrace.functions.columns import fail_unless, holds, orderable_columns
 from millrace.operators.hotkeys import HOT_KEY_ROWS, KeyOrder, order_by_key
 from millrace.specs import Cdc, SpecError, clean_columns
 
@@ -75,8 +75,21 @@ def prepare(feed: DataFrame, cdc: Cdc) -> DataFrame:
     )
 
 
-def data_columns(rows: DataFrame) -> list[str]:
-    return [c for c in rows.columns if c not in (SEQ, DEL, TRUNC, FROM)]
+def held_columns(columns: Sequence[str], cdc: Cdc) -> list[str]:
+    """What has to be shuffled and stored of an event beside its marks: the keys and the target
+    columns, less the sequence columns, which can be had from the sequence itself.
+    """
+    again = set(cdc.sequence_columns(columns)) - set(cdc.keys)
+    target = cdc.target_columns(columns)
+    return [c for c in target if c not in again]
+
+
+def _restore(columns: Sequence[str], cdc: Cdc, sequence: Column) -> dict[str, Column]:
+    """The target's sequence columns, taken from the sequence of the event shown."""
+    names = cdc.sequence_columns(columns)
+    parts = [sequence] if len(names) == 1 else [sequence[f"s{i}"] for i in range(len(names))]
+    held = set(held_columns(columns, cdc))
+    return {n: p for n, p in zip(names, parts) if n in cdc.target_columns(columns) and n not in held}
 
 
 def _greatest(rows: DataFrame, fields: Sequence[str]) -> Column:
@@ -90,27 +103,33 @@ def _greatest(rows: DataFrame, fields: Sequence[str]) -> Column:
 # --- SCD type 1 ---------------------------------------------------------------------------
 
 
-def scd1_partial(rows: DataFrame, cdc: Cdc) -> DataFrame:
+def scd1_partial(rows: DataFrame, cdc: Cdc, columns: Sequence[str]) -> DataFrame:
     """One row per key: the latest event and, where nulls are ignored, the latest non-NULL value
-    per column with its sequence, and the latest delete. Rows must come from ``prepare``.
+    per column with its sequence, and the latest delete. Rows must come from ``prepare``;
+    ``columns`` are the feed's.
     """
     events = rows.where(~F.col(TRUNC))
-    columns = data_columns(rows)
-    aggregates = [_greatest(rows, [SEQ, DEL, *[c for c in columns if c not in cdc.keys]]).alias(LAST)]
+    values = [c for c in held_columns(columns, cdc) if c not in cdc.keys]
+    aggregates = [_greatest(rows, [SEQ, DEL, *values]).alias(LAST)]
     if cdc.ignores_nulls():
         aggregates.append(F.max(F.when(F.col(DEL), F.col(SEQ))).alias(GONE))
-        for c in cdc.null_ignoring_columns(columns):
+        for c in _null_ignoring(columns, cdc):
             given = F.when(F.col(c).isNotNull() & ~F.col(DEL), F.struct(F.col(SEQ), F.col(c).alias("v")))
-            best = F.max(given) if c in orderable_columns(rows, [c]) else F.max_by(given, given[SEQ])
+            best = F.max(given) if orderable_columns(rows, [c]) else F.max_by(given, given[SEQ])
             aggregates.append(best.alias(f"__v_{c}"))
     return events.groupBy(*cdc.keys).agg(*aggregates)
 
 
+def _null_ignoring(columns: Sequence[str], cdc: Cdc) -> list[str]:
+    held = set(held_columns(columns, cdc))
+    return [c for c in cdc.null_ignoring_columns(columns) if c in held]
+
+
 def scd1_merge(states: DataFrame, cdc: Cdc) -> DataFrame:
     """Partial rows of the same keys into one; associative, commutative, idempotent."""
 
     def best(name: str) -> Column:
-        if orderable_columns(states, [name]) or name == GONE:
+        if orderable_columns(states, [name]):
             return F.max(name).alias(name)
         return F.max_by(name, F.col(name)[SEQ]).alias(name)
 
@@ -124,21 +143,25 @@ def truncate_bound(rows: DataFrame) -> DataFrame:
 
 def scd1_finish(state: DataFrame, cdc: Cdc, columns: Sequence[str], bound: Column | None = None) -> DataFrame:
     """The table from merged partial rows. ``columns`` are the feed's, in feed order."""
-    live = state.where(~F.col(LAST)[DEL])
+    last = F.col(LAST)
+    live = state.where(~last[DEL])
     if bound is not None:
-        live = live.where(bound.isNull() | (F.col(LAST)[SEQ] > bound))
-    keeping = set(cdc.null_ignoring_columns(columns))
+        live = live.where(bound.isNull() | (last[SEQ] > bound))
+    keeping = set(_null_ignoring(columns, cdc))
+    restored = _restore(columns, cdc, last[SEQ])
 
     def value(c: str) -> Column:
         if c in cdc.keys:
             return F.col(c)
+        if c in restored:
+            return restored[c].alias(c)
         if c not in keeping:
-            return F.col(LAST)[c].alias(c)
-        held = F.col(f"__v_{c}")
-        alive = F.col(GONE).isNull() | (held[SEQ] > F.col(GONE))
+            return last[c].alias(c)
+        kept = F.col(f"__v_{c}")
+        alive = F.col(GONE).isNull() | (kept[SEQ] > F.col(GONE))
         if bound is not None:
-            alive &= bound.isNull() | (held[SEQ] > bound)
-        return F.when(alive, held["v"]).alias(c)
+            alive &= bound.isNull() | (kept[SEQ] > bound)
+        return F.when(alive, kept["v"]).alias(c)
 
     return live.select(*[value(c) for c in cdc.target_columns(columns)])
 
@@ -147,7 +170,7 @@ def scd1(feed: DataFrame, cdc: Cdc) -> DataFrame:
     """The current state per key: C1-C3 and C8-C15 in one aggregation."""
     rows = prepare(feed, cdc)
     bound = truncate_bound(rows).scalar() if cdc.apply_as_truncates else None
-    return scd1_finish(scd1_partial(rows, cdc), cdc, feed.columns, bound)
+    return scd1_finish(scd1_partial(rows, cdc, feed.columns), cdc, feed.columns, bound)
 
 
 # --- SCD type 2 ---------------------------------------------------------------------------
@@ -155,11 +178,19 @@ def scd1(feed: DataFrame, cdc: Cdc) -> DataFrame:
 
 def _one_event_per_sequence(rows: DataFrame, keyed: KeyOrder) -> DataFrame:
     """Of rows with equal key and sequence keep the last in order."""
-    following = F.lead(F.struct(SEQ)).over(keyed.window())
-    superseded = following.isNotNull() & following[SEQ].eqNullSafe(F.col(SEQ))
+    following = F.lead(SEQ).over(keyed.window())
+    superseded = F.coalesce(following == F.col(SEQ), F.lit(False))
     return rows.withColumn("__super", superseded).where("NOT __super").drop("__super")
 
 
+_SLICES_BEFORE = (-(2**31), -1)
+
+
+def _last_before(name: str):
+    """Rolled over the slices of a key: the last value found in earlier slices."""
+    return lambda along: F.last(name, ignorenulls=True).over(along.rowsBetween(*_SLICES_BEFORE))
+
+
 def _fill_nulls(rows: DataFrame, keyed: KeyOrder, columns: Sequence[str]) -> DataFrame:
     """Each NULL takes the last value since the last delete of its key."""
     if not columns:
@@ -171,25 +202,19 @@ def _fill_nulls(rows: DataFrame, keyed: KeyOrder, columns: Sequence[str]) -> Dat
     }
     gone = F.when(F.col(DEL), F.col(SEQ))
     marks = {f"__h_{c}": F.last(g, ignorenulls=True).over(running) for c, g in given.items()}
-    rows = rows.withColumns({**marks, "__g": F.max(gone).over(running)})
+    rows = rows.withColumns({**marks, "__g": F.last(gone, ignorenulls=True).over(running)})
     if keyed.sliced:
-
-        def before(name):
-            return lambda along: F.last(name, ignorenulls=True).over(
-                along.rowsBetween(-(2**31), -1)
-            )
-
         summaries = {f"__c_{c}": F.max_by(g, F.when(g.isNotNull(), F.col(SEQ))) for c, g in given.items()}
         summaries["__cg"] = F.max(gone)
-        rows = keyed.from_other_slices(rows, summaries, {name: before(name) for name in summaries})
+        rows = keyed.from_other_slices(rows, summaries, {name: _last_before(name) for name in summaries})
         merged = {f"__h_{c}": F.coalesce(F.col(f"__h_{c}"), F.col(f"__c_{c}")) for c in columns}
         rows = rows.withColumns({**merged, "__g": F.coalesce(F.col("__g"), F.col("__cg"))})
         rows = rows.drop("__cg", *[f"__c_{c}" for c in columns])
 
     def filled(c: str) -> Column:
-        held = F.col(f"__h_{c}")
-        alive = F.col("__g").isNull() | (held["at"] > F.col("__g"))
-        return F.when(F.col(c).isNull() & alive, held["v"]).otherwise(F.col(c))
+        kept = F.col(f"__h_{c}")
+        alive = F.col("__g").isNull() | (kept["at"] > F.col("__g"))
+        return F.when(F.col(c).isNull() & alive, kept["v"]).otherwise(F.col(c))
 
     return rows.withColumns({c: filled(c) for c in columns}).drop(
         "__g", *[f"__h_{c}" for c in columns]
@@ -201,69 +226,85 @@ def scd2_spans(
 ) -> DataFrame:
     """The last row of every version and every delete, with START, END and TOP sequences.
 
-    ``rows`` come from ``prepare``; a row with FROM set stands for a stored version that began
-    there. TOP is the sequence of the version's last event.
+    ``rows`` come from ``prepare`` and have the held columns of the feed's ``columns``; a row with
+    FROM set stands for a stored version that began there. TOP is the sequence of the version's
+    last event.
     """
     if FROM not in rows.columns:
         rows = rows.withColumn(FROM, F.lit(None).cast(rows.schema[SEQ].dataType))
     keys = cdc.keys
-    tie = [c for c in orderable_columns(rows, columns) if c not in keys]
+    held = held_columns(columns, cdc)
+    tie = [c for c in orderable_columns(rows, held) if c not in keys]
 
     def collapse(hot: DataFrame) -> DataFrame:
         rest = [c for c in hot.columns if c not in (*keys, SEQ)]
         best = F.max_by(F.struct(*rest), F.struct(DEL, *tie)).alias("__r")
         return hot.groupBy(*keys, SEQ).agg(best).select(*keys, SEQ, "__r.*")
 
-    rows = rows.select(*columns, SEQ, DEL, FROM)
+    rows = rows.select(*held, SEQ, DEL, FROM)
     rows, keyed = order_by_key(rows, keys, [SEQ, DEL, *tie], split_rows, collapse)
     rows = _one_event_per_sequence(rows, keyed)
-    rows = _fill_nulls(rows, keyed, cdc.null_ignoring_columns(columns))
+    rows = _fill_nulls(rows, keyed, _null_ignoring(columns, cdc))
 
-    tracked = cdc.tracked_columns(columns)
-    now = F.struct(F.col(DEL).alias("del"), F.col(SEQ).alias("at"), pack(tracked).alias("t"))
+    # a version opens where the row before is missing, a delete, or different. The columns are
+    # looked up one by one: a struct of them would be a second copy of each row in the window
+    tracked = [c for c in cdc.tracked_columns(columns) if c in set(held)]
     window = keyed.window()
-    rows = rows.withColumns({"__prev": F.lag(now).over(window), "__next": F.lead(now).over(window)})
+    before = {f"__p{i}": c for i, c in enumerate([SEQ, DEL, *tracked])}
+    rows = rows.withColumns({name: F.lag(c).over(window) for name, c in before.items()})
     if keyed.sliced:
         rows = keyed.from_other_slices(
             rows,
-            {"__tail": F.max_by(now, F.col(SEQ)), "__head": F.min_by(now, F.col(SEQ))},
-            {
-                "__cp": lambda along: F.lag("__tail").over(along),
-                "__cn": lambda along: F.lead("__head").over(along),
-            },
+            {"__tail": F.max_by(F.struct(*before.values()), F.col(SEQ))},
+            {"__cp": lambda along: F.lag("__tail").over(along)},
         )
+        first = F.col("__p0").isNull()
         rows = rows.withColumns(
-            {"__prev": F.coalesce("__prev", "__cp"), "__next": F.coalesce("__next", "__cn")}
-        ).drop("__cp", "__cn")
-
-    def differs(other: str) -> Column:
-        o = F.col(other)
-        return o.isNull() | o["del"] | F.col(DEL) | ~o["t"].eqNullSafe(pack(tracked))
-
-    opens = F.when(differs("__prev"), F.coalesce(F.col(FROM), F.col(SEQ)))
-    rows = rows.withColumn("__opens", opens)
-    rows = rows.withColumn(START, F.last("__opens", ignorenulls=True).over(keyed.running()))
+            {name: F.when(first, F.col("__cp")[c]).otherwise(F.col(name)) for name, c in before.items()}
+        ).drop("__cp")
+    changed = F.col("__p0").isNull() | F.col("__p1") | F.col(DEL)
+    for i, c in enumerate(tracked):
+        changed |= ~F.col(f"__p{i + 2}").eqNullSafe(F.col(c))
+    rows = rows.withColumn("__opens", changed).drop(*before)
+
+    # a version ends where the next row opens one
+    begin = F.when(F.col("__opens"), F.coalesce(F.col(FROM), F.col(SEQ)))
+    rows = rows.withColumns(
+        {
+            START: F.last(begin, ignorenulls=True).over(keyed.running()),
+            END: F.lead(SEQ).over(window),
+            "__next": F.lead("__opens").over(window),
+        }
+    )
     if keyed.sliced:
         rows = keyed.from_other_slices(
             rows,
-            {"__mark": F.max("__opens")},
-            {"__cs": lambda along: F.last("__mark", ignorenulls=True).over(along.rowsBetween(-(2**31), -1))},
-        ).withColumn(START, F.coalesce(START, "__cs"))
-    ends = rows.where(differs("__next"))
-    return ends.select(
-        *columns, DEL, F.col(START), F.col("__next")["at"].alias(END), F.col(SEQ).alias(TOP)
-    )
+            {"__mark": F.max(begin), "__head": F.min_by(F.struct(SEQ, "__opens"), F.col(SEQ))},
+            {"__cs": _last_before("__mark"), "__cn": lambda along: F.lead("__head").over(along)},
+        )
+        rows = rows.withColumns(
+            {
+                START: F.coalesce(START, "__cs"),
+                "__next": F.when(F.col(END).isNull(), F.col("__cn")["__opens"]).otherwise(F.col("__next")),
+                END: F.coalesce(F.col(END), F.col("__cn")[SEQ]),
+            }
+        )
+    ends = rows.where(F.col(END).isNull() | F.col("__next"))
+    return ends.select(*held, DEL, START, END, F.col(SEQ).alias(TOP))
 
 
 def scd2_finish(spans: DataFrame, cdc: Cdc, columns: Sequence[str]) -> DataFrame:
-    """The table from spans: deletes out, keep or drop list applied, validity columns named."""
+    """The table from spans: deletes out, target columns in feed order, validity columns named."""
     composite = is_composite(columns, cdc)
+    restored = _restore(columns, cdc, F.col(TOP))
 
     def point(name: str) -> Column:
         return F.col(name)["s0"] if composite else F.col(name)
 
     return spans.where(~F.col(DEL)).select(
-        *cdc.target_columns(columns), point(START).alias(START_AT), point(END).alias(END_AT)
+        *[restored[c].alias(c) if c in restored else F.col(c) for c in cdc.target_columns(columns)],
+        point(START).alias(START_AT),
+        point(END).alias(END_AT),
     )
 
 

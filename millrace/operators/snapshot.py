@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import fail_unless, pack
+from millrace.functions.columns import fail_unless
 from millrace.operators.cdc import END_AT, START_AT
 from millrace.operators.tables import require_unique
 from millrace.specs import SnapshotCdc
@@ -125,20 +125,24 @@ def snapshots_scd2(snapshots: Iterable[tuple[object, DataFrame]], cdc: SnapshotC
     for k in cdc.keys:
         rows = rows.where(fail_unless(F.col(k).isNotNull(), f"NULL key {k} in a snapshot"))
     window = W.partitionBy(*cdc.keys).orderBy("__rank")
-    now = F.struct(F.col("__rank").alias("rank"), pack(tracked).alias("t"))
-    rows = rows.withColumns({"__prev": F.lag(now).over(window), "__next": F.lead(now).over(window)})
-    twice = F.col("__prev").isNotNull() & (F.col("__prev")["rank"] == F.col("__rank"))
+    # looked up column by column: a struct would be computed and carried before the shuffle
+    before = {f"__p{i}": c for i, c in enumerate(["__rank", *tracked])}
+    rows = rows.withColumns({name: F.lag(c).over(window) for name, c in before.items()})
+    twice = F.coalesce(F.col("__p0") == F.col("__rank"), F.lit(False))
     rows = rows.where(fail_unless(~twice, f"duplicate key in {cdc.keys}"))
-    at = F.array(*[F.lit(v) for v in versions])
-    mine = pack(tracked)
-    prev, after = F.col("__prev"), F.col("__next")
-    opens = prev.isNull() | (prev["rank"] != F.col("__rank") - 1) | ~prev["t"].eqNullSafe(mine)
-    ends = after.isNull() | (after["rank"] != F.col("__rank") + 1) | ~after["t"].eqNullSafe(mine)
+    opens = F.col("__p0").isNull() | (F.col("__p0") != F.col("__rank") - 1)
+    for i, c in enumerate(tracked):
+        opens |= ~F.col(f"__p{i + 1}").eqNullSafe(F.col(c))
+    rows = rows.withColumn("__opens", opens).drop(*before)
     running = window.rowsBetween(W.unboundedPreceding, W.currentRow)
-    rows = rows.withColumn("__open_rank", F.last(F.when(opens, F.col("__rank")), ignorenulls=True).over(running))
-    return rows.where(ends).select(
+    begun = F.when(F.col("__opens"), F.col("__rank"))
+    rows = rows.withColumns(
+        {"__from": F.last(begun, ignorenulls=True).over(running), "__next": F.lead("__opens").over(window)}
+    )
+    at = F.array(*[F.lit(v) for v in versions])
+    return rows.where(F.coalesce(F.col("__next"), F.lit(True))).select(
         *columns,
-        F.get(at, F.col("__open_rank")).alias(START_AT),
+        F.get(at, F.col("__from")).alias(START_AT),
         F.get(at, F.col("__rank") + 1).alias(END_AT),
     )
 

@@ -21,13 +21,18 @@ def latest_per_key(
     the shuffle, so a key with very many versions costs no more than others. Equal versions are
     told apart by the remaining columns.
     """
-    rank = F.expr(version) if version not in df.columns else F.col(version)
+    others = [c for c in df.columns if c not in keys and c != version]
+    rank = F.col(version)
     if numeric:
         rank = F.regexp_extract(rank.cast("string"), r"(\d+)", 1).try_cast("decimal(38,0)")
-    ties = [F.col(c) for c in orderable_columns(df, [c for c in df.columns if c not in keys])]
-    row = F.struct(*[F.col(c) for c in df.columns if c not in keys])
-    best = df.groupBy(*keys).agg(F.max_by(row, F.struct(rank, *ties)).alias("__row"))
-    return best.select(*keys, "__row.*").select(*df.columns)
+    ties = orderable_columns(df, [version, *others])
+    order = F.struct(rank.alias("__rank"), *ties) if numeric else F.struct(*ties)
+    row = F.struct(version, *others)
+    # one struct serves as value and as order where every column can be compared
+    whole = len(ties) == len(others) + 1
+    best = F.max(order) if whole else F.max_by(row, order)
+    found = df.groupBy(*keys).agg(best.alias("__row"))
+    return found.select(*[c if c in keys else F.col("__row")[c].alias(c) for c in df.columns])
 
 
 def select_group(

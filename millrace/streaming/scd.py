@@ -44,7 +44,7 @@ class Scd1Store(VersionedStore):
         self.cdc = cdc
         self.schema = schema
         empty = ops.prepare(empty_frame(spark, schema), cdc)
-        self.state_schema = ops.scd1_partial(empty, cdc).schema
+        self.state_schema = ops.scd1_partial(empty, cdc, schema.names).schema
         self.bound_schema = ops.truncate_bound(empty).schema
 
     def _state(self, pointer: dict, buckets: Sequence[int] | None = None) -> DataFrame:
@@ -69,7 +69,8 @@ class Scd1Store(VersionedStore):
         following = self.advance(pointer, flow, batch_id)
         version = following["version"]
         rows = ops.prepare(batch, self.cdc)
-        partial = ops.scd1_partial(rows, self.cdc).withColumn(BUCKET, bucket_of(self.cdc.keys, self.buckets))
+        partial = ops.scd1_partial(rows, self.cdc, self.schema.names)
+        partial = partial.withColumn(BUCKET, bucket_of(self.cdc.keys, self.buckets))
         partial = partial.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             touched = _touched(partial)
@@ -140,10 +141,12 @@ class Scd2Store(VersionedStore):
         self.split_rows = split_rows
         prepared = ops.prepare(empty_frame(spark, schema), cdc).schema
         sequence = prepared[ops.SEQ].dataType
-        self.event_schema = T.StructType([*schema.fields, prepared[ops.SEQ], prepared[ops.DEL]])
+        self.held = ops.held_columns(self.columns, cdc)
+        fields = [schema[c] for c in self.held]
+        self.event_schema = T.StructType([*fields, prepared[ops.SEQ], prepared[ops.DEL]])
         self.span_schema = T.StructType(
             [
-                *schema.fields,
+                *fields,
                 prepared[ops.DEL],
                 *[T.StructField(n, sequence) for n in (ops.START, ops.END, ops.TOP)],
             ]
@@ -209,7 +212,7 @@ class Scd2Store(VersionedStore):
         following = self.advance(pointer, flow, batch_id)
         version = following["version"]
         keys = self.cdc.keys
-        rows = ops.prepare(batch, self.cdc).select(*self.columns, ops.SEQ, ops.DEL)
+        rows = ops.prepare(batch, self.cdc).select(*self.held, ops.SEQ, ops.DEL)
         rows = rows.withColumn(BUCKET, bucket_of(keys, self.buckets)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             touched = _touched(rows)
@@ -235,7 +238,7 @@ class Scd2Store(VersionedStore):
             events = rows
             seeds = known.where(F.col(ops.TOP).isNotNull() & ~is_late)
             seeds = seeds.select(
-                *self.columns,
+                *self.held,
                 F.col(ops.TOP).alias(ops.SEQ),
                 ops.DEL,
                 F.when(~F.col(ops.DEL), F.col(ops.START)).alias(ops.FROM),

@@ -122,7 +122,7 @@ def test_partial_states_merge_in_any_split(spark, nulls):
     cdc = Cdc(["k"], "seq", 1, apply_as_deletes="op = 'D'", ignore_null_updates=nulls)
     whole = ops.scd1(frame(spark, feed), cdc)
     random.Random(1).shuffle(feed)
-    parts = [ops.scd1_partial(ops.prepare(frame(spark, feed[i::3]), cdc), cdc) for i in range(3)]
+    parts = [ops.scd1_partial(ops.prepare(frame(spark, feed[i::3]), cdc), cdc, whole.columns) for i in range(3)]
     # the second part twice: a replay must not matter
     merged = ops.scd1_merge(parts[1].unionByName(parts[0]).unionByName(parts[2]).unionByName(parts[1]), cdc)
     again = ops.scd1_finish(merged, cdc, whole.columns)

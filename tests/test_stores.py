@@ -31,7 +31,7 @@ def test_scd2_store(spark, tmp_path, shuffled, nulls):
     cdc = Cdc(["k"], "seq", 2, apply_as_deletes="op = 'D'", except_column_list=["op"],
               track_history_column_list=["a"], ignore_null_updates=nulls)
     whole = frame(spark, feed)
-    store = Scd2Store(spark, str(tmp_path / "t"), cdc, whole.schema, buckets=3, split_rows=30)
+    store = Scd2Store(spark, str(tmp_path / "t"), cdc, whole.schema, buckets=3, split_rows=30 if nulls else None)
     seen = []
     for i, batch in enumerate(batches(feed, shuffled)):
         store.apply(frame(spark, batch), i)
