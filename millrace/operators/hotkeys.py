@@ -32,8 +32,9 @@ MAX_SLICES = 4096
 SAMPLES_PER_SLICE = 16
 # How often a key at the threshold shows in the sample that looks for hot keys.
 SAMPLED_ROWS = 200
-# Up to this many hot keys their cut table (at most 4,096 cuts each) is sent to every executor.
-BROADCAST_KEYS = 64
+# The cut table is sent to every executor up to this many keys and cuts (some tens of megabytes).
+BROADCAST_KEYS = 10_000
+BROADCAST_CUTS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -148,7 +149,9 @@ def order_by_key(
     hot = find_hot_keys(rows, keys, order[0], threshold) if threshold is not None else None
     if hot is None:
         return rows, plain
-    side = F.broadcast(hot) if hot.count() <= BROADCAST_KEYS else hot
+    size = hot.agg(F.count(F.lit(1)).alias("keys"), F.sum(F.size(CUTS)).alias("cuts")).first()
+    small = size["keys"] <= BROADCAST_KEYS and (size["cuts"] or 0) <= BROADCAST_CUTS
+    side = F.broadcast(hot) if small else hot
     marked = null_safe_join(rows, side, keys, "left")
     if collapse is not None:
         cold = marked.where(F.col(CUTS).isNull())

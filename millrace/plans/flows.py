@@ -20,11 +20,20 @@ from millrace.sources.files import file_scan
 from millrace.sources.messages import Secrets, eventhub_options, kafka_options, message_scan
 from millrace.sources.snapshots import snapshot_versions
 from millrace.sources.tables import path_scan, table_name, table_scan
-from millrace.specs import Flow, Source, SpecError
+from millrace.specs import Flow, Source, SpecError, Target
 from millrace.streaming.scd import open_store
 from millrace.streaming.snapshots import SnapshotStore
 from millrace.streaming.store import DEFAULT_BUCKETS
-from millrace.streaming.targets import AppendTable, run_available, run_once, write_sink
+from millrace.streaming.targets import (
+    AppendTable,
+    deregister,
+    overwrite_table,
+    register_path,
+    run_available,
+    run_once,
+    set_table_facts,
+    write_sink,
+)
 
 
 @dataclass
@@ -75,11 +84,13 @@ class Runner:
                 self.spark, details["path"], options, source.schema, streaming,
                 details.get("format"), source.metadata,
             )
-        if kind == "flow":
+        if "flow" in details:
             upstream = self.flows[details["flow"]]
-            if streaming:
-                return self.append_table(upstream).stream(options)
-            return self.table(upstream)
+            if kind == "snapshot" or not streaming:
+                return self.table(upstream)
+            if upstream.cdc or upstream.snapshot:
+                raise SpecError(f"{upstream.id} rewrites rows; read it whole, as a snapshot source")
+            return self.append_table(upstream).stream(options)
         if kind in ("table", "delta", "snapshot", "path"):
             streaming = streaming and kind != "snapshot"
             if details.get("path"):
@@ -116,6 +127,18 @@ class Runner:
             return open_store(self.spark, flow.target.path, flow.cdc, schema, self.buckets).table()
         return self.append_table(flow).table()
 
+    def publish(self, flow: Flow | str, target: Target) -> None:
+        """Write the flow's table as it is now to a plain parquet folder in the target's layout,
+        and name it if the target has a name."""
+        overwrite_table(self.table(flow), target)
+        if target.name:
+            # named anew, as partitions of the former content may be gone
+            deregister(self.spark, target.name)
+            register_path(self.spark, target.name, target.path)
+            set_table_facts(self.spark, target.name, target.properties, target.comment)
+            if target.partition_by:
+                self.spark.catalog.recoverPartitions(target.name)
+
     def quarantine_table(self, flow: Flow | str) -> DataFrame:
         flow = self.flows[flow] if isinstance(flow, str) else flow
         return AppendTable(self.spark, flow.quarantine).table()
@@ -234,7 +257,7 @@ class Runner:
     def _upstream(self, flow: Flow) -> set[str]:
         needs = set(flow.depends_on)
         for source in [flow.source, *[extra.source for extra in flow.append_flows]]:
-            if source.format == "flow":
+            if "flow" in source.details:
                 needs.add(source.details["flow"])
         return needs
 

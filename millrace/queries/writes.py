@@ -78,7 +78,8 @@ def sink_table(spark, sf):
     path = scratch_path(spark, "sink-path")
     name = "sink_" + path[-12:]
     by_path = Sink("by_path", "delta", {"path": path}, ["event_id", "value"], "value > 5")
-    by_name = Sink("by_name", "delta", {"tableName": name}, ["event_id", "value"], "value > 5")
+    place = {"tableName": name, "path": scratch_path(spark, "sink-name")}
+    by_name = Sink("by_name", "delta", place, ["event_id", "value"], "value > 5")
     stream = _stream(spark, sf, "events", EVENTS_DDL)
     writes = [lambda batch, i, s=s: write_sink(batch, s, i) for s in (by_path, by_name)]
     fan_out_stream(stream, writes, scratch_path(spark, "sink-progress"))

@@ -247,8 +247,9 @@ class Rules:
 class Source:
     """Where rows come from.
 
-    ``format`` is ``files``, ``table``, ``path`` (a table by its folder), ``kafka``, ``eventhub``
-    or ``snapshot`` (a table or folder read whole). ``details`` holds what that format needs.
+    ``format`` is ``files``, ``table``, ``path`` (a table by its folder), ``flow`` (what another
+    flow appends), ``kafka``, ``eventhub`` or ``snapshot`` (a table, folder or flow read whole).
+    ``details`` holds what that format needs.
     """
 
     format: str
@@ -387,6 +388,29 @@ class Flow:
         if self.cdc and self.snapshot:
             raise SpecError(f"Flow {self.id}: cdc and snapshot exclude each other")
 
+    @classmethod
+    def from_dict(cls, values: Mapping[str, Any]) -> Flow:
+        """A flow from nested mappings, such as a parsed JSON spec. ``rules`` is a level map, or
+        the JSON text of one."""
+        parts = {k: v for k, v in values.items() if v is not None}
+        single = {"source": Source, "target": Target, "quarantine": Target, "cdc": Cdc, "snapshot": SnapshotCdc}
+        for name, kind in single.items():
+            if isinstance(parts.get(name), Mapping):
+                parts[name] = kind.from_dict(parts[name])
+        if "append_flows" in parts:
+            parts["append_flows"] = [
+                AppendFlow.from_dict({**flow, "source": Source.from_dict(flow["source"])})
+                for flow in parts["append_flows"]
+            ]
+        if "sinks" in parts:
+            parts["sinks"] = [Sink.from_dict(sink) for sink in parts["sinks"]]
+        rules = parts.get("rules")
+        if isinstance(rules, str):
+            parts["rules"] = Rules.from_json(rules)
+        elif isinstance(rules, Mapping):
+            parts["rules"] = Rules.from_levels(rules)
+        return _from_mapping(cls, parts)
+
     def view_name(self) -> str:
         """The name of the flow's input view: target name and layer, dots out, lower case."""
         name = (self.target.name or self.target.path.rstrip("/").rsplit("/", 1)[-1]).replace(".", "_")

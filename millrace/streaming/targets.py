@@ -176,13 +176,16 @@ def write_sink(df: DataFrame, sink: Sink, batch_id, secrets: Secrets | None = No
         message_rows(df, sink).write.format("kafka").options(**options).save()
         return
     rows = sink_rows(df, sink)
+    # with a name, a path says where the named table's files go
     name = sink.table_name()
     if not name:
         AppendTable(df.sparkSession, Target(sink.option("path"))).write_batch(rows, batch_id, sink.name)
         return
     tagged = rows.withColumns({FLOW: F.lit(sink.name), BATCH: F.lit(str(batch_id))})
     if not df.sparkSession.catalog.tableExists(name):
-        tagged.limit(0).write.partitionBy(FLOW, BATCH).format("parquet").saveAsTable(name)
+        place = {"path": sink.option("path")} if sink.option("path") else {}
+        empty = tagged.limit(0).write.partitionBy(FLOW, BATCH).format("parquet")
+        empty.options(**place).saveAsTable(name)
     tagged.write.option("partitionOverwriteMode", "dynamic").insertInto(name, overwrite=True)
 
 

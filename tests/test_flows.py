@@ -181,3 +181,59 @@ def test_specs_are_checked(tmp_path):
         Flow("f", Source("table"), Target("/t"), cdc=Cdc(["k"], "s"), snapshot=SnapshotCdc(["k"]))
     with pytest.raises(SpecError, match="two flows"):
         Runner(None, "/p", [Flow("f", Source("table"), Target("/t"))] * 2)
+
+
+def spec(tmp_path, name, **more):
+    return {
+        "id": name, "group": "g", "source": {"format": "files", "details": {"path": "/in"}},
+        "target": {"path": str(tmp_path / name)}, **more,
+    }
+
+
+def test_spec_table(spark, tmp_path):
+    from millrace.plans.catalog import load_flows, merge_specs, spec_rows
+
+    cdc = {"keys": ["id"], "sequence_by": "at", "scd_type": "2"}
+    first = spec_rows(
+        spark,
+        [
+            spec(tmp_path, "a", cdc=cdc, rules={"expect_or_drop": {"r": "id > 0"}}),
+            spec(tmp_path, "b", sinks=[{"name": "S", "format": "delta", "options": {"path": "/s"}}],
+                 append_flows=[{"name": "x", "source": {"format": "table", "details": {"table": "t"}}}]),
+        ],
+        "v1",
+        "me",
+    )
+    flows = {f.id: f for f in load_flows(first, group="g")}
+    assert flows["a"].cdc.scd_type == 2 and flows["a"].rules.drop == {"r": "id > 0"}
+    assert flows["b"].sinks[0].name == "s" and flows["b"].append_flows[0].source.format == "table"
+    second = spec_rows(spark, [spec(tmp_path, "b", where=["id > 1"])], "v2", "you")
+    merged = merge_specs(first, second)
+    assert merged.count() == 2
+    row = merged.where("id = 'b'").first()
+    assert (row.version, row.createdBy, row.updatedBy) == ("v2", "me", "you")
+    both = first.unionByName(second)
+    assert {f.id: f.where for f in load_flows(both, ids=["b"])} == {"b": ["id > 1"]}
+    with pytest.raises(Exception, match="duplicate key"):
+        spec_rows(spark, [spec(tmp_path, "a"), spec(tmp_path, "a")], "v1", "me").collect()
+    with pytest.raises(SpecError, match="missing"):
+        spec_rows(spark, [{"id": "x", "target": {"path": "/t"}}], "v1", "me")
+
+
+def test_snapshot_of_a_flow_and_publish(spark, tmp_path, incoming):
+    bronze = Flow("bronze", source(incoming), Target(str(tmp_path / "b")),
+                  cdc=Cdc(["id"], "at", 1, apply_as_deletes="op = 'D'", except_column_list=["op"]))
+    silver = Flow("silver", Source("snapshot", {"flow": "bronze"}), Target(str(tmp_path / "s")), layer="silver",
+                  select_exp=["id", "x"], snapshot=SnapshotCdc(["id"], 2))
+    runner = Runner(spark, str(tmp_path / "progress"), [bronze, silver], buckets=2)
+    incoming.add((1, "I", 1, "a"), (2, "I", 1, "b"))
+    assert not any(r.error for r in runner.run_group().values())
+    incoming.add((1, "U", 2, "c"), (2, "D", 2, None))
+    assert not any(r.error for r in runner.run_group().values())
+    got = sorted((r.id, r.x, r["__START_AT"], str(r["__END_AT"])) for r in runner.table("silver").collect())
+    assert got == [(1, "a", 1, "2"), (1, "c", 2, "None"), (2, "b", 1, "2")]
+    runner.publish("bronze", Target(str(tmp_path / "out"), name="published_t", partition_by="x"))
+    assert ids(spark.table("published_t")) == [1]
+    streamed = Flow("bad", Source("flow", {"flow": "bronze"}), Target(str(tmp_path / "bad")))
+    with pytest.raises(SpecError, match="rewrites rows"):
+        runner.run(streamed)
