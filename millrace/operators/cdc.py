@@ -22,6 +22,7 @@ what the streaming runner stores. SCD2 is one shuffle and one sort; see ``hotkey
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -242,7 +243,12 @@ def scd2_spans(
         return hot.groupBy(*keys, SEQ).agg(best).select(*keys, SEQ, "__r.*")
 
     rows = rows.select(*held, SEQ, DEL, FROM)
-    rows, keyed = order_by_key(rows, keys, [SEQ, DEL, *tie], split_rows, collapse)
+    parts = order_by_key(rows, keys, [SEQ, DEL, *tie], split_rows, collapse)
+    return reduce(DataFrame.unionByName, [_spans(part, keyed, cdc, columns) for part, keyed in parts])
+
+
+def _spans(rows: DataFrame, keyed: KeyOrder, cdc: Cdc, columns: Sequence[str]) -> DataFrame:
+    held = held_columns(columns, cdc)
     rows = _one_event_per_sequence(rows, keyed)
     rows = _fill_nulls(rows, keyed, _null_ignoring(columns, cdc))
 

@@ -7,7 +7,7 @@ Windows then run per (key, slice); what a slice needs to know of its neighbours
 slice, rolled along the few slices of the key, and joined back. Cut points come from a hash
 sample, so they only affect balance: results are exact wherever the cuts fall.
 
-Keys below the threshold keep the plain plan; without any hot key nothing is joined or sliced.
+All other keys keep the plain plan of one shuffle; without any hot key that is the whole plan.
 """
 
 from __future__ import annotations
@@ -61,17 +61,17 @@ class KeyOrder:
         summaries: Mapping[str, Column],
         rolled: Mapping[str, Callable[[WindowSpec], Column]],
     ) -> DataFrame:
-        """Add to each row of a sliced key what its neighbour slices say.
+        """Add to each row what the other slices of its key say.
 
-        ``summaries`` aggregate one slice; ``rolled`` turn them into columns by a window over the
-        slices of a key (at most ``MAX_SLICES`` rows). Rows of other keys get NULL.
+        ``summaries`` aggregate one slice, combining before the shuffle; ``rolled`` turn them into
+        columns by a window over the slices of a key (at most ``MAX_SLICES`` rows). The result, one
+        row per slice, is written out first: the planner then knows its size when it chooses the
+        join, and slices are not worked out again.
         """
-        per_slice = rows.where(F.col(CUTS).isNotNull()).groupBy(*self.group).agg(
-            *[column.alias(name) for name, column in summaries.items()]
-        )
+        per_slice = rows.groupBy(*self.group).agg(*[c.alias(name) for name, c in summaries.items()])
         along = W.partitionBy(*self.keys).orderBy(SLICE)
         carry = per_slice.select(*self.group, *[f(along).alias(name) for name, f in rolled.items()])
-        return null_safe_join(rows, carry, self.group, "left")
+        return null_safe_join(rows, materialise(carry, "slices"), self.group, "left")
 
 
 def find_hot_keys(rows: DataFrame, keys: Sequence[str], sequence: str, threshold: int) -> DataFrame | None:
@@ -114,7 +114,8 @@ def find_hot_keys(rows: DataFrame, keys: Sequence[str], sequence: str, threshold
         lambda i: F.get("__s", F.floor(i * F.size("__s") / F.col("__k")).cast("int")),
     )
     cuts = ranked.select(*keys, F.array_distinct(F.array_compact(picked)).alias(CUTS))
-    return materialise(cuts, "hot-cuts")
+    # a key of few distinct values may have no sample: it stays hot, without cuts
+    return materialise(null_safe_join(hot.select(*keys), cuts, keys, "left"), "hot-cuts")
 
 
 def slice_number(sequence: Column, cuts: Column) -> Column:
@@ -138,8 +139,9 @@ def order_by_key(
     order: Sequence[str],
     threshold: int | None = HOT_KEY_ROWS,
     collapse: Callable[[DataFrame], DataFrame] | None = None,
-) -> tuple[DataFrame, KeyOrder]:
-    """Rows ready for windows per key, and the grouping to use.
+) -> list[tuple[DataFrame, KeyOrder]]:
+    """Rows ready for windows per key, with the grouping to use: all of them, or those of the
+    other keys and those of the hot ones.
 
     The first column of ``order`` is the sequence along which hot keys are cut; equal values stay
     in one slice, so ``collapse`` may first reduce the rows of hot keys that share a value. With
@@ -148,13 +150,15 @@ def order_by_key(
     plain = KeyOrder(tuple(keys), tuple(order))
     hot = find_hot_keys(rows, keys, order[0], threshold) if threshold is not None else None
     if hot is None:
-        return rows, plain
+        return [(rows, plain)]
     size = hot.agg(F.count(F.lit(1)).alias("keys"), F.sum(F.size(CUTS)).alias("cuts")).first()
     small = size["keys"] <= BROADCAST_KEYS and (size["cuts"] or 0) <= BROADCAST_CUTS
     side = F.broadcast(hot) if small else hot
-    marked = null_safe_join(rows, side, keys, "left")
+    others = null_safe_join(rows, side.drop(CUTS), keys, "left_anti")
+    held = null_safe_join(rows, side, keys, "inner")
     if collapse is not None:
-        cold = marked.where(F.col(CUTS).isNull())
-        marked = cold.unionByName(collapse(marked.where(F.col(CUTS).isNotNull())))
-    sliced = marked.withColumn(SLICE, slice_number(F.col(order[0]), F.col(CUTS)))
-    return sliced, KeyOrder(tuple(keys), tuple(order), sliced=True)
+        held = collapse(held)
+    sliced = held.withColumn(SLICE, slice_number(F.col(order[0]), F.col(CUTS))).drop(CUTS)
+    # read several times below: once per summary of its slices, and for the result
+    sliced = materialise(sliced, "hot-rows")
+    return [(others, plain), (sliced, KeyOrder(tuple(keys), tuple(order), sliced=True))]

@@ -67,8 +67,9 @@ def test_hot_key_is_cut_into_slices(spark):
 
     feed = frame(spark, random_feed(5, rows=2000, ties=False))
     rows = ops.prepare(feed, Cdc(["k"], "seq", 2))
-    sliced, keyed = order_by_key(rows, ["k"], ["__seq"], 100)
-    assert keyed.sliced
+    (others, plain), (sliced, keyed) = order_by_key(rows, ["k"], ["__seq"], 100)
+    assert keyed.sliced and not plain.sliced
+    assert others.where("k = 7").count() == 0 and others.count() + sliced.count() == feed.count()
     sizes = {r["__slice"]: r["count"] for r in sliced.where("k = 7").groupBy("__slice").count().collect()}
     assert len(sizes) >= 5 and max(sizes.values()) < 400
     # slices follow the sequence
