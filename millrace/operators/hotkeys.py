@@ -74,13 +74,13 @@ class KeyOrder:
         return null_safe_join(rows, materialise(carry, "slices"), self.group, "left")
 
 
-def find_hot_keys(rows: DataFrame, keys: Sequence[str], sequence: str, threshold: int) -> DataFrame | None:
-    """Keys with more than about ``threshold`` rows and their cut points, or None. Runs a job.
+def large_keys(rows: DataFrame, keys: Sequence[str], threshold: int) -> DataFrame | None:
+    """Keys with more than about ``threshold`` rows and their row count (``__n``, an estimate), or
+    None. Runs a job.
 
     Counting every key would shuffle as many rows as there are keys. A row sample in which a key
     at the threshold still shows ``SAMPLED_ROWS`` times finds the same keys from a scan of the key
-    columns alone. The result has at most about (rows / threshold) rows, each with an array of at
-    most MAX_SLICES cuts.
+    columns alone. The result has at most about (rows / threshold) rows.
     """
     fraction = min(1.0, SAMPLED_ROWS / threshold)
     seen = rows.select(*keys)
@@ -96,9 +96,16 @@ def find_hot_keys(rows: DataFrame, keys: Sequence[str], sequence: str, threshold
         if counted.count() == 0:
             return None
         # the sample must not be drawn again: what follows has to see one set of keys
-        hot = materialise(counted, "hot-keys")
+        return materialise(counted, "large-keys")
     finally:
         counted.unpersist()
+
+
+def find_hot_keys(rows: DataFrame, keys: Sequence[str], sequence: str, threshold: int) -> DataFrame | None:
+    """Large keys with their cut points, at most MAX_SLICES - 1 each, or None. Runs jobs."""
+    hot = large_keys(rows, keys, threshold)
+    if hot is None:
+        return None
     slices = F.least(F.lit(MAX_SLICES), F.ceil(F.col("__n") / threshold)).cast("int")
     hot = hot.withColumns(
         {"__k": slices, "__mod": F.greatest(F.lit(1), F.floor(F.col("__n") / (slices * SAMPLES_PER_SLICE)))}

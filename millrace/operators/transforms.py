@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.columns import orderable_columns
+from millrace.functions.columns import null_safe_join, orderable_columns
+from millrace.operators.hotkeys import large_keys
 
 
 def select_exprs(df: DataFrame, expressions: Sequence[str] | None) -> DataFrame:
@@ -84,27 +85,22 @@ def rows_to_json_array(
 ) -> DataFrame:
     """The rows of each key as one JSON array text, ordered by ``order_by``.
 
-    One array is one cell, so a key with more than ``max_rows`` rows is spread by row hash over
-    as many numbered parts as it needs; every row lands in exactly one part. All other keys have
-    part 0 only.
+    One array is one cell, so a key with more than about ``max_rows`` rows is spread by row hash
+    over as many numbered parts as it needs; every row lands in exactly one part. All other keys
+    have part 0 only. Looks for such keys first, which runs one small job.
     """
     keys, order_by = list(keys), list(order_by)
     rest = [c for c in df.columns if c not in keys and c not in order_by]
-    large = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .where(F.col("__n") > max_rows)
-        .withColumn("__parts", F.ceil(F.col("__n") / max_rows).cast("long"))
-        .drop("__n")
-    )
-    hashed = F.xxhash64(*[F.col(c) for c in orderable_columns(df, df.columns)])
-    part = F.coalesce(F.pmod(hashed, F.col("__parts")), F.lit(0).cast("long"))
-    return (
-        df.join(large, keys, "left")
-        .withColumn("part", part)
-        .groupBy(*keys, "part")
-        .agg(F.to_json(F.sort_array(F.collect_list(F.struct(*order_by, *rest)))).alias(output))
-    )
+    large = large_keys(df, keys, max_rows)
+    if large is None:
+        parted = df.withColumn("part", F.lit(0).cast("long"))
+    else:
+        parts = F.ceil(F.col("__n") / max_rows).cast("long")
+        hashed = F.xxhash64(*[F.col(c) for c in orderable_columns(df, df.columns)])
+        part = F.coalesce(F.pmod(hashed, parts), F.lit(0).cast("long"))
+        parted = null_safe_join(df, large, keys, "left").withColumn("part", part).drop("__n")
+    array = F.sort_array(F.collect_list(F.struct(*order_by, *rest)))
+    return parted.groupBy(*keys, "part").agg(F.to_json(array).alias(output))
 
 
 def add_missing_columns(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -211,6 +211,21 @@ def _run_feed(spark, feed, settings, label, slices=4):
     return store.table()
 
 
+# all clicks and views go to one key, so that it holds 40 % of the rows
+SKEWED = """(SELECT CASE WHEN event_type IN ('click', 'view') THEN -1 ELSE user_id END AS user_id,
+                    event_id, ts, event_type, value, value > 20 AS is_large FROM events)"""
+
+
+@query("cdc_hot_key", _history(["is_large"], ["event_id", "value", "is_large"], source=SKEWED))
+def cdc_hot_key(spark, sf):
+    """SCD2 where one key holds a large share of the rows, cut into slices of about 500 rows."""
+    key = F.when(F.col("event_type").isin("click", "view"), -1).otherwise(F.col("user_id"))
+    feed = table(spark, sf, "events").withColumns({"user_id": key, "is_large": F.col("value") > 20})
+    settings = Cdc(["user_id"], "ts", 2, apply_as_deletes=DELETE, column_list=["event_id", "value", "is_large"],
+                   track_history_column_list=["is_large"])
+    return ops.scd2(feed, settings, split_rows=500)
+
+
 @query("cdc_out_of_order", _history(["event_type"], ["event_id", "event_type", "value"]))
 def cdc_out_of_order(spark, sf):
     return _run_feed(spark, table(spark, sf, "events"), TRACKED, "out-of-order")
