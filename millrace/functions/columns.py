@@ -47,3 +47,18 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
         condition = same if condition is None else condition & same
     joined = left.join(renamed, condition, how)
     return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"__r_{k}" for k in keys])
+
+
+def with_rank(df: DataFrame, name: str, value: Column, bounds: Column, places: int) -> DataFrame:
+    """Add how many of the ascending ``bounds`` are at or below ``value``: 0 if either is NULL.
+
+    A binary search over up to ``places`` - 1 bounds (a power of two), one plain column per step;
+    unlike a lambda over the array, all of it is compiled.
+    """
+    df = df.withColumn(name, F.lit(0))
+    step = places // 2
+    while step:
+        reached = F.get(bounds, F.col(name) + F.lit(step - 1)) <= value
+        df = df.withColumn(name, F.when(reached, F.col(name) + step).otherwise(F.col(name)))
+        step //= 2
+    return df

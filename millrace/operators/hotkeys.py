@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import null_safe_join
+from millrace.functions.columns import null_safe_join, with_rank
 from millrace.session import materialise
 
 SLICE = "__slice"
@@ -125,21 +125,6 @@ def find_hot_keys(rows: DataFrame, keys: Sequence[str], sequence: str, threshold
     return materialise(null_safe_join(hot.select(*keys), cuts, keys, "left"), "hot-cuts")
 
 
-def slice_number(sequence: Column, cuts: Column) -> Column:
-    """How many cuts are at or below the value: a binary search, not a scan of the array."""
-    steps = []
-    step = MAX_SLICES // 2
-    while step:
-        steps.append(F.lit(step))
-        step //= 2
-
-    def advance(position: Column, step: Column) -> Column:
-        reached = F.get(cuts, position + step - 1) <= sequence
-        return F.when(reached, position + step).otherwise(position)
-
-    return F.when(cuts.isNull(), F.lit(0)).otherwise(F.aggregate(F.array(*steps), F.lit(0), advance))
-
-
 def order_by_key(
     rows: DataFrame,
     keys: Sequence[str],
@@ -165,7 +150,7 @@ def order_by_key(
     held = null_safe_join(rows, side, keys, "inner")
     if collapse is not None:
         held = collapse(held)
-    sliced = held.withColumn(SLICE, slice_number(F.col(order[0]), F.col(CUTS))).drop(CUTS)
+    sliced = with_rank(held, SLICE, F.col(order[0]), F.col(CUTS), MAX_SLICES).drop(CUTS)
     # read several times below: once per summary of its slices, and for the result
     sliced = materialise(sliced, "hot-rows")
     return [(others, plain), (sliced, KeyOrder(tuple(keys), tuple(order), sliced=True))]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.columns import orderable_columns
+from millrace.functions.columns import orderable_columns, with_rank
 from millrace.specs import Target
 
 ZORDER_BITS = 8
@@ -39,28 +39,19 @@ def _as_number(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("double")
 
 
-def rank_columns(df: DataFrame, columns: Sequence[str], bits: int = ZORDER_BITS) -> list[Column]:
-    """Per column the quantile bucket (0 .. 2^bits - 1) its value falls in.
+def ranked(df: DataFrame, columns: Sequence[str], bits: int = ZORDER_BITS) -> DataFrame:
+    """Add ``__z0``, ``__z1``, ...: the quantile bucket (0 .. 2^bits - 1) each column's value is in.
 
     Runs one job over the columns for the cut points, 2^bits - 1 numbers each.
     """
-    steps = 1 << bits
-    fractions = F.array(*[F.lit(i / steps) for i in range(1, steps)])
+    places = 1 << bits
+    fractions = F.array(*[F.lit(i / places) for i in range(1, places)])
     numbers = [_as_number(df, c) for c in columns]
     cuts = df.agg(*[F.percentile_approx(n, fractions, F.lit(1000)) for n in numbers]).first()
-    places = F.array(*[F.lit(1 << b) for b in reversed(range(bits))])
-
-    def rank(number: Column, found: list[float] | None) -> Column:
-        if not found:
-            return F.lit(0)
-        bounds = F.array(*[F.lit(float(v)) for v in found])
-
-        def advance(at: Column, step: Column) -> Column:
-            return F.when(F.get(bounds, at + step - 1) <= number, at + step).otherwise(at)
-
-        return F.when(number.isNull(), F.lit(0)).otherwise(F.aggregate(places, F.lit(0), advance))
-
-    return [rank(n, cut) for n, cut in zip(numbers, cuts)]
+    for i, (number, found) in enumerate(zip(numbers, cuts)):
+        bounds = F.array(*[F.lit(float(v)) for v in found or ()]).cast("array<double>")
+        df = with_rank(df, f"__z{i}", number, bounds, places)
+    return df
 
 
 def interleave(ranks: Sequence[Column], bits: int = ZORDER_BITS) -> Column:
@@ -79,8 +70,8 @@ def zordered(df: DataFrame, columns: Sequence[str], bits: int = ZORDER_BITS) ->
     """
     if len(columns) * bits > 62:
         bits = 62 // len(columns)
-    ranked = df.withColumns({f"__z{i}": r for i, r in enumerate(rank_columns(df, columns, bits))})
-    coded = ranked.withColumn("__z", interleave([F.col(f"__z{i}") for i in range(len(columns))], bits))
+    ranks = [F.col(f"__z{i}") for i in range(len(columns))]
+    coded = ranked(df, columns, bits).withColumn("__z", interleave(ranks, bits))
     return (
         coded.repartitionByRange("__z", _row_hash(df))
         .sortWithinPartitions("__z")
