@@ -12,6 +12,7 @@ from dataclasses import dataclass, field
 from graphlib import TopologicalSorter
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from millrace.functions.schemas import resolve_schema
 from millrace.operators import quality
@@ -26,6 +27,7 @@ from millrace.streaming.snapshots import SnapshotStore
 from millrace.streaming.store import DEFAULT_BUCKETS
 from millrace.streaming.targets import (
     AppendTable,
+    batch_writer,
     deregister,
     overwrite_table,
     register_path,
@@ -185,7 +187,8 @@ class Runner:
                 table.register()
         return run
 
-    def _run_stream(self, flow: Flow, run: FlowRun) -> None:
+    def _handler(self, flow: Flow, run: FlowRun):
+        """``handle(batch, batch_id)`` for the flow's main source."""
         if flow.cdc:
             store = open_store(
                 self.spark, flow.target.path, flow.cdc, self.input(flow).schema, self.buckets
@@ -202,12 +205,28 @@ class Runner:
         def handle(batch, batch_id):
             self._write(flow, run, batch, batch_id, put)
 
+        return handle
+
+    def _run_stream(self, flow: Flow, run: FlowRun) -> None:
+        handle = self._handler(flow, run)
         checkpoint = self._checkpoint(flow)
         if flow.cdc and flow.cdc.once:
             run.batches["main"] = run_once(self.spark, lambda: self.input(flow), handle, checkpoint)
         else:
             run.batches["main"] = run_available(self.input(flow), handle, checkpoint)
 
+    def start(self, flow: Flow | str, interval: str = "1 minute") -> StreamingQuery:
+        """Keep the flow's main source running, a batch per interval, with the progress that
+        ``run`` uses too; stop it before the next ``run``. For feeds and append flows, not for
+        snapshots or one-off flows.
+        """
+        flow = self.flows[flow] if isinstance(flow, str) else flow
+        if flow.snapshot or (flow.cdc and flow.cdc.once):
+            raise SpecError(f"Flow {flow.id} reads whole snapshots or runs once; use run")
+        handle = self._handler(flow, FlowRun(flow.id))
+        writer = batch_writer(self.input(flow), handle, self._checkpoint(flow), flow.id)
+        return writer.trigger(processingTime=interval).start()
+
     def _run_snapshots(self, flow: Flow, run: FlowRun) -> None:
         """Snapshots from the callback if there is one, else the source's content now."""
         store = SnapshotStore(self.spark, flow.target.path, flow.snapshot)

@@ -170,12 +170,10 @@ class Scd2Store(VersionedStore):
         self, pointer: dict, part: str, folder: str, schema: T.StructType, buckets=None, prefix: str = ""
     ) -> DataFrame:
         held = pointer["parts"].get(part, {"by_version": {}})["by_version"]
-        paths = [
-            f"v={v}/{prefix}{BUCKET}={b}"
-            for v, bs in held.items()
-            for b in bs
-            if buckets is None or b in set(buckets)
-        ]
+        if buckets is None:
+            paths = [f"v={v}/{prefix}".rstrip("/") for v in held]
+        else:
+            paths = [f"v={v}/{prefix}{BUCKET}={b}" for v, bs in held.items() for b in bs if b in set(buckets)]
         ddl = f"{PART} string, {BUCKET} int" if prefix else f"{BUCKET} int"
         return self.read(folder, schema, paths, ddl).drop(PART)
 

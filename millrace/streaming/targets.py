@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamWriter
 
 from millrace.operators.layout import writer
 from millrace.operators.transforms import select_exprs, where_all
@@ -192,6 +193,14 @@ def write_sink(df: DataFrame, sink: Sink, batch_id, secrets: Secrets | None = No
 # driving ------------------------------------------------------------------------------------
 
 
+def batch_writer(
+    stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, name: str | None = None
+) -> DataStreamWriter:
+    """The stream's batches go to ``handle(batch, batch_id)``; the trigger is still open."""
+    out = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    return out.queryName(name) if name else out
+
+
 def run_available(
     stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, name: str | None = None
 ) -> int:
@@ -206,9 +215,7 @@ def run_available(
         handle(batch, batch_id)
         count += 1
 
-    out = stream.writeStream.foreachBatch(counted).option("checkpointLocation", checkpoint)
-    out = out.queryName(name) if name else out
-    out.trigger(availableNow=True).start().awaitTermination()
+    batch_writer(stream, counted, checkpoint, name).trigger(availableNow=True).start().awaitTermination()
     return count
 
 

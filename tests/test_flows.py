@@ -237,3 +237,21 @@ def test_snapshot_of_a_flow_and_publish(spark, tmp_path, incoming):
     streamed = Flow("bad", Source("flow", {"flow": "bronze"}), Target(str(tmp_path / "bad")))
     with pytest.raises(SpecError, match="rewrites rows"):
         runner.run(streamed)
+
+
+def test_a_started_flow_takes_files_as_they_come(spark, tmp_path, incoming):
+    flow = Flow("live", source(incoming), Target(str(tmp_path / "t")),
+                cdc=Cdc(["id"], "at", 2, apply_as_deletes="op = 'D'", except_column_list=["op"]))
+    runner = Runner(spark, str(tmp_path / "progress"), [flow], buckets=2)
+    incoming.add((1, "I", 1, "a"))
+    query = runner.start(flow, "1 second")
+    try:
+        query.processAllAvailable()
+        incoming.add((1, "U", 2, "b"))
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    incoming.add((1, "D", 3, None))
+    runner.run(flow)
+    got = sorted((r.x, r["__START_AT"], r["__END_AT"]) for r in runner.table(flow).collect())
+    assert got == [("a", 1, 2), ("b", 2, 3)]
