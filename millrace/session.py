@@ -29,10 +29,10 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only where the cluster names none (unit tests on one machine) a local one is made.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
         folder = tempfile.mkdtemp(prefix="millrace-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,10 @@ OPTION_PREFIX = "cloudFiles."
 FORMAT_OPTION = "cloudFiles.format"
 INFER_OPTION = "cloudFiles.inferColumnTypes"
 RESCUE_OPTION = "cloudFiles.rescuedDataColumn"
+# Entries of a file-metadata request.
+SELECT_ENTRY = "select_metadata_cols"
+INCLUDE_ENTRY = "include_autoloader_metadata_column"
+NAME_ENTRY = "autoloader_metadata_col_name"
 # Fixed value: the name a kept file-metadata struct takes when none is given.
 DEFAULT_METADATA_NAME = "source_metadata"
 
@@ -70,12 +75,12 @@ def file_scan(
 def add_file_metadata(df: DataFrame, request: Mapping) -> DataFrame:
     """Columns from the file metadata.
 
-    ``select_metadata_cols`` maps new columns to fields such as ``_metadata.file_name``. With
-    ``include_autoloader_metadata_column`` true the whole struct stays, renamed to
-    ``autoloader_metadata_col_name``; else it does not appear.
+    ``SELECT_ENTRY`` maps new columns to fields such as ``_metadata.file_name``. With
+    ``INCLUDE_ENTRY`` true the whole struct stays, renamed to ``NAME_ENTRY``; else it does not
+    appear.
     """
-    chosen = dict(request.get("select_metadata_cols") or {})
-    include = str(request.get("include_autoloader_metadata_column", "false")).lower() == "true"
+    chosen = dict(request.get(SELECT_ENTRY) or {})
+    include = str(request.get(INCLUDE_ENTRY, "false")).lower() == "true"
     if "_metadata" in df.columns:
         df = df.select(*[c for c in df.columns if c != "_metadata"], "_metadata")
     else:
@@ -83,9 +88,7 @@ def add_file_metadata(df: DataFrame, request: Mapping) -> DataFrame:
     df = df.withColumns({name: F.col(field) for name, field in chosen.items()})
     if not include:
         return df.drop("_metadata")
-    return df.withColumnRenamed(
-        "_metadata", request.get("autoloader_metadata_col_name", DEFAULT_METADATA_NAME)
-    )
+    return df.withColumnRenamed("_metadata", request.get(NAME_ENTRY, DEFAULT_METADATA_NAME))
 
 
 def _text_options(options: Mapping[str, str]) -> dict[str, str]:
@@ -130,10 +133,17 @@ def rescue_json(
         lambda name, text: text.isNotNull() & (~F.array_contains(known, name) | F.array_contains(lost, name)),
     )
     whole = F.to_json(F.struct(F.col("value").alias("_line")))
+    # a row is clean if as many fields fit as were given; only other rows are looked at by field
+    given = F.size(F.map_filter("__m", lambda _, text: text.isNotNull()))
+    fitting = reduce(
+        lambda a, b: a + b,
+        [F.when(F.col("__p")[f.name].isNotNull(), 1).otherwise(0) for f in schema.fields],
+        F.lit(0),
+    )
     column = (
-        F.when(F.col("__m").isNull() & (F.trim("value") != ""), whole)
+        F.when(F.col("__m").isNull(), whole)
+        .when(given == fitting, F.lit(None).cast("string"))
         .when(F.size(rescued) > 0, F.to_json(rescued))
-        .otherwise(F.lit(None).cast("string"))
     )
     return parsed.where(F.trim("value") != "").select(
         *[F.col("__p")[f.name].alias(f.name) for f in schema.fields], column.alias(rescue), *extra
