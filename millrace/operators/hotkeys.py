@@ -24,6 +24,8 @@ from millrace.session import materialise
 
 SLICE = "__slice"
 CUTS = "__cuts"
+# A number that stands for a hot key: never NULL, so joins and windows share one partitioning.
+HOT = "__hot"
 
 # A key above about this many rows is cut; one task sorts this many rows of a few hundred bytes well.
 HOT_KEY_ROWS = 2_000_000
@@ -39,7 +41,7 @@ BROADCAST_CUTS = 1_000_000
 
 @dataclass(frozen=True)
 class KeyOrder:
-    """How rows are grouped and ordered: by key, or by key and slice where hot keys exist."""
+    """How rows are grouped and ordered: by their key columns, or by hot key and slice."""
 
     keys: tuple[str, ...]
     order: tuple[str, ...]
@@ -47,7 +49,7 @@ class KeyOrder:
 
     @property
     def group(self) -> list[str]:
-        return [*self.keys, SLICE] if self.sliced else list(self.keys)
+        return [HOT, SLICE] if self.sliced else list(self.keys)
 
     def window(self) -> WindowSpec:
         return W.partitionBy(*self.group).orderBy(*self.order)
@@ -69,9 +71,9 @@ class KeyOrder:
         join, and slices are not worked out again.
         """
         per_slice = rows.groupBy(*self.group).agg(*[c.alias(name) for name, c in summaries.items()])
-        along = W.partitionBy(*self.keys).orderBy(SLICE)
+        along = W.partitionBy(HOT).orderBy(SLICE)
         carry = per_slice.select(*self.group, *[f(along).alias(name) for name, f in rolled.items()])
-        return null_safe_join(rows, materialise(carry, "slices"), self.group, "left")
+        return rows.join(materialise(carry, "slices"), self.group, "left")
 
 
 def large_keys(rows: DataFrame, keys: Sequence[str], threshold: int) -> DataFrame | None:
@@ -122,7 +124,8 @@ def find_hot_keys(rows: DataFrame, keys: Sequence[str], sequence: str, threshold
     )
     cuts = ranked.select(*keys, F.array_distinct(F.array_compact(picked)).alias(CUTS))
     # a key of few distinct values may have no sample: it stays hot, without cuts
-    return materialise(null_safe_join(hot.select(*keys), cuts, keys, "left"), "hot-cuts")
+    numbered = null_safe_join(hot.select(*keys), cuts, keys, "left")
+    return materialise(numbered.withColumn(HOT, F.monotonically_increasing_id()), "hot-cuts")
 
 
 def order_by_key(
@@ -146,11 +149,12 @@ def order_by_key(
     size = hot.agg(F.count(F.lit(1)).alias("keys"), F.sum(F.size(CUTS)).alias("cuts")).first()
     small = size["keys"] <= BROADCAST_KEYS and (size["cuts"] or 0) <= BROADCAST_CUTS
     side = F.broadcast(hot) if small else hot
-    others = null_safe_join(rows, side.drop(CUTS), keys, "left_anti")
+    others = null_safe_join(rows, side.select(*keys), keys, "left_anti")
     held = null_safe_join(rows, side, keys, "inner")
-    if collapse is not None:
-        held = collapse(held)
+    # ranked right behind the join, so that no row carries the cuts into a shuffle
     sliced = with_rank(held, SLICE, F.col(order[0]), F.col(CUTS), MAX_SLICES).drop(CUTS)
+    if collapse is not None:
+        sliced = collapse(sliced)
     # read several times below: once per summary of its slices, and for the result
     sliced = materialise(sliced, "hot-rows")
     return [(others, plain), (sliced, KeyOrder(tuple(keys), tuple(order), sliced=True))]
