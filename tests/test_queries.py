@@ -5,7 +5,8 @@ import os
 import pytest
 
 import compare
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from millrace.queries import ORACLES, QUERIES
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
@@ -16,14 +17,14 @@ def con():
     return compare.connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    problem, _ = compare.outcome(queries()[name](spark, SF), con, oracle_sql()[name])
+    problem, _ = compare.outcome(QUERIES[name](spark, SF), con, ORACLES[name])
     assert problem is None
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):
