@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from millrace.llm import decontaminate
+from millrace.llm import decontaminate, records
 
 QUERIES = {
+    "op1_token_records": records.op1_token_records,
     "op9_decontaminate": decontaminate.op9_decontaminate,
 }
 
