@@ -51,6 +51,6 @@ def publish(folder: str, name: str, attempt: int, write: Callable) -> None:
     files, root = filesystem(folder)
     files.create_dir(root, recursive=True)
     temporary = f"{root}/_{name}.{attempt}"
-    with files.open_output_stream(temporary) as out:
+    with files.open_output_stream(temporary, compression=None) as out:
         write(out)
     files.move(temporary, f"{root}/{name}")

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from millrace.llm import decontaminate, records
+from millrace.llm import decontaminate, records, warc
 
 QUERIES = {
+    "op4_warc": warc.op4_warc,
     "op1_token_records": records.op1_token_records,
     "op9_decontaminate": decontaminate.op9_decontaminate,
 }
 
 ORACLES = {
+    "op4_warc": warc.OP4_SQL,
     "op9_decontaminate": decontaminate.OP9_SQL,
 }

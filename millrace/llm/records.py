@@ -261,7 +261,7 @@ def read_records(spark: SparkSession, folder: str, shards: list[tuple[int, int,
             for number in batch.column(0).to_pylist():
                 shard, start = starts[number]
                 rows = []
-                with files.open_input_stream(f"{root}/{shard_name(shard)}.rec") as source:
+                with files.open_input_stream(f"{root}/{shard_name(shard)}.rec", compression=None) as source:
                     for position, (doc_id, ids) in enumerate(read_stream(source)):
                         rows.append((doc_id, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), shard, position))
                         start += len(ids)
