@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from millrace.llm import decontaminate, records, warc
+from millrace.llm import decontaminate, quality, records, warc
 
 QUERIES = {
+    "op5_quality": quality.op5_quality,
     "op4_warc": warc.op4_warc,
     "op1_token_records": records.op1_token_records,
     "op9_decontaminate": decontaminate.op9_decontaminate,
