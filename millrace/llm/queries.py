@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from millrace.llm import decontaminate, quality, records, warc
+from millrace.llm import decontaminate, quality, records, simhash, warc
 
 QUERIES = {
+    "op2_simhash": simhash.op2_simhash,
     "op5_quality": quality.op5_quality,
     "op4_warc": warc.op4_warc,
     "op1_token_records": records.op1_token_records,
