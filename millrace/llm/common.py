@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -54,3 +56,11 @@ def publish(folder: str, name: str, attempt: int, write: Callable) -> None:
     with files.open_output_stream(temporary, compression=None) as out:
         write(out)
     files.move(temporary, f"{root}/{name}")
+
+
+def per_worker(key, make: Callable):
+    """What ``make()`` gives, made once and kept in this Python worker from task to task."""
+    kept = vars(sys.modules.setdefault("millrace_worker", types.ModuleType("millrace_worker"))).setdefault("kept", {})
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]

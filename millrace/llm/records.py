@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import filesystem, map_batches, publish, table
+from millrace.llm.common import filesystem, map_batches, per_worker, publish, table
 from millrace.session import scratch_path
 
 MASK_ADD = 0xA282EAD8
@@ -136,7 +136,7 @@ class WordEncoder:
     LATIN_END = "\u0250"  # up to here letters are the same in every version of Unicode
     NOT_SPACES = "\x1c\x1d\x1e\x1f"  # split() takes these for white space, the tokenizer does not
 
-    def __init__(self, path: str, end_id: int, keep: int = 400_000):
+    def __init__(self, path: str, end_id: int, keep: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -224,7 +224,7 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2,
         first = next(batches, None)
         if first is None:
             return
-        encoder = WordEncoder(tokenizer, end_id)
+        encoder = per_worker((tokenizer, end_id), lambda: WordEncoder(tokenizer, end_id))
         index, counts = [], [0, 0, 0]  # documents, ids, bytes
 
         def records(out):
