@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from millrace.llm import decontaminate, quality, records, simhash, warc
+from millrace.llm import decontaminate, quality, records, simhash, toxicity, warc
 
 QUERIES = {
+    "op10_toxicity": toxicity.op10_toxicity,
     "op2_simhash": simhash.op2_simhash,
     "op5_quality": quality.op5_quality,
     "op4_warc": warc.op4_warc,
