@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from millrace.llm import decontaminate, neighbours, quality, records, simhash, toxicity, warc
+from millrace.llm import decontaminate, neighbours, pii, quality, records, simhash, toxicity, warc
 
 QUERIES = {
+    "op3_pii": pii.op3_pii,
     "op8_neighbours": neighbours.op8_neighbours,
     "op10_toxicity": toxicity.op10_toxicity,
     "op2_simhash": simhash.op2_simhash,
