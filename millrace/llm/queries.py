@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from millrace.llm import decontaminate, mixing, neighbours, pii, quality, records, simhash, toxicity, warc
+from millrace.llm import decontaminate, licenses, mixing, neighbours, pii, quality, records, simhash, toxicity, warc
 
 QUERIES = {
+    "op6_licenses": licenses.op6_licenses,
     "op7_mixing": mixing.op7_mixing,
     "op3_pii": pii.op3_pii,
     "op8_neighbours": neighbours.op8_neighbours,
