@@ -1,25 +1,52 @@
 """The corpus pipeline: stages over documents, each written as Parquet and read again.
 
-Every stage takes (spark, docs, sf_dir) and works on all that the one before kept.
+Every stage takes (spark, docs, sf_dir) and works on all that the one before kept. All but the last return the columns of
+documents; the last returns what is read back from the token records.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import decontaminate
+from millrace.llm import decontaminate, mixing, quality, records, simhash
 from millrace.llm.common import table
 from millrace.session import materialise
 
 
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    return quality.keep_good(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the smallest id stays."""
+    return simhash.keep_first(docs)
+
+
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold too much of the benchmark go; all others stay as they are."""
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents once per epoch that the budget of their leaf reaches."""
+    return mixing.mix_documents(docs)
+
+
+def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token records, written and read back."""
+    return records.token_records(docs)
+
+
 STAGES = [
+    ("quality", keep_good),
+    ("near_copies", drop_near_copies),
     ("decontaminate", drop_contaminated),
+    ("mix", mix_sources),
+    ("tokens", write_tokens),
 ]
 
+# hashes of shingles, trained weights and token ids are beyond SQL; the tests hold each stage against a plain version
 ORACLE_SQL = None
 
 
