@@ -6,6 +6,7 @@ is written first and quarantine and sinks after it, all from one read of the bat
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Iterable, Mapping, Sequence
 from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
@@ -250,26 +251,34 @@ class Runner:
         for extra in flow.append_flows:
             if extra.create_target and not table.exists():
                 table.create(resolve_schema(self.spark, flow.target.schema))
-            before = {k: self.spark.conf.get(k, None) for k in extra.conf}
-            for key, value in extra.conf.items():
-                self.spark.conf.set(key, value)
-            try:
+            reader = self._with_conf(extra.conf)
+
+            def handle(batch, batch_id, name=extra.name):
+                table.write_batch(batch, batch_id, name)
 
-                def handle(batch, batch_id, name=extra.name):
-                    table.write_batch(batch, batch_id, name)
-
-                checkpoint = self._checkpoint(flow, extra.name)
-                if extra.once:
-                    count = run_once(self.spark, lambda: self.read(extra.source), handle, checkpoint)
-                else:
-                    count = run_available(self.read(extra.source), handle, checkpoint)
-                run.batches[extra.name] = count
-            finally:
-                for key, value in before.items():
-                    if value is None:
-                        self.spark.conf.unset(key)
-                    else:
-                        self.spark.conf.set(key, value)
+            def stream(source=extra.source, reader=reader):
+                return reader.read(source)
+
+            checkpoint = self._checkpoint(flow, extra.name)
+            if extra.once:
+                count = run_once(self.spark, stream, handle, checkpoint)
+            else:
+                count = run_available(stream(), handle, checkpoint)
+            run.batches[extra.name] = count
+
+    def _with_conf(self, conf: Mapping[str, str]) -> Runner:
+        """This runner with a session of its own that has some settings more; other flows do not see them."""
+        if not conf:
+            return self
+        session = self.spark.newSession()
+        for key, value in self.spark.conf.getAll.items():
+            if self.spark.conf.isModifiable(key):
+                session.conf.set(key, value)
+        for key, value in conf.items():
+            session.conf.set(key, value)
+        other = copy.copy(self)
+        other.spark = session
+        return other
 
     # groups -------------------------------------------------------------------------------
 
@@ -293,6 +302,13 @@ class Runner:
             if (f.group == group if group is not None else not ids or f.id in ids)
         }
         order = TopologicalSorter({i: self._upstream(f) & set(chosen) for i, f in chosen.items()})
+        # one writer per table: flows into one path take turns, those that others wait for first
+        writers: dict[str, str] = {}
+        for flow_id in TopologicalSorter({i: self._upstream(f) & set(chosen) for i, f in chosen.items()}).static_order():
+            path = chosen[flow_id].target.path.rstrip("/")
+            if path in writers:
+                order.add(flow_id, writers[path])
+            writers[path] = flow_id
         order.prepare()
         runs: dict[str, FlowRun] = {}
 

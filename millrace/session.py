@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -18,6 +19,7 @@ def build_session(app: str = "millrace", **conf: str) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.scheduler.mode", "FAIR")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
@@ -27,10 +29,13 @@ def build_session(app: str = "millrace", **conf: str) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (unit tests on one machine) a local one is made.
+    Where it is not set, a master that runs all on this machine gets a folder here; any other is refused, as
+    executors elsewhere would not see it.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="millrace-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")

@@ -53,6 +53,15 @@ def _at_most_one(owner: str, **options: Any) -> None:
         raise SpecError(f"{owner}: give only one of {given}")
 
 
+def _known(owner: str, wanted, columns: Sequence[str]) -> set[str]:
+    """The names of a list as a set; a name that is no column is an error, not an empty wish."""
+    names = set(clean_columns(wanted))
+    unknown = sorted(names - set(columns))
+    if unknown:
+        raise SpecError(f"{owner}: columns {unknown} are not in {sorted(columns)}")
+    return names
+
+
 @dataclass
 class Cdc:
     """Change feed settings: how rows of a feed become an SCD table.
@@ -117,9 +126,9 @@ class Cdc:
     def target_columns(self, columns: Sequence[str]) -> list[str]:
         """Feed columns that reach the target, in feed order."""
         if self.column_list:
-            keep = set(clean_columns(self.column_list)) | set(self.keys)
+            keep = _known("Cdc", self.column_list, columns) | set(self.keys)
             return [c for c in columns if c in keep]
-        drop = set(clean_columns(self.except_column_list)) - set(self.keys)
+        drop = _known("Cdc", self.except_column_list, columns) - set(self.keys)
         return [c for c in columns if c not in drop]
 
     def sequence_columns(self, columns: Sequence[str]) -> list[str]:
@@ -141,17 +150,17 @@ class Cdc:
                 raise SpecError(f"Cdc: tracked columns {sorted(unknown)} are not in the target")
             return [c for c in target if c in wanted and c not in self.keys]
         skip = set(self.keys) | set(self.sequence_columns(columns))
-        skip |= set(clean_columns(self.track_history_except_column_list))
+        skip |= _known("Cdc", self.track_history_except_column_list, columns)
         return [c for c in target if c not in skip]
 
     def null_ignoring_columns(self, columns: Sequence[str]) -> list[str]:
         """Target columns in which a NULL update keeps the older value."""
         others = [c for c in self.target_columns(columns) if c not in self.keys]
         if self.ignore_null_updates_column_list:
-            wanted = set(clean_columns(self.ignore_null_updates_column_list))
+            wanted = _known("Cdc", self.ignore_null_updates_column_list, columns)
             return [c for c in others if c in wanted]
         if self.ignore_null_updates_except_column_list:
-            skip = set(clean_columns(self.ignore_null_updates_except_column_list))
+            skip = _known("Cdc", self.ignore_null_updates_except_column_list, columns)
             return [c for c in others if c not in skip]
         return others if self.ignore_null_updates else []
 
@@ -183,9 +192,9 @@ class SnapshotCdc:
     def tracked_columns(self, columns: Sequence[str]) -> list[str]:
         others = [c for c in columns if c not in self.keys]
         if self.track_history_column_list:
-            wanted = set(clean_columns(self.track_history_column_list))
+            wanted = _known("SnapshotCdc", self.track_history_column_list, columns)
             return [c for c in others if c in wanted]
-        skip = set(clean_columns(self.track_history_except_column_list))
+        skip = _known("SnapshotCdc", self.track_history_except_column_list, columns)
         return [c for c in others if c not in skip]
 
 

@@ -26,7 +26,7 @@ from millrace.operators import cdc as ops
 from millrace.operators.hotkeys import HOT_KEY_ROWS
 from millrace.session import empty_frame
 from millrace.specs import Cdc
-from millrace.streaming.store import BUCKET, DEFAULT_BUCKETS, VersionedStore, bucket_of
+from millrace.streaming.store import BUCKET, DEFAULT_BUCKETS, VersionedStore, bucket_of, check_columns
 
 
 def _touched(df: DataFrame) -> list[int]:
@@ -41,6 +41,7 @@ class Scd1Store(VersionedStore):
         self, spark: SparkSession, root: str, cdc: Cdc, schema: T.StructType, buckets: int = DEFAULT_BUCKETS
     ):
         super().__init__(spark, root, buckets)
+        check_columns(schema.names)
         self.cdc = cdc
         self.schema = schema
         empty = ops.prepare(empty_frame(spark, schema), cdc)
@@ -50,13 +51,13 @@ class Scd1Store(VersionedStore):
     def _state(self, pointer: dict, buckets: Sequence[int] | None = None) -> DataFrame:
         held = pointer["parts"].get("state", {"by_bucket": {}})["by_bucket"]
         paths = [
-            f"v={v}/{BUCKET}={b}" for b, v in held.items() if buckets is None or int(b) in set(buckets)
+            f"__v={v}/{BUCKET}={b}" for b, v in held.items() if buckets is None or int(b) in set(buckets)
         ]
         return self.read("state", self.state_schema, paths, f"{BUCKET} int")
 
     def _bound(self, pointer: dict) -> DataFrame:
         held = pointer["parts"].get("bound", {"by_version": {}})["by_version"]
-        paths = [f"{self.root}/bound/v={v}" for v in held]
+        paths = [f"{self.root}/bound/__v={v}" for v in held]
         if not paths:
             return empty_frame(self.spark, self.bound_schema)
         return self.spark.read.schema(self.bound_schema).parquet(*paths)
@@ -85,7 +86,7 @@ class Scd1Store(VersionedStore):
             if self.cdc.apply_as_truncates:
                 bounds = self._bound(pointer).unionByName(ops.truncate_bound(rows))
                 newest = bounds.agg(F.max("bound").alias("bound"))
-                newest.write.mode("overwrite").parquet(f"{self.root}/bound/v={version}")
+                newest.write.mode("overwrite").parquet(f"{self.root}/bound/__v={version}")
                 following["parts"]["bound"] = {"by_version": {str(version): []}}
         finally:
             partial.unpersist()
@@ -135,6 +136,7 @@ class Scd2Store(VersionedStore):
         split_rows: int | None = HOT_KEY_ROWS,
     ):
         super().__init__(spark, root, buckets)
+        check_columns(schema.names)
         self.cdc = cdc
         self.schema = schema
         self.columns = schema.names
@@ -160,7 +162,7 @@ class Scd2Store(VersionedStore):
     def _open(self, pointer: dict, buckets: Sequence[int] | None = None) -> DataFrame:
         held = pointer["parts"].get("open", {"by_bucket": {}})["by_bucket"]
         paths = [
-            f"v={v}/{PART}=open/{BUCKET}={b}"
+            f"__v={v}/{PART}=open/{BUCKET}={b}"
             for b, v in held.items()
             if buckets is None or int(b) in set(buckets)
         ]
@@ -171,9 +173,9 @@ class Scd2Store(VersionedStore):
     ) -> DataFrame:
         held = pointer["parts"].get(part, {"by_version": {}})["by_version"]
         if buckets is None:
-            paths = [f"v={v}/{prefix}".rstrip("/") for v in held]
+            paths = [f"__v={v}/{prefix}".rstrip("/") for v in held]
         else:
-            paths = [f"v={v}/{prefix}{BUCKET}={b}" for v, bs in held.items() for b in bs if b in set(buckets)]
+            paths = [f"__v={v}/{prefix}{BUCKET}={b}" for v, bs in held.items() for b in bs if b in set(buckets)]
         ddl = f"{PART} string, {BUCKET} int" if prefix else f"{BUCKET} int"
         return self.read(folder, schema, paths, ddl).drop(PART)
 
@@ -272,7 +274,7 @@ class Scd2Store(VersionedStore):
             held = following["parts"].setdefault("open", {"by_bucket": {}})["by_bucket"]
             held.update({str(b): version for b in touched})
             self._note(following, "log", version, touched)
-            closed = [r[BUCKET] for r in self.written(version, [PART, BUCKET], "spans") if r[PART] == "closed"]
+            closed = [int(r[BUCKET]) for r in self.written(version, [PART, BUCKET], "spans") if r[PART] == "closed"]
             self._note(following, "closed", version, closed)
         finally:
             known.unpersist()
@@ -320,7 +322,7 @@ class Scd2Store(VersionedStore):
         self.write(self._log(pointer, log_buckets), version, [BUCKET], "log")
         for part in ("closed", "log", "retract"):
             following["parts"].pop(part, None)
-        closed = [r[BUCKET] for r in self.written(version, [PART, BUCKET], "spans")]
+        closed = [int(r[BUCKET]) for r in self.written(version, [PART, BUCKET], "spans")]
         self._note(following, "closed", version, closed)
         self._note(following, "log", version, log_buckets)
         self.commit(following)

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators import snapshot as ops
-from millrace.operators.cdc import END_AT, START_AT
+from millrace.operators.cdc import END_AT
 from millrace.session import empty_frame
 from millrace.specs import SnapshotCdc
-from millrace.streaming.store import VersionedStore
+from millrace.streaming.store import VersionedStore, check_columns
 
 PART = "__part"
 
@@ -33,7 +33,7 @@ class SnapshotStore(VersionedStore):
         if not held:
             return None
         schema = T.StructType.fromJson(pointer["schema"])
-        paths = [f"v={v}/{PART}={part}" for v in held]
+        paths = [f"__v={v}/{PART}={part}" for v in held]
         return self.read("rows", schema, paths, f"{PART} string").drop("__v", PART)
 
     def apply(self, version, snapshot: DataFrame) -> bool:
@@ -43,6 +43,7 @@ class SnapshotStore(VersionedStore):
         latest = pointer.get("snapshot")
         if latest is not None and version <= latest:
             return False
+        check_columns(snapshot.columns)
         following = self.advance(pointer)
         following["snapshot"] = version
         if self.cdc.scd_type == 1:
@@ -79,5 +80,3 @@ class SnapshotStore(VersionedStore):
             return empty_frame(self.spark, T.StructType.fromJson(pointer["schema"]))
         return found[0] if len(found) == 1 else found[0].unionByName(found[1])
 
-
-__all__ = ["SnapshotStore", "START_AT", "END_AT"]

@@ -20,6 +20,30 @@ from millrace.session import empty_frame, write_text
 
 DEFAULT_BUCKETS = 64
 BUCKET = "__bucket"
+VERSION = "__v"
+
+
+class Batch(int):
+    """A batch number that knows its series, the id of the checkpoint that counts. A checkpoint that was lost or
+    renamed starts a new series, whose numbers say nothing about those of the old one."""
+
+    series: str
+
+    def __new__(cls, number: int, series: str = "") -> Batch:
+        batch = super().__new__(cls, number)
+        batch.series = series
+        return batch
+
+
+def series_of(batch_id) -> str:
+    return getattr(batch_id, "series", "")
+
+
+def check_columns(names: Sequence[str]) -> None:
+    """Columns that begin with two underscores are the store's own."""
+    own = [c for c in names if c.startswith("__") and c not in ("__START_AT", "__END_AT")]
+    if own:
+        raise ValueError(f"columns {own} cannot be stored: names beginning with __ are taken")
 
 
 def bucket_of(keys: Sequence[str], buckets: int) -> Column:
@@ -32,6 +56,23 @@ def remove_path(spark: SparkSession, path: str) -> None:
     hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
+def folders_below(spark: SparkSession, root: str, depth: int) -> list[list[str]]:
+    """Names of the nested partition folders below a folder, outermost first."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return []
+    found = [([], path)]
+    for _ in range(depth):
+        found = [
+            ([*names, status.getPath().getName()], status.getPath())
+            for names, at in found
+            for status in files.listStatus(at)
+            if status.isDirectory() and "=" in status.getPath().getName()
+        ]
+    return [names for names, _ in found]
+
+
 class VersionedStore:
     def __init__(self, spark: SparkSession, root: str, buckets: int = DEFAULT_BUCKETS):
         self.spark = spark
@@ -61,14 +102,15 @@ class VersionedStore:
         write_text(self.spark, json.dumps(pointer), slot)
 
     def done(self, pointer: dict, flow: str, batch_id: int) -> bool:
-        return pointer["flows"].get(flow, -1) >= batch_id
+        series, last = pointer["flows"].get(flow, ("", -1))
+        return series == series_of(batch_id) and last >= batch_id
 
     def advance(self, pointer: dict, flow: str | None = None, batch_id: int | None = None) -> dict:
         """The pointer's next version, as a copy."""
         following = json.loads(json.dumps(pointer))
         following["version"] += 1
         if flow is not None:
-            following["flows"][flow] = batch_id
+            following["flows"][flow] = [series_of(batch_id), int(batch_id)]
         return following
 
     # parts --------------------------------------------------------------------------------
@@ -79,33 +121,27 @@ class VersionedStore:
         one that is too large for a task is split.
         """
         spread = df.hint("rebalance", *[F.col(p) for p in partitions])
-        spread.write.mode("overwrite").partitionBy(*partitions).parquet(f"{self.root}/{folder}/v={version}")
+        spread.write.mode("overwrite").partitionBy(*partitions).parquet(f"{self.root}/{folder}/{VERSION}={version}")
 
     def written(self, version: int, partitions: Sequence[str], folder: str) -> list[dict]:
-        """The partitions a version folder got, for writes where that is not known beforehand."""
-        try:
-            found = self.spark.read.parquet(f"{self.root}/{folder}/v={version}").select(*partitions)
-        except AnalysisException as error:
-            if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
-                raise
-            return []
-        return [row.asDict() for row in found.distinct().collect()]
+        """The partitions a version folder got, from the names of its folders."""
+        found = []
+        for path in folders_below(self.spark, f"{self.root}/{folder}/{VERSION}={version}", len(partitions)):
+            found.append(dict(name.split("=", 1) for name in path))
+        return found
 
     def read(
         self, folder: str, schema: T.StructType, paths: Sequence[str], partitions: str
     ) -> DataFrame:
-        """The given folders below ``folder`` (such as ``v=3/__bucket=1``), with their version
+        """The given folders below ``folder`` (such as ``__v=3/__bucket=1``), with their version
         as ``__v`` and the partition columns given as DDL."""
         full = T.StructType([*schema.fields, *T.StructType.fromDDL(partitions).fields])
         if not paths:
-            return empty_frame(self.spark, full.add("__v", T.IntegerType()))
+            return empty_frame(self.spark, full.add(VERSION, T.IntegerType()))
         base = f"{self.root}/{folder}"
-        df = (
-            self.spark.read.option("basePath", base)
-            .schema(T.StructType([*full.fields, T.StructField("v", T.IntegerType())]))
-            .parquet(*[f"{base}/{p}" for p in paths])
-        )
-        return df.withColumnRenamed("v", "__v")
+        reader = self.spark.read.option("basePath", base)
+        whole = T.StructType([*full.fields, T.StructField(VERSION, T.IntegerType())])
+        return reader.schema(whole).parquet(*[f"{base}/{p}" for p in paths])
 
     def vacuum(self, folders: Sequence[str]) -> list[str]:
         """Delete version folders that the current pointer does not name; returns them.
@@ -122,7 +158,8 @@ class VersionedStore:
                 continue
             for status in fs.listStatus(path):
                 name = status.getPath().getName()
-                if name.startswith("v=") and int(name[2:]) not in used | {pointer["version"] + 1}:
+                mark, _, number = name.partition("=")
+                if mark == VERSION and int(number) not in used | {pointer["version"] + 1}:
                     remove_path(self.spark, status.getPath().toString())
                     gone.append(f"{folder}/{name}")
         return gone

@@ -15,7 +15,9 @@ from millrace.operators.layout import writer
 from millrace.operators.transforms import select_exprs, where_all
 from millrace.session import empty_frame, write_text
 from millrace.sources.messages import Secrets, message_payload, message_sink_options
+from millrace.functions.schemas import resolve_schema
 from millrace.specs import Sink, Target
+from millrace.streaming.store import Batch, check_columns, series_of
 
 FLOW = "__flow"
 BATCH = "__batch"
@@ -25,6 +27,19 @@ def _path_missing(error: AnalysisException) -> bool:
     return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
+def batch_folder(batch_id) -> str:
+    """The folder name of a batch: its number, after its checkpoint's id if that is known."""
+    series = series_of(batch_id)
+    return f"{series}-{int(batch_id)}" if series else str(batch_id)
+
+
+def refuse_other_types(schema: T.StructType, have: dict[str, T.DataType], where: str) -> None:
+    for found in schema.fields:
+        kind = have.get(found.name)
+        if kind is not None and kind.jsonValue() != found.dataType.jsonValue() and kind.simpleString() != found.dataType.simpleString():
+            raise ValueError(f"{found.name} is {kind.simpleString()} in {where}, not {found.dataType.simpleString()}")
+
+
 class AppendTable:
     """A parquet table that several flows append to.
 
@@ -36,6 +51,7 @@ class AppendTable:
         self.spark = spark
         self.target = target
         self.root = target.path.rstrip("/")
+        self.declared = resolve_schema(spark, target.schema)
         self._fields: list[T.StructField] = []
 
     def create(self, schema: T.StructType) -> None:
@@ -60,8 +76,9 @@ class AppendTable:
         self.spark.catalog.recoverPartitions(self.target.name)
 
     def write_batch(self, df: DataFrame, batch_id, flow: str = "main") -> bool:
+        check_columns(df.columns)
         self._remember(df.schema)
-        path = f"{self.root}/{FLOW}={flow}/{BATCH}={batch_id}"
+        path = f"{self.root}/{FLOW}={flow}/{BATCH}={batch_folder(batch_id)}"
         writer(df, self.target).mode("overwrite").save(path)
         return True
 
@@ -82,7 +99,12 @@ class AppendTable:
         return list(found.values())
 
     def _remember(self, schema: T.StructType) -> None:
-        """Note columns that are new to the table; most batches add none."""
+        """Note columns that are new to the table; most batches add none. A column whose type differs from the
+        table's is refused before anything is written, as the table could not be read afterwards."""
+        if not self._fields:
+            self._fields = self._stored()
+        have = {f.name: f.dataType for f in [*self._fields, *(self.declared.fields if self.declared else [])]}
+        refuse_other_types(schema, have, self.root)
         new = {f.name for f in schema.fields} - {f.name for f in self._fields}
         if new:
             self._fields = self._stored()
@@ -95,8 +117,7 @@ class AppendTable:
 
     def schema(self) -> T.StructType:
         """The table's own columns."""
-        declared = self.target.schema
-        fields = declared.fields if isinstance(declared, T.StructType) else self._stored()
+        fields = self.declared.fields if self.declared else self._stored()
         if not fields:
             raise ValueError(f"nothing was written to {self.root} yet")
         return T.StructType(fields)
@@ -182,12 +203,29 @@ def write_sink(df: DataFrame, sink: Sink, batch_id, secrets: Secrets | None = No
     if not name:
         AppendTable(df.sparkSession, Target(sink.option("path"))).write_batch(rows, batch_id, sink.name)
         return
-    tagged = rows.withColumns({FLOW: F.lit(sink.name), BATCH: F.lit(str(batch_id))})
-    if not df.sparkSession.catalog.tableExists(name):
-        place = {"path": sink.option("path")} if sink.option("path") else {}
-        empty = tagged.limit(0).write.partitionBy(FLOW, BATCH).format("parquet")
-        empty.options(**place).saveAsTable(name)
-    tagged.write.option("partitionOverwriteMode", "dynamic").insertInto(name, overwrite=True)
+    write_named(rows, name, sink.option("path"), sink.name, batch_id)
+
+
+def write_named(rows: DataFrame, name: str, path: str | None, flow: str, batch_id) -> None:
+    """Put a batch into its own partition of a named table; columns go by name.
+
+    The batch's folder is written first and then made known, so other batches' folders are not touched.
+    """
+    spark = rows.sparkSession
+    check_columns(rows.columns)
+    if not spark.catalog.tableExists(name):
+        place = {"path": path} if path else {}
+        empty = rows.limit(0).withColumns({FLOW: F.lit(""), BATCH: F.lit("")})
+        empty.write.partitionBy(FLOW, BATCH).format("parquet").options(**place).saveAsTable(name)
+    have = {f.name: f.dataType for f in spark.table(name).schema.fields if f.name not in (FLOW, BATCH)}
+    if set(rows.columns) - set(have):
+        raise ValueError(f"columns {sorted(set(rows.columns) - set(have))} are not in {name}")
+    refuse_other_types(rows.schema, have, name)
+    folder = batch_folder(batch_id)
+    place = f"{table_location(spark, name).rstrip('/')}/{FLOW}={flow}/{BATCH}={folder}"
+    rows.select(*[F.col(f"`{c}`") for c in have if c in rows.columns]).write.mode("overwrite").parquet(place)
+    spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({FLOW} = '{flow}', {BATCH} = '{folder}') LOCATION '{place}'")
+    spark.catalog.refreshTable(name)
 
 
 # driving ------------------------------------------------------------------------------------
@@ -196,11 +234,27 @@ def write_sink(df: DataFrame, sink: Sink, batch_id, secrets: Secrets | None = No
 def batch_writer(
     stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, name: str | None = None
 ) -> DataStreamWriter:
-    """The stream's batches go to ``handle(batch, batch_id)``; the trigger is still open."""
-    out = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    """The stream's batches go to ``handle(batch, batch_id)``; the trigger is still open. Batch numbers carry the
+    checkpoint's id (``Batch.series``): another checkpoint's batches are not taken for these.
+    """
+    series = ""
+
+    def numbered(batch: DataFrame, batch_id: int) -> None:
+        nonlocal series
+        if not series:
+            series = checkpoint_id(batch.sparkSession, checkpoint)
+        handle(batch, Batch(batch_id, series))
+
+    out = stream.writeStream.foreachBatch(numbered).option("checkpointLocation", checkpoint)
     return out.queryName(name) if name else out
 
 
+def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a stream's checkpoint was given when it was made."""
+    text = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()["value"]
+    return json.loads(text)["id"]
+
+
 def run_available(
     stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, name: str | None = None
 ) -> int:
