@@ -67,13 +67,13 @@ def budgets(leaves: DataFrame, levels: list[str], weights: dict, total: float, e
         weight = F.greatest(weight_of(level, levels, weights, default), F.lit(0.0))
         nodes = nodes.withColumn("weight", F.when(F.col("room") > 0, weight).otherwise(0.0))
         # children with the least room per weight are full as long as the level of what is left reaches their room
-        order = Window.partitionBy(*parents).orderBy(F.when(F.col("weight") > 0, F.col("room") / F.col("weight")).otherwise(float("inf")), *path)
+        order = Window.partitionBy(*parents).orderBy(F.when(F.col("weight") > 0, F.try_divide("room", "weight")).otherwise(float("inf")), *path)
         before = order.rowsBetween(Window.unboundedPreceding, -1)
         after = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
         nodes = nodes.withColumn("left", F.col("given") - F.coalesce(F.sum("room").over(before), F.lit(0.0)))
-        nodes = nodes.withColumn("rate", F.col("left") / F.sum("weight").over(after))
+        nodes = nodes.withColumn("rate", F.try_divide("left", F.sum("weight").over(after)))
         full = (F.col("weight") > 0) & (F.col("room") <= F.col("rate") * F.col("weight"))
-        level_rate = F.min(F.when(~full & (F.col("weight") > 0), F.struct(F.col("room") / F.col("weight"), *path, "rate"))).over(Window.partitionBy(*parents))["rate"]
+        level_rate = F.min(F.when(~full & (F.col("weight") > 0), F.struct(F.try_divide("room", "weight"), *path, "rate"))).over(Window.partitionBy(*parents))["rate"]
         share = F.when(F.col("weight") <= 0, 0.0).when(full, F.col("room")).otherwise(F.least("room", F.col("weight") * level_rate))
         nodes = nodes.select(*path, F.greatest(share, F.lit(0.0)).alias("budget"))
         same = reduce(lambda a, b: a & b, [F.col(f"l.{c}").eqNullSafe(F.col(f"n.{c}")) for c in path])
