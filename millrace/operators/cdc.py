@@ -104,10 +104,22 @@ def _greatest(rows: DataFrame, fields: Sequence[str]) -> Column:
 # --- SCD type 1 ---------------------------------------------------------------------------
 
 
+def scd1_winners(rows: DataFrame, cdc: Cdc, columns: Sequence[str]) -> DataFrame:
+    """Of events with equal key and sequence the one that counts: the greatest in (is a delete, target columns).
+
+    Merges like ``scd1_partial``: winners of winners are winners. Needed where nulls are ignored, as a value of an
+    event that lost its tie must not be kept, and which event loses may show in a later batch only.
+    """
+    events = rows.where(~F.col(TRUNC))
+    values = [c for c in held_columns(columns, cdc) if c not in cdc.keys]
+    best = events.groupBy(*cdc.keys, SEQ).agg(_greatest(rows, [DEL, *values]).alias("__w"))
+    return best.select(*cdc.keys, SEQ, "__w.*").withColumn(TRUNC, F.lit(False))
+
+
 def scd1_partial(rows: DataFrame, cdc: Cdc, columns: Sequence[str]) -> DataFrame:
     """One row per key: the latest event and, where nulls are ignored, the latest non-NULL value
-    per column with its sequence, and the latest delete. Rows must come from ``prepare``;
-    ``columns`` are the feed's.
+    per column with its sequence, and the latest delete. Rows must come from ``prepare``, and where nulls are
+    ignored from ``scd1_winners``; ``columns`` are the feed's.
     """
     events = rows.where(~F.col(TRUNC))
     values = [c for c in held_columns(columns, cdc) if c not in cdc.keys]
@@ -168,9 +180,11 @@ def scd1_finish(state: DataFrame, cdc: Cdc, columns: Sequence[str], bound: Colum
 
 
 def scd1(feed: DataFrame, cdc: Cdc) -> DataFrame:
-    """The current state per key: C1-C3 and C8-C15 in one aggregation."""
+    """The current state per key: C1-C3 and C8-C15 in one aggregation, two where nulls are ignored."""
     rows = prepare(feed, cdc)
     bound = truncate_bound(rows).scalar() if cdc.apply_as_truncates else None
+    if cdc.ignores_nulls():
+        rows = scd1_winners(rows, cdc, feed.columns)
     return scd1_finish(scd1_partial(rows, cdc, feed.columns), cdc, feed.columns, bound)
 
 

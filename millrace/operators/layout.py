@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 from millrace.functions.columns import orderable_columns, with_rank
 from millrace.specs import Target
 
-ZORDER_BITS = 8
+CODE_BITS = 62
+MOST_CUT_BITS = 12  # cut points are literals of the plan
 
 
 def _row_hash(df: DataFrame) -> Column:
@@ -27,34 +28,45 @@ def clustered(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.repartitionByRange(*columns, _row_hash(df)).sortWithinPartitions(*columns)
 
 
-def _as_number(df: DataFrame, name: str) -> Column:
-    """A number in the order of the column: numbers, dates and timestamps by value, text by its
-    first seven bytes."""
+def _as_number(df: DataFrame, name: str) -> Column | None:
+    """A number in the order of the column, for numbers, dates and timestamps."""
     kind = df.schema[name].dataType
-    if isinstance(kind, T.StringType):
-        head = F.rpad(F.hex(F.substring(F.col(name).cast("binary"), 1, 7)), 14, "0")
-        return F.conv(head, 16, 10).cast("double")
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return F.unix_micros(F.col(name).cast("timestamp")).cast("double")
-    return F.col(name).cast("double")
+    return F.col(name).cast("double") if isinstance(kind, (T.NumericType, T.BooleanType)) else None
 
 
-def ranked(df: DataFrame, columns: Sequence[str], bits: int = ZORDER_BITS) -> DataFrame:
+def _cuts_of_values(df: DataFrame, name: str, places: int) -> list:
+    """At most ``places`` - 1 values that part the column's rows into about equal ranges: the first value of each range
+    partition but the first."""
+    column = df.select(F.col(name).alias("c")).where("c IS NOT NULL")
+    first = column.repartitionByRange(places, "c").groupBy(F.spark_partition_id().alias("p")).agg(F.min("c").alias("c"))
+    return sorted(row.c for row in first.collect())[1:]
+
+
+def ranked(df: DataFrame, columns: Sequence[str], bits: int) -> DataFrame:
     """Add ``__z0``, ``__z1``, ...: the quantile bucket (0 .. 2^bits - 1) each column's value is in.
 
-    Runs one job over the columns for the cut points, 2^bits - 1 numbers each.
+    Runs one job over the numeric columns for the cut points, and one for each other column, which is compared by
+    its whole values; 2^bits - 1 cuts each at most.
     """
     places = 1 << bits
     fractions = F.array(*[F.lit(i / places) for i in range(1, places)])
-    numbers = [_as_number(df, c) for c in columns]
-    cuts = df.agg(*[F.percentile_approx(n, fractions, F.lit(1000)) for n in numbers]).first()
-    for i, (number, found) in enumerate(zip(numbers, cuts)):
-        bounds = F.array(*[F.lit(float(v)) for v in found or ()]).cast("array<double>")
-        df = with_rank(df, f"__z{i}", number, bounds, places)
+    numbers = {c: n for c in columns if (n := _as_number(df, c)) is not None}
+    found = df.agg(*[F.percentile_approx(n, fractions, F.lit(max(1000, 4 * places))) for n in numbers.values()]).first() if numbers else ()
+    cuts = dict(zip(numbers, found))
+    for i, c in enumerate(columns):
+        if c in numbers:
+            bounds = F.array(*[F.lit(float(v)) for v in cuts[c] or ()]).cast("array<double>")
+            df = with_rank(df, f"__z{i}", numbers[c], bounds, places)
+        else:
+            kind = df.schema[c].dataType.simpleString()
+            bounds = F.array(*[F.lit(v) for v in _cuts_of_values(df, c, places)]).cast(f"array<{kind}>")
+            df = with_rank(df, f"__z{i}", F.col(c), bounds, places)
     return df
 
 
-def interleave(ranks: Sequence[Column], bits: int = ZORDER_BITS) -> Column:
+def interleave(ranks: Sequence[Column], bits: int) -> Column:
     """The bits of the ranks, highest first and in turns, as one number."""
     code = F.lit(0).cast("long")
     for bit in reversed(range(bits)):
@@ -64,12 +76,22 @@ def interleave(ranks: Sequence[Column], bits: int = ZORDER_BITS) -> Column:
     return code
 
 
-def zordered(df: DataFrame, columns: Sequence[str], bits: int = ZORDER_BITS) -> DataFrame:
+def zorder_bits(columns: int, files: int) -> int:
+    """Bits per column: enough that each column alone could part the rows into four times as many ranges as there are
+    files, as far as the bits of all columns fit into one number."""
+    if columns > CODE_BITS:
+        raise ValueError(f"z-order takes at most {CODE_BITS} columns, not {columns}")
+    return min(CODE_BITS // columns, MOST_CUT_BITS, max(4, (max(files, 1) - 1).bit_length() + 2))
+
+
+def zordered(df: DataFrame, columns: Sequence[str], bits: int | None = None) -> DataFrame:
     """Range partitions along the interleaved bits of the columns, so that each file covers a
     narrow range of all of them.
     """
-    if len(columns) * bits > 62:
-        bits = 62 // len(columns)
+    if bits is None:
+        bits = zorder_bits(len(columns), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    if len(columns) * bits > CODE_BITS:
+        raise ValueError(f"{len(columns)} columns of {bits} bits do not fit into {CODE_BITS} bits")
     ranks = [F.col(f"__z{i}") for i in range(len(columns))]
     coded = ranked(df, columns, bits).withColumn("__z", interleave(ranks, bits))
     return (

@@ -100,7 +100,8 @@ def step_scd2(open_rows: DataFrame, snapshot: DataFrame, version, cdc: SnapshotC
 
 
 def snapshot_scd2(table: DataFrame, snapshot: DataFrame, version, cdc: SnapshotCdc) -> DataFrame:
-    """The SCD2 table after one more snapshot; closed rows pass through."""
+    """The SCD2 table after one more snapshot; closed rows pass through. The table is read twice, so write it out between
+    snapshots, or take several at once with ``snapshots_scd2``."""
     closed = table.where(F.col(END_AT).isNotNull())
     stepped = step_scd2(table.where(F.col(END_AT).isNull()), snapshot, version, cdc)
     return closed.unionByName(stepped)

@@ -17,14 +17,17 @@ def latest_per_key(
     """The row with the highest version per key.
 
     Versions compare as they are; text versions compare as text, so ``v9`` beats ``v10``. With
-    ``numeric`` their digits compare as a number. An aggregate, not a window: it combines before
+    ``numeric`` their runs of digits compare as numbers, one after the other, so ``v1.10`` beats ``v1.9``;
+    numbers may be of any length. An aggregate, not a window: it combines before
     the shuffle, so a key with very many versions costs no more than others. Equal versions are
     told apart by the remaining columns.
     """
     others = [c for c in df.columns if c not in keys and c != version]
     rank = F.col(version)
     if numeric:
-        rank = F.regexp_extract(rank.cast("string"), r"(\d+)", 1).try_cast("decimal(38,0)")
+        runs = F.regexp_extract_all(rank.cast("string"), F.lit("0*([0-9]+)"), F.lit(1))
+        # of two numbers without leading zeros the longer is greater
+        rank = F.transform(runs, lambda digits: F.struct(F.length(digits).alias("n"), digits.alias("d")))
     ties = orderable_columns(df, [version, *others])
     order = F.struct(rank.alias("__rank"), *ties) if numeric else F.struct(*ties)
     row = F.struct(version, *others)

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.columns import null_safe_join, orderable_columns
-from millrace.operators.hotkeys import large_keys
 
 
 def select_exprs(df: DataFrame, expressions: Sequence[str] | None) -> DataFrame:
@@ -80,25 +79,21 @@ def rows_to_json_array(
     df: DataFrame,
     keys: Sequence[str],
     order_by: Sequence[str],
-    max_rows: int = 100_000,
+    parts: int = 1,
     output: str = "rows_json",
 ) -> DataFrame:
     """The rows of each key as one JSON array text, ordered by ``order_by``.
 
-    One array is one cell, so a key with more than about ``max_rows`` rows is spread by row hash
-    over as many numbered parts as it needs; every row lands in exactly one part. All other keys
-    have part 0 only. Looks for such keys first, which runs one small job.
+    One array is one cell. Where keys have more rows than fit, name the number of parts: every key's rows are
+    spread over them by row hash, whatever their number, so the result depends on the data alone. Parts without rows are
+    left out; equal rows share a part.
     """
     keys, order_by = list(keys), list(order_by)
+    if parts < 1:
+        raise ValueError("parts must be at least 1")
     rest = [c for c in df.columns if c not in keys and c not in order_by]
-    large = large_keys(df, keys, max_rows)
-    if large is None:
-        parted = df.withColumn("part", F.lit(0).cast("long"))
-    else:
-        parts = F.ceil(F.col("__n") / max_rows).cast("long")
-        hashed = F.xxhash64(*[F.col(c) for c in orderable_columns(df, df.columns)])
-        part = F.coalesce(F.pmod(hashed, parts), F.lit(0).cast("long"))
-        parted = null_safe_join(df, large, keys, "left").withColumn("part", part).drop("__n")
+    hashed = F.xxhash64(*[F.col(c) for c in orderable_columns(df, df.columns)])
+    parted = df.withColumn("part", F.pmod(hashed, F.lit(parts)).cast("long") if parts > 1 else F.lit(0).cast("long"))
     array = F.sort_array(F.collect_list(F.struct(*order_by, *rest)))
     return parted.groupBy(*keys, "part").agg(F.to_json(array).alias(output))
 

@@ -56,11 +56,7 @@ def snap_scd1(spark, sf):
 
 @query("snap_scd2", history_sql())
 def snap_scd2(spark, sf):
-    (first, start), *rest = series(spark, sf)
-    history = ops.first_scd2(start, first, BOTH)
-    for version, df in rest:
-        history = ops.snapshot_scd2(history, df, version, BOTH)
-    return history
+    return ops.snapshots_scd2(series(spark, sf), BOTH)
 
 
 @query("snap_scd2_store", history_sql())

@@ -2,7 +2,8 @@
 
 SCD1 stores the partial aggregate of each key (tombstones included) in hash buckets; a batch is
 reduced to one row per key and merged into the buckets it touches. Merging commutes, so late and
-repeated events need no special care.
+repeated events need no special care. Where nulls are ignored it stores one row per key and sequence,
+as a later event may win a tie against one whose values are kept.
 
 SCD2 stores the last event of each key (*open*, one row per key, rewritten per touched bucket),
 closed versions (append only) and the event log (append only). A batch whose events of a key are
@@ -45,7 +46,9 @@ class Scd1Store(VersionedStore):
         self.cdc = cdc
         self.schema = schema
         empty = ops.prepare(empty_frame(spark, schema), cdc)
-        self.state_schema = ops.scd1_partial(empty, cdc, schema.names).schema
+        # where nulls are ignored, the event of each sequence that counts is kept, else one row per key
+        self.reduce = ops.scd1_winners if cdc.ignores_nulls() else ops.scd1_partial
+        self.state_schema = self.reduce(empty, cdc, schema.names).schema
         self.bound_schema = ops.truncate_bound(empty).schema
 
     def _state(self, pointer: dict, buckets: Sequence[int] | None = None) -> DataFrame:
@@ -70,7 +73,7 @@ class Scd1Store(VersionedStore):
         following = self.advance(pointer, flow, batch_id)
         version = following["version"]
         rows = ops.prepare(batch, self.cdc)
-        partial = ops.scd1_partial(rows, self.cdc, self.schema.names)
+        partial = self.reduce(rows, self.cdc, self.schema.names)
         partial = partial.withColumn(BUCKET, bucket_of(self.cdc.keys, self.buckets))
         partial = partial.persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -78,7 +81,7 @@ class Scd1Store(VersionedStore):
             if touched:
                 old = self._state(pointer, touched).drop("__v")
                 both = partial.unionByName(old).drop(BUCKET)
-                merged = ops.scd1_merge(both, self.cdc)
+                merged = self._merge(both)
                 merged = merged.withColumn(BUCKET, bucket_of(self.cdc.keys, self.buckets))
                 self.write(merged, version, [BUCKET], "state")
                 state = following["parts"].setdefault("state", {"by_bucket": {}})
@@ -98,7 +101,15 @@ class Scd1Store(VersionedStore):
         bound = None
         if self.cdc.apply_as_truncates and "bound" in pointer["parts"]:
             bound = self._bound(pointer).agg(F.max("bound").alias("bound")).scalar()
-        return ops.scd1_finish(self._state(pointer), self.cdc, self.schema.names, bound)
+        return ops.scd1_finish(self._per_key(self._state(pointer)), self.cdc, self.schema.names, bound)
+
+    def _merge(self, states: DataFrame) -> DataFrame:
+        if self.cdc.ignores_nulls():
+            return ops.scd1_winners(states, self.cdc, self.schema.names)
+        return ops.scd1_merge(states, self.cdc)
+
+    def _per_key(self, state: DataFrame) -> DataFrame:
+        return ops.scd1_partial(state, self.cdc, self.schema.names) if self.cdc.ignores_nulls() else state
 
     def expire_tombstones(self, horizon_sql: str) -> None:
         """Forget deleted keys whose last sequence satisfies the predicate on ``seq``.
@@ -110,8 +121,9 @@ class Scd1Store(VersionedStore):
         following = self.advance(pointer)
         old = self._state(pointer).drop("__v")
         gone = F.col(ops.LAST)[ops.DEL] & F.col("__expired")
-        marked = old.withColumn("seq", F.col(ops.LAST)[ops.SEQ]).withColumn("__expired", F.expr(horizon_sql))
-        kept = marked.where(~F.coalesce(gone, F.lit(False))).drop("seq", "__expired")
+        marked = self._per_key(old).withColumn("seq", F.col(ops.LAST)[ops.SEQ]).withColumn("__expired", F.expr(horizon_sql))
+        expired = marked.where(F.coalesce(gone, F.lit(False))).select(*self.cdc.keys)
+        kept = null_safe_join(old, expired, self.cdc.keys, "left_anti")
         self.write(kept, following["version"], [BUCKET], "state")
         written = self.written(following["version"], [BUCKET], "state")
         following["parts"]["state"] = {

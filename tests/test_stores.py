@@ -66,7 +66,7 @@ def test_scd2_batch_that_dies_leaves_no_trace(spark, tmp_path, monkeypatch):
 
 @pytest.mark.parametrize("nulls", [False, True])
 def test_scd1_store_with_truncate(spark, tmp_path, nulls):
-    feed = random_feed(37, rows=240, ties=False)
+    feed = random_feed(37, rows=240, ties=True)
     middle = sorted(r["seq"] for r in feed)[120]
     feed = [dict(r, op="T") if r["seq"] == middle else r for r in feed]
     cdc = Cdc(["k"], "seq", 1, apply_as_deletes="op = 'D'", apply_as_truncates="op = 'T'", ignore_null_updates=nulls)

@@ -17,10 +17,14 @@ def test_latest_with_a_map_column(spark):
 
 
 def test_group_wins_over_ids(spark):
-    df = spark.createDataFrame([("A1", "101"), ("A1", "102"), ("B1", "103")], "g string, id string")
-    assert tables.select_group(df, "g", "id", group="A1", ids=["103"]).count() == 2
-    assert tables.select_group(df, "g", "id", ids=["103"]).count() == 1
-    assert tables.select_group(df, "g", "id", ids=["101", "103"]).count() == 2
+    df = spark.createDataFrame([("north", 4), ("north", 8), ("north", 9), ("south", 15), (None, 16)], "g string, id int")
+
+    def chosen(**by):
+        return sorted(r.id for r in tables.select_group(df, "g", "id", **by).collect())
+
+    assert chosen(group="north", ids=[15]) == [4, 8, 9]
+    assert chosen(ids=[15, 16, 99]) == [15, 16]
+    assert chosen(group="west", ids=[4]) == [] and chosen() == chosen(ids=[]) == [4, 8, 9, 15, 16]
 
 
 def test_upsert(spark):
@@ -39,20 +43,44 @@ def test_required_columns(spark):
         tables.require_columns(df, ["x"]).count()
 
 
-def test_json_arrays_are_whole_in_any_number_of_parts(spark):
-    df = spark.range(1000).selectExpr("id % 2 AS k", "id AS x")
-    # key 2 is small and stays in one part
-    df = df.union(spark.createDataFrame([(2, 5000)], "k long, x long"))
-    out = transforms.rows_to_json_array(df, ["k"], ["x"], max_rows=100)
-    parts = {r.k: r["count"] for r in out.groupBy("k").count().collect()}
-    assert parts[0] == 5 and parts[1] == 5 and parts[2] == 1
-    back = out.select("k", F.explode(F.from_json("rows_json", "array<struct<x:long>>")).alias("r"))
-    assert sorted(map(tuple, back.select("k", "r.x").collect())) == sorted(map(tuple, df.collect()))
+def test_json_arrays_depend_on_the_rows_alone(spark):
+    df = spark.range(3000).selectExpr("id % 2 AS k", "id AS x").union(spark.createDataFrame([(2, 5000)], "k long, x long"))
+    for parts in (1, 4):
+        made = [sorted(map(tuple, transforms.rows_to_json_array(df.repartition(n), ["k"], ["x"], parts).collect())) for n in (3, 8, 31)]
+        assert made[0] == made[1] == made[2] and len(made[0]) == 2 * parts + 1
+        out = spark.createDataFrame(made[0], "k long, part long, rows_json string")
+        back = out.select("k", F.explode(F.from_json("rows_json", "array<struct<x:long>>")).alias("r"))
+        assert sorted(map(tuple, back.select("k", "r.x").collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_numeric_versions_compare_run_by_run(spark):
+    for low, high in (("v1.9", "v1.10"), ("v9", "v10"), ("1.2", "1.2.1"), ("r007", "r8"), ("9" * 45, "1" + "0" * 45), ("none", "v0")):
+        df = spark.createDataFrame([(1, low), (1, high)], "k int, v string")
+        assert tables.latest_per_key(df, ["k"], "v", numeric=True).first().v == high
+
+
+def test_zorder_by_text_narrows_every_file(spark, tmp_path):
+    df = spark.range(4000).selectExpr("concat('Customer#', lpad(cast(id * 7919 % 4000 AS string), 9, '0')) AS name", "cast(cast(id AS string) AS binary) AS raw", "id")
+    path = str(tmp_path / "z")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        layout.writer(df, Target(path, zorder_by=["name"])).save(path)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    spans = spark.read.parquet(path).groupBy(F.input_file_name()).agg(F.min("name").alias("low"), F.max("name").alias("high")).collect()
+    assert len(spans) >= 4
+    assert all(int(r.high[9:]) - int(r.low[9:]) < 2000 for r in spans)
+    assert layout.zordered(df, ["raw", "id"]).count() == 4000
+    with pytest.raises(ValueError):
+        layout.zorder_bits(63, 8)
+    with pytest.raises(ValueError):
+        layout.zordered(df, ["name", "id"], bits=40)
 
 
 def test_partition_lists_are_cleaned():
-    assert clean_columns(["col1", "", "", "col2", "", ""]) == ["col1", "col2"]
+    assert clean_columns(["", "year", " month ", "", "day"]) == ["year", "month", "day"]
     assert clean_columns("a, b,") == ["a", "b"]
+    assert clean_columns(", ,a") == ["a"]
     assert clean_columns([""]) == clean_columns("") == clean_columns(None) == []
 
 
