@@ -1,8 +1,9 @@
 """SCD tables kept batch by batch, equal to recomputing them from the whole feed.
 
 SCD1 stores the partial aggregate of each key (tombstones included) in hash buckets; a batch is
-reduced to one row per key and merged into the buckets it touches. Merging commutes, so late and
-repeated events need no special care. Where nulls are ignored it stores one row per key and sequence,
+reduced to one row per key and appended to the buckets it touches; readers merge. Merging commutes, so late and
+repeated events need no special care. A bucket is merged and written anew when what was appended to it
+reaches a share of its base, so what is written follows the batches. Where nulls are ignored it stores one row per key and sequence,
 as a later event may win a tie against one whose values are kept.
 
 SCD2 stores the last event of each key (*open*, one row per key, rewritten per touched bucket),
@@ -35,6 +36,10 @@ def _touched(df: DataFrame) -> list[int]:
     return sorted(r[BUCKET] for r in df.select(BUCKET).distinct().collect())
 
 
+#: A bucket of an SCD1 table is written anew when what was appended to it reaches this share of its base, or this often.
+APPENDED_SHARE, MOST_APPENDED = 0.5, 32
+
+
 class Scd1Store(VersionedStore):
     """An SCD1 table. ``schema`` is the feed's."""
 
@@ -51,12 +56,30 @@ class Scd1Store(VersionedStore):
         self.state_schema = self.reduce(empty, cdc, schema.names).schema
         self.bound_schema = ops.truncate_bound(empty).schema
 
+    # parts["state"]["by_bucket"]: bucket -> [[version, rows], ...], the base first, then what was appended to it
+
     def _state(self, pointer: dict, buckets: Sequence[int] | None = None) -> DataFrame:
+        """Rows of the buckets, of which several may be of one key."""
         held = pointer["parts"].get("state", {"by_bucket": {}})["by_bucket"]
         paths = [
-            f"__v={v}/{BUCKET}={b}" for b, v in held.items() if buckets is None or int(b) in set(buckets)
+            f"__v={v}/{BUCKET}={b}"
+            for b, versions in held.items()
+            for v, _ in versions
+            if buckets is None or int(b) in set(buckets)
         ]
-        return self.read("state", self.state_schema, paths, f"{BUCKET} int")
+        return self.read("state", self.state_schema, paths, f"{BUCKET} int").drop("__v")
+
+    def _due(self, versions: list, rows: int) -> bool:
+        """Whether a bucket is to be written anew: what was appended has reached a share of its base."""
+        if not versions:
+            return False
+        (_, base), *appended = versions
+        return len(appended) + 1 >= MOST_APPENDED or rows + sum(n for _, n in appended) >= APPENDED_SHARE * base
+
+    def _rows_of(self, version: int, buckets: Sequence[int]) -> dict[int, int]:
+        paths = [f"__v={version}/{BUCKET}={b}" for b in buckets]
+        rows = self.read("state", self.state_schema, paths, f"{BUCKET} int")
+        return {r[BUCKET]: r["count"] for r in rows.groupBy(BUCKET).count().collect()}
 
     def _bound(self, pointer: dict) -> DataFrame:
         held = pointer["parts"].get("bound", {"by_version": {}})["by_version"]
@@ -77,15 +100,19 @@ class Scd1Store(VersionedStore):
         partial = partial.withColumn(BUCKET, bucket_of(self.cdc.keys, self.buckets))
         partial = partial.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            touched = _touched(partial)
-            if touched:
-                old = self._state(pointer, touched).drop("__v")
-                both = partial.unionByName(old).drop(BUCKET)
-                merged = self._merge(both)
-                merged = merged.withColumn(BUCKET, bucket_of(self.cdc.keys, self.buckets))
-                self.write(merged, version, [BUCKET], "state")
-                state = following["parts"].setdefault("state", {"by_bucket": {}})
-                state["by_bucket"].update({str(b): version for b in touched})
+            counts = {r[BUCKET]: r["count"] for r in partial.groupBy(BUCKET).count().collect()}
+            if counts:
+                held = following["parts"].setdefault("state", {"by_bucket": {}})["by_bucket"]
+                due = [b for b, n in counts.items() if self._due(held.get(str(b), []), n)]
+                added = partial.where(~F.col(BUCKET).isin(due)) if due else partial
+                if due:
+                    both = partial.where(F.col(BUCKET).isin(due)).unionByName(self._state(pointer, due)).drop(BUCKET)
+                    merged = self._merge(both).withColumn(BUCKET, bucket_of(self.cdc.keys, self.buckets))
+                    added = added.unionByName(merged)
+                self.write(added, version, [BUCKET], "state")
+                anew = self._rows_of(version, due) if due else {}
+                for b, n in counts.items():
+                    held[str(b)] = [[version, anew[b]]] if b in anew else [*held.get(str(b), []), [version, n]]
             if self.cdc.apply_as_truncates:
                 bounds = self._bound(pointer).unionByName(ops.truncate_bound(rows))
                 newest = bounds.agg(F.max("bound").alias("bound"))
@@ -101,7 +128,13 @@ class Scd1Store(VersionedStore):
         bound = None
         if self.cdc.apply_as_truncates and "bound" in pointer["parts"]:
             bound = self._bound(pointer).agg(F.max("bound").alias("bound")).scalar()
-        return ops.scd1_finish(self._per_key(self._state(pointer)), self.cdc, self.schema.names, bound)
+        return ops.scd1_finish(self._per_key(self._whole(pointer)), self.cdc, self.schema.names, bound)
+
+    def _whole(self, pointer: dict) -> DataFrame:
+        """The state with one row per key (and sequence, where nulls are ignored): merged if a bucket has more than its base."""
+        state = self._state(pointer).drop(BUCKET)
+        held = pointer["parts"].get("state", {"by_bucket": {}})["by_bucket"]
+        return self._merge(state) if any(len(versions) > 1 for versions in held.values()) else state
 
     def _merge(self, states: DataFrame) -> DataFrame:
         if self.cdc.ignores_nulls():
@@ -119,16 +152,15 @@ class Scd1Store(VersionedStore):
         """
         pointer = self.pointer()
         following = self.advance(pointer)
-        old = self._state(pointer).drop("__v")
+        old = self._whole(pointer).withColumn(BUCKET, bucket_of(self.cdc.keys, self.buckets))
         gone = F.col(ops.LAST)[ops.DEL] & F.col("__expired")
         marked = self._per_key(old).withColumn("seq", F.col(ops.LAST)[ops.SEQ]).withColumn("__expired", F.expr(horizon_sql))
         expired = marked.where(F.coalesce(gone, F.lit(False))).select(*self.cdc.keys)
         kept = null_safe_join(old, expired, self.cdc.keys, "left_anti")
         self.write(kept, following["version"], [BUCKET], "state")
         written = self.written(following["version"], [BUCKET], "state")
-        following["parts"]["state"] = {
-            "by_bucket": {str(r[BUCKET]): following["version"] for r in written}
-        }
+        rows = self._rows_of(following["version"], [int(r[BUCKET]) for r in written])
+        following["parts"]["state"] = {"by_bucket": {str(b): [[following["version"], n]] for b, n in rows.items()}}
         self.commit(following)
 
 

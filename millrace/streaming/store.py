@@ -166,5 +166,7 @@ class VersionedStore:
 
     @staticmethod
     def versions_of(part: dict) -> set:
-        """Versions a part refers to: bucket -> version, or version -> buckets."""
-        return set(part["by_bucket"].values()) if "by_bucket" in part else set(part["by_version"])
+        """Versions a part refers to: bucket -> version or [[version, rows], ...], or version -> buckets."""
+        if "by_bucket" not in part:
+            return set(part["by_version"])
+        return {v for held in part["by_bucket"].values() for v in ([p[0] for p in held] if isinstance(held, list) else [held])}

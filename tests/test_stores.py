@@ -113,3 +113,25 @@ def test_snapshot_diff(spark):
     new = spark.createDataFrame([(2, "c"), (3, None), (4, "d")], "k long, a string")
     got = {r.k: r.change for r in snap.diff(old, new, SnapshotCdc(["k"])).collect()}
     assert got == {1: "D", 2: "U", 3: "N", 4: "I"}
+
+
+def test_scd1_writes_follow_the_batch(spark, tmp_path):
+    cdc = Cdc(["k"], "seq", 1)
+    many = spark.range(20_000).selectExpr("id AS k", "1L AS seq", "'x' AS a")
+    store = Scd1Store(spark, str(tmp_path / "t"), cdc, many.schema, buckets=8)
+    store.apply(many, 0)
+
+    def written(version):
+        return spark.read.parquet(f"{tmp_path}/t/state/__v={version}").count()
+
+    assert written(1) == 20_000
+    for i in range(1, 4):
+        store.apply(spark.range(300).selectExpr("id * 17 AS k", f"{i + 1}L AS seq", f"'y{i}' AS a"), i)
+        assert written(i + 1) == 300
+    got = {r.k: r.a for r in store.table().collect()}
+    assert len(got) == 20_000 and got[17] == "y3" and got[18] == "x"
+    store.apply(spark.range(10_000).selectExpr("id AS k", "9L AS seq", "'z' AS a"), 4)
+    assert written(5) == 20_000  # the appended rows reach half of the base: written anew
+    assert all(len(versions) == 1 for versions in store.pointer()["parts"]["state"]["by_bucket"].values())
+    assert len(store.vacuum(["state"])) == 4
+    assert {r.k: r.a for r in store.table().collect()} == {**got, **dict.fromkeys(range(10_000), "z")}
