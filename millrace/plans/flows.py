@@ -79,13 +79,14 @@ class Runner:
 
     # reading ------------------------------------------------------------------------------
 
-    def read(self, source: Source, streaming: bool = True) -> DataFrame:
+    def read(self, source: Source, streaming: bool = True, progress: str | None = None) -> DataFrame:
+        """A source's rows. An inferred schema is kept beside the progress, so that all runs read the same."""
         details, options = source.details, dict(source.options)
         kind = source.format
         if kind in ("files", "cloudFiles"):
             return file_scan(
                 self.spark, details["path"], options, source.schema, streaming,
-                details.get("format"), source.metadata,
+                details.get("format"), source.metadata, progress and f"{progress}-schema",
             )
         if "flow" in details:
             upstream = self.flows[details["flow"]]
@@ -113,7 +114,8 @@ class Runner:
 
     def input(self, flow: Flow, streaming: bool = True) -> DataFrame:
         """The flow's input view."""
-        return self.shape(self.read(flow.source, streaming), flow)
+        progress = None if flow.snapshot else self._checkpoint(flow)
+        return self.shape(self.read(flow.source, streaming, progress), flow)
 
     # targets ------------------------------------------------------------------------------
 
@@ -256,10 +258,11 @@ class Runner:
             def handle(batch, batch_id, name=extra.name):
                 table.write_batch(batch, batch_id, name)
 
-            def stream(source=extra.source, reader=reader):
-                return reader.read(source)
-
             checkpoint = self._checkpoint(flow, extra.name)
+
+            def stream(source=extra.source, reader=reader, checkpoint=checkpoint):
+                return reader.read(source, progress=checkpoint)
+
             if extra.once:
                 count = run_once(self.spark, stream, handle, checkpoint)
             else:

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import json
+from collections.abc import Callable, Mapping
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.schemas import resolve_schema
+from millrace.session import write_text
 
 # Reader options that describe the incremental file source itself.
 OPTION_PREFIX = "cloudFiles."
@@ -41,6 +44,20 @@ def infer_schema(spark: SparkSession, path: str, file_format: str, options: Mapp
     return reader.load(path).schema
 
 
+def pinned_schema(spark: SparkSession, place: str | None, find: Callable[[], T.StructType]) -> T.StructType:
+    """The schema kept at a place; the first time the one that is found, which is kept then."""
+    if place is None:
+        return find()
+    try:
+        return T.StructType.fromJson(json.loads(spark.read.text(place, wholetext=True).first()["value"]))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    schema = find()
+    write_text(spark, schema.json(), place)
+    return schema
+
+
 def file_scan(
     spark: SparkSession,
     path: str,
@@ -49,24 +66,28 @@ def file_scan(
     streaming: bool = True,
     file_format: str | None = None,
     metadata: Mapping | None = None,
+    pinned: str | None = None,
 ) -> DataFrame:
     """Files below a path; as a stream each file is read once (its checkpoint remembers).
 
-    Without a schema the files are looked at once. With a rescued-data column, JSON and CSV
+    Without a schema the files are looked at, and what is found is kept at ``pinned``, if that is given, so that later runs read
+    what the first one read. With a rescued-data column, JSON and CSV
     fields that the schema does not know or cannot hold are kept as JSON text in that column.
     """
     found, plain, rescue, infer = split_options(options or {}, file_format or "json")
     file_format = file_format or found
-    schema = resolve_schema(spark, schema, path) or infer_schema(spark, path, file_format, plain, infer)
+    schema = resolve_schema(spark, schema, path) or pinned_schema(
+        spark, pinned, lambda: infer_schema(spark, path, file_format, plain, infer)
+    )
     if rescue:
         schema = T.StructType([f for f in schema.fields if f.name != rescue])
     reader = spark.readStream if streaming else spark.read
     if rescue and file_format == "json":
         raw = reader.format("text").options(**_text_options(plain)).load(path)
-        df = rescue_json(raw, schema, rescue, metadata is not None)
+        df = rescue_json(raw, schema, rescue, metadata is not None, _parse_options(plain))
     elif rescue and file_format == "csv":
         raw = reader.format("csv").options(**plain, **_CSV_RAW).schema(_raw_csv_schema(schema)).load(path)
-        df = rescue_csv(raw, schema, rescue, metadata is not None)
+        df = rescue_csv(raw, schema, rescue, metadata is not None, _parse_options(plain))
     else:
         df = reader.format(file_format).options(**plain).schema(schema).load(path)
     return add_file_metadata(df, metadata) if metadata is not None else df
@@ -108,24 +129,59 @@ def _text_options(options: Mapping[str, str]) -> dict[str, str]:
     return {k: v for k, v in options.items() if k.lower() in general}
 
 
+def _parse_options(options: Mapping[str, str]) -> dict[str, str]:
+    """Options that say how a field's text is read, such as time formats."""
+    general = _text_options(options)
+    return {k: v for k, v in options.items() if k not in general}
+
+
+def _raw_map(text: Column) -> Column:
+    """The fields of a JSON object with their raw text."""
+    return F.from_json(text, T.MapType(T.StringType(), T.StringType()))
+
+
+def _damaged(text: Column, value: Column, kind: T.DataType) -> Column:
+    """Whether a nested value lost something of its raw text: a field that is unknown or does not fit, at any depth."""
+    if isinstance(kind, T.StructType):
+        known = F.array(*[F.lit(f.name) for f in kind.fields]).cast("array<string>")
+        unknown = F.exists(F.map_entries(_raw_map(text)), lambda e: e["value"].isNotNull() & ~F.array_contains(known, e["key"]))
+        lost = F.lit(False)
+        for f in kind.fields:
+            inner = F.try_element_at(_raw_map(text), F.lit(f.name))
+            part = value[f.name]
+            lost = lost | (inner.isNotNull() & (part.isNull() | _damaged(inner, part, f.dataType)))
+        return F.coalesce(unknown | lost, F.lit(False))
+    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, (T.StructType, T.ArrayType)):
+        texts = F.from_json(text, T.ArrayType(T.StringType()))
+        pairs = F.zip_with(texts, value, lambda t, v: t.isNotNull() & (v.isNull() | _damaged(t, v, kind.elementType)))
+        return F.coalesce(F.exists(pairs, lambda bad: bad), F.lit(False))
+    if isinstance(kind, T.ArrayType):
+        texts = F.from_json(text, T.ArrayType(T.StringType()))
+        return F.coalesce(F.exists(F.zip_with(texts, value, lambda t, v: t.isNotNull() & v.isNull()), lambda bad: bad), F.lit(False))
+    return F.lit(False)
+
+
 def rescue_json(
-    raw: DataFrame, schema: T.StructType, rescue: str, keep_metadata: bool = False
+    raw: DataFrame, schema: T.StructType, rescue: str, keep_metadata: bool = False, options: Mapping[str, str] | None = None
 ) -> DataFrame:
     """JSON lines in ``value`` to typed columns and a rescued column.
 
-    Rescued are fields the schema lacks and fields whose value does not fit their type, with
-    their raw text; a line that is no JSON object at all is rescued whole. NULL when clean.
+    Rescued are fields the schema lacks and fields whose value, or a part of it at any depth, does not fit their type, with
+    their raw text; a line that is no JSON object at all is rescued whole. NULL when clean. ``options`` are those of the
+    JSON reader.
     """
     extra = [F.col("_metadata")] if keep_metadata else []
     parsed = raw.select(
-        F.from_json("value", schema).alias("__p"),
-        F.from_json("value", T.MapType(T.StringType(), T.StringType())).alias("__m"),
+        F.from_json("value", schema, dict(options or {})).alias("__p"),
+        _raw_map(F.col("value")).alias("__m"),
         F.col("value"),
         *extra,
     )
     known = F.array(*[F.lit(f.name) for f in schema.fields]).cast("array<string>")
+    nested = [f for f in schema.fields if isinstance(f.dataType, (T.StructType, T.ArrayType))]
+    harmed = {f.name: _damaged(F.try_element_at("__m", F.lit(f.name)), F.col("__p")[f.name], f.dataType) for f in nested}
     lost = F.filter(
-        F.array(*[F.when(F.col("__p")[f.name].isNull(), F.lit(f.name)) for f in schema.fields]),
+        F.array(*[F.when(F.col("__p")[f.name].isNull() | harmed.get(f.name, F.lit(False)), F.lit(f.name)) for f in schema.fields]),
         lambda name: name.isNotNull(),
     )
     rescued = F.map_filter(
@@ -140,9 +196,10 @@ def rescue_json(
         [F.when(F.col("__p")[f.name].isNotNull(), 1).otherwise(0) for f in schema.fields],
         F.lit(0),
     )
+    sound = reduce(lambda a, b: a & ~b, harmed.values(), F.lit(True))
     column = (
         F.when(F.col("__m").isNull(), whole)
-        .when(given == fitting, F.lit(None).cast("string"))
+        .when((given == fitting) & sound, F.lit(None).cast("string"))
         .when(F.size(rescued) > 0, F.to_json(rescued))
     )
     return parsed.where(F.trim("value") != "").select(
@@ -162,16 +219,23 @@ def _raw_csv_schema(schema: T.StructType) -> T.StructType:
 
 
 def rescue_csv(
-    raw: DataFrame, schema: T.StructType, rescue: str, keep_metadata: bool = False
+    raw: DataFrame, schema: T.StructType, rescue: str, keep_metadata: bool = False, options: Mapping[str, str] | None = None
 ) -> DataFrame:
     """CSV fields read as text to typed columns and a rescued column.
 
     Rescued are fields whose text does not fit their type, and the whole line (as ``_line``)
-    where the number of fields is wrong. NULL when clean.
+    where the number of fields is wrong. NULL when clean. The reader's formats for times and dates hold.
     """
     extra = [F.col("_metadata")] if keep_metadata else []
+    formats = {k.lower(): v for k, v in (options or {}).items()}
 
     def typed(f: T.StructField) -> Column:
+        if isinstance(f.dataType, T.TimestampType) and "timestampformat" in formats:
+            return F.try_to_timestamp(F.col(f.name), F.lit(formats["timestampformat"]))
+        if isinstance(f.dataType, T.TimestampNTZType) and "timestampntzformat" in formats:
+            return F.try_to_timestamp(F.col(f.name), F.lit(formats["timestampntzformat"])).cast(f.dataType)
+        if isinstance(f.dataType, T.DateType) and "dateformat" in formats:
+            return F.try_to_timestamp(F.col(f.name), F.lit(formats["dateformat"])).cast(f.dataType)
         return F.col(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name).try_cast(f.dataType)
 
     parts = [

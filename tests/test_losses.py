@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from millrace.plans.flows import Runner
 from millrace.session import scratch_path, shared_folder
+from millrace.sources.files import file_scan
 from millrace.specs import AppendFlow, Cdc, Flow, Sink, SnapshotCdc, Source, SpecError, Target
 from millrace.streaming.scd import Scd1Store, Scd2Store
 from millrace.streaming.snapshots import SnapshotStore
@@ -141,3 +142,43 @@ def test_a_flows_settings_stay_its_own(spark, tmp_path):
 
 def test_scratch_lies_in_the_shared_folder(spark):
     assert scratch_path(spark, "x").startswith(shared_folder(spark))
+
+
+def test_rescue_reads_times_as_the_reader_does(spark, tmp_path):
+    (tmp_path / "j").mkdir()
+    (tmp_path / "j" / "a.json").write_text('{"id":1,"t":"03-25-2024"}\n{"id":2,"t":"2024-03-25"}\n')
+    options = {"cloudFiles.format": "json", "cloudFiles.rescuedDataColumn": "_r", "timestampFormat": "MM-dd-yyyy"}
+    got = {r.id: (r.t and r.t.day, r["_r"]) for r in file_scan(spark, str(tmp_path / "j"), options, "id long, t timestamp", streaming=False).collect()}
+    assert got == {1: (25, None), 2: (None, '{"t":"2024-03-25"}')}
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c" / "a.csv").write_text("1,03-25-2024,25/03/24\n2,2024-03-25,x\n")
+    options = {"cloudFiles.format": "csv", "cloudFiles.rescuedDataColumn": "_r", "timestampFormat": "MM-dd-yyyy", "dateFormat": "dd/MM/yy"}
+    rows = file_scan(spark, str(tmp_path / "c"), options, "id long, t timestamp, d date", streaming=False).collect()
+    got = {r.id: (r.t and r.t.day, r.d and r.d.month, r["_r"]) for r in rows}
+    assert got == {1: (25, 3, None), 2: (None, None, '{"t":"2024-03-25","d":"x"}')}
+
+
+def test_rescue_looks_into_nested_values(spark, tmp_path):
+    (tmp_path / "j").mkdir()
+    lines = ['{"id":1,"s":{"a":1,"b":{"c":"x"}},"l":[{"n":1}]}', '{"id":2,"s":{"a":"no","b":{"c":"x"}}}', '{"id":3,"s":{"a":1,"b":{"c":"x","z":9}}}',
+             '{"id":4,"l":[{"n":1},{"n":"no"}]}', '{"id":5,"l":[{"n":1,"m":2}]}', '{"id":6,"s":{"a":null}}', '{"id":7,"k":[1,"x"]}', '{"id":8,"k":[1,null]}']
+    (tmp_path / "j" / "a.json").write_text("\n".join(lines))
+    options = {"cloudFiles.format": "json", "cloudFiles.rescuedDataColumn": "_r"}
+    schema = "id long, s struct<a: int, b: struct<c: string>>, l array<struct<n: int>>, k array<int>"
+    found = {r.id: r["_r"] for r in file_scan(spark, str(tmp_path / "j"), options, schema, streaming=False).collect()}
+    assert {i for i, text in found.items() if text is None} == {1, 6, 8}
+    assert '"no"' in found[2].replace("\\", "") and '"z":9' in found[3].replace("\\", "") and '"m":2' in found[5].replace("\\", "")
+
+
+def test_an_inferred_schema_is_kept(spark, tmp_path):
+    place = tmp_path / "in"
+    place.mkdir()
+    (place / "a.json").write_text('{"id":1,"v":5}\n')
+    source = Source("files", {"path": str(place)}, {"cloudFiles.format": "json", "cloudFiles.inferColumnTypes": "true"})
+    flow = Flow("f", source, Target(str(tmp_path / "t")))
+    runner = Runner(spark, str(tmp_path / "progress"), [flow])
+    runner.run(flow)
+    (place / "b.json").write_text('{"id":2,"v":"text","w":1}\n')
+    runner.run(flow)
+    assert {r.id: r.v for r in runner.table(flow).collect() if r.id is not None}[1] == 5
+    assert runner.table(flow).columns == ["id", "v"] and runner.table(flow).count() == 2
