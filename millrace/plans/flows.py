@@ -7,9 +7,10 @@ is written first and quarantine and sinks after it, all from one read of the bat
 from __future__ import annotations
 
 import copy
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from graphlib import TopologicalSorter
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -25,7 +26,7 @@ from millrace.sources.tables import path_scan, table_name, table_scan
 from millrace.specs import Flow, Source, SpecError, Target
 from millrace.streaming.scd import open_store
 from millrace.streaming.snapshots import SnapshotStore
-from millrace.streaming.store import DEFAULT_BUCKETS
+from millrace.streaming.store import DEFAULT_BUCKETS, folders_below, remove_path
 from millrace.streaming.targets import (
     AppendTable,
     batch_writer,
@@ -35,6 +36,7 @@ from millrace.streaming.targets import (
     run_available,
     run_once,
     set_table_facts,
+    table_location,
     write_sink,
 )
 
@@ -119,8 +121,15 @@ class Runner:
 
     # targets ------------------------------------------------------------------------------
 
+    def _target(self, flow: Flow) -> Target:
+        """The flow's target; a named one that has no comment says its layer."""
+        target = flow.target
+        if not target.name or target.comment:
+            return target
+        return replace(target, comment=f"{flow.layer} table {target.name}")
+
     def append_table(self, flow: Flow) -> AppendTable:
-        return AppendTable(self.spark, flow.target)
+        return AppendTable(self.spark, self._target(flow))
 
     def table(self, flow: Flow | str) -> DataFrame:
         """The flow's target as it is now."""
@@ -184,12 +193,26 @@ class Runner:
         else:
             self._run_stream(flow, run)
         self._run_append_flows(flow, run)
-        if not flow.cdc and not flow.snapshot:
-            table = self.append_table(flow)
-            if flow.target.name and table.exists():
-                table.register()
+        if not flow.target.name:
+            return run
+        if flow.cdc or flow.snapshot:
+            if any(run.batches.values()):
+                self._publish_named(flow)
+        elif (table := self.append_table(flow)).exists():
+            table.register()
         return run
 
+    def _publish_named(self, flow: Flow) -> None:
+        """The named table of a CDC or snapshot flow, in the target's layout: written beside the store after a run that took
+        batches, then switched to. The former files stay for who still reads them, older ones go."""
+        root = f"{flow.target.path.rstrip('/')}-named"
+        place = f"{root}/at={uuid.uuid4().hex}"
+        former = table_location(self.spark, flow.target.name) if self.spark.catalog.tableExists(flow.target.name) else ""
+        self.publish(flow, replace(self._target(flow), path=place))
+        for (folder,) in folders_below(self.spark, root, 1):
+            if not former.endswith(folder) and not place.endswith(folder):
+                remove_path(self.spark, f"{root}/{folder}")
+
     def _handler(self, flow: Flow, run: FlowRun):
         """``handle(batch, batch_id)`` for the flow's main source."""
         if flow.cdc:

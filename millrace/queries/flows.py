@@ -34,6 +34,23 @@ def silver_flow(spark, sf):
     return cdc.scd1(checked, settings)
 
 
+@query("cdc_named_table", LATEST)
+def cdc_named_table(spark, sf):
+    """An SCD1 target read by its name, partitioned by a column that changes."""
+    path = scratch_path(spark, "named")
+    flow = Flow(
+        "named",
+        _files(sf, "events", EVENTS_DDL),
+        Target(path, "named_" + path[-12:], partition_by=["kind"], comment="latest events"),
+        layer="silver",
+        select_exp=["user_id", "event_id", "upper(event_type) AS kind", "value", "ts"],
+        where=["kind <> 'SIGNUP'", "value > 1"],
+        cdc=Cdc(["user_id"], "ts", 1, apply_as_deletes="kind = 'ERROR'", except_column_list=["ts"]),
+    )
+    Runner(spark, scratch_path(spark, "named-progress"), [flow], buckets=4).run(flow)
+    return spark.table(flow.target.name).select("user_id", "event_id", "kind", "value")
+
+
 def _bronze(spark, sf):
     return Flow(
         "bronze_events",

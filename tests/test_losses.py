@@ -182,3 +182,21 @@ def test_an_inferred_schema_is_kept(spark, tmp_path):
     runner.run(flow)
     assert {r.id: r.v for r in runner.table(flow).collect() if r.id is not None}[1] == 5
     assert runner.table(flow).columns == ["id", "v"] and runner.table(flow).count() == 2
+
+
+@pytest.mark.parametrize("scd", [1, 2])
+def test_cdc_targets_are_named_tables(spark, tmp_path, scd):
+    place, name = str(tmp_path / "in"), f"named_scd{scd}"
+    source = Source("files", {"path": place}, {"cloudFiles.format": "parquet"}, schema="id bigint, at bigint, g string")
+    target = Target(str(tmp_path / "t"), name, partition_by=["g"], properties={"team": "x"})
+    flow = Flow("f", source, target, layer="silver", cdc=Cdc(["id"], "at", scd))
+    runner = Runner(spark, str(tmp_path / "progress"), [flow], buckets=2)
+    for at in (1, 2, 3):
+        spark.range(5).selectExpr("id", f"{at}L AS at", f"concat('g', id % 2, '-{at}') AS g").write.mode("append").parquet(place)
+        runner.run(flow)
+        got, want = spark.table(name), runner.table(flow)
+        assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+    assert spark.sql(f"SHOW PARTITIONS {name}").count() == (2 if scd == 1 else 6)
+    facts = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
+    assert facts["Comment"] == f"silver table {name}" and "team=x" in facts["Table Properties"]
+    assert len([p for p in (tmp_path / "t-named").iterdir() if "=" in p.name and not p.name.startswith(".")]) == 2
