@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import map_batches, table
+from millrace.llm.common import map_batches, smallest_hashes, table
 from millrace.session import materialise
 
 SAMPLE = 20_000
@@ -177,7 +177,7 @@ class Index:
         self.k = k
         spark = rows.sparkSession
         good = materialise(usable(rows), "vectors")
-        drawn = good.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).collect()
+        drawn = smallest_hashes(good, "vec_id", sample).collect()
         self.empty = not drawn
         if self.empty:
             self.rows = good

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import fresh_name, in_train, map_batches, table
+from millrace.llm.common import fresh_name, in_train, map_batches, smallest_hashes, table
 from millrace.session import materialise
 
 BITS = 16
@@ -166,7 +166,7 @@ def train(features: DataFrame, name: str, labels: DataFrame, column: str = "qual
     for row in learnt.select("y", F.explode("f").alias("f")).groupBy("f").agg(F.sum("y").alias("good"), F.count("*").alias("all")).collect():
         sums[:, row.f] += (row.all - row.good, row.good)  # at most 2 ** BITS rows
     ratio = np.log(sums[1] / sums[1].sum()) - np.log(sums[0] / sums[0].sum())
-    sample = learnt.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows).collect()
+    sample = smallest_hashes(learnt, "doc_id", fit_rows).collect()
     rows = [np.array(r.f, np.int32) for r in sample]
     good = np.array([r.y == 1 for r in sample])
     if good.all() or not good.any():

@@ -29,8 +29,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import in_train, map_batches, table
+from millrace.llm.common import in_train, map_batches, smallest_hashes, table
 from millrace.llm.quality import fit_sigmoid, one_label
+from millrace.session import materialise
 
 HELD_OUT = (4, 2)  # rows whose checksum of the id leaves remainder 2 by 4 are not learnt from
 THRESHOLD = 0.3
@@ -332,8 +333,8 @@ def constant(share: float) -> Network:
 def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic") -> Network:
     """Train on a bounded number of labelled rows that may be learnt from."""
     usable = one_label(labels, column).where(in_train("doc_id", *HELD_OUT))
-    order = (F.xxhash64("doc_id"), F.col("doc_id"))
-    chosen = usable.where("y = 1").orderBy(*order).limit(TOXIC_ROWS).unionByName(usable.where("y = 0").orderBy(*order).limit(CLEAN_ROWS))
+    usable = materialise(usable, "toxic-labels")
+    chosen = smallest_hashes(usable.where("y = 1"), "doc_id", TOXIC_ROWS).unionByName(smallest_hashes(usable.where("y = 0"), "doc_id", CLEAN_ROWS))
     rows = (
         docs.select("doc_id", "text")
         .where(F.length("text") <= LONGEST_ROW)
