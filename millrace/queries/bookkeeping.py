@@ -58,7 +58,7 @@ def distinct_rows(spark, sf):
 @query("union_files", "SELECT event_id, event_type, value FROM events")
 def union_files(spark, sf):
     events = table(spark, sf, "events").select("event_id", "event_type", "value")
-    kinds = ("value < 10", "value >= 10")
+    kinds = ("coalesce(value < 10, false)", "NOT coalesce(value < 10, false)")
     paths = [scratch_path(spark, f"union-{i}") for i in range(len(kinds))]
     for path, kind in zip(paths, kinds):
         events.where(kind).write.json(path)

@@ -149,8 +149,8 @@ def incremental_load(spark, sf):
         Target(scratch_path(spark, "incremental")),
     )
     runner = Runner(spark, scratch_path(spark, "incremental-progress"), [flow])
-    orders.where("o_orderdate < TIMESTAMP_NTZ '1997-01-01'").write.parquet(f"{path}/initial")
+    orders.where("coalesce(o_orderdate < TIMESTAMP_NTZ '1997-01-01', false)").write.parquet(f"{path}/initial")
     runner.run(flow)
-    orders.where("o_orderdate >= TIMESTAMP_NTZ '1997-01-01'").write.parquet(f"{path}/later")
+    orders.where("NOT coalesce(o_orderdate < TIMESTAMP_NTZ '1997-01-01', false)").write.parquet(f"{path}/later")
     runner.run(flow)
     return runner.table(flow)

@@ -214,7 +214,7 @@ def append_flow_source(spark, sf):
     done, opened = scratch_path(spark, "orders-f"), scratch_path(spark, "orders-o")
     orders.where("o_orderstatus = 'F'").write.parquet(done)
     orders.where("o_orderstatus = 'O'").write.json(opened)
-    pending = named_table(orders.where("o_orderstatus NOT IN ('F', 'O')"), "orders_p")
+    pending = named_table(orders.where("NOT coalesce(o_orderstatus IN ('F', 'O'), false)"), "orders_p")
     flow = Flow(
         "orders",
         Source("files", {"path": done}, {"cloudFiles.format": "parquet"}, ORDERS_DDL),

@@ -128,7 +128,7 @@ def map_drop_nulls(spark, sf):
 )
 def add_missing_columns(spark, sf):
     orders = table(spark, sf, "orders")
-    old = orders.where("o_orderdate < TIMESTAMP_NTZ '1997-01-01'").select("o_orderkey", "o_totalprice")
-    new = orders.where("o_orderdate >= TIMESTAMP_NTZ '1997-01-01'").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    old = orders.where("coalesce(o_orderdate < TIMESTAMP_NTZ '1997-01-01', false)").select("o_orderkey", "o_totalprice")
+    new = orders.where("NOT coalesce(o_orderdate < TIMESTAMP_NTZ '1997-01-01', false)").select("o_orderkey", "o_orderpriority", "o_totalprice")
     schema = T.StructType.fromDDL("o_orderkey long, o_orderpriority string, o_totalprice double")
     return union_by_name([ops.add_missing_columns(old, schema), new])
