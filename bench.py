@@ -11,6 +11,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -27,6 +28,9 @@ HEADLINE = [
     "cdc_scd2",
     "cdc_track_list",
     "cdc_ignore_nulls_scd2",
+    "cdc_scd1_incremental",
+    "cdc_out_of_order",
+    "snap_scd2_store",
     "snap_diff",
     "snap_multi_version",
     "upsert_merge",
@@ -47,8 +51,9 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = sys.argv[1:] or HEADLINE
     spark = build_session(
-        "bench", spark__master=f"local[{cpus}]", spark__sql__shuffle__partitions=cpus, spark__driver__memory="16g"
-    )
+        "bench", spark__master=f"local[{cpus}]", spark__sql__shuffle__partitions=cpus, spark__driver__memory="16g",
+        spark__checkpoint__dir=tempfile.mkdtemp(prefix="millrace-bench-"),
+    )
     spark.sparkContext.setLogLevel("ERROR")
     times: dict[str, float] = {}
     for name in names:

@@ -135,3 +135,8 @@ def test_scd1_writes_follow_the_batch(spark, tmp_path):
     assert all(len(versions) == 1 for versions in store.pointer()["parts"]["state"]["by_bucket"].values())
     assert len(store.vacuum(["state"])) == 4
     assert {r.k: r.a for r in store.table().collect()} == {**got, **dict.fromkeys(range(10_000), "z")}
+
+
+def test_the_plan_of_many_snapshots_has_no_join(spark):
+    plan = snap.snapshots_scd2(list(snapshots(spark, 6)), SnapshotCdc(["k"], 2))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("Window") <= 8
