@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import pickle
 import sys
 import types
+import uuid
 from collections.abc import Callable
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -79,3 +82,23 @@ def per_worker(key, make: Callable):
     if key not in kept:
         kept[key] = make()
     return kept[key]
+
+
+class Shared:
+    """A broadcast value, pickled with the code of its classes, so that workers need not import this package. A
+    worker unpacks it once and keeps the last few."""
+
+    KEPT = 8
+
+    def __init__(self, spark: SparkSession, value):
+        self.key = uuid.uuid4().hex
+        self.sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    @property
+    def value(self):
+        kept = per_worker("shared", dict)
+        if self.key not in kept:
+            while len(kept) >= self.KEPT:
+                kept.pop(next(iter(kept)))
+            kept[self.key] = pickle.loads(self.sent.value)
+        return kept[self.key]

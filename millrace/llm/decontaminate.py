@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import fresh_name, map_batches
+from millrace.llm.common import Shared, fresh_name, map_batches
 
 # ASCII capitals become small, other ASCII but digits and small letters become spaces, bytes of
 # other characters stay
@@ -207,17 +207,18 @@ def match_items(
     name = fresh_name("found", docs.columns)
     text_at = docs.columns.index(text)
     automata = [
-        spark.sparkContext.broadcast(Automaton(block, window)) for block in _blocks(items, item_id, item_text, block_words)
+        Shared(spark, Automaton(block, window)) for block in _blocks(items, item_id, item_text, block_words)
     ]
 
     def scan(batches):
+        machines = [automaton.value for automaton in automata]
         for batch in batches:
             rows = []
             for value in batch.column(text_at).to_pylist():
                 words = words_of(value)
                 spans, names = [], set()
-                for automaton in automata:
-                    more, of = automaton.value.spans(words)
+                for machine in machines:
+                    more, of = machine.spans(words)
                     spans, names = (merge_spans(spans + more) if spans else more), names | of
                 rows.append(
                     {"n_words": len(words), "spans": [{"start": a, "end": b} for a, b in spans], "items": sorted(names)}

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import map_batches, smallest_hashes, table
+from millrace.llm.common import Shared, map_batches, smallest_hashes, table
 from millrace.session import materialise
 
 SAMPLE = 20_000
@@ -160,7 +160,7 @@ def ranked(found: DataFrame, k: int) -> DataFrame:
 
 def exact(rows: DataFrame, queries: list[tuple[int, np.ndarray]], k: int) -> DataFrame:
     """True neighbours of a few stated queries among all rows, in blocks."""
-    sent = rows.sparkSession.sparkContext.broadcast(queries)
+    sent = Shared(rows.sparkSession, queries)
 
     def search(batches):
         for batch in batches:
@@ -183,7 +183,7 @@ class Index:
             self.rows = good
             return
         self.tree = Tree(np.array([r.vector for r in drawn]))
-        tree = spark.sparkContext.broadcast(self.tree)
+        tree = Shared(spark, self.tree)
 
         def assign(batches):
             for batch in batches:
@@ -207,7 +207,7 @@ class Index:
         k = self.k
         if self.empty:
             return queries.sparkSession.range(0).selectExpr("id AS query_id", "0 AS rank", "id AS vec_id", "0D AS score")
-        sent = queries.sparkSession.sparkContext.broadcast((self.tree, self.sizes, self.visits))
+        sent = Shared(queries.sparkSession, (self.tree, self.sizes, self.visits))
 
         def walk(batches):
             tree, sizes, visits = sent.value

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import fresh_name, in_train, map_batches, smallest_hashes, table
+from millrace.llm.common import Shared, fresh_name, in_train, map_batches, smallest_hashes, table
 from millrace.session import materialise
 
 BITS = 16
@@ -188,7 +188,7 @@ def train(features: DataFrame, name: str, labels: DataFrame, column: str = "qual
 def score_indicators(features: DataFrame, name: str, model: Model, out: str) -> DataFrame:
     """The columns of ``features`` with the score ``out`` in place of the indicators."""
     at = features.columns.index(name)
-    sent = features.sparkSession.sparkContext.broadcast(model)
+    sent = Shared(features.sparkSession, model)
 
     def score(batches):
         for batch in batches:
@@ -220,7 +220,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
     """The documents that score at least ``threshold``, with their columns."""
     features, name = with_indicators(docs.select("doc_id", "text"))
     model = train(materialise(features, "quality-indicators"), name, labels)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = Shared(docs.sparkSession, model)
     at = docs.columns.index("text")
 
     def keep(batches):

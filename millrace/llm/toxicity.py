@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import in_train, map_batches, smallest_hashes, table
+from millrace.llm.common import Shared, in_train, map_batches, smallest_hashes, table
 from millrace.llm.quality import fit_sigmoid, one_label
 from millrace.session import materialise
 
@@ -352,7 +352,7 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic") -> Network:
 
 def score_documents(docs: DataFrame, net: Network, words_at_once: int = 200_000) -> DataFrame:
     """doc_id and score of every row."""
-    sent = docs.sparkSession.sparkContext.broadcast(net)
+    sent = Shared(docs.sparkSession, net)
 
     def score(batches):
         for batch in batches:
