@@ -2,14 +2,19 @@
 
 Base spans follow fixed rules and always stay. Generators propose further spans, which may overlap each other and the base: numbers
 and addresses in the usual formats wherever they stand, also where a neighbouring number makes the base rule fail, and mail
-addresses with the sign or the dots spelt out. Each candidate has a few small features of format (number of digits,
-separators, first sign, whether its checksum or ranges hold) and context (a cue word before it, what it touches).
+addresses with the sign or the dots spelt out. Each candidate has a few small features of format (number of digits of a
+card, separators, first sign) and context (a cue word before it, its own or one of order numbers and the like, what it touches).
+Whether its checksum or ranges hold is no feature, nor is what fixes that, such as the number of digits of a phone.
 
-Boosted trees of depth two learn from the corpus itself, over all documents: a candidate that is a base span of its kind
-counts as personal, one whose checksum or ranges fail does not. As features take few values, the corpus is reduced to counts
+Boosted trees of depth two learn from the corpus itself, over all documents, in which formats and contexts candidates are of their
+kind: those equal to a base span count for it, those whose checksum or ranges fail against it, unless the other reading from
+the same start holds; the rest has no label. As features take few values, the corpus is reduced to counts
 per combination of values, at most a few thousand rows, and the trees are fitted to these counts. Candidates
-of every fourth document (by checksum of its id) are left out of the fit; on them the lowest score is found from which a kind's candidates reach the wanted
-precision. Candidates at or above it that lie on no base span are added, the best first where they overlap.
+of every fourth document (by checksum of its id) are left out of the fit. On them the scores of a kind are taken in bins from the highest on, and its
+limit is the lowest score down to which every bin reaches the wanted precision: numbers that are not of the kind pass its check by chance (``CHANCE``), so the
+failing ones tell how many of the passing ones are such. Candidates that pass their check, reach the limit and lie on no base span
+are added, the best first where they overlap. A kind with fewer than ``LEAST_HELD`` labelled candidates in the documents left out is judged
+on all its labelled candidates, and if these are too few as well, it gets none added.
 
 All work on texts is done by built-in functions. A span's place is the sum of the lengths of what lies before it: texts
 are cut at the matches, which gives the gaps. Quantifiers are possessive and matches begin at the start of a run, so long runs take linear time.
@@ -55,12 +60,16 @@ CUES = {
     "card": "card|visa|credit|karte|tarjeta|carte",
     "phone": "phone|tel|call|fax|mobil|cell|ruf|llam",
 }
+#: Words before numbers of other kinds: orders, invoices, parcels, versions and the like.
+OTHER_CUE = "order|invoice|ticket|parcel|tracking|serial|version|isbn|bestell|rechnung|sendung|pedido|factura|commande|facture"
+#: Share of what is not of a kind that passes its check: one last digit of ten fits a checksum, ranges are taken to let half pass.
+CHANCE = {"email": 0.5, "ip": 0.5, "card": 0.1, "phone": 0.5}
 CONTEXT = 24
 CHUNK = 256
 PRECISION, LEAST_HELD = 0.98, 20
 TREES, RATE = 30, 0.3
 #: Numbers of values of each feature, which bound the rows that the fit sees.
-FEATURES = {"kind": 4, "holds": 2, "digits": 6, "sep": 5, "lead": 2, "cue": 2, "touch": 3}
+FEATURES = {"kind": 4, "digits": 4, "sep": 5, "lead": 7, "cue": 3, "touch": 3}
 
 
 def pieces(text: Column, pattern: str) -> Column:
@@ -137,13 +146,13 @@ def holds(kind: str, hit: Column) -> Column:
     return size.between(10, 15)
 
 
-#: The fields of a candidate in the order of the fits; ``tag`` is 0 for a base span, which has no features.
+#: The fields of a candidate in the order of the fits; ``tag`` is 0 for a base span, which has neither check nor features.
 SPAN = "struct<start:int,kind:int,end:int>"
-TAGGED = "struct<start:int,kind:int,end:int,tag:int," + ",".join(f"{f}:int" for f in FEATURES if f != "kind") + ">"
+TAGGED = "struct<start:int,kind:int,end:int,tag:int,holds:int," + ",".join(f"{f}:int" for f in FEATURES if f != "kind") + ">"
 
 
 def found_in(text: Column) -> tuple[Column, Column]:
-    """Base spans (start, kind, end) and candidates (the same, features, and ``tag`` 2 if it is a base span) of a text."""
+    """Base spans (start, kind, end) and candidates (the same, check, features, and ``tag`` 1) of a text."""
     has_at, has_digit = text.rlike("@|at ?[\\])]"), text.rlike("[0-9]")
     some = lambda kind, spans, of: F.coalesce(F.when(has_at if kind == "email" else has_digit, spans.cast(f"array<{of}>")), F.array().cast(f"array<{of}>"))
     base = F.flatten(F.array(*[some(k, F.transform(F.filter(pieces(text, p), passes(k)), spanned(k)), SPAN) for k, p in BASE.items()]))
@@ -152,9 +161,9 @@ def found_in(text: Column) -> tuple[Column, Column]:
 
 
 def compared(base: Column, candidates: Column) -> Column:
-    """The distinct candidates in order, with ``tag`` 2 where there is an equal base span: both are sorted together, so
-    that equal ones lie side by side."""
-    tagged = F.transform(base, lambda b: F.struct(b["start"], b["kind"], b["end"], F.lit(0), *[F.lit(None).cast("int")] * (len(FEATURES) - 1)).cast(TAGGED))
+    """The distinct candidates in order, with ``tag`` 2 where there is an equal base span, and 3 where the check fails but holds
+    for another reading from the same start: both are sorted together, so that equal ones and readings lie side by side."""
+    tagged = F.transform(base, lambda b: F.struct(b["start"], b["kind"], b["end"], F.lit(0), *[F.lit(None).cast("int")] * len(FEATURES)).cast(TAGGED))
     ordered = F.array_sort(F.concat(tagged, candidates))
 
     def same(x, before):
@@ -165,10 +174,21 @@ def compared(base: Column, candidates: Column) -> Column:
         shifted = F.concat(first, F.slice(spans, 1, F.greatest(F.size(spans) - 1, F.lit(0))))
         paired = F.zip_with(spans, shifted, lambda x, before: F.struct(x.alias("x"), before.alias("before")))
         new = F.filter(paired, lambda p: (p["x"]["tag"] == 1) & ~F.coalesce(same(p["x"], p["before"]) & (p["before"]["tag"] == 1), F.lit(False)))
-        return F.transform(
+        distinct = F.transform(
             new,
             lambda p: p["x"].withField("tag", F.when(F.coalesce(same(p["x"], p["before"]), F.lit(False)), 2).otherwise(1)),
         )
+        return F.get(F.transform(F.array(distinct), read), F.lit(0))
+
+    def read(spans):
+        def holding(x, other):
+            return F.coalesce((other["start"] == x["start"]) & (other["kind"] == x["kind"]) & (other["holds"] == 1), F.lit(False))
+
+        def one(x, i):
+            beside = holding(x, F.get(spans, i - 1)) | holding(x, F.get(spans, i + 1))
+            return F.when((x["holds"] == 0) & beside, x.withField("tag", F.lit(3))).otherwise(x)
+
+        return F.transform(spans, one)
 
     return F.when(F.size(candidates) == 0, candidates).otherwise(F.get(F.transform(F.array(ordered), marked), F.lit(0)))
 
@@ -187,8 +207,20 @@ def featured(kind: str):
 
 def features(kind: str, x: Column) -> Column:
     hit, before = x["hit"], x["before"]
-    size = F.length(digits_of(hit))
-    inner = F.regexp_replace(hit, r"[A-Za-z0-9+()\[\]@_%]", "")
+    size = F.length(digits_of(hit)) if kind == "card" else F.lit(0)
+    # the domain of a mail address decides its check, so its separators are those before the sign
+    outer = F.regexp_replace(hit, r"[@ \[(].*$", "") if kind == "email" else hit
+    inner = F.regexp_replace(outer, r"[A-Za-z0-9+()\[\]@_%]", "")
+    separators = F.when(inner == "", 0).when(inner.rlike("^ +$"), 1).when(inner.rlike("^-+$"), 2).when(inner.rlike(r"^\.+$"), 3).otherwise(4)
+    if kind == "ip":
+        separators = F.when(hit.contains("["), 4).otherwise(3)
+    lead = {
+        "email": F.when(hit.contains("@"), 0).otherwise(1),
+        "ip": F.lit(0),
+        "card": F.when(hit.startswith("3"), 2).when(hit.startswith("4"), 3).when(hit.startswith("5"), 4).when(hit.startswith("6"), 5).otherwise(6),
+        "phone": F.lit(1),
+    }[kind]
+    own, other = before.rlike(f"(?i)(?:{CUES[kind]})"), before.rlike(f"(?i)(?:{OTHER_CUE})")
     last = F.substring(before, -1, 1)
     flag = lambda c: F.coalesce(c, F.lit(False)).cast("int")
     return F.struct(
@@ -197,10 +229,10 @@ def features(kind: str, x: Column) -> Column:
         x["end"].alias("end"),
         F.lit(1).alias("tag"),
         flag(holds(kind, hit)).alias("holds"),
-        F.when(size < 7, 0).when(size < 10, 1).when(size < 12, 2).when(size < 14, 3).when(size < 20, 4).otherwise(5).alias("digits"),
-        F.when(inner == "", 0).when(inner.rlike("^ +$"), 1).when(inner.rlike("^-+$"), 2).when(inner.rlike(r"^\.+$"), 3).otherwise(4).alias("sep"),
-        flag(hit.startswith("+")).alias("lead"),
-        flag(before.rlike(f"(?i)(?:{CUES[kind]})")).alias("cue"),
+        F.when(size < 15, 0).when(size == 15, 1).when(size == 16, 2).otherwise(3).alias("digits"),
+        separators.alias("sep"),
+        lead.alias("lead"),
+        F.when(own, 1).when(other, 2).otherwise(0).alias("cue"),
         F.when(last == "", 0).when(last.rlike(r"[\p{L}\p{N}]"), 1).otherwise(2).alias("touch"),
     )
 
@@ -281,10 +313,30 @@ def margin_column(trees: list, x: Column) -> Column:
     return total
 
 
+def limit_of(kind: int, cells: list[tuple[float, int, int]]) -> float | None:
+    """The margin from which a kind's candidates are taken, from (margin, good, bad); None if they are too few or too bad.
+
+    Bins are cells of like margin, as many as give ``LEAST_HELD`` candidates.
+    """
+    odds = CHANCE[KINDS[kind]] / (1 - CHANCE[KINDS[kind]])
+    limit = None
+    good = bad = 0
+    cells = sorted(cells, reverse=True)
+    for i, (margin, g, b) in enumerate(cells):
+        good, bad = good + g, bad + b
+        if good + bad < LEAST_HELD or (i + 1 < len(cells) and cells[i + 1][0] > margin - 1e-9):
+            continue
+        if good - odds * bad < PRECISION * good or not good:
+            break
+        limit = margin
+        good = bad = 0
+    return limit
+
+
 def fit(spans: DataFrame) -> tuple[list, dict[int, float]]:
     """Trees, and per kind the margin from which its candidates are taken."""
     labelled = spans.select("held", F.explode("candidates").alias("c")).select(
-        "held", *[F.col(f"c.{f}") for f in FEATURES], F.when(F.col("c.tag") == 2, 1).when(F.col("c.holds") == 0, 0).alias("y")
+        "held", *[F.col(f"c.{f}") for f in FEATURES], F.when(F.col("c.tag") == 2, 1).when((F.col("c.tag") == 1) & (F.col("c.holds") == 0), 0).alias("y")
     )
     counts = labelled.where("y IS NOT NULL").groupBy("held", *FEATURES).agg(F.sum("y").alias("good"), F.count("*").alias("n")).collect()
     sides: dict[bool, list[dict]] = {False: [], True: []}
@@ -295,23 +347,24 @@ def fit(spans: DataFrame) -> tuple[list, dict[int, float]]:
     trees = boost(sides[False])
     limits: dict[int, float] = {}
     for kind in range(len(KINDS)):
-        cells = sorted(((margin_of(trees, c), c["good"], c["bad"]) for c in sides[True] if c["kind"] == kind), reverse=True)
-        good = bad = 0
-        for i, (margin, g, b) in enumerate(cells):
-            good, bad = good + g, bad + b
-            if (i + 1 == len(cells) or cells[i + 1][0] < margin) and good + bad >= LEAST_HELD and good >= PRECISION * (good + bad):
-                limits[kind] = margin
+        judged = [c for c in sides[True] if c["kind"] == kind]
+        if sum(c["good"] + c["bad"] for c in judged) < LEAST_HELD:
+            judged += [c for c in sides[False] if c["kind"] == kind]
+        limit = limit_of(kind, [(margin_of(trees, c), c["good"], c["bad"]) for c in judged])
+        if limit is not None:
+            limits[kind] = limit
     return trees, limits
 
 
 def select(trees: list, limits: dict[int, float]) -> Column:
-    """All spans of a row: the base, and the candidates that score enough and touch no base span nor a better one."""
+    """All spans of a row: the base, and the candidates that pass their check, score enough and touch no base span nor a better one."""
     kind = "array<struct<start:int,rank:double,kind:int,end:int>>"
     base = F.transform("base", lambda b: F.struct(b["start"].alias("start"), F.lit(float("-inf")).alias("rank"), b["kind"].alias("kind"), b["end"].alias("end")))
     if not limits:
         return base.cast(kind)
     least = F.lit(float("inf"))
-    scored = F.transform("candidates", lambda c: F.struct(c["start"].alias("start"), (-margin_column(trees, c)).alias("rank"), c["kind"].alias("kind"), c["end"].alias("end")))
+    passing = F.filter("candidates", lambda c: c["holds"] == 1)
+    scored = F.transform(passing, lambda c: F.struct(c["start"].alias("start"), (-margin_column(trees, c)).alias("rank"), c["kind"].alias("kind"), c["end"].alias("end")))
 
     def enough(c):
         limit = least

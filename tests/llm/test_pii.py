@@ -103,3 +103,46 @@ def test_odd_rows(documents):
         ("1", 1, "email:0:5"), ("1", 1, "email:0:5"), ("2", 0, ""), ("None", 1, "email:0:5")
     ]
     assert pii.digest(documents([])).count() == 0
+
+
+def card(i, lead="4", good=True):
+    start = f"{lead}{i:014d}"
+    return start + next(c for c in "0123456789" if valid("card", start + c) == good)
+
+
+def test_format_and_context_decide(documents):
+    """Cards start with 4, numbers with 9 are none of which one in ten passes by chance; orders are told by the word before them."""
+    rows = [(i, f"pay {card(i)} now") for i in range(400)]
+    rows += [(1000 + i, f"see {card(i, '9', good=i % 10 == 0)} now") for i in range(400)]
+    rows += [(2000 + i, f"order {card(i, good=False)} now") for i in range(400)]
+    hidden = {9000: "4", 9001: "9"}
+    rows += [(i, f"ring +1 (269) 555-3296 {card(7, lead)} now") for i, lead in hidden.items()]
+    rows.append((9002, f"order +1 (269) 555-3296 {card(7)} now"))
+    docs = documents(rows)
+    got = {r.doc_id: r.spans for r in pii.digest(docs).collect()}
+    assert got[9000] == "card:23:39" and got[9001] == "" and got[9002] == ""
+    trees, limits = pii.fit(pii.with_spans(docs, "doc_id", "text"))
+    used = {feature for tree in trees for conditions, _ in tree for feature, _ in conditions}
+    assert "holds" not in pii.FEATURES and {"lead", "cue"} <= used and set(limits) == {2}
+
+
+def test_other_readings_do_not_count_against_a_number(documents):
+    rows = [(i, f"at +49 30 12 34 {i:02d} now") for i in range(60)]  # the short reading has too few digits
+    spans = pii.with_spans(documents(rows), "doc_id", "text").collect()
+    assert all([c.tag for c in r.candidates] == [3, 2] for r in spans)
+
+
+def test_limits():
+    high, low = 2.0, -1.0
+    assert pii.limit_of(2, [(high, 50, 9), (low, 50, 10)]) == high  # nine failures point to one card by chance
+    assert pii.limit_of(3, [(high, 50, 1), (low, 50, 2)]) == high
+    assert pii.limit_of(3, [(high, 1000, 0), (low, 30, 10)]) == high  # a good bin does not cover for a bad one
+    assert pii.limit_of(3, [(high, 19, 0)]) is None and pii.limit_of(3, [(high, 0, 40)]) is None
+
+
+def test_few_left_out_are_judged_on_all(documents):
+    rows = [(i, f"pay {card(i)} now") for i in range(30)] + [(9000, f"ring +1 (269) 555-3296 {card(7)} now")]
+    got = {r.doc_id: r.spans for r in pii.digest(documents(rows)).collect()}
+    assert got[9000] == "card:23:39"
+    got = {r.doc_id: r.spans for r in pii.digest(documents(rows[20:])).collect()}
+    assert got[9000] == ""
