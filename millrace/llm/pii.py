@@ -375,29 +375,51 @@ def select(trees: list, limits: dict[int, float]) -> Column:
     accepted = F.filter(scored, enough)
     ordered = F.array_sort(F.concat(base.cast(kind), accepted.cast(kind)))
     empty = F.array().cast(kind)
-    begin = F.struct(F.lit(0).alias("base_end"), F.lit(0).alias("end"), empty.alias("out"))
+    is_base = lambda x: x["rank"] == float("-inf")
 
     def forward(done, x):
-        is_base = x["rank"] == float("-inf")
-        take = is_base | ((x["start"] >= done["base_end"]) & (x["start"] >= done["end"]))
         return F.struct(
-            F.when(is_base, F.greatest(done["base_end"], x["end"])).otherwise(done["base_end"]).alias("base_end"),
-            F.when(take & ~is_base, x["end"]).otherwise(done["end"]).alias("end"),
-            F.when(take, F.concat(done["out"], F.array(x))).otherwise(done["out"]).alias("out"),
+            F.when(is_base(x), F.greatest(done["base_end"], x["end"])).otherwise(done["base_end"]).alias("base_end"),
+            F.when(is_base(x) | (x["start"] >= done["base_end"]), F.concat(done["out"], F.array(x))).otherwise(done["out"]).alias("out"),
         )
 
     def backward(done, x):
-        is_base = x["rank"] == float("-inf")
-        take = is_base | (x["end"] <= done["base_start"])
         return F.struct(
-            F.when(is_base, x["start"]).otherwise(done["base_start"]).alias("base_start"),
-            F.when(take, F.concat(done["out"], F.array(x))).otherwise(done["out"]).alias("out"),
+            F.when(is_base(x), x["start"]).otherwise(done["base_start"]).alias("base_start"),
+            F.when(~is_base(x) & (x["end"] <= done["base_start"]), F.concat(done["out"], F.array(x))).otherwise(done["out"]).alias("out"),
         )
 
-    passed = F.aggregate(ordered, begin, forward, lambda done: done["out"])
-    last = F.struct(F.lit(2**31 - 1).alias("base_start"), empty.alias("out"))
-    swept = F.aggregate(F.reverse(passed), last, backward, lambda done: done["out"])
-    return F.when(F.size(accepted) == 0, base.cast(kind)).otherwise(swept)
+    # candidates that touch no base span on either side, then of each run of overlapping ones the best
+    after = F.aggregate(ordered, F.struct(F.lit(0).alias("base_end"), empty.alias("out")), forward, lambda done: done["out"])
+    free = F.aggregate(F.reverse(after), F.struct(F.lit(2**31 - 1).alias("base_start"), empty.alias("out")), backward, lambda done: done["out"])
+    return F.when(F.size(accepted) == 0, base.cast(kind)).otherwise(F.concat(base.cast(kind), best_of(F.reverse(free), kind)))
+
+
+def best_of(spans: Column, kind: str) -> Column:
+    """Of spans by start, those that overlap none of smaller rank that is taken; ties go to the earlier start, kind and end."""
+    empty = F.array().cast(kind)
+    turned = kind.replace("start:int,rank:double", "rank:double,start:int")
+
+    def best(run):
+        by_rank = F.array_sort(F.transform(run, lambda x: F.struct(x["rank"], x["start"], x["kind"], x["end"])).cast(turned))
+        taken = F.aggregate(
+            by_rank,
+            F.array().cast(turned),
+            lambda done, x: F.when(F.exists(done, lambda z: (z["start"] < x["end"]) & (x["start"] < z["end"])), done).otherwise(F.concat(done, F.array(x))),
+        )
+        back = F.transform(taken, lambda x: F.struct(x["start"], x["rank"], x["kind"], x["end"])).cast(kind)
+        return F.when(F.size(run) <= 1, run).otherwise(back)
+
+    def step(done, x):
+        new = x["start"] >= done["end"]
+        return F.struct(
+            F.greatest(done["end"], x["end"]).alias("end"),
+            F.when(new, F.array(x)).otherwise(F.concat(done["run"], F.array(x))).alias("run"),
+            F.when(new, F.concat(done["out"], best(done["run"]))).otherwise(done["out"]).alias("out"),
+        )
+
+    begin = F.struct(F.lit(0).alias("end"), empty.alias("run"), empty.alias("out"))
+    return F.aggregate(spans, begin, step, lambda done: F.concat(done["out"], best(done["run"])))
 
 
 def listing(spans: Column) -> Column:

@@ -146,3 +146,23 @@ def test_few_left_out_are_judged_on_all(documents):
     assert got[9000] == "card:23:39"
     got = {r.doc_id: r.spans for r in pii.digest(documents(rows[20:])).collect()}
     assert got[9000] == ""
+
+
+def test_the_best_of_overlapping_ones_is_taken(spark):
+    """Base and candidates as (start, end, sep); a tree gives each sep its score."""
+    cases = [
+        ([], [(0, 10, 1), (5, 15, 2), (12, 20, 1)], [(5, 15)]),
+        ([], [(0, 10, 2), (8, 15, 1), (12, 20, 3), (30, 40, 1)], [(0, 10), (12, 20), (30, 40)]),
+        ([(18, 25)], [(0, 20, 3), (5, 15, 1)], [(5, 15), (18, 25)]),  # the first touches a later base span
+        ([(0, 4)], [(3, 20, 3), (10, 15, 1), (20, 22, 0)], [(0, 4), (10, 15)]),
+        ([], [(0, 10, 1), (0, 12, 1), (10, 14, 1)], [(0, 10), (10, 14)]),
+    ]
+    features = {f: 0 for f in pii.FEATURES if f != "kind"}
+    rows = [
+        (i, [(a, 3, b) for a, b in base], [(a, 3, b, 1, 1, *({**features, "sep": sep}.values())) for a, b, sep in spans])
+        for i, (base, spans, _) in enumerate(cases)
+    ]
+    frame = spark.createDataFrame(rows, f"i int, base array<{pii.SPAN}>, candidates array<{pii.TAGGED}>")
+    trees = [[({("sep", sep): True}, float(sep))] for sep in range(4)]
+    got = {r.i: [(s.start, s.end) for s in sorted(r.spans)] for r in frame.select("i", pii.select(trees, {3: 1.0}).alias("spans")).collect()}
+    assert got == {i: want for i, (_, _, want) in enumerate(cases)}
