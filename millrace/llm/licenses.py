@@ -3,7 +3,8 @@
 A text's candidate blocks are the words around cue words, as far as the longest template reaches in both directions; blocks that touch
 are one, and a long block is cut into overlapping parts. A block is compressed on its own and once with each template as a raw
 zstandard dictionary. The bytes that a template saves rank the templates. From the first on, a template is confirmed if its words stand in
-the block nearly whole and in order: all but ``MISSING`` of them, with few others between. What is missing and added is
+the block nearly whole and in order: all but ``MISSING`` of them, with few others between. Every common run that is long enough
+for that is tried, the longest first, so a fragment of a template does not hide a whole one beside it. What is missing and added is
 reported word by word, and the place is taken before the next template is looked at.
 
 Texts without cue words are left out by a built-in filter before any Python runs.
@@ -16,6 +17,7 @@ are ignored. The templates are parameters; those below are the texts and usual n
 from __future__ import annotations
 
 import difflib
+import math
 import re
 
 import pyarrow as pa
@@ -127,27 +129,106 @@ class Scanner:
         return [r for i, r in enumerate(rows) if not any(s[1] <= r[1] and r[2] <= s[2] and s[:3] != r[:3] for s in rows[max(0, i - 3) : i])]
 
     def confirm(self, words: list[str], block: list[str | None]) -> tuple[int, int, str, str] | None:
-        """Where a template's words stand in order: first and last word, what is missing and what is added."""
-        anchor = difflib.SequenceMatcher(None, words, block, autojunk=False).find_longest_match()
-        if not anchor.size:
+        """Where a template's words stand in order: first and last word, what is missing and what is added.
+
+        All common runs are anchors, the longest first; where a place fails, the next is looked at.
+        """
+        masks: dict[str, int] = {}
+        for at, word in enumerate(block):
+            if word is not None:
+                masks[word] = masks.get(word, 0) | 1 << at
+        needed = (1 - MISSING) * len(words)
+        if sum(w in masks for w in words) < needed:
             return None
         slack = len(words) // 5 + 2
-        low = max(0, anchor.b - anchor.a - slack)
-        high = min(len(block), anchor.b - anchor.a + len(words) + slack)
-        runs = [r for r in difflib.SequenceMatcher(None, words, block[low:high], autojunk=False).get_matching_blocks() if r.size]
-        matched = sum(r.size for r in runs)
-        if not runs or matched < (1 - MISSING) * len(words):
+        looked = set()
+        for size, a, b in anchors(words, block):
+            low, high = max(0, b - a - slack), min(len(block), b - a + len(words) + slack)
+            # words that are taken already end the place
+            low = next((i + 1 for i in range(b - 1, low - 1, -1) if block[i] is None), low)
+            high = next((i for i in range(b + size, high) if block[i] is None), high)
+            if (low, high) in looked:
+                continue
+            looked.add((low, high))
+            if common(words, masks, low, high) < needed:
+                continue
+            part = block[low:high]
+            pairs = [(r.a + i, r.b + i) for r in difflib.SequenceMatcher(None, words, part, autojunk=False).get_matching_blocks() for i in range(r.size)]
+            # longest runs first may take words of a fragment beside the place
+            for aligned in (lambda: pairs, lambda: fitted(words, part)):
+                place = self.judged(words, block, [(i, low + j) for i, j in aligned()])
+                if place is not None:
+                    return place
+        return None
+
+    def judged(self, words: list[str], block: list[str | None], pairs: list[tuple[int, int]]) -> tuple[int, int, str, str] | None:
+        if not pairs or len(pairs) < (1 - MISSING) * len(words):
             return None
-        first, last = low + runs[0].b, low + runs[-1].b + runs[-1].size
-        if None in block[first:last] or 2 * matched < LIKENESS * (len(words) + last - first):
+        first, last = pairs[0][1], pairs[-1][1] + 1
+        if 2 * len(pairs) < LIKENESS * (len(words) + last - first):
             return None
-        here = {low + r.b + i for r in runs for i in range(r.size)}
-        there = {r.a + i for r in runs for i in range(r.size)}
+        there, here = {i for i, _ in pairs}, {j for _, j in pairs}
         missing = " ".join(w for i, w in enumerate(words) if i not in there)
         added = " ".join(block[i] for i in range(first, last) if i not in here)
         return first, last, missing, added
 
 
+def least_run(size: int) -> int:
+    """The length that the longest run of a confirmed template of ``size`` words has at least."""
+    least = size
+    for matched in range(math.ceil((1 - MISSING) * size - 1e-9), size + 1):
+        breaks = size - matched + max(0, math.floor(2 * matched / LIKENESS - size + 1e-9) - matched)
+        least = min(least, -(-matched // (breaks + 1)))
+    return max(1, least)
+
+
+def anchors(words: list[str], block: list[str | None]) -> list[tuple[int, int, int]]:
+    """(size, place in the words, place in the block) of the longest common runs along each shift, longest first."""
+    places: dict[str, list[int]] = {}
+    for i, word in enumerate(words):
+        places.setdefault(word, []).append(i)
+    runs, open_runs = [], {}
+    for j, word in enumerate(block):
+        going = {i: open_runs.get(i - 1, 0) + 1 for i in places.get(word, ())}
+        runs += [(size, i - size + 1, j - size) for i, size in open_runs.items() if i + 1 not in going]
+        open_runs = going
+    runs += [(size, i - size + 1, len(block) - size) for i, size in open_runs.items()]
+    least = least_run(len(words))
+    return sorted((r for r in runs if r[0] >= least), key=lambda r: (-r[0], r[1], r[2]))
+
+
+def common(words: list[str], masks: dict[str, int], low: int, high: int) -> int:
+    """Length of the longest common subsequence with a part of the block, given the places of the block's words as bits."""
+    whole = (1 << (high - low)) - 1
+    rest = whole
+    for word in words:
+        hit = rest & (masks.get(word, 0) >> low)
+        rest = ((rest + hit) | (rest - hit)) & whole
+    return high - low - rest.bit_count()
+
+
+def fitted(words: list[str], part: list[str]) -> list[tuple[int, int]]:
+    """Pairs of equal words in order with the fewest words missing and added, whatever stands around."""
+    rows = [[0] * (len(part) + 1)]
+    for word in words:
+        above, row = rows[-1], [rows[-1][0] + 1]
+        for j, other in enumerate(part):
+            cost = min(above[j + 1], row[j]) + 1
+            row.append(above[j] if word == other and above[j] <= cost else cost)
+        rows.append(row)
+    i, j = len(words), min(range(len(part) + 1), key=rows[-1].__getitem__)
+    pairs = []
+    while i and j:
+        if words[i - 1] == part[j - 1] and rows[i][j] == rows[i - 1][j - 1]:
+            i, j = i - 1, j - 1
+            pairs.append((i, j))
+        elif rows[i][j] == rows[i - 1][j] + 1:
+            i -= 1
+        else:
+            j -= 1
+    return pairs[::-1]
+
+
 def find(docs: DataFrame, templates: dict[str, tuple[str, ...]] | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """A row per finding: doc_id, license, start, end, plain_bytes, saved_bytes, missing, added, exact."""
     chosen = TEMPLATES if templates is None else templates

@@ -44,3 +44,33 @@ def test_rows(documents):
     rows = sorted((str(r.doc_id), r.license, r.start, r.end, r.exact) for r in licenses.find(docs).collect())
     assert rows == [("1", "MIT", 0, 30, True), ("1", "MIT", 0, 30, True), ("None", "MIT", 2, 32, True)]
     assert licenses.find(documents([])).count() == 0
+
+
+MIT = licenses.TEMPLATES["MIT"][0]
+EDITED = " ".join("x" if i % 12 == 5 else w for i, w in enumerate(MIT.split()))
+
+
+@pytest.mark.parametrize(
+    "name,fragment,notice",
+    [
+        ("Apache-2.0", "Licensed under the Apache License, Version 1.1.", "Licensed under the Apache Software License, Version 2.0."),
+        ("MIT", " ".join(MIT.split()[:100]), EDITED),
+        ("MIT", " ".join(MIT.split()[100:]), EDITED),
+    ],
+)
+def test_a_longer_fragment_does_not_hide_an_edited_notice(scanner, name, fragment, notice):
+    alone = scanner.scan(notice)
+    assert [r[0] for r in alone] == [name]
+    for text in (f"{fragment} {notice}", f"{notice} {fragment}", f"{fragment} {notice} {fragment} {notice} {fragment}"):
+        rows = scanner.scan(text)
+        found = {text[r[1] : r[2]] for r in rows}
+        assert found == {notice[alone[0][1] : alone[0][2]]} and len(rows) == text.count(notice)
+
+
+def test_runs_and_alignments():
+    words, block = "a b c d e".split(), "a b x c d e a b c".split()
+    assert licenses.anchors(words, [*block, None])[:2] == [(3, 0, 6), (3, 2, 3)]
+    masks = {w: sum(1 << j for j, v in enumerate(block) if v == w) for w in block}
+    assert licenses.common(words, masks, 0, 6) == 5 and licenses.common(words, masks, 3, 9) == 3
+    assert licenses.fitted(words, block) == [(0, 0), (1, 1), (2, 3), (3, 4), (4, 5)]
+    assert [licenses.least_run(n) for n in (1, 2, 7)] == [1, 2, 3]
