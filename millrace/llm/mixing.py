@@ -13,7 +13,7 @@ budget ends, and only in that one are documents sorted. A leaf gets buckets in p
 meets a large group, however large a leaf.
 
 Defined results: NULL and empty texts have no tokens; they are taken with every epoch that starts and lies within the prefix. NULL domains, languages and
-sources are nodes of their own. A child without weight gets ``default_weight``; weights that are zero or less give nothing. Of rows
+sources are nodes of their own. In the query, a source that does not end in a number (empty, say) falls into one of the four domains by its CRC-32. A child without weight gets ``default_weight``; weights that are zero or less give nothing. Of rows
 with equal id and text, which have one place in the order, the prefix takes all or none. An empty table gives no rows. Extra columns pass through.
 """
 
@@ -30,8 +30,11 @@ from millrace.session import materialise
 PER_BUCKET = 2_000
 SEED = 7
 
-#: The query's tree: the domain of a source is its number by four, and the weights of the nodes by path.
-DOMAIN_SQL = "concat('d', CAST(CAST(regexp_extract(source, '([0-9]+)$', 1) AS INT) % 4 AS STRING))"
+#: The query's tree: the domain of a source is its number by four, which its last two digits give, however many there are; a source without
+#: a number at its end has one by its checksum.
+DOMAIN_SQL = (
+    "concat('d', CAST(coalesce(try_cast(right(regexp_extract(source, '([0-9]+)$', 1), 2) AS INT), crc32(CAST(source AS BINARY))) % 4 AS STRING))"
+)
 WEIGHTS = {
     ("d0",): 0.4, ("d1",): 0.3, ("d2",): 0.2, ("d3",): 0.1,
     ("*", "en"): 0.4, ("*", "de"): 0.3, ("*", "fr"): 0.2, ("*", "es"): 0.1,

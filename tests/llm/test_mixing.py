@@ -1,6 +1,7 @@
 import collections
 import hashlib
 import random
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -83,3 +84,16 @@ def test_against_a_plain_version(documents, seed, share, epochs, per_bucket):
 def test_no_rows(documents):
     assert mixing.mix_documents(documents([])).count() == 0
     assert mixing.mix_documents(documents([(1, "a b", "en", "src3")])).columns == ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def test_sources_without_a_small_number(documents):
+    sources = ["", "web", "src" + "9" * 29 + "7", "9" * 30, "src3", "7src", "src2147483650", "src٣", None]
+    docs = documents([(i, "w w w", "en", s) for i, s in enumerate(sources)])
+    got = {r.source: r.domain for r in docs.select("source", mixing.op7_levels()["domain"].alias("domain")).collect()}
+    by_sum = lambda s: f"d{zlib.crc32(s.encode()) % 4}"
+    assert got == {
+        "": by_sum(""), "web": by_sum("web"), sources[2]: f"d{int(sources[2][3:]) % 4}", "9" * 30: f"d{int('9' * 30) % 4}", "src3": "d3", "7src": by_sum("7src"),
+        "src2147483650": "d2", "src٣": by_sum("src٣"), None: None,
+    }
+    chosen = mixing.mix_documents(docs)
+    assert chosen.columns == docs.columns and 0 < chosen.count() <= 2 * len(sources)
