@@ -4,10 +4,11 @@ Terms are runs of ASCII letters and non-ASCII characters, with A-Z made small. W
 first cut at white space into chunks, and a chunk, however often it occurs, is cut into terms once.
 
 1. Documents are read in blocks of about ``BLOCK_WORDS`` chunks. A block gives one row per language and chunk: the numbers of
-   the documents that hold it (a posting list), and its count per source. So a frequent chunk is a row per block, not per document.
+   the documents that hold it (a posting list), and its count in each. So a frequent chunk is a row per block, not per document.
 2. The distinct chunks of all blocks are cut into terms with their multiplicity, and joined back to the posting rows.
-3. Rows of one block and term are joined: the distinct documents among their posting lists (a document may hold a term in several chunks)
-   and the occurrences per source. Lists are never longer than a block, and sums over blocks combine before their shuffle.
+3. The rows of a block come together again, which are no more than its documents made, and give per term the distinct documents among
+   its posting lists (a document may hold a term in several chunks) and its occurrences per source. Sums over blocks combine before
+   their shuffle.
 4. Each language keeps the terms of at least ``LEAST_DOCS`` of its documents. Every group and language gives each kept
    term the smoothed share ``p = 1 + floor(SCALE * (count + SMOOTH) / (N + SMOOTH * V))``, in decimals, so nothing is rounded.
 5. Part ``pair``: the sum over all kept terms of ``abs(p - q)`` for all pairs of sources of a language. Terms are dealt to tasks in
@@ -53,9 +54,9 @@ class Block:
 
     def __init__(self):
         self.words = 0
-        self.documents = 0
         self.langs: dict[str, list] = {}
-        self.sources: dict[str, int] = {}
+        self.names: dict[str, int] = {}
+        self.sources: list[int] = []  # of each document
 
     def add(self, words: list[bytes], lang: str, source: str) -> None:
         if lang not in self.langs:
@@ -63,44 +64,44 @@ class Block:
             numbers.default_factory = numbers.__len__
             self.langs[lang] = [numbers, []]
         numbers, parts = self.langs[lang]
-        ids = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
-        parts.append((ids, self.documents, self.sources.setdefault(source, len(self.sources))))
-        self.documents += 1
+        parts.append((np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)), len(self.sources)))
+        self.sources.append(self.names.setdefault(source, len(self.names)))
         self.words += len(words)
 
     def rows(self, block: int):
-        """Arrow batches of (block, lang, chunk, docs, sources, counts)."""
-        names = pa.array(list(self.sources), pa.string())
+        """Arrow batches of (block, lang, chunk, docs, counts, names). A first row without a chunk has the names of the sources,
+        and as counts the number of each document's source."""
+        size = len(self.sources)
+        if size:
+            yield _postings(block, None, [None], [0, size], np.arange(size), np.array(self.sources), [list(self.names)])
         for lang, (numbers, parts) in self.langs.items():
-            lengths = [len(ids) for ids, _, _ in parts]
-            ids = np.concatenate([ids for ids, _, _ in parts])
-            docs = np.repeat(np.array([d for _, d, _ in parts]), lengths)
-            sources = np.repeat(np.array([s for _, _, s in parts]), lengths)
-            held = np.unique(ids * self.documents + docs)
-            doc_ends = np.concatenate(([0], np.cumsum(np.bincount(held // self.documents, minlength=len(numbers)))))
-            by_source, counts = np.unique(ids * len(self.sources) + sources, return_counts=True)
-            source_ends = np.concatenate(([0], np.cumsum(np.bincount(by_source // len(self.sources), minlength=len(numbers)))))
-            held, by_source = (held % self.documents).astype(np.int32), by_source % len(self.sources)
+            ids = np.concatenate([ids for ids, _ in parts])
+            docs = np.repeat(np.array([d for _, d in parts]), [len(ids) for ids, _ in parts])
+            held, counts = np.unique(ids * size + docs, return_counts=True)
+            ends = np.concatenate(([0], np.cumsum(np.bincount(held // size, minlength=len(numbers)))))
+            held %= size
             chunks = list(numbers)
             for a in range(0, len(chunks), ROWS_OUT):
                 b = min(a + ROWS_OUT, len(chunks))
-                d, s = slice(doc_ends[a], doc_ends[b]), slice(source_ends[a], source_ends[b])
-                own = pa.array((source_ends[a : b + 1] - source_ends[a]).astype(np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(b - a, block, np.int64)),
-                        pa.array([lang] * (b - a), pa.string()),
-                        pa.array(chunks[a:b], pa.binary()),
-                        pa.ListArray.from_arrays(pa.array((doc_ends[a : b + 1] - doc_ends[a]).astype(np.int32)), pa.array(held[d])),
-                        pa.ListArray.from_arrays(own, names.take(pa.array(by_source[s]))),
-                        pa.ListArray.from_arrays(own, pa.array(counts[s].astype(np.int64))),
-                    ],
-                    names=["block", "lang", "chunk", "docs", "sources", "counts"],
-                )
+                own = slice(ends[a], ends[b])
+                yield _postings(block, lang, chunks[a:b], ends[a : b + 1] - ends[a], held[own], counts[own], [None] * (b - a))
+
+
+def _postings(block, lang, chunks, ends, docs, counts, names) -> pa.RecordBatch:
+    ends = pa.array(ends, pa.int32())
+    columns = [
+        pa.array(np.full(len(chunks), block, np.int64)),
+        pa.array([lang] * len(chunks), pa.string()),
+        pa.array(chunks, pa.binary()),
+        pa.ListArray.from_arrays(ends, pa.array(docs.astype(np.int32))),
+        pa.ListArray.from_arrays(ends, pa.array(counts.astype(np.int32))),
+        pa.array(names, pa.list_(pa.string())),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=["block", "lang", "chunk", "docs", "counts", "names"])
 
 
 def chunk_postings(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """block, lang, chunk, docs (numbers within the block), sources and their counts."""
+    """block, lang, chunk, docs (numbers within the block) and how often each holds the chunk; a row without a chunk per block."""
 
     def read(batches):
         number = TaskContext.get().partitionId() << 32
@@ -115,7 +116,7 @@ def chunk_postings(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame
         yield from block.rows(number)
 
     rows = docs.select(_text("text").cast("binary").alias("text"), _text("lang").alias("lang"), _text("source").alias("source"))
-    return map_batches(rows, read, "block long, lang string, chunk binary, docs array<int>, sources array<string>, counts array<long>")
+    return map_batches(rows, read, "block long, lang string, chunk binary, docs array<int>, counts array<int>, names array<string>")
 
 
 def _text(column: str) -> Column:
@@ -141,22 +142,66 @@ def chunk_terms(chunks: DataFrame) -> DataFrame:
     return map_batches(chunks.select("chunk"), cut, "chunk binary, terms array<struct<term: string, times: long>>")
 
 
+def _join_block(rows: pa.Table) -> pa.RecordBatch:
+    """Of one block's rows: per language and term the documents that hold it and the occurrences per source."""
+    rows = rows.combine_chunks()
+    is_head = rows.column("term").is_null().to_numpy()
+    head = rows.filter(pa.array(is_head))
+    names = pa.array(head.column("names")[0].as_py(), pa.string())
+    source_of = head.column("counts").combine_chunks().flatten().to_numpy()
+    rows = rows.filter(pa.array(~is_head)).combine_chunks()
+    lang, term = (rows.column(c).combine_chunks().dictionary_encode() for c in ("lang", "term"))
+    key, code = np.unique(
+        lang.indices.to_numpy().astype(np.int64) * len(term.dictionary) + term.indices.to_numpy(), return_inverse=True
+    )
+    docs = rows.column("docs").combine_chunks()
+    lengths = np.diff(docs.offsets.to_numpy())
+    docs = docs.flatten().to_numpy()
+    counts = rows.column("counts").combine_chunks().flatten().to_numpy() * np.repeat(rows.column("times").to_numpy(), lengths)
+    code = np.repeat(code, lengths)
+    df = np.bincount(np.unique(code * len(source_of) + docs) // len(source_of), minlength=len(key))
+    by_source = code * len(names) + source_of[docs]
+    order = np.argsort(by_source, kind="stable")
+    by_source = by_source[order]
+    first = np.flatnonzero(np.concatenate(([True], by_source[1:] != by_source[:-1]))) if len(by_source) else np.empty(0, np.int64)
+    sums = np.add.reduceat(counts[order], first) if len(first) else np.empty(0, np.int64)
+    by_source = by_source[first]
+    ends = pa.array(np.concatenate(([0], np.cumsum(np.bincount(by_source // len(names), minlength=len(key))))).astype(np.int32))
+    columns = [
+        lang.dictionary.take(pa.array(key // max(len(term.dictionary), 1))),
+        term.dictionary.take(pa.array(key % max(len(term.dictionary), 1))),
+        pa.array(df.astype(np.int64)),
+        pa.ListArray.from_arrays(ends, names.take(pa.array(by_source % len(names)))),
+        pa.ListArray.from_arrays(ends, pa.array(sums.astype(np.int64))),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=["lang", "term", "df", "sources", "counts"])
+
+
 def block_terms(postings: DataFrame) -> DataFrame:
-    """Per block, language and term: df (its documents there), sources and their counts (a source may stand there twice)."""
-    terms = chunk_terms(postings.select("chunk").distinct())
-    found = postings.join(terms, "chunk").select("block", "lang", "docs", "sources", "counts", F.inline("terms"))
-    return (
-        found.groupBy("block", "lang", "term")
-        .agg(
-            F.collect_list("docs").alias("docs"),
-            F.flatten(F.collect_list("sources")).alias("sources"),
-            F.flatten(F.collect_list(F.transform("counts", lambda n: n * F.col("times")))).alias("counts"),
-        )
-        .select(
-            "lang", "term", "sources", "counts",
-            F.when(F.size("docs") == 1, F.size(F.col("docs")[0])).otherwise(F.size(F.array_distinct(F.flatten("docs")))).alias("df"),
-        )
-    )
+    """Per block, language and term: df (its documents there), sources and their counts."""
+    heads = postings.where("chunk IS NULL")
+    chunks = postings.where("chunk IS NOT NULL").drop("names")
+    found = chunks.join(chunk_terms(chunks.select("chunk").distinct()), "chunk")
+    found = found.select("block", "lang", "docs", "counts", F.inline("terms")).unionByName(heads.drop("chunk"), allowMissingColumns=True)
+
+    def read(batches):
+        held, at = [], None
+        for batch in batches:
+            blocks = batch.column(0).to_numpy()
+            edges = [0, *(np.flatnonzero(blocks[1:] != blocks[:-1]) + 1).tolist(), len(blocks)]
+            for a, b in zip(edges[:-1], edges[1:]):
+                if a == b:
+                    continue
+                if held and blocks[a] != at:
+                    yield _join_block(pa.Table.from_batches(held))
+                    held = []
+                held.append(batch.slice(a, b - a))
+                at = blocks[a]
+        if held:
+            yield _join_block(pa.Table.from_batches(held))
+
+    dealt = found.repartition("block").sortWithinPartitions("block")
+    return map_batches(dealt, read, "lang string, term string, df long, sources array<string>, counts array<long>")
 
 
 def source_terms(docs: DataFrame, least_docs: int = LEAST_DOCS, block_words: int = BLOCK_WORDS) -> DataFrame:
