@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import decontaminate, licenses, mixing, neighbours, pii, quality, records, simhash, toxicity, warc
+from millrace.llm import decontaminate, divergence, licenses, mixing, neighbours, pii, quality, records, simhash, toxicity, warc
 
 QUERIES = {
     "op6_licenses": licenses.op6_licenses,
@@ -15,9 +15,11 @@ QUERIES = {
     "op4_warc": warc.op4_warc,
     "op1_token_records": records.op1_token_records,
     "op9_decontaminate": decontaminate.op9_decontaminate,
+    "op13_divergence": divergence.op13_divergence,
 }
 
 ORACLES = {
     "op4_warc": warc.OP4_SQL,
     "op9_decontaminate": decontaminate.OP9_SQL,
+    "op13_divergence": divergence.OP13_SQL,
 }
