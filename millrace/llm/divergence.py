@@ -3,18 +3,21 @@
 Terms are runs of ASCII letters and non-ASCII characters, with A-Z made small. White space never lies inside a term, so a text is
 first cut at white space into chunks, and a chunk, however often it occurs, is cut into terms once.
 
-1. Documents are read in blocks of about ``BLOCK_WORDS`` chunks. A block gives one row per language and chunk: the numbers of
-   the documents that hold it (a posting list), and its count in each. So a frequent chunk is a row per block, not per document.
-2. The distinct chunks of all blocks are cut into terms with their multiplicity, and joined back to the posting rows.
-3. The rows of a block come together again, which are no more than its documents made, and give per term the distinct documents among
-   its posting lists (a document may hold a term in several chunks) and its occurrences per source. Sums over blocks combine before
-   their shuffle.
-4. Each language keeps the terms of at least ``LEAST_DOCS`` of its documents. Every group and language gives each kept
-   term the smoothed share ``p = 1 + floor(SCALE * (count + SMOOTH) / (N + SMOOTH * V))``, in decimals, so nothing is rounded.
-5. Part ``pair``: the sum over all kept terms of ``abs(p - q)`` for all pairs of sources of a language. Terms are dealt to tasks in
-   buckets, each of which holds the terms as rows and the sources as columns and adds up whole columns; sources beyond
+1. Documents are read in blocks of one language and about ``BLOCK_WORDS`` chunks. A block counts the chunks of each document, and
+   gives its distinct chunks with their posting lists (document and count), a row of arrays for each bucket of the chunk's checksum.
+2. The chunks of a bucket, from all blocks, come together. Each distinct one is cut into terms, and its terms go back to
+   every block that has it.
+3. A block joins terms and posting lists: per term the distinct documents that hold it (in however many chunks) and the occurrences per
+   source, a row of arrays for each bucket of the term's checksum.
+4. The terms of a bucket come together. Those of at least ``LEAST_DOCS`` documents of the language are kept, with their counts per source.
+5. Every group and language gives each kept term the smoothed share ``p = 1 + floor(SCALE * (count + SMOOTH) / (N + SMOOTH * V))``,
+   in decimals, so nothing is rounded. Part ``pair``: the sum over all kept terms of ``abs(p - q)`` for all pairs of sources of a language. Terms
+   are dealt to tasks in buckets, each of which holds the terms as rows and the sources as columns and adds up whole columns; sources beyond
    ``SOURCES`` are dealt to several tasks as well. Part ``term``: the ``TOP`` kept terms with ``p`` furthest above the language's own.
 
+A chunk or term, however frequent, is one entry per block wherever it is shuffled. There are ``BUCKETS_A_TASK`` buckets for each task that
+reads documents, so a bucket holds what a part of a task found, at every size; a block is bounded by itself.
+
 Defined results: NULL text, language and source count as empty. Every (language, source) that occurs is a group, also without a
 term; with no kept term all its pairs have value 0. Repeated rows and ids count as documents of their own, as the id is not looked at. An
 empty table gives no rows. Extra columns are not read. A text of any length is one document; a chunk of any length is one chunk. The
@@ -24,7 +27,9 @@ table of documents is read twice, for texts and for groups.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter, defaultdict
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,182 +40,276 @@ from pyspark.sql import functions as F
 from millrace.llm.common import map_batches, table
 from millrace.session import materialise
 
-BLOCK_WORDS = 1_000_000
+BLOCK_WORDS = 4_000_000
+BUCKETS_A_TASK = 4
 LEAST_DOCS = 30
 SMOOTH = 5
 SCALE = 1_000_000_000
 TOP = 50
 SOURCES = 512  # columns that one task adds up
-BUCKET_ROWS = 200_000  # (term, source) rows of a bucket, about
+BUCKET_ROWS = 200_000  # (term, source) rows of a bucket of pairs, about
 CELLS = 1 << 20  # of a matrix that is held at once
-ROWS_OUT = 50_000
 TERM = re.compile(rb"[a-z\x80-\xff]+")  # in UTF-8 every byte of a non-ASCII character is above 0x7f
 
-# ---- chunks of documents ----------------------------------------------------------------------------------------
+BLOCK_ROWS = """block long, bucket int, lang string, chunks array<binary>, lengths array<int>, docs array<int>, counts array<int>,
+    names array<string>, sources array<int>"""
+TERM_ROWS = "block long, bucket int, owners array<int>, terms array<string>, times array<int>"
+COUNT_ROWS = "lang string, bucket int, terms array<string>, dfs array<int>, lengths array<int>, sources array<string>, counts array<long>"
+
+
+def _text(column: str) -> Column:
+    return F.coalesce(F.col(column).cast("string"), F.lit(""))
+
+
+def _bucket(values: list[bytes], buckets: int) -> np.ndarray:
+    return np.fromiter(map(zlib.crc32, values), np.int64, len(values)) % buckets
+
+
+def _edges(lengths: np.ndarray) -> np.ndarray:
+    return np.concatenate(([0], np.cumsum(lengths)))
+
+
+def _lists(values: pa.Array, edges: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(edges, pa.int32()), values)
+
+
+def _int_lists(values: np.ndarray, edges: np.ndarray) -> pa.ListArray:
+    return _lists(pa.array(values.astype(np.int32)), edges)
+
+
+def _flat(rows: pa.Table, column: str) -> pa.Array:
+    return rows.column(column).combine_chunks().flatten()
+
+
+def _numbers(rows: pa.Table, column: str) -> np.ndarray:
+    return _flat(rows, column).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _list_lengths(rows: pa.Table, column: str) -> np.ndarray:
+    return np.diff(rows.column(column).combine_chunks().offsets.to_numpy())
+
+
+def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, as many as its length, in a row."""
+    return np.arange(lengths.sum()) + np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
+
+
+def _sums(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, ascending, and the sum of the values of each."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.empty(0, np.int64)
+    return keys[first], np.add.reduceat(values[order], first) if len(first) else np.empty(0, np.int64)
+
+
+def _distinct(keys: np.ndarray) -> np.ndarray:
+    keys = np.sort(keys)
+    return keys[np.concatenate(([True], keys[1:] != keys[:-1]))] if len(keys) else keys
+
+
+# ---- 1: chunks of documents -------------------------------------------------------------------------------------
 
 
 class Block:
-    """Documents of one block, whose chunks are numbered per language."""
+    """Documents of one language; chunks are numbered as they come."""
 
     def __init__(self):
+        self.numbers: defaultdict[bytes, int] = defaultdict()
+        self.numbers.default_factory = self.numbers.__len__
         self.words = 0
-        self.langs: dict[str, list] = {}
+        self.ids: list[np.ndarray] = []
         self.names: dict[str, int] = {}
         self.sources: list[int] = []  # of each document
 
-    def add(self, words: list[bytes], lang: str, source: str) -> None:
-        if lang not in self.langs:
-            numbers: defaultdict[bytes, int] = defaultdict()
-            numbers.default_factory = numbers.__len__
-            self.langs[lang] = [numbers, []]
-        numbers, parts = self.langs[lang]
-        parts.append((np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)), len(self.sources)))
+    def add(self, words: list[bytes], source: str) -> None:
+        self.ids.append(np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words)))
         self.sources.append(self.names.setdefault(source, len(self.names)))
         self.words += len(words)
 
-    def rows(self, block: int):
-        """Arrow batches of (block, lang, chunk, docs, counts, names). A first row without a chunk has the names of the sources,
-        and as counts the number of each document's source."""
-        size = len(self.sources)
-        if size:
-            yield _postings(block, None, [None], [0, size], np.arange(size), np.array(self.sources), [list(self.names)])
-        for lang, (numbers, parts) in self.langs.items():
-            ids = np.concatenate([ids for ids, _ in parts])
-            docs = np.repeat(np.array([d for _, d in parts]), [len(ids) for ids, _ in parts])
-            held, counts = np.unique(ids * size + docs, return_counts=True)
-            ends = np.concatenate(([0], np.cumsum(np.bincount(held // size, minlength=len(numbers)))))
-            held %= size
-            chunks = list(numbers)
-            for a in range(0, len(chunks), ROWS_OUT):
-                b = min(a + ROWS_OUT, len(chunks))
-                own = slice(ends[a], ends[b])
-                yield _postings(block, lang, chunks[a:b], ends[a : b + 1] - ends[a], held[own], counts[own], [None] * (b - a))
-
-
-def _postings(block, lang, chunks, ends, docs, counts, names) -> pa.RecordBatch:
-    ends = pa.array(ends, pa.int32())
-    columns = [
-        pa.array(np.full(len(chunks), block, np.int64)),
-        pa.array([lang] * len(chunks), pa.string()),
-        pa.array(chunks, pa.binary()),
-        pa.ListArray.from_arrays(ends, pa.array(docs.astype(np.int32))),
-        pa.ListArray.from_arrays(ends, pa.array(counts.astype(np.int32))),
-        pa.array(names, pa.list_(pa.string())),
-    ]
-    return pa.RecordBatch.from_arrays(columns, names=["block", "lang", "chunk", "docs", "counts", "names"])
-
-
-def chunk_postings(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """block, lang, chunk, docs (numbers within the block) and how often each holds the chunk; a row without a chunk per block."""
+    def rows(self, block: int, lang: str, buckets: int) -> pa.RecordBatch:
+        """A row per bucket: chunks, the lengths of their posting lists, and the lists. The first has the names of the sources and the
+        source of each document."""
+        chunks = list(self.numbers)
+        bucket = _bucket(chunks, buckets)
+        order = np.argsort(bucket, kind="stable")
+        place = np.empty_like(order)
+        place[order] = np.arange(len(order))
+        docs = np.repeat(np.arange(len(self.ids)), [len(i) for i in self.ids])
+        keys = place[np.concatenate(self.ids)] * len(self.ids) + docs
+        keys.sort()
+        first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+        counts = np.diff(np.append(first, len(keys)))
+        held = keys[first]
+        lengths = np.bincount(held // len(self.ids), minlength=len(chunks))
+        bucket = bucket[order]
+        used, begin = np.unique(bucket, return_index=True)
+        of_chunks = np.append(begin, len(chunks))
+        of_postings = _edges(lengths)[of_chunks]
+        rest = [None] * (len(used) - 1)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.full(len(used), block, np.int64)),
+                pa.array(used.astype(np.int32)),
+                pa.array([lang] * len(used), pa.string()),
+                _lists(pa.array([chunks[i] for i in order.tolist()], pa.binary()), of_chunks),
+                _int_lists(lengths, of_chunks),
+                _int_lists(held % len(self.ids), of_postings),
+                _int_lists(counts, of_postings),
+                pa.array([list(self.names), *rest], pa.list_(pa.string())),
+                pa.array([self.sources, *rest], pa.list_(pa.int32())),
+            ],
+            names=["block", "bucket", "lang", "chunks", "lengths", "docs", "counts", "names", "sources"],
+        )
+
+
+def chunk_blocks(docs: DataFrame, buckets: int, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The rows of all blocks (``BLOCK_ROWS``)."""
 
     def read(batches):
         number = TaskContext.get().partitionId() << 32
-        block = Block()
+        blocks: dict[str, Block] = {}
+        words = 0
         for batch in batches:
             for text, lang, source in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                if words := text.split():  # bytes are split at ASCII white space only
-                    block.add(words, lang, source)
-                if block.words >= block_words:
-                    yield from block.rows(number)
-                    number, block = number + 1, Block()
-        yield from block.rows(number)
+                if not (chunks := text.split()):  # bytes are split at ASCII white space only
+                    continue
+                blocks.setdefault(lang, Block()).add(chunks, source)
+                words += len(chunks)
+                if words >= block_words:
+                    for n, own in blocks.items():
+                        yield own.rows(number, n, buckets)
+                        number += 1
+                    blocks, words = {}, 0
+        for n, own in blocks.items():
+            yield own.rows(number, n, buckets)
+            number += 1
 
     rows = docs.select(_text("text").cast("binary").alias("text"), _text("lang").alias("lang"), _text("source").alias("source"))
-    return map_batches(rows, read, "block long, lang string, chunk binary, docs array<int>, counts array<int>, names array<string>")
-
+    return map_batches(rows, read, BLOCK_ROWS)
+
+
+# ---- 2: terms of chunks -----------------------------------------------------------------------------------------
+
+
+def _cut_bucket(rows: pa.Table) -> pa.Table:
+    """For each block's row of a bucket the terms of its chunks: owner (place of the chunk in the row), term and times."""
+    coded = _flat(rows, "chunks").dictionary_encode()
+    found = [TERM.findall(c.lower()) for c in coded.dictionary.to_pylist()]  # each distinct chunk once
+    counted = {i: Counter(f) for i, f in enumerate(found) if len(f) > 1}
+    found = [list(counted[i]) if i in counted else f for i, f in enumerate(found)]
+    times = list(chain.from_iterable(counted[i].values() if i in counted else [1] * len(f) for i, f in enumerate(found)))
+    lengths = np.fromiter(map(len, found), np.int64, len(found))
+    terms = pa.array(list(chain.from_iterable(found)), pa.binary()).cast(pa.string())
+    # back to the rows
+    chunk = coded.indices.to_numpy()
+    per_row = _list_lengths(rows, "chunks")
+    owner = np.repeat(_ranges(np.zeros(len(per_row), np.int64), per_row), lengths[chunk])
+    entry = _ranges(_edges(lengths)[:-1][chunk], lengths[chunk])
+    edges = _edges(lengths[chunk])[_edges(per_row)]
+    return pa.table(
+        {
+            "block": rows.column("block"),
+            "bucket": rows.column("bucket"),
+            "owners": _int_lists(owner, edges),
+            "terms": _lists(terms.take(pa.array(entry)), edges),
+            "times": _int_lists(np.array(times, np.int64)[entry], edges),
+        }
+    )
 
-def _text(column: str) -> Column:
-    return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
+def chunk_terms(blocks: DataFrame) -> DataFrame:
+    """The terms of the chunks of every block (``TERM_ROWS``)."""
+    return blocks.select("block", "bucket", "chunks").groupBy("bucket").applyInArrow(_cut_bucket, TERM_ROWS)
+
+
+# ---- 3: terms of blocks -----------------------------------------------------------------------------------------
+
+
+def _join_block(rows: pa.Table, found: pa.Table, buckets: int) -> pa.Table:
+    """Per term of a block the documents that hold it and its occurrences per source, in rows by bucket of the term."""
+    rows, found = rows.sort_by("bucket"), found.sort_by("bucket")
+    heads = rows.column("names").is_valid()
+    names = pa.array(rows.filter(heads).column("names")[0].as_py(), pa.string())
+    source_of = np.array(rows.filter(heads).column("sources")[0].as_py(), np.int64)
+    size = len(source_of)
+    # the posting list of every chunk, and the chunk of every term
+    lengths = _numbers(rows, "lengths")
+    starts = _edges(lengths)[:-1]
+    first = _edges(_list_lengths(rows, "chunks"))[:-1]
+    owner = np.repeat(first, _list_lengths(found, "terms")) + _numbers(found, "owners")
+    coded = _flat(found, "terms").dictionary_encode()
+    code, times = coded.indices.to_numpy().astype(np.int64), _numbers(found, "times")
+    at = _ranges(starts[owner], lengths[owner])
+    docs = _numbers(rows, "docs")[at]
+    counts = _numbers(rows, "counts")[at] * np.repeat(times, lengths[owner])
+    code = np.repeat(code, lengths[owner])
+    # terms in the order of their buckets
+    terms = coded.dictionary
+    bucket = _bucket(terms.cast(pa.binary()).to_pylist(), buckets)
+    order = np.argsort(bucket, kind="stable")
+    place = np.empty_like(order)
+    place[order] = np.arange(len(order))
+    code, bucket = place[code], bucket[order]
+    dfs = np.bincount(_distinct(code * size + docs) // size, minlength=len(terms))
+    keys, sums = _sums(code * len(names) + source_of[docs], counts)
+    per_term = np.bincount(keys // len(names), minlength=len(terms))
+    used, begin = np.unique(bucket, return_index=True)
+    of_terms = np.append(begin, len(terms))
+    of_counts = _edges(per_term)[of_terms]
+    return pa.table(
+        {
+            "lang": pa.array([rows.column("lang")[0].as_py()] * len(used), pa.string()),
+            "bucket": pa.array(used.astype(np.int32)),
+            "terms": _lists(terms.take(pa.array(order)), of_terms),
+            "dfs": _int_lists(dfs, of_terms),
+            "lengths": _int_lists(per_term, of_terms),
+            "sources": _lists(names.take(pa.array(keys % len(names))), of_counts),
+            "counts": _lists(pa.array(sums.astype(np.int64)), of_counts),
+        }
+    )
 
-def chunk_terms(chunks: DataFrame) -> DataFrame:
-    """chunk, terms: the terms of each chunk that has any, with how often they stand in it."""
 
-    def cut(batches):
-        for batch in batches:
-            chunks = batch.column(0).to_pylist()
-            found = [Counter(TERM.findall(c.lower())) for c in chunks]
-            some = [i for i, f in enumerate(found) if f]
-            ends = pa.array(np.cumsum([0, *(len(found[i]) for i in some)]).astype(np.int32))
-            terms = pa.array([t for i in some for t in found[i]], pa.binary()).cast(pa.string())
-            times = pa.array([n for i in some for n in found[i].values()], pa.int64())
-            pairs = pa.StructArray.from_arrays([terms, times], names=["term", "times"])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([chunks[i] for i in some], pa.binary()), pa.ListArray.from_arrays(ends, pairs)], names=["chunk", "terms"]
-            )
-
-    return map_batches(chunks.select("chunk"), cut, "chunk binary, terms array<struct<term: string, times: long>>")
-
-
-def _join_block(rows: pa.Table) -> pa.RecordBatch:
-    """Of one block's rows: per language and term the documents that hold it and the occurrences per source."""
-    rows = rows.combine_chunks()
-    is_head = rows.column("term").is_null().to_numpy()
-    head = rows.filter(pa.array(is_head))
-    names = pa.array(head.column("names")[0].as_py(), pa.string())
-    source_of = head.column("counts").combine_chunks().flatten().to_numpy()
-    rows = rows.filter(pa.array(~is_head)).combine_chunks()
-    lang, term = (rows.column(c).combine_chunks().dictionary_encode() for c in ("lang", "term"))
-    key, code = np.unique(
-        lang.indices.to_numpy().astype(np.int64) * len(term.dictionary) + term.indices.to_numpy(), return_inverse=True
+def block_terms(blocks: DataFrame, terms: DataFrame, buckets: int) -> DataFrame:
+    """The terms of every block (``COUNT_ROWS``)."""
+    return (
+        blocks.groupBy("block")
+        .cogroup(terms.groupBy("block"))
+        .applyInArrow(lambda rows, found: _join_block(rows, found, buckets), COUNT_ROWS)
     )
-    docs = rows.column("docs").combine_chunks()
-    lengths = np.diff(docs.offsets.to_numpy())
-    docs = docs.flatten().to_numpy()
-    counts = rows.column("counts").combine_chunks().flatten().to_numpy() * np.repeat(rows.column("times").to_numpy(), lengths)
-    code = np.repeat(code, lengths)
-    df = np.bincount(np.unique(code * len(source_of) + docs) // len(source_of), minlength=len(key))
-    by_source = code * len(names) + source_of[docs]
-    order = np.argsort(by_source, kind="stable")
-    by_source = by_source[order]
-    first = np.flatnonzero(np.concatenate(([True], by_source[1:] != by_source[:-1]))) if len(by_source) else np.empty(0, np.int64)
-    sums = np.add.reduceat(counts[order], first) if len(first) else np.empty(0, np.int64)
-    by_source = by_source[first]
-    ends = pa.array(np.concatenate(([0], np.cumsum(np.bincount(by_source // len(names), minlength=len(key))))).astype(np.int32))
-    columns = [
-        lang.dictionary.take(pa.array(key // max(len(term.dictionary), 1))),
-        term.dictionary.take(pa.array(key % max(len(term.dictionary), 1))),
-        pa.array(df.astype(np.int64)),
-        pa.ListArray.from_arrays(ends, names.take(pa.array(by_source % len(names)))),
-        pa.ListArray.from_arrays(ends, pa.array(sums.astype(np.int64))),
-    ]
-    return pa.RecordBatch.from_arrays(columns, names=["lang", "term", "df", "sources", "counts"])
-
-
-def block_terms(postings: DataFrame) -> DataFrame:
-    """Per block, language and term: df (its documents there), sources and their counts."""
-    heads = postings.where("chunk IS NULL")
-    chunks = postings.where("chunk IS NOT NULL").drop("names")
-    found = chunks.join(chunk_terms(chunks.select("chunk").distinct()), "chunk")
-    found = found.select("block", "lang", "docs", "counts", F.inline("terms")).unionByName(heads.drop("chunk"), allowMissingColumns=True)
 
-    def read(batches):
-        held, at = [], None
-        for batch in batches:
-            blocks = batch.column(0).to_numpy()
-            edges = [0, *(np.flatnonzero(blocks[1:] != blocks[:-1]) + 1).tolist(), len(blocks)]
-            for a, b in zip(edges[:-1], edges[1:]):
-                if a == b:
-                    continue
-                if held and blocks[a] != at:
-                    yield _join_block(pa.Table.from_batches(held))
-                    held = []
-                held.append(batch.slice(a, b - a))
-                at = blocks[a]
-        if held:
-            yield _join_block(pa.Table.from_batches(held))
 
-    dealt = found.repartition("block").sortWithinPartitions("block")
-    return map_batches(dealt, read, "lang string, term string, df long, sources array<string>, counts array<long>")
+# ---- 4: kept terms ----------------------------------------------------------------------------------------------
+
+
+def _keep_terms(rows: pa.Table, least_docs: int) -> pa.Table:
+    """Of one language and bucket the terms of enough documents, with their occurrences per source."""
+    coded = _flat(rows, "terms").dictionary_encode()
+    code = coded.indices.to_numpy().astype(np.int64)
+    total = np.zeros(len(coded.dictionary), np.int64)
+    np.add.at(total, code, _numbers(rows, "dfs"))
+    names = _flat(rows, "sources").dictionary_encode()
+    owner = np.repeat(code, _numbers(rows, "lengths"))
+    kept = total[owner] >= least_docs
+    keys = owner * max(len(names.dictionary), 1) + names.indices.to_numpy()
+    keys, sums = _sums(keys[kept], _numbers(rows, "counts")[kept])
+    return pa.table(
+        {
+            "lang": pa.array([rows.column("lang")[0].as_py()] * len(keys), pa.string()),
+            "term": coded.dictionary.take(pa.array(keys // max(len(names.dictionary), 1))),
+            "source": names.dictionary.take(pa.array(keys % max(len(names.dictionary), 1))),
+            "n": pa.array(sums.astype(np.int64)),
+        }
+    )
 
 
-def source_terms(docs: DataFrame, least_docs: int = LEAST_DOCS, block_words: int = BLOCK_WORDS) -> DataFrame:
+def source_terms(docs: DataFrame, least_docs: int = LEAST_DOCS, block_words: int = BLOCK_WORDS, buckets: int | None = None) -> DataFrame:
     """lang, term, source, n: occurrences of each kept term in each group that has any."""
-    postings = materialise(chunk_postings(docs, block_words), "divergence-chunks")
-    blocks = materialise(block_terms(postings), "divergence-terms")
-    kept = blocks.groupBy("lang", "term").agg(F.sum("df").alias("df")).where(F.col("df") >= least_docs).select("lang", "term")
-    each = blocks.join(kept, ["lang", "term"], "left_semi").select("lang", "term", F.inline(F.arrays_zip("sources", "counts")))
-    return each.groupBy("lang", "term", F.col("sources").alias("source")).agg(F.sum("counts").alias("n"))
+    buckets = buckets or BUCKETS_A_TASK * max(docs.rdd.getNumPartitions(), 2)  # plans the scan only
+    blocks = materialise(chunk_blocks(docs, buckets, block_words), "divergence-chunks")
+    found = block_terms(blocks, chunk_terms(blocks), buckets)
+    return found.groupBy("lang", "bucket").applyInArrow(
+        lambda rows: _keep_terms(rows, least_docs), "lang string, term string, source string, n long"
+    )
 
 
 # ---- shares and their differences -------------------------------------------------------------------------------

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import decontaminate, divergence, licenses, mixing, neighbours, pieces, pii, quality, records, simhash, toxicity, warc
+from millrace.llm import decontaminate, divergence, licenses, mixing, neighbours, periodic, pieces, pii, quality, records, simhash, toxicity, warc
 
 QUERIES = {
     "op6_licenses": licenses.op6_licenses,
@@ -16,6 +16,7 @@ QUERIES = {
     "op1_token_records": records.op1_token_records,
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op11_pieces": pieces.op11_pieces,
+    "op12_periodic": periodic.op12_periodic,
     "op13_divergence": divergence.op13_divergence,
 }
 
