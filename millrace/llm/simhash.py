@@ -6,9 +6,10 @@ set in more than half of the shingles' XXH64 (seed 42). A text without words has
 
 Candidates. Two fingerprints that differ in at most ``distance`` bits agree wholly in at least ``BLOCKS - distance`` of
 ``BLOCKS`` blocks of bits. So distinct fingerprints are dealt out once for each choice of that many blocks, by the bits there,
-and every linked pair meets in some group. A group that has more than ``most`` fingerprints is dealt out again in the same way
-by the bits that its members need not share; as members are distinct, a group whose free bits are few is small in any case.
-So no group grows with the input, however many fingerprints lie close together.
+and every linked pair meets in some group. A group of more than ``most`` fingerprints is sorted by Gray rank on Spark and cut into runs of
+half as many. A run's agreed bits stand for it in the same tree as below, which finds the pairs of runs that may hold linked fingerprints;
+each such pair is a group of its own. So no group grows with the input, however many fingerprints lie close together, and what is done
+does not depend on how dense they are: there is one round.
 
 Index. A task sorts the fingerprints of its groups by Gray rank and builds a tree over each group: a node covers a run of the
 order, and holds the bits on which all below it agree, as a mask and their pattern. The group is joined with itself by walking
@@ -31,6 +32,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -94,36 +96,69 @@ def _shared_masks(fixed: int, distance: int, blocks: int) -> list[int]:
 
 
 def groups(codes: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS, most: int = MOST) -> DataFrame:
-    """code, mask, key: every pair of distinct codes within the distance shares a (mask, key), and no group has more
-    than ``most`` codes. Each round fixes a quarter of the free bits, so it ends when few are free at the latest."""
+    """code, mask, key: every pair of distinct codes within the distance shares a (mask, key), and no group has more than ``most`` codes."""
     if most < 1 << blocks:
         raise ValueError("a group must hold as many codes as one bit per block can make")
-    open_masks, done = [0], []
-    current = codes.select("code", F.lit(0).cast("long").alias("mask"), F.lit(0).cast("long").alias("key"))
-    while True:
-        # deal out the groups that are too large by each choice of shared bits
-        choice = F.create_map(
-            *[
-                x
-                for m in open_masks
-                for x in (F.lit(_signed(m)), F.array(*[F.lit(_signed(s)).cast("long") for s in _shared_masks(m, distance, blocks)]))
-            ]
-        )
-        dealt = current.select("code", F.explode(choice[F.col("mask")]).alias("mask")).withColumn(
-            "key", F.col("code").bitwiseAND(F.col("mask"))
-        )
-        sizes = dealt.groupBy("mask", "key").agg(F.count("*").alias("n")).where(F.col("n") > most)
-        large = materialise(sizes.select("mask", "key"), "simhash-large")
-        open_masks = [row.mask & (1 << 64) - 1 for row in large.select("mask").distinct().collect()]
-        if not open_masks:
-            done.append(dealt)
-            break
-        done.append(dealt.join(large, ["mask", "key"], "left_anti"))
-        current = materialise(dealt.join(large, ["mask", "key"], "left_semi"), "simhash-again")
-    out = done[0]
-    for more in done[1:]:
-        out = out.unionByName(more)
-    return out.select("code", "mask", "key")
+    masks = F.array(*[F.lit(_signed(m)).cast("long") for m in _shared_masks(0, distance, blocks)])
+    dealt = codes.select("code", F.explode(masks).alias("mask")).withColumn("key", F.col("code").bitwiseAND(F.col("mask")))
+    sizes = dealt.groupBy("mask", "key").agg(F.count("*").alias("n")).where(F.col("n") > most)
+    large = materialise(sizes.select("mask", "key"), "simhash-large")
+    if large.isEmpty():
+        return dealt
+    small = dealt.join(large, ["mask", "key"], "left_anti").select("code", "mask", "key")
+    return small.unionByName(run_pairs(dealt.join(large, ["mask", "key"], "left_semi"), distance, most))
+
+
+def run_pairs(dealt: DataFrame, distance: int, most: int) -> DataFrame:
+    """code, mask, key of large groups, where mask and key are the numbers of two runs of a group (below zero, so that they are no bits)."""
+    rank = F.col("code")
+    for shift in (1, 2, 4, 8, 16, 32):
+        rank = rank.bitwiseXOR(F.shiftrightunsigned(rank, shift))
+    ordered = dealt.select("code", "mask", "key", rank.alias("rank"))
+    ordered = ordered.repartitionByRange("mask", "key", "rank").sortWithinPartitions("mask", "key", "rank").drop("rank")
+    half = most // 2
+
+    def cut(batches):
+        run, held, last = (TaskContext.get().partitionId() + 1) << 32, 0, None
+        for batch in batches:
+            mask, key = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            runs = np.empty(batch.num_rows, np.int64)
+            edges = np.flatnonzero((mask[1:] != mask[:-1]) | (key[1:] != key[:-1])) + 1
+            for a, b in zip([0, *edges.tolist()], [*edges.tolist(), batch.num_rows]):
+                if a == b:
+                    continue
+                if (mask[a], key[a]) != last:
+                    run, held, last = run + 1, 0, (mask[a], key[a])
+                number = held + np.arange(b - a)
+                runs[a:b] = run + number // half
+                run, held = run + (held + b - a) // half, (held + b - a) % half
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(-runs)], names=["code", "mask", "key", "run"])
+
+    runs = materialise(map_batches(ordered, cut, "code long, mask long, key long, run long"), "simhash-runs")
+    agreed = runs.groupBy("mask", "key", "run").agg(F.bit_and("code").alias("all"), F.bit_or("code").alias("any"))
+    # a row per run: a group is here a small part of itself
+    pairs = agreed.groupBy("mask", "key").applyInArrow(lambda rows: _near_runs(rows, distance), "run long, a long, b long")
+    return runs.select("run", "code").join(pairs, "run").select("code", F.col("a").alias("mask"), F.col("b").alias("key"))
+
+
+def _near_runs(rows: pa.Table, distance: int) -> pa.Table:
+    """The pairs (a, b) of runs of a group whose agreed bits differ in at most ``distance`` places, a row for each of both; a run is
+    paired with itself as well."""
+    run = rows.column("run").to_numpy()
+    low, high = (rows.column(c).to_numpy().view(np.uint64) for c in ("all", "any"))
+    mask, pattern = ~(low ^ high), low
+    order = np.argsort(gray_rank(pattern), kind="stable")
+    run = run[order]
+    a, b = near_pairs(build_levels(pattern[order], np.array([0, len(run)]), mask[order]), distance)
+    first, second = np.minimum(run[a], run[b]), np.maximum(run[a], run[b])
+    apart = first != second
+    return pa.table(
+        {
+            "run": np.concatenate((first, second[apart])),
+            "a": np.concatenate((first, first[apart])),
+            "b": np.concatenate((second, second[apart])),
+        }
+    )
 
 
 # ---- the index --------------------------------------------------------------------------------------------------
@@ -166,10 +201,12 @@ class Level:
         self.starts, self.ends, self.mask, self.pattern, self.child, self.children = starts, ends, mask, pattern, child, children
 
 
-def build_levels(codes: np.ndarray, bounds: np.ndarray) -> list[Level]:
-    """Levels from the codes up to one node per group; ``bounds`` are the group edges over the sorted codes."""
+def build_levels(codes: np.ndarray, bounds: np.ndarray, full: np.ndarray | None = None) -> list[Level]:
+    """Levels from the codes up to one node per group; ``bounds`` are the group edges over the sorted codes, ``full`` the bits that count
+    of each code (all, if not given)."""
     size = len(codes)
-    full = np.full(size, np.uint64(0xFFFFFFFFFFFFFFFF))
+    if full is None:
+        full = np.full(size, np.uint64(0xFFFFFFFFFFFFFFFF))
     places = np.arange(size)
     levels = [Level(places, places + 1, full, codes, places, np.zeros(size, np.int64))]
     counts = np.diff(bounds)
@@ -187,6 +224,37 @@ def build_levels(codes: np.ndarray, bounds: np.ndarray) -> list[Level]:
     return levels
 
 
+def _children(level: Level, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of children of pairs of nodes, each unordered pair once."""
+    na, nb = level.children[a], level.children[b]
+    total = na * nb
+    pair = np.repeat(np.arange(len(a)), total)
+    place = np.arange(total.sum()) - np.repeat(np.cumsum(total) - total, total)
+    left, right = level.child[a][pair] + place // nb[pair], level.child[b][pair] + place % nb[pair]
+    once = left <= right
+    return left[once], right[once]
+
+
+def near_pairs(levels: list[Level], distance: int, chunk: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
+    """The unordered pairs of leaves (a leaf with itself included) whose agreed bits differ in at most ``distance`` places."""
+    top = levels[-1]
+    found = [(np.empty(0, np.int64), np.empty(0, np.int64))]
+    stack = [(len(levels) - 1, np.arange(len(top.starts)), np.arange(len(top.starts)))]
+    while stack:
+        height, a, b = stack.pop()
+        if len(a) > chunk:
+            stack.extend((height, a[k : k + chunk], b[k : k + chunk]) for k in range(0, len(a), chunk))
+            continue
+        level = levels[height]
+        near = np.bitwise_count((level.pattern[a] ^ level.pattern[b]) & level.mask[a] & level.mask[b]) <= distance
+        a, b = a[near], b[near]
+        if height == 0:
+            found.append((a, b))
+        elif len(a):
+            stack.append((height - 1, *_children(level, a, b)))
+    return tuple(np.concatenate(c) for c in zip(*found))
+
+
 def link_groups(codes: np.ndarray, bounds: np.ndarray, distance: int, chunk: int = 1 << 18) -> np.ndarray:
     """For codes sorted by Gray rank within groups: the smallest position each is connected to within its group."""
     forest = Forest(len(codes))
@@ -219,14 +287,7 @@ def link_groups(codes: np.ndarray, bounds: np.ndarray, distance: int, chunk: int
         a, b = a[open_pairs], b[open_pairs]
         if not len(a):
             continue
-        # children of both, each unordered pair once
-        na, nb = level.children[a], level.children[b]
-        total = na * nb
-        pair = np.repeat(np.arange(len(a)), total)
-        place = np.arange(total.sum()) - np.repeat(np.cumsum(total) - total, total)
-        left, right = level.child[a][pair] + place // nb[pair], level.child[b][pair] + place % nb[pair]
-        once = left <= right
-        stack.append((height - 1, left[once], right[once]))
+        stack.append((height - 1, *_children(level, a, b)))
     return forest.root
 
 

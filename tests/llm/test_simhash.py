@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 import xxhash
 
 from millrace.llm import simhash
@@ -115,7 +116,7 @@ def test_components_against_all_pairs(spark, documents):
 def test_keep_first(spark, documents):
     text = "the quick brown fox jumps over the lazy dog again and again"
     rows = [(3, text), (2, text.upper()), (2, text), (9, "something else entirely here"), (None, text), (None, "only null has this one"), (7, None), (8, "")]
-    kept = simhash.keep_first(documents(rows).withColumn("_row", documents(rows).n_chars).withColumnRenamed("_row", "row"))
+    kept = simhash.keep_first(documents(rows).withColumn("row", F.col("n_chars")))
     assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars", "row"]
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["2", "7", "9", "None"]
 
