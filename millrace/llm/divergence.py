@@ -38,9 +38,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import map_batches, table
-from millrace.session import materialise
+from millrace.session import materialise, scratch_path
 
-BLOCK_WORDS = 4_000_000
+BLOCK_WORDS = 2_000_000
+BLOCK_DOCS = 32_767  # so that a document of a block is a small integer
+MOST_COUNT = 127  # of one posting; a greater count takes several
 BUCKETS_A_TASK = 4
 LEAST_DOCS = 30
 SMOOTH = 5
@@ -51,10 +53,11 @@ BUCKET_ROWS = 200_000  # (term, source) rows of a bucket of pairs, about
 CELLS = 1 << 20  # of a matrix that is held at once
 TERM = re.compile(rb"[a-z\x80-\xff]+")  # in UTF-8 every byte of a non-ASCII character is above 0x7f
 
-BLOCK_ROWS = """block long, bucket int, lang string, chunks array<binary>, lengths array<int>, docs array<int>, counts array<int>,
-    names array<string>, sources array<int>"""
-TERM_ROWS = "block long, bucket int, owners array<int>, terms array<string>, times array<int>"
-COUNT_ROWS = "lang string, bucket int, terms array<string>, dfs array<int>, lengths array<int>, sources array<string>, counts array<long>"
+BLOCK_ROWS = """block long, bucket int, lang string, chunks array<binary>, lengths array<int>, docs array<smallint>, counts array<tinyint>,
+    names array<string>, sources array<smallint>"""
+TERM_ROWS = "block long, bucket int, sizes array<int>, terms array<string>, times array<int>"
+COUNT_ROWS = """lang string, bucket int, terms array<string>, dfs array<smallint>, lengths array<smallint>, sources array<smallint>, counts array<int>,
+    names array<string>"""
 
 
 def _text(column: str) -> Column:
@@ -73,8 +76,8 @@ def _lists(values: pa.Array, edges: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(edges, pa.int32()), values)
 
 
-def _int_lists(values: np.ndarray, edges: np.ndarray) -> pa.ListArray:
-    return _lists(pa.array(values.astype(np.int32)), edges)
+def _int_lists(values: np.ndarray, edges: np.ndarray, kind=np.int32) -> pa.ListArray:
+    return _lists(pa.array(values.astype(kind)), edges)
 
 
 def _flat(rows: pa.Table, column: str) -> pa.Array:
@@ -122,7 +125,7 @@ class Block:
         self.sources: list[int] = []  # of each document
 
     def add(self, words: list[bytes], source: str) -> None:
-        self.ids.append(np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words)))
+        self.ids.append(np.fromiter(map(self.numbers.__getitem__, words), np.int32, len(words)))
         self.sources.append(self.names.setdefault(source, len(self.names)))
         self.words += len(words)
 
@@ -139,7 +142,10 @@ class Block:
         keys.sort()
         first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
         counts = np.diff(np.append(first, len(keys)))
-        held = keys[first]
+        times = -(-counts // MOST_COUNT)
+        held = np.repeat(keys[first], times)
+        parts = np.full(len(held), MOST_COUNT)
+        parts[np.cumsum(times) - 1] = counts - MOST_COUNT * (times - 1)
         lengths = np.bincount(held // len(self.ids), minlength=len(chunks))
         bucket = bucket[order]
         used, begin = np.unique(bucket, return_index=True)
@@ -153,10 +159,10 @@ class Block:
                 pa.array([lang] * len(used), pa.string()),
                 _lists(pa.array([chunks[i] for i in order.tolist()], pa.binary()), of_chunks),
                 _int_lists(lengths, of_chunks),
-                _int_lists(held % len(self.ids), of_postings),
-                _int_lists(counts, of_postings),
+                _int_lists(held % len(self.ids), of_postings, np.int16),
+                _int_lists(parts, of_postings, np.int8),
                 pa.array([list(self.names), *rest], pa.list_(pa.string())),
-                pa.array([self.sources, *rest], pa.list_(pa.int32())),
+                pa.array([self.sources, *rest], pa.list_(pa.int16())),
             ],
             names=["block", "bucket", "lang", "chunks", "lengths", "docs", "counts", "names", "sources"],
         )
@@ -168,18 +174,18 @@ def chunk_blocks(docs: DataFrame, buckets: int, block_words: int = BLOCK_WORDS)
     def read(batches):
         number = TaskContext.get().partitionId() << 32
         blocks: dict[str, Block] = {}
-        words = 0
+        words = documents = 0
         for batch in batches:
             for text, lang, source in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 if not (chunks := text.split()):  # bytes are split at ASCII white space only
                     continue
                 blocks.setdefault(lang, Block()).add(chunks, source)
-                words += len(chunks)
-                if words >= block_words:
+                words, documents = words + len(chunks), documents + 1
+                if words >= block_words or documents == BLOCK_DOCS:
                     for n, own in blocks.items():
                         yield own.rows(number, n, buckets)
                         number += 1
-                    blocks, words = {}, 0
+                    blocks, words, documents = {}, 0, 0
         for n, own in blocks.items():
             yield own.rows(number, n, buckets)
             number += 1
@@ -192,7 +198,7 @@ def chunk_blocks(docs: DataFrame, buckets: int, block_words: int = BLOCK_WORDS)
 
 
 def _cut_bucket(rows: pa.Table) -> pa.Table:
-    """For each block's row of a bucket the terms of its chunks: owner (place of the chunk in the row), term and times."""
+    """For each block's row of a bucket the number of terms of each chunk, the terms, and how often each stands in its chunk."""
     coded = _flat(rows, "chunks").dictionary_encode()
     found = [TERM.findall(c.lower()) for c in coded.dictionary.to_pylist()]  # each distinct chunk once
     counted = {i: Counter(f) for i, f in enumerate(found) if len(f) > 1}
@@ -203,14 +209,13 @@ def _cut_bucket(rows: pa.Table) -> pa.Table:
     # back to the rows
     chunk = coded.indices.to_numpy()
     per_row = _list_lengths(rows, "chunks")
-    owner = np.repeat(_ranges(np.zeros(len(per_row), np.int64), per_row), lengths[chunk])
     entry = _ranges(_edges(lengths)[:-1][chunk], lengths[chunk])
     edges = _edges(lengths[chunk])[_edges(per_row)]
     return pa.table(
         {
             "block": rows.column("block"),
             "bucket": rows.column("bucket"),
-            "owners": _int_lists(owner, edges),
+            "sizes": _int_lists(lengths[chunk], _edges(per_row)),
             "terms": _lists(terms.take(pa.array(entry)), edges),
             "times": _int_lists(np.array(times, np.int64)[entry], edges),
         }
@@ -235,8 +240,7 @@ def _join_block(rows: pa.Table, found: pa.Table, buckets: int) -> pa.Table:
     # the posting list of every chunk, and the chunk of every term
     lengths = _numbers(rows, "lengths")
     starts = _edges(lengths)[:-1]
-    first = _edges(_list_lengths(rows, "chunks"))[:-1]
-    owner = np.repeat(first, _list_lengths(found, "terms")) + _numbers(found, "owners")
+    owner = np.repeat(np.arange(len(lengths)), _numbers(found, "sizes"))
     coded = _flat(found, "terms").dictionary_encode()
     code, times = coded.indices.to_numpy().astype(np.int64), _numbers(found, "times")
     at = _ranges(starts[owner], lengths[owner])
@@ -261,10 +265,11 @@ def _join_block(rows: pa.Table, found: pa.Table, buckets: int) -> pa.Table:
             "lang": pa.array([rows.column("lang")[0].as_py()] * len(used), pa.string()),
             "bucket": pa.array(used.astype(np.int32)),
             "terms": _lists(terms.take(pa.array(order)), of_terms),
-            "dfs": _int_lists(dfs, of_terms),
-            "lengths": _int_lists(per_term, of_terms),
-            "sources": _lists(names.take(pa.array(keys % len(names))), of_counts),
-            "counts": _lists(pa.array(sums.astype(np.int64)), of_counts),
+            "dfs": _int_lists(dfs, of_terms, np.int16),
+            "lengths": _int_lists(per_term, of_terms, np.int16),
+            "sources": _int_lists(keys % len(names), of_counts, np.int16),
+            "counts": _int_lists(sums, of_counts),
+            "names": pa.array([names.to_pylist()] * len(used), pa.list_(pa.string())),
         }
     )
 
@@ -287,10 +292,13 @@ def _keep_terms(rows: pa.Table, least_docs: int) -> pa.Table:
     code = coded.indices.to_numpy().astype(np.int64)
     total = np.zeros(len(coded.dictionary), np.int64)
     np.add.at(total, code, _numbers(rows, "dfs"))
-    names = _flat(rows, "sources").dictionary_encode()
+    names = _flat(rows, "names").dictionary_encode()
+    # the sources of a row are places in its own names
+    first = _edges(_list_lengths(rows, "names"))[:-1]
+    source = names.indices.to_numpy()[np.repeat(first, _list_lengths(rows, "sources")) + _numbers(rows, "sources")]
     owner = np.repeat(code, _numbers(rows, "lengths"))
     kept = total[owner] >= least_docs
-    keys = owner * max(len(names.dictionary), 1) + names.indices.to_numpy()
+    keys = owner * max(len(names.dictionary), 1) + source
     keys, sums = _sums(keys[kept], _numbers(rows, "counts")[kept])
     return pa.table(
         {
@@ -305,7 +313,9 @@ def _keep_terms(rows: pa.Table, least_docs: int) -> pa.Table:
 def source_terms(docs: DataFrame, least_docs: int = LEAST_DOCS, block_words: int = BLOCK_WORDS, buckets: int | None = None) -> DataFrame:
     """lang, term, source, n: occurrences of each kept term in each group that has any."""
     buckets = buckets or BUCKETS_A_TASK * max(docs.rdd.getNumPartitions(), 2)  # plans the scan only
-    blocks = materialise(chunk_blocks(docs, buckets, block_words), "divergence-chunks")
+    path = scratch_path(docs.sparkSession, "divergence-chunks")
+    chunk_blocks(docs, buckets, block_words).write.option("compression", "zstd").parquet(path)
+    blocks = docs.sparkSession.read.schema(BLOCK_ROWS).parquet(path)
     found = block_terms(blocks, chunk_terms(blocks), buckets)
     return found.groupBy("lang", "bucket").applyInArrow(
         lambda rows: _keep_terms(rows, least_docs), "lang string, term string, source string, n long"

@@ -37,7 +37,7 @@ from millrace.llm.common import map_batches, per_worker, table
 SPACE = "▁"
 KEEP = 300_000
 PATIENT = 32
-CHARACTERS = 1 << 22  # of the documents that are encoded together
+CHARACTERS = 1 << 21  # of the documents that are encoded together
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 NO_RANK = np.int32(2**31 - 1)
 CODES = 0x110000
