@@ -17,12 +17,14 @@ loader read records in any order (``read_at``) without a pass over the shard.
 Documents are dealt to shards by ranges of their id, so shard order and record order together are
 ascending id order; NULL ids come first. Equal ids lie together, within a shard by text, and all are kept.
 Shards are moved to their place when complete, and a repeated task writes the same bytes, so a lost
-executor leaves no half shard. Defined results: a NULL text is encoded as an empty one, which has the end id
+executor leaves no half shard. Ids are those of ``Tokenizer.encode(text, add_special_tokens=False)`` for any tokenizer file, strings of special tokens included.
+Defined results: a NULL text is encoded as an empty one, which has the end id
 alone; an empty table gives no shards and no rows; extra columns are not written.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import zlib
@@ -122,32 +124,62 @@ def shard_name(shard: int) -> str:
     return f"shard-{shard:05d}"
 
 
+# The settings for which a text's ids are those of its words. White space parts words and is dropped, ASCII capitals count
+# as small letters, and a run of letters is always a unit of its own.
+WORDWISE = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "post_processor": None,
+    "truncation": None,
+    "padding": None,
+}
+
+
 class WordEncoder:
-    """Encodes texts with a tokenizer that never joins words across white space.
+    """The ids that a tokenizer gives to texts.
 
-    Each distinct word is given to the tokenizer once and its ids are kept; the words of a text that are
-    new go to it together, held apart by a mark. At most ``keep`` words are kept in each of two generations, so
-    memory is bounded and frequent words stay.
+    Where its settings never join words across white space (``WORDWISE``), each distinct word is given to it once and its ids are
+    kept: a run of ASCII letters straight to its model, the other new words of a text together, held apart by a mark. At most ``keep``
+    words are kept in each of two generations, so memory is bounded and frequent words stay. Texts that hold a string of an added token, or a
+    character that Python takes for white space and the tokenizer does not, and all texts under other settings, are encoded whole.
     """
 
     PER_CALL = 1000
     MARK = "\x01"
     STOPS = ".,;:!?"
-    LATIN_END = "\u0250"  # up to here letters are the same in every version of Unicode
-    NOT_SPACES = "\x1c\x1d\x1e\x1f"  # split() takes these for white space, the tokenizer does not
+    STEM_END = "\u0100"  # letters up to here stay letters when they are made small
+    NOT_SPACES = ("\x1c", "\x1d", "\x1e", "\x1f")
 
     def __init__(self, path: str, end_id: int, keep: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        with open(path, encoding="utf-8") as file:
+            settings = json.load(file)
+        self.by_words = all(settings.get(k) == v for k, v in WORDWISE.items())
+        self.whole = (*(t["content"] for t in settings.get("added_tokens", [])), *self.NOT_SPACES)
         self.width = 2 if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
         self.kind = np.dtype(f"<u{self.width}")
         self.end = np.array([end_id], self.kind).tobytes()
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.keep = keep
+        self.model = self.tokenizer.model
         self.mark = self._ids(self.MARK)
         self.stops = {c: self._ids(c).tobytes() for c in self.STOPS}
 
@@ -155,8 +187,15 @@ class WordEncoder:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
 
     def _learn(self, words: list[str]) -> None:
-        for begin in range(0, len(words), self.PER_CALL):
-            part = words[begin : begin + self.PER_CALL]
+        mixed, pack = [], struct.pack
+        letter = "<H" if self.width == 2 else "<I"
+        for word in words:
+            if word.isascii() and word.isalpha():  # small letters: capitals were made small
+                self.new[word] = b"".join([pack(letter, t.id) for t in self.model.tokenize(word)])
+            else:
+                mixed.append(word)
+        for begin in range(0, len(mixed), self.PER_CALL):
+            part = mixed[begin : begin + self.PER_CALL]
             ids = self._ids(f" {self.MARK} ".join(part))
             cuts = np.flatnonzero(ids == self.mark[0]) if len(self.mark) == 1 else np.empty(0, int)
             if len(cuts) == len(part) - 1:
@@ -169,45 +208,42 @@ class WordEncoder:
                     self.new[word] = self._ids(word).tobytes()
 
     def _missing(self, words: set[str]) -> None:
-        """Fill in the words that neither generation holds."""
-        if len(self.new) > self.keep:
-            self.old, self.new = self.new, {}
-        learn, stopped = set(), []
+        """Fill in words that the younger generation does not hold."""
+        new, old, learn, stopped = self.new, self.old, set(), []
         for word in words:
-            if (ids := self.old.get(word)) is not None:
-                self.new[word] = ids
+            if (ids := old.get(word)) is not None:
+                new[word] = ids
                 continue
-            # punctuation after letters is a token of its own, and ASCII capitals count as small letters
-            cut = word[-1] in self.STOPS and word[:-1].isalpha() and max(word) < self.LATIN_END
-            stem, stop = (word[:-1], word[-1]) if cut else (word, "")
-            if stem.isascii():
+            # punctuation after letters is a unit of its own
+            stem, stop = word, ""
+            if word[-1] in self.STOPS and max(word) < self.STEM_END and word[:-1].isalpha():
+                stem, stop = word[:-1], word[-1]
+            if stem.isascii() and stem.isalpha():  # others may become the string of an added token
                 stem = stem.lower()
-            if stem not in self.new:
-                if (ids := self.old.get(stem)) is not None:
-                    self.new[stem] = ids
+            if stem not in new:
+                if (ids := old.get(stem)) is not None:
+                    new[stem] = ids
                 else:
                     learn.add(stem)
             if stem != word:
                 stopped.append((word, stem, stop))
         self._learn(sorted(learn))
         for word, stem, stop in stopped:
-            self.new[word] = self.new[stem] + self.stops[stop] if stop else self.new[stem]
+            new[word] = new[stem] + self.stops[stop] if stop else new[stem]
 
     def encode(self, text: str | None) -> bytes:
         """The ids of a text and the end id, as little-endian integers."""
         text = text or ""
-        if any(c in text for c in self.NOT_SPACES):
+        if not self.by_words or any([part in text for part in self.whole]):
             return self._ids(text).tobytes() + self.end
         words = text.split()
-        known = self.new
         try:
-            return b"".join([known[w] for w in words]) + self.end
+            return b"".join(map(self.new.__getitem__, words)) + self.end
         except KeyError:
-            self._missing({w for w in words if w not in known})
-            known = self.new
-            if any(w not in known for w in words):  # a generation has just ended
-                self._missing({w for w in words if w not in known})
-            return b"".join([self.new[w] for w in words]) + self.end
+            if len(self.new) > self.keep:
+                self.old, self.new = self.new, {}
+            self._missing(set(words).difference(self.new))
+            return b"".join(map(self.new.__getitem__, words)) + self.end
 
 
 def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2, doc_id: str = "doc_id", text: str = "text") -> list[tuple[int, int, int]]:

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -11,23 +12,42 @@ TEXTS = [
     "<|endoftext|> and <|startoftext|>", "tab\tnew\nline\xa0nbsp em ́mark", "w" * 3000, "word " * 500, "same", "same",
 ]
 
+PARTS = [
+    "İ", "İ.", "a", "B", "ß", "é", "e\u0301", "ǅ", "ﬁ", "Σ", "ς", "ΑΣ", "'s", "'S", "don't", ".", ",", "!", " ", "  ", "\n", "\x01", " \x01 ", "1", "23", "<|endoftext|>",
+    "<|startoftext|>", "<|EndOfText|>", "\u0307", "\u0301", "\xa0", "\u3000", "\x85", "\x1c", "日本", "\U0001f600", "\u212a", "²", "_", "hello", "World", "\u200b", "ｆｕｌｌ",
+]
+
 
 @pytest.fixture(scope="module")
 def tokenizer():
     from tokenizers import Tokenizer
 
-    out = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    out.encode_special_tokens = True
-    return out
+    return Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
 
 
-def test_words_are_encoded_as_whole_texts_are(tokenizer):
-    encoder = records.WordEncoder(public_tokenizers.path("word_bpe_49k.json"), 2, keep=20)
-    for text in TEXTS * 2:
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_ids_are_those_of_the_library(name):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
+    encoder = records.WordEncoder(public_tokenizers.path(name), 2, keep=20)
+    assert encoder.by_words == (name == "word_bpe_49k.json")
+    choose = random.Random(4)
+    made = ["".join(choose.choice(PARTS) for _ in range(choose.randint(0, 12))) for _ in range(3000)]
+    for text in TEXTS * 2 + made:
         want = tokenizer.encode(text or "", add_special_tokens=False).ids + [2]
         assert np.frombuffer(encoder.encode(text), encoder.kind).tolist() == want, text
 
 
+def test_other_tokenizer_in_records(documents):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    (row,) = records.token_records(documents([(1, "hello big world")]), path).collect()
+    ids = Tokenizer.from_file(path).encode("hello big world").ids + [2]
+    assert (row.n_tokens, row.ids_crc32) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+
+
 def test_round_trip(spark, documents, tokenizer):
     rows = [(7 * i % 31, t) for i, t in enumerate(TEXTS)] + [(None, "no id"), (3, "again"), (3, "again"), (2**40, "far")]
     got = records.token_records(documents(rows).withColumnRenamed("lang", "shard")).collect()
