@@ -6,12 +6,14 @@ repeated events need no special care. A bucket is merged and written anew when w
 reaches a share of its base, so what is written follows the batches. Where nulls are ignored it stores one row per key and sequence,
 as a later event may win a tie against one whose values are kept.
 
-SCD2 stores the last event of each key (*open*, one row per key, rewritten per touched bucket),
-closed versions (append only) and the event log (append only). A batch whose events of a key are
-all newer than the key's last event needs only that last event. For other keys the log is replayed
-from the version the oldest new event falls into, and the closed versions from there on are
-retracted by a small record instead of being rewritten. Cost follows the batch, and for late
-events the part of the history they change.
+SCD2 stores the last event of each key (*open*), closed versions and the event log. All three are only appended to: of the
+open rows of a key that of the newest version counts, and a bucket of them is merged and written anew when what was appended
+reaches a share of its base. A batch whose events of a key are all newer than the key's last event needs only that last event.
+For other keys the log is replayed from the version the oldest new event falls into. The pointer holds the least and
+greatest sequence of each bucket of each version of the log, so the replay opens only what reaches back that far; files are
+sorted by key and sequence. The closed versions from there on are retracted by a small record instead of being
+rewritten; readers apply all retractions of a key in one pass over its versions. What is written follows the batch, and
+for late events the part of the history they change.
 """
 
 from __future__ import annotations
@@ -19,25 +21,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.columns import null_safe_join
+from millrace.functions.columns import null_safe_join, orderable_columns
 from millrace.operators import cdc as ops
 from millrace.operators.hotkeys import HOT_KEY_ROWS
-from millrace.session import empty_frame
+from millrace.session import empty_frame, materialise
 from millrace.specs import Cdc
-from millrace.streaming.store import BUCKET, DEFAULT_BUCKETS, VersionedStore, bucket_of, check_columns
-
-
-def _touched(df: DataFrame) -> list[int]:
-    """The buckets of a batch: at most as many numbers as there are buckets."""
-    return sorted(r[BUCKET] for r in df.select(BUCKET).distinct().collect())
-
-
-#: A bucket of an SCD1 table is written anew when what was appended to it reaches this share of its base, or this often.
-APPENDED_SHARE, MOST_APPENDED = 0.5, 32
+from millrace.streaming.store import BUCKET, DEFAULT_BUCKETS, VERSION, VersionedStore, bucket_of, check_columns
 
 
 class Scd1Store(VersionedStore):
@@ -69,13 +63,6 @@ class Scd1Store(VersionedStore):
         ]
         return self.read("state", self.state_schema, paths, f"{BUCKET} int").drop("__v")
 
-    def _due(self, versions: list, rows: int) -> bool:
-        """Whether a bucket is to be written anew: what was appended has reached a share of its base."""
-        if not versions:
-            return False
-        (_, base), *appended = versions
-        return len(appended) + 1 >= MOST_APPENDED or rows + sum(n for _, n in appended) >= APPENDED_SHARE * base
-
     def _rows_of(self, version: int, buckets: Sequence[int]) -> dict[int, int]:
         paths = [f"__v={version}/{BUCKET}={b}" for b in buckets]
         rows = self.read("state", self.state_schema, paths, f"{BUCKET} int")
@@ -103,7 +90,7 @@ class Scd1Store(VersionedStore):
             counts = {r[BUCKET]: r["count"] for r in partial.groupBy(BUCKET).count().collect()}
             if counts:
                 held = following["parts"].setdefault("state", {"by_bucket": {}})["by_bucket"]
-                due = [b for b, n in counts.items() if self._due(held.get(str(b), []), n)]
+                due = [b for b, n in counts.items() if self.due(held.get(str(b), []), n)]
                 added = partial.where(~F.col(BUCKET).isin(due)) if due else partial
                 if due:
                     both = partial.where(F.col(BUCKET).isin(due)).unionByName(self._state(pointer, due)).drop(BUCKET)
@@ -165,6 +152,49 @@ class Scd1Store(VersionedStore):
 
 
 PART = "__part"
+#: Closed versions of a key are dealt to so many tasks when retractions are applied; its retractions go to each.
+RETRACT_SLICES = 16
+
+
+def standing(closed: DataFrame, retractions: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of ``closed`` whose start lies before the from of every retraction of their key with a greater version.
+
+    A running minimum along the versions of a key, the greatest first, instead of a comparison of all with all; the versions of
+    one key are dealt to ``RETRACT_SLICES`` tasks.
+    """
+    columns = [c for c in closed.columns if c != VERSION]
+    slices = F.explode(F.sequence(F.lit(0), F.lit(RETRACT_SLICES - 1)))
+    least = "__least"
+    rows = closed.withColumns(
+        {"__slice": F.pmod(F.xxhash64(ops.START), F.lit(RETRACT_SLICES)).cast("int"), "__takes": F.lit(False)}
+    ).unionByName(
+        retractions.select(*keys, ops.FROM, VERSION).withColumns({"__slice": slices, "__takes": F.lit(True)}),
+        allowMissingColumns=True,
+    )
+    # rows of a version come before its retractions, which do not concern them
+    order = W.partitionBy(*keys, "__slice").orderBy(F.col(VERSION).desc(), "__takes")
+    marked = rows.withColumn(least, F.min(ops.FROM).over(order.rowsBetween(W.unboundedPreceding, W.currentRow)))
+    return marked.where(~F.col("__takes") & (F.col(least).isNull() | (F.col(ops.START) < F.col(least)))).select(*columns)
+
+
+#: Whole-number measures of a sequence that keep its order, for the zone maps in the pointer.
+_ZONES = {
+    "date": "unix_date({0})",
+    "timestamp": "unix_micros({0})",
+    "timestamp_ntz": "unix_date(cast({0} AS date)) * 86400000000L + hour({0}) * 3600000000L + minute({0}) * 60000000L"
+    " + cast(extract(SECOND FROM {0}) * 1000000 AS bigint)",
+    **{kind: "cast({0} AS bigint)" for kind in ("tinyint", "smallint", "int", "bigint")},
+    "string": "{0}",
+}
+
+
+def zone(column: str, rows: DataFrame) -> Column:
+    """A value of the column that JSON can hold and that keeps its order (of a struct: its first field), or NULL."""
+    kind, text = rows.schema[column].dataType, f"`{column}`"
+    while isinstance(kind, T.StructType):
+        text, kind = f"{text}.`{kind.names[0]}`", kind.fields[0].dataType
+    found = _ZONES.get("string" if isinstance(kind, T.StringType) else kind.simpleString())
+    return F.expr(found.format(text)) if found else F.lit(None).cast("bigint")
 
 
 class Scd2Store(VersionedStore):
@@ -204,13 +234,16 @@ class Scd2Store(VersionedStore):
     # reading ------------------------------------------------------------------------------
 
     def _open(self, pointer: dict, buckets: Sequence[int] | None = None) -> DataFrame:
+        """The last event of each key: of the rows of a key that of the newest version."""
         held = pointer["parts"].get("open", {"by_bucket": {}})["by_bucket"]
-        paths = [
-            f"__v={v}/{PART}=open/{BUCKET}={b}"
-            for b, v in held.items()
-            if buckets is None or int(b) in set(buckets)
-        ]
-        return self.read("spans", self.span_schema, paths, f"{PART} string, {BUCKET} int").drop("__v", PART)
+        wanted = {b: versions for b, versions in held.items() if buckets is None or int(b) in set(buckets)}
+        paths = [f"__v={v}/{PART}=open/{BUCKET}={b}" for b, versions in wanted.items() for v, _ in versions]
+        rows = self.read("spans", self.span_schema, paths, f"{PART} string, {BUCKET} int").drop(PART)
+        if all(len(versions) == 1 for versions in wanted.values()):
+            return rows.drop(VERSION)
+        rest = [c for c in rows.columns if c not in (*self.cdc.keys, VERSION)]
+        newest = rows.groupBy(*self.cdc.keys).agg(F.max_by(F.struct(*rest), VERSION).alias("__r"))
+        return newest.select(*self.cdc.keys, "__r.*").select(*[c for c in rows.columns if c != VERSION])
 
     def _appended(
         self, pointer: dict, part: str, folder: str, schema: T.StructType, buckets=None, prefix: str = ""
@@ -227,17 +260,22 @@ class Scd2Store(VersionedStore):
         """Closed versions that no later retraction covers."""
         rows = self._appended(pointer, "closed", "spans", self.span_schema, buckets, f"{PART}=closed/")
         if not pointer["parts"].get("retract", {"by_version": {}})["by_version"]:
-            return rows.drop("__v")
-        taken = self._appended(pointer, "retract", "retract", self.retract_schema, buckets).select(
-            *[F.col(k).alias(f"__r_{k}") for k in self.cdc.keys], F.col(ops.FROM), F.col("__v").alias("__rv")
-        )
-        match = (F.col(ops.START) >= F.col(ops.FROM)) & (F.col("__v") < F.col("__rv"))
-        for k in self.cdc.keys:
-            match &= rows[k].eqNullSafe(F.col(f"__r_{k}"))
-        return rows.join(taken, match, "left_anti").drop("__v")
+            return rows.drop(VERSION)
+        taken = self._appended(pointer, "retract", "retract", self.retract_schema, buckets)
+        return standing(rows, taken, self.cdc.keys)
+
+    def log_folders(self, pointer: dict, reach: dict[int, object]) -> list[tuple[str, int]]:
+        """(folder, rows) of the log that may hold events of a bucket from a point of the sequence on; None is the beginning."""
+        held = pointer["parts"].get("log", {"by_version": {}})["by_version"]
+        return [
+            (f"{VERSION}={v}/{BUCKET}={b}", rows)
+            for v, buckets in held.items()
+            for b, (_, high, rows) in buckets.items()
+            if int(b) in reach and (reach[int(b)] is None or high is None or high >= reach[int(b)])
+        ]
 
-    def _log(self, pointer: dict, buckets: Sequence[int]) -> DataFrame:
-        return self._appended(pointer, "log", "log", self.event_schema, buckets).drop("__v")
+    def _log(self, paths: Sequence[str]) -> DataFrame:
+        return self.read("log", self.event_schema, paths, f"{BUCKET} int").drop(VERSION)
 
     def spans(self) -> DataFrame:
         pointer = self.pointer()
@@ -257,29 +295,29 @@ class Scd2Store(VersionedStore):
         version = following["version"]
         keys = self.cdc.keys
         rows = ops.prepare(batch, self.cdc).select(*self.held, ops.SEQ, ops.DEL)
-        rows = rows.withColumn(BUCKET, bucket_of(keys, self.buckets)).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            touched = _touched(rows)
-            if touched:
-                self._apply_rows(pointer, following, rows, touched, version)
-        finally:
-            rows.unpersist()
+        rows = rows.withColumn(BUCKET, bucket_of(keys, self.buckets))
+        # the log first: what follows reads the batch from there
+        self.write(rows, version, [BUCKET], "log", sort=[*orderable_columns(rows, keys), ops.SEQ])
+        touched = sorted(int(r[BUCKET]) for r in self.written(version, [BUCKET], "log"))
+        if touched:
+            self._apply_rows(pointer, following, touched, version)
         self.commit(following)
         return True
 
-    def _apply_rows(self, pointer, following, rows, touched, version) -> None:
+    def _apply_rows(self, pointer, following, touched, version) -> None:
         keys = self.cdc.keys
+        rows = self._log([f"{VERSION}={version}/{BUCKET}={b}" for b in touched])
         heads = self._open(pointer, touched)
         # one row per key of the batch, combined before the shuffle
-        lows = rows.groupBy(*keys, BUCKET).agg(F.min(ops.SEQ).alias("__lo"))
+        lows = rows.groupBy(*keys, BUCKET).agg(
+            F.min(ops.SEQ).alias("__lo"), F.max(ops.SEQ).alias("__hi"), F.count(F.lit(1)).alias("__n")
+        )
         known = null_safe_join(lows, heads.drop(BUCKET), keys, "left")
         known = known.persist(StorageLevel.MEMORY_AND_DISK)
-        work = None
         try:
             is_late = F.col(ops.TOP).isNotNull() & (F.col("__lo") <= F.col(ops.TOP))
-            late = known.where(is_late).select(*keys, BUCKET, "__lo", F.col(ops.START).alias("__open_start"))
-            late_buckets = _touched(late)
-            events = rows
+            measured = self._measure(known, is_late)
+            events, count = rows, sum(m["rows"] + m["keys"] for m in measured)
             seeds = known.where(F.col(ops.TOP).isNotNull() & ~is_late)
             seeds = seeds.select(
                 *self.held,
@@ -287,22 +325,27 @@ class Scd2Store(VersionedStore):
                 ops.DEL,
                 F.when(~F.col(ops.DEL), F.col(ops.START)).alias(ops.FROM),
             )
+            late_buckets = [m[BUCKET] for m in measured if m["late"]]
             if late_buckets:
-                replay = self._replay_points(pointer, late, late_buckets)
+                late = known.where(is_late).select(*keys, BUCKET, "__lo", F.col(ops.START).alias("__open_start"))
+                self.write(self._replay_points(pointer, late, late_buckets), version, [BUCKET], "retract")
+                self._note(following, "retract", version, late_buckets)
+                replay = self.read(
+                    "retract", self.retract_schema, [f"{VERSION}={version}/{BUCKET}={b}" for b in late_buckets], f"{BUCKET} int"
+                )
+                folders = self.log_folders(pointer, self._reach(replay, late_buckets))
+                count += sum(n for _, n in folders)
                 past = null_safe_join(
-                    self._log(pointer, late_buckets).drop(BUCKET),
-                    replay.select(*keys, ops.FROM),
-                    keys,
-                    "inner",
+                    self._log([path for path, _ in folders]).drop(BUCKET), replay.select(*keys, ops.FROM), keys, "inner"
                 ).where(F.col(ops.SEQ) >= F.col(ops.FROM))
                 events = events.unionByName(past.drop(ops.FROM), allowMissingColumns=True)
-                self.write(replay, version, [BUCKET], "retract")
-                self._note(following, "retract", version, late_buckets)
             no_start = F.lit(None).cast(self.event_schema[ops.SEQ].dataType)
             work = events.drop(BUCKET).withColumn(ops.FROM, no_start).unionByName(seeds)
-            # looked at for hot keys first and then used: joined with the log only once
-            work = work.persist(StorageLevel.MEMORY_AND_DISK)
-            spans = ops.scd2_spans(work, self.cdc, self.columns, self.split_rows)
+            # so few rows hold no hot key; else it is looked for, and what was joined with the log is kept for that
+            split = self.split_rows if self.split_rows is not None and count > self.split_rows else None
+            if split is not None:
+                work = materialise(work, "scd2-work")
+            spans = ops.scd2_spans(work, self.cdc, self.columns, split)
             is_open = F.col(ops.END).isNull()
             spans = spans.where(is_open | ~F.col(ops.DEL)).withColumns(
                 {
@@ -310,20 +353,43 @@ class Scd2Store(VersionedStore):
                     BUCKET: bucket_of(keys, self.buckets),
                 }
             )
-            resting = null_safe_join(heads, lows.select(*keys), keys, "left_anti")
-            everything = spans.unionByName(resting.withColumn(PART, F.lit("open")))
-            self.write(everything, version, [PART, BUCKET], "spans")
-            self.write(rows, version, [BUCKET], "log")
-            # every key of the batch has an open row, so the touched buckets all got some
             held = following["parts"].setdefault("open", {"by_bucket": {}})["by_bucket"]
-            held.update({str(b): version for b in touched})
-            self._note(following, "log", version, touched)
+            due = [m[BUCKET] for m in measured if self.due(held.get(str(m[BUCKET]), []), m["keys"])]
+            if due:
+                resting = null_safe_join(heads.where(F.col(BUCKET).isin(due)), lows.select(*keys), keys, "left_anti")
+                spans = spans.unionByName(resting.withColumn(PART, F.lit("open")))
+            self.write(spans, version, [PART, BUCKET], "spans")
+            anew = self._open_rows(version, due) if due else {}
+            for m in measured:  # every key of the batch has an open row
+                b = m[BUCKET]
+                held[str(b)] = [[version, anew[b]]] if b in anew else [*held.get(str(b), []), [version, m["keys"]]]
+            log = following["parts"].setdefault("log", {"by_version": {}})["by_version"]
+            log[str(version)] = {str(m[BUCKET]): [m["low"], m["high"], m["rows"]] for m in measured}
             closed = [int(r[BUCKET]) for r in self.written(version, [PART, BUCKET], "spans") if r[PART] == "closed"]
             self._note(following, "closed", version, closed)
         finally:
             known.unpersist()
-            if work is not None:
-                work.unpersist()
+
+    def _measure(self, known: DataFrame, is_late: Column) -> list[dict]:
+        """Per bucket of a batch its keys, rows, late keys, and least and greatest sequence: a row per bucket."""
+        measured = known.groupBy(BUCKET).agg(
+            F.count(F.lit(1)).alias("keys"),
+            F.sum("__n").alias("rows"),
+            F.count_if(is_late).alias("late"),
+            F.min(zone("__lo", known)).alias("low"),
+            F.max(zone("__hi", known)).alias("high"),
+        )
+        return [r.asDict() for r in measured.collect()]
+
+    def _reach(self, replay: DataFrame, buckets: Sequence[int]) -> dict[int, object]:
+        """Per bucket the least sequence that a replay begins at."""
+        low = replay.groupBy(BUCKET).agg(F.min(zone(ops.FROM, replay)).alias("low")).collect()
+        return {**dict.fromkeys(buckets), **{r[BUCKET]: r["low"] for r in low}}
+
+    def _open_rows(self, version: int, buckets: Sequence[int]) -> dict[int, int]:
+        paths = [f"{VERSION}={version}/{PART}=open/{BUCKET}={b}" for b in buckets]
+        rows = self.read("spans", self.span_schema, paths, f"{PART} string, {BUCKET} int")
+        return {r[BUCKET]: r["count"] for r in rows.groupBy(BUCKET).count().collect()}
 
     def _replay_points(self, pointer, late: DataFrame, buckets: Sequence[int]) -> DataFrame:
         """Per late key the sequence from which its history is made anew: the start of the
@@ -332,7 +398,8 @@ class Scd2Store(VersionedStore):
         """
         keys = self.cdc.keys
         if self.cdc.ignores_nulls():
-            first = self._log(pointer, buckets).groupBy(*keys).agg(F.min(ops.SEQ).alias("__first"))
+            log = self._log([path for path, _ in self.log_folders(pointer, dict.fromkeys(buckets))])
+            first = log.groupBy(*keys).agg(F.min(ops.SEQ).alias("__first"))
             points = null_safe_join(late, first, keys, "left")
             return points.select(*keys, BUCKET, F.least("__first", "__lo").alias(ops.FROM))
         starts = self._closed(pointer, buckets).select(*keys, ops.START)
@@ -360,15 +427,24 @@ class Scd2Store(VersionedStore):
         pointer = self.pointer()
         following = self.advance(pointer)
         version = following["version"]
-        held = pointer["parts"]
-        log_buckets = sorted({b for bs in held.get("log", {"by_version": {}})["by_version"].values() for b in bs})
+        held = pointer["parts"].get("log", {"by_version": {}})["by_version"]
+        paths = [f"{VERSION}={v}/{BUCKET}={b}" for v, buckets in held.items() for b in buckets]
         self.write(self._closed(pointer).withColumn(PART, F.lit("closed")), version, [PART, BUCKET], "spans")
-        self.write(self._log(pointer, log_buckets), version, [BUCKET], "log")
+        log = self._log(paths)
+        self.write(log, version, [BUCKET], "log", sort=[*orderable_columns(log, self.cdc.keys), ops.SEQ])
         for part in ("closed", "log", "retract"):
             following["parts"].pop(part, None)
         closed = [int(r[BUCKET]) for r in self.written(version, [PART, BUCKET], "spans")]
         self._note(following, "closed", version, closed)
-        self._note(following, "log", version, log_buckets)
+        zones: dict[str, list] = {}
+        for buckets in held.values():
+            for b, (low, high, rows) in buckets.items():
+                had = zones.setdefault(b, [low, high, 0])
+                zones[b] = [
+                    None if None in (had[0], low) else min(had[0], low), None if None in (had[1], high) else max(had[1], high), had[2] + rows,
+                ]
+        if zones:
+            following["parts"]["log"] = {"by_version": {str(version): zones}}
         self.commit(following)
 
 

@@ -11,14 +11,15 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.session import empty_frame, write_text
+from millrace.session import empty_frame
 
 DEFAULT_BUCKETS = 64
+#: A bucket that later versions append to is written anew when what was appended reaches this share of its base, or this often.
+APPENDED_SHARE, MOST_APPENDED = 0.5, 32
 BUCKET = "__bucket"
 VERSION = "__v"
 
@@ -52,14 +53,45 @@ def bucket_of(keys: Sequence[str], buckets: int) -> Column:
 
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder on whatever file system it is on."""
+    at, files = _filesystem(spark, path)
+    files.delete(at, True)
+
+
+def _filesystem(spark: SparkSession, path: str):
+    """(Hadoop path, its file system)."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+    return hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def read_small(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file, without a job; None if there is none."""
+    at, files = _filesystem(spark, path)
+    if not files.exists(at):
+        return None
+    stream = files.open(at)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_small(spark: SparkSession, path: str, text: str) -> None:
+    """Put a small file in its place when it is whole, without a job."""
+    at, files = _filesystem(spark, path)
+    half, _ = _filesystem(spark, f"{path}.half")
+    stream = files.create(half, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    files.delete(at, False)
+    if not files.rename(half, at):
+        raise OSError(f"cannot put {path} in its place")
 
 
 def folders_below(spark: SparkSession, root: str, depth: int) -> list[list[str]]:
     """Names of the nested partition folders below a folder, outermost first."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    path, files = _filesystem(spark, root)
     if not files.exists(path):
         return []
     found = [([], path)]
@@ -83,13 +115,8 @@ class VersionedStore:
 
     def pointer(self) -> dict:
         """The newest pointer. Two slots are written in turns, so one is always whole."""
-        try:
-            lines = self.spark.read.text(f"{self.root}/pointer").select("value").collect()
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            lines = []
-        found = [json.loads(line["value"]) for line in lines]
+        slots = [read_small(self.spark, f"{self.root}/pointer/slot-{i}.json") for i in (0, 1)]
+        found = [json.loads(text) for text in slots if text is not None]
         if not found:
             return {"version": 0, "flows": {}, "parts": {}, "buckets": self.buckets}
         newest = max(found, key=lambda p: p["version"])
@@ -98,8 +125,7 @@ class VersionedStore:
         return newest
 
     def commit(self, pointer: dict) -> None:
-        slot = f"{self.root}/pointer/slot={pointer['version'] % 2}"
-        write_text(self.spark, json.dumps(pointer), slot)
+        write_small(self.spark, f"{self.root}/pointer/slot-{pointer['version'] % 2}.json", json.dumps(pointer))
 
     def done(self, pointer: dict, flow: str, batch_id: int) -> bool:
         series, last = pointer["flows"].get(flow, ("", -1))
@@ -114,13 +140,18 @@ class VersionedStore:
         return following
 
     # parts --------------------------------------------------------------------------------
-    # parts: {part name: {version: [buckets]}}
+    # parts: {part name: {"by_version": {version: [buckets]}}, or where a newer version's rows take the place of older
+    # ones of the same key {"by_bucket": {bucket: [[version, rows], ...]}}, the base first}
 
-    def write(self, df: DataFrame, version: int, partitions: Sequence[str], folder: str) -> None:
+    def write(
+        self, df: DataFrame, version: int, partitions: Sequence[str], folder: str, sort: Sequence[str] = ()
+    ) -> None:
         """Write one version folder. ``df`` is rebalanced so that a partition is few files, and
-        one that is too large for a task is split.
+        one that is too large for a task is split. Files are sorted by ``sort``.
         """
         spread = df.hint("rebalance", *[F.col(p) for p in partitions])
+        if sort:
+            spread = spread.sortWithinPartitions(*partitions, *sort)
         spread.write.mode("overwrite").partitionBy(*partitions).parquet(f"{self.root}/{folder}/{VERSION}={version}")
 
     def written(self, version: int, partitions: Sequence[str], folder: str) -> list[dict]:
@@ -166,7 +197,15 @@ class VersionedStore:
 
     @staticmethod
     def versions_of(part: dict) -> set:
-        """Versions a part refers to: bucket -> version or [[version, rows], ...], or version -> buckets."""
+        """Versions a part refers to."""
         if "by_bucket" not in part:
             return set(part["by_version"])
         return {v for held in part["by_bucket"].values() for v in ([p[0] for p in held] if isinstance(held, list) else [held])}
+
+    @staticmethod
+    def due(versions: list, rows: int) -> bool:
+        """Whether a bucket is to be written anew: what was appended has reached a share of its base, or is in many pieces."""
+        if not versions:
+            return False
+        (_, base), *appended = versions
+        return len(appended) + 1 >= MOST_APPENDED or rows + sum(n for _, n in appended) >= APPENDED_SHARE * base

@@ -7,7 +7,7 @@ import pytest
 from millrace.operators import cdc as ops
 from millrace.operators import snapshot as snap
 from millrace.specs import Cdc, SnapshotCdc
-from millrace.streaming.scd import Scd1Store, Scd2Store
+from millrace.streaming.scd import Scd1Store, Scd2Store, standing
 from millrace.streaming.snapshots import SnapshotStore
 from test_cdc import frame, random_feed
 
@@ -140,3 +140,68 @@ def test_scd1_writes_follow_the_batch(spark, tmp_path):
 def test_the_plan_of_many_snapshots_has_no_join(spark):
     plan = snap.snapshots_scd2(list(snapshots(spark, 6)), SnapshotCdc(["k"], 2))._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan and plan.count("Window") <= 8
+
+
+def test_scd2_writes_follow_the_batch(spark, tmp_path):
+    cdc = Cdc(["k"], "seq", 2)
+    many = spark.range(100_000).selectExpr("id AS k", "1L AS seq", "'x' AS a")
+    store = Scd2Store(spark, str(tmp_path / "t"), cdc, many.schema, buckets=8)
+    store.apply(many, 0)
+
+    def written(version):
+        return sum(spark.read.parquet(f"{tmp_path}/t/{part}/__v={version}").count() for part in ("spans", "log"))
+
+    for i in range(1, 4):
+        store.apply(spark.range(300).selectExpr("id * 17 AS k", f"{i * 10}L AS seq", f"'y{i}' AS a"), i)
+        assert written(i + 1) == 900  # the log, the closed version and the open one
+    # late for all 300 keys: their history from the version it falls into, a retraction each, and no key else
+    store.apply(spark.range(300).selectExpr("id * 17 AS k", "25L AS seq", "'late' AS a"), 4)
+    assert written(5) < 3_000
+    spans = store.table().where("k = 34").orderBy("__START_AT")
+    assert [(r.a, r["__START_AT"], r["__END_AT"]) for r in spans.collect()] == [
+        ("x", 1, 10), ("y1", 10, 20), ("y2", 20, 25), ("late", 25, 30), ("y3", 30, None),
+    ]
+    assert store.table().count() == 100_000 + 300 * 4
+    store.apply(spark.range(60_000).selectExpr("id AS k", "99L AS seq", "'z' AS a"), 5)
+    assert all(len(versions) == 1 for versions in store.pointer()["parts"]["open"]["by_bucket"].values())
+    assert store.table().where("__END_AT IS NULL").count() == 100_000
+
+
+@pytest.mark.parametrize("kind", ["bigint", "timestamp", "timestamp_ntz", "date", "string", "struct", "decimal(9,2)"])
+def test_a_late_event_opens_only_what_reaches_back_to_it(spark, tmp_path, monkeypatch, kind):
+    at = {
+        "bigint": "n", "timestamp": "timestamp_seconds(n * 1000)", "timestamp_ntz": "cast(timestamp_seconds(n * 1000) AS timestamp_ntz)",
+        "date": "date_from_unix_date(cast(n AS int))", "string": "lpad(cast(n AS string), 9, '0')", "struct": "n", "decimal(9,2)": "cast(n AS decimal(9,2))",
+    }[kind]
+    cdc = Cdc(["k"], ["seq", "m"] if kind == "struct" else "seq", 2)
+
+    def batch(first, count, key="id % 7"):
+        return spark.range(first, first + count).selectExpr("id AS n", f"{key} AS k").selectExpr("k", f"{at} AS seq", "n AS m", "cast(n AS string) AS a")
+
+    seen = batch(0, 1)
+    store = Scd2Store(spark, str(tmp_path / "t"), cdc, seen.schema, buckets=1)
+    for i in range(12):
+        part = batch(i * 20, 20)
+        store.apply(part, i)
+        seen = part if i == 0 else seen.unionByName(part)
+    opened = []
+    log = store._log
+    monkeypatch.setattr(store, "_log", lambda paths: opened.append(list(paths)) or log(paths))
+    late = batch(221, 1, "5L")  # into the version from 215 to 222
+    store.apply(late, 12)
+    replayed = opened[-1]
+    assert len(replayed) == (12 if kind.startswith("decimal") else 2)  # of twelve versions; a decimal has no zones
+    assert rows(store.table()) == rows(ops.scd2(seen.unionByName(late), cdc, None))
+
+
+def test_retractions_of_a_hot_key_take_one_pass(spark):
+    rnd = random.Random(3)
+    versions = [(1, start, rnd.randint(1, 1000)) for start in range(10_000)] + [(None, 5, 1), (2, 5, 9)]
+    taken = [(1, rnd.randint(0, 12_000), rnd.randint(1, 1000)) for _ in range(1000)] + [(None, 4, 2), (2, 4, 9)]
+    closed = spark.createDataFrame([(k, s, v, "x") for k, s, v in versions], "k long, __start long, __v int, a string")
+    gone = spark.createDataFrame(taken, "k long, __from long, __v int")
+    got = standing(closed, gone, ["k"])
+    assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
+    want = [(k, s) for k, s, v in versions if not any(k == tk and s >= f and rv > v for tk, f, rv in taken)]
+    assert sorted(map(str, [(r.k, r["__start"]) for r in got.collect()])) == sorted(map(str, want))
+    assert got.columns == ["k", "__start", "a"]
