@@ -49,7 +49,7 @@ SMOOTH = 5
 SCALE = 1_000_000_000
 TOP = 50
 SOURCES = 512  # columns that one task adds up
-BUCKET_ROWS = 200_000  # (term, source) rows of a bucket of pairs, about
+BUCKET_ROWS = 20_000  # (term, source) rows of a bucket of pairs, about
 CELLS = 1 << 20  # of a matrix that is held at once
 TERM = re.compile(rb"[a-z\x80-\xff]+")  # in UTF-8 every byte of a non-ASCII character is above 0x7f
 
@@ -277,7 +277,7 @@ def _join_block(rows: pa.Table, found: pa.Table, buckets: int) -> pa.Table:
 def block_terms(blocks: DataFrame, terms: DataFrame, buckets: int) -> DataFrame:
     """The terms of every block (``COUNT_ROWS``)."""
     return (
-        blocks.groupBy("block")
+        blocks.drop("chunks").groupBy("block")
         .cogroup(terms.groupBy("block"))
         .applyInArrow(lambda rows, found: _join_block(rows, found, buckets), COUNT_ROWS)
     )
