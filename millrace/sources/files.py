@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Mapping
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -83,7 +82,7 @@ def file_scan(
         schema = T.StructType([f for f in schema.fields if f.name != rescue])
     reader = spark.readStream if streaming else spark.read
     if rescue and file_format == "json":
-        raw = reader.format("text").options(**_text_options(plain)).load(path)
+        raw = json_records(reader, path, plain, metadata is not None)
         df = rescue_json(raw, schema, rescue, metadata is not None, _parse_options(plain))
     elif rescue and file_format == "csv":
         raw = reader.format("csv").options(**plain, **_CSV_RAW).schema(_raw_csv_schema(schema)).load(path)
@@ -132,79 +131,120 @@ def _text_options(options: Mapping[str, str]) -> dict[str, str]:
 def _parse_options(options: Mapping[str, str]) -> dict[str, str]:
     """Options that say how a field's text is read, such as time formats."""
     general = _text_options(options)
-    return {k: v for k, v in options.items() if k not in general}
+    return {k: v for k, v in options.items() if k not in general and k.lower() not in _RECORD_OPTIONS}
 
 
-def _raw_map(text: Column) -> Column:
+# Options of the JSON reader that say where records lie, and the names of the one encoding that text is read in.
+_RECORD_OPTIONS = ("multiline", "encoding", "charset", "linesep")
+_UTF8 = ("utf-8", "utf8")
+
+
+def json_records(reader, path: str, options: Mapping[str, str], keep_metadata: bool = False) -> DataFrame:
+    """The text of each JSON record below a path (``value``), and ``_metadata`` if wanted.
+
+    Records are lines, or with ``multiLine`` whole files, of which an array gives a record per element, as the JSON reader has
+    it. ``lineSep`` holds for lines, ``encoding`` for whole files; lines in another encoding than UTF-8 are refused.
+    """
+    given = {k.lower(): v for k, v in options.items()}
+    general = _text_options(options)
+    encoding = str(given.get("encoding", given.get("charset", "UTF-8")))
+    extra = [F.col("_metadata")] if keep_metadata else []
+    if str(given.get("multiline", "false")).lower() != "true":
+        if encoding.lower() not in _UTF8:
+            raise ValueError(f"JSON lines in {encoding} cannot be rescued; read them with multiLine, or in UTF-8")
+        if "linesep" in given:
+            general["lineSep"] = given["linesep"]
+        return reader.format("text").options(**general).load(path).select("value", *extra)
+    if encoding.lower() in _UTF8:
+        whole = reader.format("text").options(**general, wholetext="true").load(path).select("value", *extra)
+    else:
+        whole = reader.format("binaryFile").options(**general).load(path)
+        whole = whole.select(F.decode("content", encoding).alias("value"), *extra)
+    parts = F.from_json("value", T.ArrayType(T.StringType()), _parse_options(options))
+    # what is no array, or no JSON, is one record
+    return whole.select(F.explode(F.coalesce(parts, F.array("value"))).alias("value"), *[c for c in whole.columns if c != "value"])
+
+
+def _raw_map(text: Column, options: Mapping[str, str] | None = None) -> Column:
     """The fields of a JSON object with their raw text."""
-    return F.from_json(text, T.MapType(T.StringType(), T.StringType()))
+    return F.from_json(text, T.MapType(T.StringType(), T.StringType()), dict(options or {}))
 
 
-def _damaged(text: Column, value: Column, kind: T.DataType) -> Column:
-    """Whether a nested value lost something of its raw text: a field that is unknown or does not fit, at any depth."""
+def _given(value: Column) -> Column:
+    """Whether a VARIANT is there and not null."""
+    return value.isNotNull() & ~F.is_variant_null(value)
+
+
+def _damaged(raw: Column, value: Column, kind: T.DataType) -> Column:
+    """Whether a nested value lost something of its VARIANT: a field that is unknown or does not fit, at any depth."""
     if isinstance(kind, T.StructType):
+        fields = F.try_variant_get(raw, "$", "map<string, variant>")
         known = F.array(*[F.lit(f.name) for f in kind.fields]).cast("array<string>")
-        unknown = F.exists(F.map_entries(_raw_map(text)), lambda e: e["value"].isNotNull() & ~F.array_contains(known, e["key"]))
-        lost = F.lit(False)
+        bad = F.exists(F.map_entries(fields), lambda e: _given(e["value"]) & ~F.array_contains(known, e["key"]))
         for f in kind.fields:
-            inner = F.try_element_at(_raw_map(text), F.lit(f.name))
-            part = value[f.name]
-            lost = lost | (inner.isNotNull() & (part.isNull() | _damaged(inner, part, f.dataType)))
-        return F.coalesce(unknown | lost, F.lit(False))
-    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, (T.StructType, T.ArrayType)):
-        texts = F.from_json(text, T.ArrayType(T.StringType()))
-        pairs = F.zip_with(texts, value, lambda t, v: t.isNotNull() & (v.isNull() | _damaged(t, v, kind.elementType)))
-        return F.coalesce(F.exists(pairs, lambda bad: bad), F.lit(False))
+            inner = F.try_element_at(fields, F.lit(f.name))
+            bad = bad | (_given(inner) & (value[f.name].isNull() | _damaged(inner, value[f.name], f.dataType)))
+        return F.coalesce(bad, F.lit(False))
     if isinstance(kind, T.ArrayType):
-        texts = F.from_json(text, T.ArrayType(T.StringType()))
-        return F.coalesce(F.exists(F.zip_with(texts, value, lambda t, v: t.isNotNull() & v.isNull()), lambda bad: bad), F.lit(False))
+        parts = F.try_variant_get(raw, "$", "array<variant>")
+        pairs = F.zip_with(parts, value, lambda p, v: _given(p) & (v.isNull() | _damaged(p, v, kind.elementType)))
+        return F.coalesce(F.exists(pairs, lambda bad: bad), F.lit(False))
     return F.lit(False)
 
 
+_BAD = "__bad"
+
+
 def rescue_json(
     raw: DataFrame, schema: T.StructType, rescue: str, keep_metadata: bool = False, options: Mapping[str, str] | None = None
 ) -> DataFrame:
-    """JSON lines in ``value`` to typed columns and a rescued column.
+    """JSON records in ``value`` to typed columns and a rescued column.
 
     Rescued are fields the schema lacks and fields whose value, or a part of it at any depth, does not fit their type, with
-    their raw text; a line that is no JSON object at all is rescued whole. NULL when clean. ``options`` are those of the
-    JSON reader.
+    their raw text; a record that is no JSON object at all is rescued whole. NULL when clean. ``options`` are those of the
+    JSON reader. A record is parsed once into the schema, which also tells whether all of it fitted, and its keys are listed; where the
+    schema has nested columns it is also parsed once into a VARIANT, in which unknown nested fields are looked for. Only
+    records that are not clean are looked at by field.
     """
     extra = [F.col("_metadata")] if keep_metadata else []
-    parsed = raw.select(
-        F.from_json("value", schema, dict(options or {})).alias("__p"),
-        _raw_map(F.col("value")).alias("__m"),
+    options = dict(options or {})
+    named = {k.lower(): v for k, v in options.items()}.get("columnnameofcorruptrecord")
+    marker = next((f.name for f in schema.fields if f.name == named and isinstance(f.dataType, T.StringType)), _BAD)
+    if marker == _BAD:
+        options = {k: v for k, v in options.items() if k.lower() != "columnnameofcorruptrecord"} | {"columnNameOfCorruptRecord": _BAD}
+    full = schema if marker != _BAD else T.StructType([*schema.fields, T.StructField(_BAD, T.StringType())])
+    fields = [f for f in schema.fields if f.name != marker]
+    nested = [f for f in fields if isinstance(f.dataType, (T.StructType, T.ArrayType))]
+    parsed = raw.where(F.col("value").rlike(r"\S")).select(
+        F.from_json("value", full, options).alias("__p"),
+        F.json_object_keys("value").alias("__k"),
+        *([F.try_parse_json("value").alias("__v")] if nested else []),
         F.col("value"),
         *extra,
     )
-    known = F.array(*[F.lit(f.name) for f in schema.fields]).cast("array<string>")
-    nested = [f for f in schema.fields if isinstance(f.dataType, (T.StructType, T.ArrayType))]
-    harmed = {f.name: _damaged(F.try_element_at("__m", F.lit(f.name)), F.col("__p")[f.name], f.dataType) for f in nested}
+    known = F.array(*[F.lit(f.name) for f in fields]).cast("array<string>")
+    harmed = {
+        f.name: _damaged(F.try_variant_get("__v", f"$[{json.dumps(f.name)}]", "variant"), F.col("__p")[f.name], f.dataType) for f in nested
+    }
+    clean = F.col("__p")[marker].isNull() & F.col("__k").isNotNull() & (F.size(F.array_except("__k", known)) == 0)
+    for bad in harmed.values():
+        clean = clean & ~bad
+    parsed = parsed.withColumn("__m", F.when(~F.coalesce(clean, F.lit(False)), _raw_map(F.col("value"), options)))
+    parsed = parsed.withColumn("__clean", F.coalesce(clean, F.lit(False)))
     lost = F.filter(
-        F.array(*[F.when(F.col("__p")[f.name].isNull() | harmed.get(f.name, F.lit(False)), F.lit(f.name)) for f in schema.fields]),
+        F.array(*[F.when(F.col("__p")[f.name].isNull() | harmed.get(f.name, F.lit(False)), F.lit(f.name)) for f in fields]),
         lambda name: name.isNotNull(),
     )
     rescued = F.map_filter(
         "__m",
         lambda name, text: text.isNotNull() & (~F.array_contains(known, name) | F.array_contains(lost, name)),
     )
-    whole = F.to_json(F.struct(F.col("value").alias("_line")))
-    # a row is clean if as many fields fit as were given; only other rows are looked at by field
-    given = F.size(F.map_filter("__m", lambda _, text: text.isNotNull()))
-    fitting = reduce(
-        lambda a, b: a + b,
-        [F.when(F.col("__p")[f.name].isNotNull(), 1).otherwise(0) for f in schema.fields],
-        F.lit(0),
-    )
-    sound = reduce(lambda a, b: a & ~b, harmed.values(), F.lit(True))
     column = (
-        F.when(F.col("__m").isNull(), whole)
-        .when((given == fitting) & sound, F.lit(None).cast("string"))
+        F.when(F.col("__clean"), F.lit(None).cast("string"))
+        .when(F.col("__m").isNull(), F.to_json(F.struct(F.col("value").alias("_line"))))
         .when(F.size(rescued) > 0, F.to_json(rescued))
     )
-    return parsed.where(F.trim("value") != "").select(
-        *[F.col("__p")[f.name].alias(f.name) for f in schema.fields], column.alias(rescue), *extra
-    )
+    return parsed.select(*[F.col("__p")[f.name].alias(f.name) for f in schema.fields], column.alias(rescue), *extra)
 
 
 _RAW_LINE = "__raw_line"

@@ -138,3 +138,69 @@ def test_numbered_snapshots(spark, tmp_path):
     assert [v for v, _ in snapshot_versions(following, latest=1)] == [2]
     with pytest.raises(ValueError, match="does not follow"):
         list(snapshot_versions(lambda latest: (None, 1)))
+
+
+RECORDS = [{"a": 1, "b": {"c": "x", "d": [1, 2]}, "t": "2024-01-02"}, {"a": None, "b": None}, {}, {"a": 7, "b": {"c": None}, "s": "é \n ]"}]
+RECORD_SCHEMA = "a bigint, b struct<c: string, d: array<int>>, t date, s string"
+
+
+def _put(path, name, text, encoding="utf-8"):
+    path.mkdir(exist_ok=True)
+    (path / name).write_bytes(text.encode(encoding))
+
+
+@pytest.mark.parametrize("key, value", [("multiLine", True), ("MULTILINE", "true"), ("multiline", "True")])
+@pytest.mark.parametrize("streaming", [False, True])
+def test_multi_line_rescue_is_the_plain_reader_on_clean_files(spark, tmp_path, key, value, streaming):
+    _put(tmp_path / "in", "a.json", json.dumps(RECORDS, indent=2, ensure_ascii=False))
+    _put(tmp_path / "in", "b.json", json.dumps(RECORDS[0], indent=1))
+    _put(tmp_path / "in", "c.json", " [\n] ")
+    _put(tmp_path / "in", "d.json", " \n ")
+    options = {"cloudFiles.format": "json", "cloudFiles.rescuedDataColumn": "_r", key: value}
+    df = file_scan(spark, str(tmp_path / "in"), options, RECORD_SCHEMA, streaming)
+    if streaming:
+        df.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start(str(tmp_path / "out")).awaitTermination()
+        df = spark.read.parquet(str(tmp_path / "out"))
+    plain = spark.read.schema(RECORD_SCHEMA).option("multiLine", "true").json(str(tmp_path / "in"))
+    got = sorted(map(str, df.drop("_r").collect()))
+    assert got == sorted(map(str, plain.collect())) and len(got) == len(RECORDS) + 1
+    assert df.where("_r IS NOT NULL").count() == 0
+
+
+def test_multi_line_rescue_of_dirty_files(spark, tmp_path):
+    _put(tmp_path / "in", "a.json", '[\n {"a": "x",\n "b": {"c": "y", "z": 1}},\n {"a": 1, "new": [1,\n 2]}, 5,\n {"a": 3}\n]')
+    _put(tmp_path / "in", "b.json", '[{"a": 1},\n {"a"')
+    request = {"include_autoloader_metadata_column": "true"}
+    options = {"cloudFiles.format": "json", "cloudFiles.rescuedDataColumn": "_r", "multiLine": "true"}
+    df = file_scan(spark, str(tmp_path / "in"), options, RECORD_SCHEMA, False, metadata=request)
+    got = sorted(((r.a, r.b and r.b.c, json.loads(r["_r"]) if r["_r"] else None, r.source_metadata.file_name) for r in df.collect()), key=str)
+    assert got == sorted(
+        [
+            (None, "y", {"a": "x", "b": '{"c":"y","z":1}'}, "a.json"),
+            (1, None, {"new": "[1,2]"}, "a.json"),
+            (None, None, {"_line": "5"}, "a.json"),
+            (3, None, None, "a.json"),
+            (None, None, {"_line": '[{"a": 1},\n {"a"'}, "b.json"),
+        ],
+        key=str,
+    )
+
+
+def test_encoding_and_line_separator_hold_in_rescue(spark, tmp_path):
+    _put(tmp_path / "wide", "a.json", json.dumps(RECORDS, ensure_ascii=False), "utf-16")
+    options = {"cloudFiles.format": "json", "cloudFiles.rescuedDataColumn": "_r", "encoding": "UTF-16", "multiLine": "true"}
+    df = file_scan(spark, str(tmp_path / "wide"), options, RECORD_SCHEMA, False)
+    assert sorted(str(r.s) for r in df.collect()) == ["None", "None", "None", "é \n ]"] and df.where("_r IS NOT NULL").count() == 0
+    with pytest.raises(ValueError):
+        file_scan(spark, str(tmp_path / "wide"), {**options, "multiLine": "false"}, RECORD_SCHEMA, False)
+    _put(tmp_path / "bars", "a.json", '{"a": 1}|{"a": "n\\nn"}|{"a": 3}')
+    options = {"cloudFiles.format": "json", "cloudFiles.rescuedDataColumn": "_r", "lineSep": "|"}
+    got = [(r.a, r["_r"]) for r in file_scan(spark, str(tmp_path / "bars"), options, RECORD_SCHEMA, False).collect()]
+    assert got == [(1, None), (None, json.dumps({"a": "n\nn"}, separators=(",", ":"))), (3, None)]
+
+
+def test_a_corrupt_record_column_of_the_schema_stays(spark, tmp_path):
+    _put(tmp_path / "in", "a.json", '{"a": 1}\n{"a": "x"}\n{"a"')
+    options = {"cloudFiles.format": "json", "cloudFiles.rescuedDataColumn": "_r", "columnNameOfCorruptRecord": "bad"}
+    got = [tuple(r) for r in file_scan(spark, str(tmp_path / "in"), options, "a bigint, bad string", False).collect()]
+    assert got == [(1, None, None), (None, '{"a": "x"}', '{"a":"x"}'), (None, '{"a"', json.dumps({"_line": '{"a"'}, separators=(",", ":")))]
