@@ -227,9 +227,6 @@ class Scd2Store(VersionedStore):
                 *[T.StructField(n, sequence) for n in (ops.START, ops.END, ops.TOP)],
             ]
         )
-        self.retract_schema = T.StructType(
-            [*[schema[k] for k in cdc.keys], T.StructField(ops.FROM, sequence)]
-        )
 
     # reading ------------------------------------------------------------------------------
 
@@ -261,8 +258,8 @@ class Scd2Store(VersionedStore):
         rows = self._appended(pointer, "closed", "spans", self.span_schema, buckets, f"{PART}=closed/")
         if not pointer["parts"].get("retract", {"by_version": {}})["by_version"]:
             return rows.drop(VERSION)
-        taken = self._appended(pointer, "retract", "retract", self.retract_schema, buckets)
-        return standing(rows, taken, self.cdc.keys)
+        taken = self._appended(pointer, "retract", "spans", self.span_schema, buckets, f"{PART}=retract/")
+        return standing(rows, taken.withColumnRenamed(ops.START, ops.FROM), self.cdc.keys)
 
     def log_folders(self, pointer: dict, reach: dict[int, object]) -> list[tuple[str, int]]:
         """(folder, rows) of the log that may hold events of a bucket from a point of the sequence on; None is the beginning."""
@@ -314,6 +311,7 @@ class Scd2Store(VersionedStore):
         )
         known = null_safe_join(lows, heads.drop(BUCKET), keys, "left")
         known = known.persist(StorageLevel.MEMORY_AND_DISK)
+        replay = None
         try:
             is_late = F.col(ops.TOP).isNotNull() & (F.col("__lo") <= F.col(ops.TOP))
             measured = self._measure(known, is_late)
@@ -328,11 +326,7 @@ class Scd2Store(VersionedStore):
             late_buckets = [m[BUCKET] for m in measured if m["late"]]
             if late_buckets:
                 late = known.where(is_late).select(*keys, BUCKET, "__lo", F.col(ops.START).alias("__open_start"))
-                self.write(self._replay_points(pointer, late, late_buckets), version, [BUCKET], "retract")
-                self._note(following, "retract", version, late_buckets)
-                replay = self.read(
-                    "retract", self.retract_schema, [f"{VERSION}={version}/{BUCKET}={b}" for b in late_buckets], f"{BUCKET} int"
-                )
+                replay = self._replay_points(pointer, late, late_buckets).persist(StorageLevel.MEMORY_AND_DISK)
                 folders = self.log_folders(pointer, self._reach(replay, late_buckets))
                 count += sum(n for _, n in folders)
                 past = null_safe_join(
@@ -355,20 +349,28 @@ class Scd2Store(VersionedStore):
             )
             held = following["parts"].setdefault("open", {"by_bucket": {}})["by_bucket"]
             due = [m[BUCKET] for m in measured if self.due(held.get(str(m[BUCKET]), []), m["keys"])]
+            if replay is not None:
+                # a retraction is stored as a row of its own part that starts where its key's history is made anew
+                taken = replay.select(*keys, BUCKET, F.col(ops.FROM).alias(ops.START)).withColumn(PART, F.lit("retract"))
+                spans = spans.unionByName(taken, allowMissingColumns=True)
             if due:
-                resting = null_safe_join(heads.where(F.col(BUCKET).isin(due)), lows.select(*keys), keys, "left_anti")
+                resting = null_safe_join(heads.where(F.col(BUCKET).isin(due)), known.select(*keys), keys, "left_anti")
+                count += sum(n for b in due for _, n in held[str(b)])
                 spans = spans.unionByName(resting.withColumn(PART, F.lit("open")))
-            self.write(spans, version, [PART, BUCKET], "spans")
+            self.write(spans, version, [PART, BUCKET], "spans", rows=count)
             anew = self._open_rows(version, due) if due else {}
             for m in measured:  # every key of the batch has an open row
                 b = m[BUCKET]
                 held[str(b)] = [[version, anew[b]]] if b in anew else [*held.get(str(b), []), [version, m["keys"]]]
             log = following["parts"].setdefault("log", {"by_version": {}})["by_version"]
             log[str(version)] = {str(m[BUCKET]): [m["low"], m["high"], m["rows"]] for m in measured}
-            closed = [int(r[BUCKET]) for r in self.written(version, [PART, BUCKET], "spans") if r[PART] == "closed"]
-            self._note(following, "closed", version, closed)
+            written = self.written(version, [PART, BUCKET], "spans")
+            for part in ("closed", "retract"):
+                self._note(following, part, version, [int(r[BUCKET]) for r in written if r[PART] == part])
         finally:
             known.unpersist()
+            if replay is not None:
+                replay.unpersist()
 
     def _measure(self, known: DataFrame, is_late: Column) -> list[dict]:
         """Per bucket of a batch its keys, rows, late keys, and least and greatest sequence: a row per bucket."""

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from millrace.session import empty_frame
 
 DEFAULT_BUCKETS = 64
+FEW_ROWS = 100_000
 #: A bucket that later versions append to is written anew when what was appended reaches this share of its base, or this often.
 APPENDED_SHARE, MOST_APPENDED = 0.5, 32
 BUCKET = "__bucket"
@@ -144,12 +145,14 @@ class VersionedStore:
     # ones of the same key {"by_bucket": {bucket: [[version, rows], ...]}}, the base first}
 
     def write(
-        self, df: DataFrame, version: int, partitions: Sequence[str], folder: str, sort: Sequence[str] = ()
+        self, df: DataFrame, version: int, partitions: Sequence[str], folder: str, sort: Sequence[str] = (), rows: int | None = None
     ) -> None:
         """Write one version folder. ``df`` is rebalanced so that a partition is few files, and
-        one that is too large for a task is split. Files are sorted by ``sort``.
+        one that is too large for a task is split; not if it is known to come from few ``rows``, which a shuffle
+        before it left to few tasks. Files are sorted by ``sort``.
         """
-        spread = df.hint("rebalance", *[F.col(p) for p in partitions])
+        few = rows is not None and rows <= FEW_ROWS
+        spread = df if few else df.hint("rebalance", *[F.col(p) for p in partitions])
         if sort:
             spread = spread.sortWithinPartitions(*partitions, *sort)
         spread.write.mode("overwrite").partitionBy(*partitions).parquet(f"{self.root}/{folder}/{VERSION}={version}")
