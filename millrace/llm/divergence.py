@@ -375,10 +375,12 @@ def pair_sums(shares: DataFrame, groups: DataFrame, per_task: int = SOURCES, buc
     def numbers(count: str) -> Column:
         return F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
 
-    terms = shares.join(sizes, "lang").select(
+    groups = groups.join(sizes, "lang")
+    # by source as well: a language may have most of the rows
+    terms = shares.join(groups.select("lang", "source", "parts", "buckets"), ["lang", "source"]).select(
         "lang", "term", "source", "p", F.pmod(F.xxhash64("term"), "buckets").alias("bucket"), numbers("parts").alias("part")
     )
-    columns = groups.join(sizes, "lang").withColumn("bucket", numbers("buckets")).withColumn("part", numbers("parts")).select(
+    columns = groups.withColumn("bucket", numbers("buckets")).withColumn("part", numbers("parts")).select(
         "lang", "source", "base", "bucket", "part", (F.pmod(F.xxhash64("source"), "parts") == F.col("part")).alias("own")
     )
     key = ["lang", "bucket", "part"]
