@@ -84,9 +84,9 @@ def zorder_bits(columns: int, files: int) -> int:
     return min(CODE_BITS // columns, MOST_CUT_BITS, max(4, (max(files, 1) - 1).bit_length() + 2))
 
 
-def zordered(df: DataFrame, columns: Sequence[str], bits: int | None = None) -> DataFrame:
+def zordered(df: DataFrame, columns: Sequence[str], bits: int | None = None, first: Sequence[str] = ()) -> DataFrame:
     """Range partitions along the interleaved bits of the columns, so that each file covers a
-    narrow range of all of them.
+    narrow range of all of them; along the columns ``first`` before them.
     """
     if bits is None:
         bits = zorder_bits(len(columns), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
@@ -95,27 +95,29 @@ def zordered(df: DataFrame, columns: Sequence[str], bits: int | None = None) ->
     ranks = [F.col(f"__z{i}") for i in range(len(columns))]
     coded = ranked(df, columns, bits).withColumn("__z", interleave(ranks, bits))
     return (
-        coded.repartitionByRange("__z", _row_hash(df))
-        .sortWithinPartitions("__z")
+        coded.repartitionByRange(*first, "__z", _row_hash(df))
+        .sortWithinPartitions(*first, "__z")
         .drop("__z", *[f"__z{i}" for i in range(len(columns))])
     )
 
 
-def arranged(df: DataFrame, target: Target) -> DataFrame:
-    """Rows in the order the target's layout asks for.
+def arranged(df: DataFrame, target: Target, first: Sequence[str] = ()) -> DataFrame:
+    """Rows in the order the target's layout asks for, within the values of the columns ``first``.
 
     Hive partitions get a rebalance: few files per partition value, while adaptive execution
     splits a value that is too large for one task.
     """
     if target.zorder_by:
-        return zordered(df, target.zorder_by)
+        return zordered(df, target.zorder_by, first=first)
     if target.cluster_by:
-        return clustered(df, target.cluster_by)
-    if target.partition_by:
-        return df.hint("rebalance", *[F.col(c) for c in target.partition_by])
+        return clustered(df, [*first, *target.cluster_by])
+    if target.partition_by or first:
+        return df.hint("rebalance", *[F.col(c) for c in (*first, *target.partition_by)])
     return df
 
 
-def writer(df: DataFrame, target: Target) -> DataFrameWriter:
-    out = arranged(df, target).write.format("parquet")
-    return out.partitionBy(*target.partition_by) if target.partition_by else out
+def writer(df: DataFrame, target: Target, first: Sequence[str] = ()) -> DataFrameWriter:
+    """A writer in the target's layout, whose partition columns come after the columns ``first``."""
+    out = arranged(df, target, first).write.format("parquet")
+    parts = [*first, *target.partition_by]
+    return out.partitionBy(*parts) if parts else out

@@ -7,13 +7,13 @@ is written first and quarantine and sinks after it, all from one read of the bat
 from __future__ import annotations
 
 import copy
-import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field, replace
 from graphlib import TopologicalSorter
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.functions.schemas import resolve_schema
@@ -26,7 +26,8 @@ from millrace.sources.tables import path_scan, table_name, table_scan
 from millrace.specs import Flow, Source, SpecError, Target
 from millrace.streaming.scd import open_store
 from millrace.streaming.snapshots import SnapshotStore
-from millrace.streaming.store import DEFAULT_BUCKETS, folders_below, remove_path
+from millrace.streaming.published import PublishedTable
+from millrace.streaming.store import BUCKET, DEFAULT_BUCKETS, bucket_of
 from millrace.streaming.targets import (
     AppendTable,
     batch_writer,
@@ -36,7 +37,6 @@ from millrace.streaming.targets import (
     run_available,
     run_once,
     set_table_facts,
-    table_location,
     write_sink,
 )
 
@@ -202,16 +202,27 @@ class Runner:
             table.register()
         return run
 
-    def _publish_named(self, flow: Flow) -> None:
-        """The named table of a CDC or snapshot flow, in the target's layout: written beside the store after a run that took
-        batches, then switched to. The former files stay for who still reads them, older ones go."""
+    def _publish_named(self, flow: Flow) -> list[int]:
+        """Bring the named table of a CDC or snapshot flow, in the target's layout, to what the store holds: only the buckets that
+        changed are written. Gives them."""
+        if flow.snapshot:
+            store = SnapshotStore(self.spark, flow.target.path, flow.snapshot)
+
+            def rows(buckets):
+                table = store.table() if buckets is None or buckets else store.table().limit(0)
+                return table.withColumn(BUCKET, F.lit(0))
+
+            def touched(version):
+                return [0] if store.pointer()["version"] > version else []
+        else:
+            store = open_store(self.spark, flow.target.path, flow.cdc, self.input(flow).schema, self.buckets)
+            touched = store.touched_since
+
+            def rows(buckets):
+                return store.table(buckets).withColumn(BUCKET, bucket_of(flow.cdc.keys, self.buckets))
+
         root = f"{flow.target.path.rstrip('/')}-named"
-        place = f"{root}/at={uuid.uuid4().hex}"
-        former = table_location(self.spark, flow.target.name) if self.spark.catalog.tableExists(flow.target.name) else ""
-        self.publish(flow, replace(self._target(flow), path=place))
-        for (folder,) in folders_below(self.spark, root, 1):
-            if not former.endswith(folder) and not place.endswith(folder):
-                remove_path(self.spark, f"{root}/{folder}")
+        return PublishedTable(self.spark, root, self._target(flow), rows).publish(store.pointer()["version"], touched)
 
     def _handler(self, flow: Flow, run: FlowRun):
         """``handle(batch, batch_id)`` for the flow's main source."""

@@ -110,16 +110,25 @@ class Scd1Store(VersionedStore):
         self.commit(following)
         return True
 
-    def table(self) -> DataFrame:
+    def touched_since(self, version: int) -> list[int] | None:
+        """The buckets that changed after a version; None for all, where a truncate came."""
+        parts = self.pointer()["parts"]
+        if any(int(v) > version for v in parts.get("bound", {"by_version": {}})["by_version"]) and self.cdc.apply_as_truncates:
+            return None
+        held = parts.get("state", {"by_bucket": {}})["by_bucket"]
+        return sorted(int(b) for b, versions in held.items() if any(v > version for v, _ in versions))
+
+    def table(self, buckets: Sequence[int] | None = None) -> DataFrame:
+        """The table as it is now, or some of its buckets."""
         pointer = self.pointer()
         bound = None
         if self.cdc.apply_as_truncates and "bound" in pointer["parts"]:
             bound = self._bound(pointer).agg(F.max("bound").alias("bound")).scalar()
-        return ops.scd1_finish(self._per_key(self._whole(pointer)), self.cdc, self.schema.names, bound)
+        return ops.scd1_finish(self._per_key(self._whole(pointer, buckets)), self.cdc, self.schema.names, bound)
 
-    def _whole(self, pointer: dict) -> DataFrame:
+    def _whole(self, pointer: dict, buckets: Sequence[int] | None = None) -> DataFrame:
         """The state with one row per key (and sequence, where nulls are ignored): merged if a bucket has more than its base."""
-        state = self._state(pointer).drop(BUCKET)
+        state = self._state(pointer, buckets).drop(BUCKET)
         held = pointer["parts"].get("state", {"by_bucket": {}})["by_bucket"]
         return self._merge(state) if any(len(versions) > 1 for versions in held.values()) else state
 
@@ -274,12 +283,18 @@ class Scd2Store(VersionedStore):
     def _log(self, paths: Sequence[str]) -> DataFrame:
         return self.read("log", self.event_schema, paths, f"{BUCKET} int").drop(VERSION)
 
-    def spans(self) -> DataFrame:
+    def spans(self, buckets: Sequence[int] | None = None) -> DataFrame:
         pointer = self.pointer()
-        return self._closed(pointer).unionByName(self._open(pointer)).drop(BUCKET)
+        return self._closed(pointer, buckets).unionByName(self._open(pointer, buckets)).drop(BUCKET)
 
-    def table(self) -> DataFrame:
-        return ops.scd2_finish(self.spans(), self.cdc, self.columns)
+    def touched_since(self, version: int) -> list[int]:
+        """The buckets that changed after a version: every batch leaves open rows in those."""
+        held = self.pointer()["parts"].get("open", {"by_bucket": {}})["by_bucket"]
+        return sorted(int(b) for b, versions in held.items() if any(v > version for v, _ in versions))
+
+    def table(self, buckets: Sequence[int] | None = None) -> DataFrame:
+        """The table as it is now, or some of its buckets."""
+        return ops.scd2_finish(self.spans(buckets), self.cdc, self.columns)
 
     # writing ------------------------------------------------------------------------------
 

@@ -23,6 +23,16 @@ FLOW = "__flow"
 BATCH = "__batch"
 
 
+def sql_text(text: object) -> str:
+    """A string literal."""
+    return "'" + str(text).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def sql_name(name: str) -> str:
+    """A quoted column name."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _path_missing(error: AnalysisException) -> bool:
     return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
@@ -65,12 +75,12 @@ class AppendTable:
         """Name the folder in the catalog, with properties and comment."""
         if not self.target.name:
             return
-        columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema().fields]
+        columns = [f"{sql_name(f.name)} {f.dataType.simpleString()}" for f in self.schema().fields]
         columns += [f"{FLOW} string", f"{BATCH} string"]
-        parts = ", ".join([FLOW, BATCH, *[f"`{c}`" for c in self.target.partition_by]])
+        parts = ", ".join([FLOW, BATCH, *map(sql_name, self.target.partition_by)])
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.target.name} ({', '.join(columns)}) USING parquet "
-            f"PARTITIONED BY ({parts}) LOCATION '{self.root}'"
+            f"PARTITIONED BY ({parts}) LOCATION {sql_text(self.root)}"
         )
         set_table_facts(self.spark, self.target.name, self.target.properties, self.target.comment)
         self.spark.catalog.recoverPartitions(self.target.name)
@@ -137,18 +147,17 @@ class AppendTable:
 
 def set_table_facts(spark: SparkSession, name: str, properties: dict[str, str], comment: str | None) -> None:
     if properties:
-        pairs = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
+        pairs = ", ".join(f"{sql_text(k)} = {sql_text(v)}" for k, v in properties.items())
         spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({pairs})")
     if comment:
-        escaped = comment.replace("'", "\\'")
-        spark.sql(f"COMMENT ON TABLE {name} IS '{escaped}'")
+        spark.sql(f"COMMENT ON TABLE {name} IS {sql_text(comment)}")
 
 
 # catalog helpers ----------------------------------------------------------------------------
 
 
 def create_database(spark: SparkSession, database: str, comment: str = "") -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} COMMENT '{comment}'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} COMMENT {sql_text(comment)}")
 
 
 def drop_database(spark: SparkSession, database: str) -> None:
@@ -157,7 +166,7 @@ def drop_database(spark: SparkSession, database: str) -> None:
 
 def register_path(spark: SparkSession, name: str, path: str) -> None:
     """Name a parquet folder."""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION {sql_text(path)}")
 
 
 def deregister(spark: SparkSession, name: str) -> None:
@@ -224,7 +233,7 @@ def write_named(rows: DataFrame, name: str, path: str | None, flow: str, batch_i
     folder = batch_folder(batch_id)
     place = f"{table_location(spark, name).rstrip('/')}/{FLOW}={flow}/{BATCH}={folder}"
     rows.select(*[F.col(f"`{c}`") for c in have if c in rows.columns]).write.mode("overwrite").parquet(place)
-    spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({FLOW} = '{flow}', {BATCH} = '{folder}') LOCATION '{place}'")
+    spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({FLOW} = {sql_text(flow)}, {BATCH} = {sql_text(folder)}) LOCATION {sql_text(place)}")
     spark.catalog.refreshTable(name)
 
 
