@@ -24,7 +24,7 @@ from millrace.sources.messages import Secrets, eventhub_options, kafka_options,
 from millrace.sources.snapshots import snapshot_versions
 from millrace.sources.tables import path_scan, table_name, table_scan
 from millrace.specs import Flow, Source, SpecError, Target
-from millrace.streaming.scd import open_store
+from millrace.streaming.scd import Scd1Store, Scd2Store, open_store
 from millrace.streaming.snapshots import SnapshotStore
 from millrace.streaming.published import PublishedTable
 from millrace.streaming.store import BUCKET, DEFAULT_BUCKETS, bucket_of
@@ -134,13 +134,16 @@ class Runner:
     def table(self, flow: Flow | str) -> DataFrame:
         """The flow's target as it is now."""
         flow = self.flows[flow] if isinstance(flow, str) else flow
-        if flow.snapshot:
-            return SnapshotStore(self.spark, flow.target.path, flow.snapshot).table()
-        if flow.cdc:
-            schema = self.input(flow).schema
-            return open_store(self.spark, flow.target.path, flow.cdc, schema, self.buckets).table()
+        if flow.snapshot or flow.cdc:
+            return self._store(flow).table()
         return self.append_table(flow).table()
 
+    def _store(self, flow: Flow) -> Scd1Store | Scd2Store | SnapshotStore:
+        """The store of a keyed flow."""
+        if flow.snapshot:
+            return SnapshotStore(self.spark, flow.target.path, flow.snapshot)
+        return open_store(self.spark, flow.target.path, flow.cdc, self.input(flow).schema, self.buckets)
+
     def publish(self, flow: Flow | str, target: Target) -> None:
         """Write the flow's table as it is now to a plain parquet folder in the target's layout,
         and name it if the target has a name."""
@@ -205,8 +208,8 @@ class Runner:
     def _publish_named(self, flow: Flow) -> list[int]:
         """Bring the named table of a CDC or snapshot flow, in the target's layout, to what the store holds: only the buckets that
         changed are written. Gives them."""
+        store = self._store(flow)
         if flow.snapshot:
-            store = SnapshotStore(self.spark, flow.target.path, flow.snapshot)
 
             def rows(buckets):
                 table = store.table() if buckets is None or buckets else store.table().limit(0)
@@ -215,7 +218,6 @@ class Runner:
             def touched(version):
                 return [0] if store.pointer()["version"] > version else []
         else:
-            store = open_store(self.spark, flow.target.path, flow.cdc, self.input(flow).schema, self.buckets)
             touched = store.touched_since
 
             def rows(buckets):
@@ -227,9 +229,7 @@ class Runner:
     def _handler(self, flow: Flow, run: FlowRun):
         """``handle(batch, batch_id)`` for the flow's main source."""
         if flow.cdc:
-            store = open_store(
-                self.spark, flow.target.path, flow.cdc, self.input(flow).schema, self.buckets
-            )
+            store = self._store(flow)
 
             def put(rows, batch_id):
                 return store.apply(rows, batch_id, flow.cdc.flow_name or flow.id)
@@ -280,17 +280,26 @@ class Runner:
         run.batches["snapshots"] = count
 
     def _run_append_flows(self, flow: Flow, run: FlowRun) -> None:
-        """Further sources appending to the flow's target, each with its own progress."""
-        if flow.append_flows and (flow.cdc or flow.snapshot):
-            raise SpecError(f"Flow {flow.id}: append flows need an append target")
-        table = self.append_table(flow)
+        """Further sources appending to the flow's target, each with its own progress. A keyed target takes their rows as they
+        are, beside those it merges."""
+        if not flow.append_flows:
+            return
+        keyed = bool(flow.cdc or flow.snapshot)
+        if keyed:
+            store, schema = self._store(flow), self.table(flow).schema
+            keys = (flow.cdc or flow.snapshot).keys
+        else:
+            table = self.append_table(flow)
         for extra in flow.append_flows:
-            if extra.create_target and not table.exists():
+            if extra.create_target and not keyed and not table.exists():
                 table.create(resolve_schema(self.spark, flow.target.schema))
             reader = self._with_conf(extra.conf)
 
             def handle(batch, batch_id, name=extra.name):
-                table.write_batch(batch, batch_id, name)
+                if keyed:
+                    store.append(batch, batch_id, name, keys, schema)
+                else:
+                    table.write_batch(batch, batch_id, name)
 
             checkpoint = self._checkpoint(flow, extra.name)
 

@@ -10,7 +10,7 @@ from millrace.plans.flows import Runner
 from millrace.queries.registry import query, table
 from millrace.queries.scans import EVENTS_DDL, ORDERS_DDL
 from millrace.session import scratch_path
-from millrace.specs import Cdc, Flow, Rules, Source, Target
+from millrace.specs import AppendFlow, Cdc, Flow, Rules, Source, Target
 
 
 def _files(sf, name, ddl, **more):
@@ -51,6 +51,34 @@ def cdc_named_table(spark, sf):
     return spark.table(flow.target.name).select("user_id", "event_id", "kind", "value")
 
 
+@query(
+    "cdc_append_flow",
+    f"""{LATEST} UNION ALL
+        SELECT o_custkey AS user_id, o_orderkey AS event_id, 'ORDER' AS kind, CAST(o_totalprice AS DOUBLE) AS value FROM orders""",
+)
+def cdc_append_flow(spark, sf):
+    """An SCD1 target to which a second source appends its rows as they are; run twice, which changes nothing."""
+    orders = scratch_path(spark, "append-orders")
+    table(spark, sf, "orders").selectExpr(
+        "o_custkey AS user_id", "o_orderkey AS event_id", "'ORDER' AS kind", "CAST(o_totalprice AS double) AS value"
+    ).write.parquet(orders)
+    ddl = "user_id bigint, event_id bigint, kind string, value double"
+    flow = Flow(
+        "latest",
+        _files(sf, "events", EVENTS_DDL),
+        Target(scratch_path(spark, "append-target")),
+        layer="silver",
+        select_exp=["user_id", "event_id", "upper(event_type) AS kind", "value", "ts"],
+        where=["kind <> 'SIGNUP'", "value > 1"],
+        cdc=Cdc(["user_id"], "ts", 1, apply_as_deletes="kind = 'ERROR'", except_column_list=["ts"]),
+        append_flows=[AppendFlow("orders", Source("files", {"path": orders}, {"cloudFiles.format": "parquet"}, ddl))],
+    )
+    runner = Runner(spark, scratch_path(spark, "append-progress"), [flow], buckets=4)
+    runner.run(flow)
+    runner.run(flow)
+    return runner.table(flow)
+
+
 def _bronze(spark, sf):
     return Flow(
         "bronze_events",

@@ -116,11 +116,15 @@ class Scd1Store(VersionedStore):
         if any(int(v) > version for v in parts.get("bound", {"by_version": {}})["by_version"]) and self.cdc.apply_as_truncates:
             return None
         held = parts.get("state", {"by_bucket": {}})["by_bucket"]
-        return sorted(int(b) for b, versions in held.items() if any(v > version for v, _ in versions))
+        return sorted({int(b) for b, versions in held.items() if any(v > version for v, _ in versions)} | self.appended_since(version))
 
     def table(self, buckets: Sequence[int] | None = None) -> DataFrame:
-        """The table as it is now, or some of its buckets."""
+        """The table as it is now, or some of its buckets, with the rows that were appended."""
         pointer = self.pointer()
+        return self.with_appended(self.merged(pointer, buckets), pointer, buckets)
+
+    def merged(self, pointer: dict, buckets: Sequence[int] | None = None) -> DataFrame:
+        """What the change feed makes of the table."""
         bound = None
         if self.cdc.apply_as_truncates and "bound" in pointer["parts"]:
             bound = self._bound(pointer).agg(F.max("bound").alias("bound")).scalar()
@@ -283,18 +287,22 @@ class Scd2Store(VersionedStore):
     def _log(self, paths: Sequence[str]) -> DataFrame:
         return self.read("log", self.event_schema, paths, f"{BUCKET} int").drop(VERSION)
 
-    def spans(self, buckets: Sequence[int] | None = None) -> DataFrame:
-        pointer = self.pointer()
+    def spans(self, pointer: dict, buckets: Sequence[int] | None = None) -> DataFrame:
         return self._closed(pointer, buckets).unionByName(self._open(pointer, buckets)).drop(BUCKET)
 
     def touched_since(self, version: int) -> list[int]:
         """The buckets that changed after a version: every batch leaves open rows in those."""
         held = self.pointer()["parts"].get("open", {"by_bucket": {}})["by_bucket"]
-        return sorted(int(b) for b, versions in held.items() if any(v > version for v, _ in versions))
+        return sorted({int(b) for b, versions in held.items() if any(v > version for v, _ in versions)} | self.appended_since(version))
 
     def table(self, buckets: Sequence[int] | None = None) -> DataFrame:
-        """The table as it is now, or some of its buckets."""
-        return ops.scd2_finish(self.spans(buckets), self.cdc, self.columns)
+        """The table as it is now, or some of its buckets, with the rows that were appended."""
+        pointer = self.pointer()
+        return self.with_appended(self.merged(pointer, buckets), pointer, buckets)
+
+    def merged(self, pointer: dict, buckets: Sequence[int] | None = None) -> DataFrame:
+        """What the change feed makes of the table."""
+        return ops.scd2_finish(self.spans(pointer, buckets), self.cdc, self.columns)
 
     # writing ------------------------------------------------------------------------------
 

@@ -73,7 +73,12 @@ class SnapshotStore(VersionedStore):
             self.apply(version, snapshot)
 
     def table(self) -> DataFrame:
+        """The table as it is now, with the rows that were appended."""
         pointer = self.pointer()
+        return self.with_appended(self.merged(pointer), pointer)
+
+    def merged(self, pointer: dict) -> DataFrame:
+        """What the snapshots make of the table."""
         parts = [self._rows(pointer, part) for part in ("closed", "open")]
         found = [p for p in parts if p is not None]
         if not found:

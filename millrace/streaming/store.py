@@ -90,6 +90,13 @@ def write_small(spark: SparkSession, path: str, text: str) -> None:
         raise OSError(f"cannot put {path} in its place")
 
 
+def refuse_other_types(schema: T.StructType, have: dict[str, T.DataType], where: str) -> None:
+    for found in schema.fields:
+        kind = have.get(found.name)
+        if kind is not None and kind.jsonValue() != found.dataType.jsonValue() and kind.simpleString() != found.dataType.simpleString():
+            raise ValueError(f"{found.name} is {kind.simpleString()} in {where}, not {found.dataType.simpleString()}")
+
+
 def folders_below(spark: SparkSession, root: str, depth: int) -> list[list[str]]:
     """Names of the nested partition folders below a folder, outermost first."""
     path, files = _filesystem(spark, root)
@@ -177,6 +184,45 @@ class VersionedStore:
         whole = T.StructType([*full.fields, T.StructField(VERSION, T.IntegerType())])
         return reader.schema(whole).parquet(*[f"{base}/{p}" for p in paths])
 
+    # appended rows ------------------------------------------------------------------------
+    # Rows that further flows append to a keyed table: kept as they come, beside what is merged by key, and read with it.
+
+    def append(self, rows: DataFrame, batch_id: int, flow: str, keys: Sequence[str], schema: T.StructType) -> bool:
+        """Take one batch of a flow that appends to the table of ``schema``; False if it was taken before. Columns that the
+        batch lacks are NULL; others than the table's, or of other types, are refused."""
+        flow = f"append:{flow}"
+        pointer = self.pointer()
+        if self.done(pointer, flow, batch_id):
+            return False
+        have = {f.name: f.dataType for f in schema.fields}
+        unknown = [c for c in rows.columns if c not in have]
+        if unknown:
+            raise ValueError(f"columns {unknown} are not in {self.root}")
+        refuse_other_types(rows.schema, have, self.root)
+        following = self.advance(pointer, flow, batch_id)
+        version = following["version"]
+        given = set(rows.columns)
+        whole = rows.select(*[F.col(f"`{n}`") if n in given else F.lit(None).cast(t).alias(n) for n, t in have.items()])
+        self.write(whole.withColumn(BUCKET, bucket_of(keys, self.buckets)), version, [BUCKET], "appended")
+        buckets = sorted(int(r[BUCKET]) for r in self.written(version, [BUCKET], "appended"))
+        if buckets:
+            held = following["parts"].setdefault("appended", {"by_version": {}})["by_version"]
+            held[str(version)] = buckets
+        self.commit(following)
+        return True
+
+    def with_appended(self, table: DataFrame, pointer: dict, buckets: Sequence[int] | None = None) -> DataFrame:
+        """The table and the rows that were appended to it (in some buckets)."""
+        held = pointer["parts"].get("appended", {"by_version": {}})["by_version"]
+        paths = [f"{VERSION}={v}/{BUCKET}={b}" for v, bs in held.items() for b in bs if buckets is None or b in set(buckets)]
+        if not paths:
+            return table
+        return table.unionByName(self.read("appended", table.schema, paths, f"{BUCKET} int").drop(VERSION, BUCKET))
+
+    def appended_since(self, version: int) -> set[int]:
+        held = self.pointer()["parts"].get("appended", {"by_version": {}})["by_version"]
+        return {b for v, bs in held.items() if int(v) > version for b in bs}
+
     def vacuum(self, folders: Sequence[str]) -> list[str]:
         """Delete version folders that the current pointer does not name; returns them.
 

@@ -17,7 +17,7 @@ from millrace.session import empty_frame, write_text
 from millrace.sources.messages import Secrets, message_payload, message_sink_options
 from millrace.functions.schemas import resolve_schema
 from millrace.specs import Sink, Target
-from millrace.streaming.store import Batch, check_columns, series_of
+from millrace.streaming.store import Batch, check_columns, refuse_other_types, series_of
 
 FLOW = "__flow"
 BATCH = "__batch"
@@ -43,13 +43,6 @@ def batch_folder(batch_id) -> str:
     return f"{series}-{int(batch_id)}" if series else str(batch_id)
 
 
-def refuse_other_types(schema: T.StructType, have: dict[str, T.DataType], where: str) -> None:
-    for found in schema.fields:
-        kind = have.get(found.name)
-        if kind is not None and kind.jsonValue() != found.dataType.jsonValue() and kind.simpleString() != found.dataType.simpleString():
-            raise ValueError(f"{found.name} is {kind.simpleString()} in {where}, not {found.dataType.simpleString()}")
-
-
 class AppendTable:
     """A parquet table that several flows append to.
 

@@ -255,3 +255,49 @@ def test_a_started_flow_takes_files_as_they_come(spark, tmp_path, incoming):
     runner.run(flow)
     got = sorted((r.x, r["__START_AT"], r["__END_AT"]) for r in runner.table(flow).collect())
     assert got == [("a", 1, 2), ("b", 2, 3)]
+
+
+@pytest.mark.parametrize("kind", ["scd1", "scd2", "snapshot"])
+def test_append_flows_beside_a_keyed_target(spark, tmp_path, incoming, kind):
+    more = Folder(spark, tmp_path / "more")
+    name = f"appended_{kind}"
+    columns = "id long, x string"
+    extra = Source("files", {"path": str(more.path)}, {"cloudFiles.format": "json"}, columns)
+    settings = dict(cdc=Cdc(["id"], "at", kind[-1], except_column_list=["op", "at"])) if kind != "snapshot" else dict(snapshot=SnapshotCdc(["id"]))
+    main = source(incoming) if kind != "snapshot" else Source("snapshot", {"path": str(tmp_path / "snap")})
+    flow = Flow("f", main, Target(str(tmp_path / "t"), name), layer="silver", append_flows=[AppendFlow("late", extra)], **settings)
+    runner = Runner(spark, str(tmp_path / "progress"), [flow], buckets=2)
+
+    def feed(*rows):
+        if kind == "snapshot":
+            spark.createDataFrame([(r[0], r[3]) for r in rows], "id long, x string").write.mode("overwrite").parquet(str(tmp_path / "snap"))
+        else:
+            incoming.add(*rows)
+
+    def got(df):
+        return sorted(((r.id, r.x) for r in df.collect()), key=str)
+
+    feed((1, "I", 1, "a"), (2, "I", 1, "b"))
+    more.add((1, "", 0, "again"), (9, "", 0, "nine"))
+    runner.run(flow)
+    want = [(1, "a"), (1, "again"), (2, "b"), (9, "nine")]
+    assert got(runner.table(flow)) == got(spark.table(name)) == want
+    more.add((1, "", 0, "again"))
+    runner.run(flow)
+    assert got(runner.table(flow)) == got(spark.table(name)) == sorted([*want, (1, "again")], key=str)
+    assert runner.run(flow).batches["late"] == 0
+    feed((1, "I", 5, "c"), (2, "I", 5, "b"))
+    runner.run(flow)
+    now = got(runner.table(flow))
+    assert (1, "c") in now and now.count((1, "again")) == 2 and (9, "nine") in now and got(spark.table(name)) == now
+
+
+def test_append_flow_with_other_columns_is_refused(spark, tmp_path, incoming):
+    more = Folder(spark, tmp_path / "more")
+    extra = Source("files", {"path": str(more.path)}, {"cloudFiles.format": "json"}, "id long, y string")
+    flow = Flow("f", source(incoming), Target(str(tmp_path / "t")), cdc=Cdc(["id"], "at"), append_flows=[AppendFlow("late", extra)])
+    runner = Runner(spark, str(tmp_path / "progress"), [flow])
+    incoming.add((1, "I", 1, "a"))
+    more.add((1, "", 0, "again"))
+    with pytest.raises(Exception, match="are not in"):
+        runner.run(flow)
