@@ -1,7 +1,7 @@
 """Mixing sources to target weights: hierarchical budgets over a tree of domain, language and source.
 
 A token budget is handed down from the root. A node splits what it gets among its children by their weights; a child can take at most what
-it holds (its tokens times the number of epochs allowed, summed over its leaves). What a child cannot take goes to its siblings,
+it holds (its tokens times the number of epochs allowed, summed over those of its leaves that have weight all the way). What a child cannot take goes to its siblings,
 again by weight, and only a subtree that is full as a whole passes a shortage on, so siblings come before ancestors. As a child's limit is known from
 its leaves, one pass from the root settles it: at each node the children that are full are those with the least
 limit per weight, which a running sum over the sorted children finds.
@@ -63,10 +63,13 @@ def weight_of(level: int, levels: list[str], weights: dict[tuple[str, ...], floa
 def budgets(leaves: DataFrame, levels: list[str], weights: dict, total: float, epochs: int, default: float = 1.0) -> DataFrame:
     """The leaves (levels, tokens) with the column ``budget``: tokens that each is to give of a total."""
     frame = leaves.withColumn("limit", (F.col("tokens") * epochs).cast("double")).withColumn("budget", F.lit(float(total)))
+    alive = [weight_of(level, levels, weights, default) > 0 for level in range(len(levels))]
     for level in range(len(levels)):
         path = levels[: level + 1]
         parents = levels[:level]
-        nodes = frame.groupBy(*path).agg(F.sum("limit").alias("room"), F.max("budget").alias("given"))
+        # what lies below a node without weight can take nothing
+        reached = reduce(lambda a, b: a & b, alive[level + 1 :], F.lit(True))
+        nodes = frame.groupBy(*path).agg(F.sum(F.when(reached, F.col("limit")).otherwise(0.0)).alias("room"), F.max("budget").alias("given"))
         weight = F.greatest(weight_of(level, levels, weights, default), F.lit(0.0))
         nodes = nodes.withColumn("weight", F.when(F.col("room") > 0, weight).otherwise(0.0))
         # children with the least room per weight are full as long as the level of what is left reaches their room

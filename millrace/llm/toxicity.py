@@ -333,7 +333,9 @@ def constant(share: float) -> Network:
 def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic") -> Network:
     """Train on a bounded number of labelled rows that may be learnt from."""
     usable = one_label(labels, column).where(in_train("doc_id", *HELD_OUT))
-    usable = materialise(usable, "toxic-labels")
+    # rows that cannot be trained on make room for others
+    short = docs.where(F.length("text") <= LONGEST_ROW).select("doc_id")
+    usable = materialise(usable.join(short, "doc_id", "left_semi"), "toxic-labels")
     chosen = smallest_hashes(usable.where("y = 1"), "doc_id", TOXIC_ROWS).unionByName(smallest_hashes(usable.where("y = 0"), "doc_id", CLEAN_ROWS))
     rows = (
         docs.select("doc_id", "text")

@@ -39,7 +39,7 @@ def slow(rows, share, epochs, seed):
     for r, t in zip(rows, tokens):
         leaves[r[3], r[2]].append((r, t))
     room = {leaf: epochs * sum(t for _, t in members) for leaf, members in leaves.items()}
-    tops = {(top,): sum(n for leaf, n in room.items() if leaf[0] == top) for top, _ in leaves}
+    tops = {(top,): sum(n for leaf, n in room.items() if leaf[0] == top and weight(leaf) > 0) for top, _ in leaves}
     chosen = collections.Counter()
     for (top,), budget in fill(min(share, epochs) * sum(tokens), tops).items():
         for leaf, given in fill(budget, {leaf: n for leaf, n in room.items() if leaf[0] == top}).items():
@@ -97,3 +97,15 @@ def test_sources_without_a_small_number(documents):
     }
     chosen = mixing.mix_documents(docs)
     assert chosen.columns == docs.columns and 0 < chosen.count() <= 2 * len(sources)
+
+
+def test_a_node_has_no_room_below_weightless_children(spark):
+    leaves = spark.createDataFrame(
+        [("a", "en", "1", 500.0), ("a", "xx", "1", 500.0), ("b", "en", "1", 400.0), ("b", "en", "2", 600.0), ("c", "en", "off", 900.0)],
+        "top string, lang_ string, leaf string, tokens double",
+    )
+    weights = {("*", "xx"): 0.0, ("*", "*", "off"): 0.0}
+    got = {(r.top, r.lang_, r.leaf): r.budget for r in mixing.budgets(leaves, ["top", "lang_", "leaf"], weights, 1400.0, 1).collect()}
+    assert sum(got.values()) == pytest.approx(1400)  # 1500 could be given
+    assert got["a", "en", "1"] == pytest.approx(500) and got["a", "xx", "1"] == got["c", "en", "off"] == 0
+    assert got["b", "en", "1"] == pytest.approx(400) and got["b", "en", "2"] == pytest.approx(500)

@@ -68,3 +68,16 @@ def test_windows_cover_all_words():
         starts, ends, first = toxicity.windows(np.array([5, 5 + size]))
         assert first.tolist() == [0] and starts[0] == 5 and ends[-1] == 5 + size and all(ends - starts <= 32)
         assert {i for a, b in zip(starts, ends) for i in range(a, b)} == set(range(5, 5 + size))
+
+
+def test_rows_that_cannot_be_trained_on_are_replaced(spark, documents, monkeypatch):
+    docs, labels = corpus(400)
+    long = [(10_000 + i, "of the " * 4000) for i in range(150)]  # more than the sample, all clean and too long
+    gone = [(20_000 + i, 1, i % 2) for i in range(300)]  # labels without a document
+    monkeypatch.setattr(toxicity, "TOXIC_ROWS", 60)
+    monkeypatch.setattr(toxicity, "CLEAN_ROWS", 120)
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda texts, toxic: seen.append(toxic) or toxicity.constant(0.5))
+    frame = spark.createDataFrame([*labels, *[(i, 1, 0) for i, _ in long], *gone], LABELS)
+    toxicity.fit(documents(docs + long + [(30_000, None)]), frame)
+    assert seen[0].sum() == 60 and (~seen[0]).sum() == 120
