@@ -96,7 +96,7 @@ class Runner:
                 return self.table(upstream)
             if upstream.cdc or upstream.snapshot:
                 raise SpecError(f"{upstream.id} rewrites rows; read it whole, as a snapshot source")
-            return self.append_table(upstream).stream(options)
+            return self.append_table(upstream).stream(options, progress)
         if kind in ("table", "delta", "snapshot", "path"):
             streaming = streaming and kind != "snapshot"
             if details.get("path"):
@@ -196,6 +196,8 @@ class Runner:
         else:
             self._run_stream(flow, run)
         self._run_append_flows(flow, run)
+        if not flow.cdc and not flow.snapshot and any(run.batches.values()):
+            self.append_table(flow).compact()
         if not flow.target.name:
             return run
         if flow.cdc or flow.snapshot:

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable, Sequence
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
@@ -17,7 +19,16 @@ from millrace.session import empty_frame, write_text
 from millrace.sources.messages import Secrets, message_payload, message_sink_options
 from millrace.functions.schemas import resolve_schema
 from millrace.specs import Sink, Target
-from millrace.streaming.store import Batch, check_columns, refuse_other_types, series_of
+from millrace.streaming.store import (
+    Batch,
+    check_columns,
+    folders_below,
+    read_small,
+    refuse_other_types,
+    remove_path,
+    series_of,
+    write_small,
+)
 
 FLOW = "__flow"
 BATCH = "__batch"
@@ -43,11 +54,20 @@ def batch_folder(batch_id) -> str:
     return f"{series}-{int(batch_id)}" if series else str(batch_id)
 
 
+#: Batches that are not packed yet, from which on ``compact`` packs them, and packs of a size that it makes into one.
+PACK_AFTER, PACK_FAN = 64, 8
+
+
 class AppendTable:
     """A parquet table that several flows append to.
 
     Every batch of a flow owns one folder, ``__flow=<flow>/__batch=<id>``, which a replay
     overwrites; so each row is in the table once, and flows never touch each other's files.
+
+    ``compact`` copies the folders of old batches into *packs*, few files beside the table, and a small file (the manifest) says which packs
+    there are and up to which batch of each flow they reach. Readers take the packs and the folders of later batches, and a
+    replay of a packed batch is skipped. Streams go on reading folders, so none sees a row again; ``vacuum`` deletes the packed
+    folders once no stream lags behind, and a stream that starts later reads the packs of that time first.
     """
 
     def __init__(self, spark: SparkSession, target: Target):
@@ -79,7 +99,10 @@ class AppendTable:
         self.spark.catalog.recoverPartitions(self.target.name)
 
     def write_batch(self, df: DataFrame, batch_id, flow: str = "main") -> bool:
+        """Write a batch; False if it is in a pack already."""
         check_columns(df.columns)
+        if int(batch_id) <= self._manifest()["upto"].get(flow, {}).get(series_of(batch_id), -1):
+            return False
         self._remember(df.schema)
         path = f"{self.root}/{FLOW}={flow}/{BATCH}={batch_folder(batch_id)}"
         writer(df, self.target).mode("overwrite").save(path)
@@ -130,12 +153,119 @@ class AppendTable:
         return T.StructType([*self.schema().fields, *own.fields])
 
     def table(self) -> DataFrame:
-        return self.spark.read.schema(self._full_schema()).parquet(self.root).drop(FLOW, BATCH)
+        manifest = self._manifest()
+        packs = [*manifest["bases"], *(p["at"] for p in manifest["packs"])]
+        rows = self.spark.read.schema(self._full_schema()).parquet(self.root)
+        if not packs:
+            return rows.drop(FLOW, BATCH)
+        return rows.where(~_reached(manifest["upto"])).drop(FLOW, BATCH).unionByName(self._read_packs(packs))
+
+    def stream(self, options: dict | None = None, progress: str | None = None) -> DataFrame:
+        """Rows as they are appended. Where packed folders were deleted, the rows that a stream of its own ``progress`` starts with come
+        from the packs of its first start, which is noted there."""
+        manifest = self._manifest()
+        began = {"bases": manifest["bases"], "gone": manifest["gone"]}
+        if progress is not None:
+            kept = read_small(self.spark, f"{progress}-packs.json")
+            began = json.loads(kept) if kept else began
+            if not kept:
+                write_small(self.spark, f"{progress}-packs.json", json.dumps(began))
+
+        def reader():
+            return self.spark.readStream.options(**(options or {}))
+
+        rows = reader().schema(self._full_schema()).parquet(self.root)
+        if not began["bases"]:
+            return rows.drop(FLOW, BATCH)
+        out = rows.where(~_reached(began["gone"])).drop(FLOW, BATCH)
+        for at in began["bases"]:
+            out = out.unionByName(reader().schema(self.schema()).parquet(self._pack(at)))
+        return out
+
+    # packs
+
+    def _manifest(self) -> dict:
+        """``packs`` (with their level), ``bases`` (packs whose folders are gone), ``upto`` and ``gone`` (the last batch that packs and
+        bases hold, by flow and series), ``old`` (packs that were made into one)."""
+        text = read_small(self.spark, f"{self.root}.packs.json")
+        return json.loads(text) if text else {"packs": [], "bases": [], "upto": {}, "gone": {}, "old": []}
+
+    def _keep(self, manifest: dict) -> None:
+        write_small(self.spark, f"{self.root}.packs.json", json.dumps(manifest))
+
+    def _pack(self, at: str) -> str:
+        return f"{self.root}.packs/at={at}"
+
+    def _read_packs(self, packs: Sequence[str]) -> DataFrame:
+        return self.spark.read.schema(self.schema()).parquet(*[self._pack(at) for at in packs])
+
+    def _folders(self) -> list[tuple[str, str, int, str]]:
+        """(flow, series, number, folder) of every batch that has a folder."""
+        found = []
+        for flow, batch in folders_below(self.spark, self.root, 2):
+            series, _, number = unquote(batch.split("=", 1)[1]).rpartition("-")
+            if number.isdigit() and flow != f"{FLOW}=created":
+                found.append((unquote(flow.split("=", 1)[1]), series, int(number), f"{self.root}/{flow}/{batch}"))
+        return found
+
+    def compact(self, least: int = PACK_AFTER) -> bool:
+        """Pack the batches that are not packed yet, if there are ``least`` of them; the newest of a flow may be written
+        again and stays as it is. Run by the writer, between batches."""
+        manifest = self._manifest()
+        upto = manifest["upto"]
+        newest: dict[tuple[str, str], int] = {}
+        for flow, series, number, _ in (folders := self._folders()):
+            newest[flow, series] = max(number, newest.get((flow, series), -1))
+        taken = [f for f in folders if upto.get(f[0], {}).get(f[1], -1) < f[2] < newest[f[0], f[1]]]
+        if len(taken) < least:
+            return False
+        rows = self.spark.read.schema(self._full_schema()).option("basePath", self.root).parquet(*[f[3] for f in taken])
+        manifest["packs"].append({"at": self._write_pack(rows.drop(FLOW, BATCH)), "level": 0})
+        for flow, series, number, _ in taken:
+            held = upto.setdefault(flow, {})
+            held[series] = max(number, held.get(series, -1))
+        gone, manifest["old"] = manifest["old"], []
+        level = 0
+        while len(same := [p["at"] for p in manifest["packs"] if p["level"] == level]) >= PACK_FAN:
+            whole = {"at": self._write_pack(self._read_packs(same)), "level": level + 1}
+            manifest["packs"] = [p for p in manifest["packs"] if p["level"] != level] + [whole]
+            manifest["old"] += same
+            level += 1
+        self._keep(manifest)
+        for at in gone:  # replaced by the compaction before this one
+            remove_path(self.spark, self._pack(at))
+        return True
 
-    def stream(self, options: dict | None = None) -> DataFrame:
-        """Rows as they are appended."""
-        reader = self.spark.readStream.options(**(options or {}))
-        return reader.schema(self._full_schema()).parquet(self.root).drop(FLOW, BATCH)
+    def _write_pack(self, rows: DataFrame) -> str:
+        at = uuid.uuid4().hex
+        if not (self.target.partition_by or self.target.cluster_by or self.target.zorder_by):
+            rows = rows.hint("rebalance")  # files of the size that adaptive execution aims at
+        writer(rows, self.target).save(self._pack(at))
+        return at
+
+    def vacuum(self) -> list[str]:
+        """Delete the folders of packed batches; run it when no stream of the table still has to read them. Gives the folders."""
+        if self.target.name:
+            raise ValueError(f"{self.target.name} reads the folders of its batches; they cannot be deleted")
+        manifest = self._manifest()
+        manifest["bases"] += [p["at"] for p in manifest["packs"]]
+        manifest["packs"], manifest["gone"] = [], manifest["upto"]
+        self._keep(manifest)
+        gone = [path for flow, series, number, path in self._folders() if number <= manifest["gone"].get(flow, {}).get(series, -1)]
+        for path in gone:
+            remove_path(self.spark, path)
+        return gone
+
+
+def _reached(upto: dict[str, dict[str, int]]) -> Column:
+    """Whether a folder's flow and batch are among those up to a batch of each series."""
+    reached = F.lit(False)
+    for flow, series in upto.items():
+        for name, number in series.items():
+            before = f"{name}-" if name else ""
+            own = F.expr(f"try_cast(substring({BATCH}, {len(before) + 1}) AS bigint)") <= number
+            reached = reached | ((F.col(FLOW) == flow) & F.col(BATCH).startswith(before) & F.coalesce(own, F.lit(False)))
+    return reached
 
 
 def set_table_facts(spark: SparkSession, name: str, properties: dict[str, str], comment: str | None) -> None:
