@@ -8,6 +8,10 @@ slice, rolled along the few slices of the key, and joined back. Cut points come
 sample, so they only affect balance: results are exact wherever the cuts fall.
 
 All other keys keep the plain plan of one shuffle; without any hot key that is the whole plan.
+
+The cuts of hot keys are sent to every executor, after their bytes were counted. Where they are too many, or a key needs more slices
+than a row can look up, no row is joined with its key: all rows are dealt by ranges of key and sequence, and the slices of a
+key are the ranges that it spans.
 """
 
 from __future__ import annotations
@@ -34,9 +38,10 @@ MAX_SLICES = 4096
 SAMPLES_PER_SLICE = 16
 # How often a key at the threshold shows in the sample that looks for hot keys.
 SAMPLED_ROWS = 200
-# The cut table is sent to every executor up to this many keys and cuts (some tens of megabytes).
+# The cut table is sent to every executor up to this many keys, cuts and bytes of text.
 BROADCAST_KEYS = 10_000
 BROADCAST_CUTS = 1_000_000
+BROADCAST_BYTES = 32 << 20
 
 
 @dataclass(frozen=True)
@@ -109,6 +114,7 @@ def find_hot_keys(rows: DataFrame, keys: Sequence[str], sequence: str, threshold
     if hot is None:
         return None
     slices = F.least(F.lit(MAX_SLICES), F.ceil(F.col("__n") / threshold)).cast("int")
+    numbers = hot.select(*keys, "__n")
     hot = hot.withColumns(
         {"__k": slices, "__mod": F.greatest(F.lit(1), F.floor(F.col("__n") / (slices * SAMPLES_PER_SLICE)))}
     )
@@ -124,10 +130,18 @@ def find_hot_keys(rows: DataFrame, keys: Sequence[str], sequence: str, threshold
     )
     cuts = ranked.select(*keys, F.array_distinct(F.array_compact(picked)).alias(CUTS))
     # a key of few distinct values may have no sample: it stays hot, without cuts
-    numbered = null_safe_join(hot.select(*keys), cuts, keys, "left")
+    numbered = null_safe_join(numbers, cuts, keys, "left")
     return materialise(numbered.withColumn(HOT, F.monotonically_increasing_id()), "hot-cuts")
 
 
+def slice_by_range(rows: DataFrame, keys: Sequence[str], sequence: str, slices: int) -> DataFrame:
+    """All rows with ``HOT`` (the key as a struct, never NULL) and ``SLICE``, the range of key and sequence they fall into; rows with
+    equal key and sequence fall into one. No task holds more than about its share of the rows."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) + int(slices)
+    dealt = rows.repartitionByRange(parts, *keys, sequence)
+    return dealt.withColumns({SLICE: F.spark_partition_id(), HOT: F.struct(*keys)})
+
+
 def order_by_key(
     rows: DataFrame,
     keys: Sequence[str],
@@ -146,9 +160,20 @@ def order_by_key(
     hot = find_hot_keys(rows, keys, order[0], threshold) if threshold is not None else None
     if hot is None:
         return [(rows, plain)]
-    size = hot.agg(F.count(F.lit(1)).alias("keys"), F.sum(F.size(CUTS)).alias("cuts")).first()
-    small = size["keys"] <= BROADCAST_KEYS and (size["cuts"] or 0) <= BROADCAST_CUTS
-    side = F.broadcast(hot) if small else hot
+    size = hot.agg(
+        F.count(F.lit(1)).alias("keys"),
+        F.coalesce(F.sum(F.size(CUTS)), F.lit(0)).alias("cuts"),
+        F.sum(F.length(F.to_json(F.struct(*keys, CUTS)))).alias("bytes"),
+        F.ceil(F.max("__n") / threshold).alias("slices"),
+        F.ceil(F.sum("__n") / threshold).alias("all_slices"),
+    ).first()
+    small = size["keys"] <= BROADCAST_KEYS and size["cuts"] <= BROADCAST_CUTS and size["bytes"] <= BROADCAST_BYTES
+    if not small or size["slices"] > MAX_SLICES:
+        sliced = slice_by_range(rows, keys, order[0], size["all_slices"])
+        if collapse is not None:
+            sliced = collapse(sliced)
+        return [(materialise(sliced, "hot-rows"), KeyOrder(tuple(keys), tuple(order), sliced=True))]
+    side = F.broadcast(hot.drop("__n"))
     others = null_safe_join(rows, side.select(*keys), keys, "left_anti")
     held = null_safe_join(rows, side, keys, "inner")
     # ranked right behind the join, so that no row carries the cuts into a shuffle

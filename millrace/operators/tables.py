@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import fail_unless, orderable_columns
@@ -59,14 +59,11 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def require_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The same rows; the job fails if a key occurs twice.
 
-    Grouped by the keys, so a following join on them needs no further shuffle.
+    Looks at the row before in the order of the keys. A following join on them needs the same shuffle and the same sort.
     """
-    others = [c for c in df.columns if c not in keys]
-    grouped = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("__n"), F.first(F.struct(*others)).alias("__row")
-    )
-    unique = grouped.where(fail_unless(F.col("__n") == 1, f"duplicate key in {list(keys)}"))
-    return unique.select(*keys, "__row.*").select(*df.columns)
+    again = F.lag(F.lit(True)).over(Window.partitionBy(*keys).orderBy(*keys))
+    marked = df.withColumn("__again", again)
+    return marked.where(fail_unless(F.col("__again").isNull(), f"duplicate key in {list(keys)}")).drop("__again")
 
 
 def join_map_key(left: DataFrame, column: str, right: DataFrame, map_column: str, key: str) -> DataFrame:

@@ -80,6 +80,22 @@ def test_hot_key_is_cut_into_slices(spark):
     assert all(a["max(seq)"] < b["min(__seq)"] for a, b in zip(ends, ends[1:]))
 
 
+@pytest.mark.parametrize("limit", ["BROADCAST_KEYS", "BROADCAST_CUTS", "BROADCAST_BYTES", "MAX_SLICES"])
+@pytest.mark.parametrize("nulls", [False, True])
+def test_hot_keys_beyond_the_broadcast_are_cut_by_ranges(spark, monkeypatch, limit, nulls):
+    from millrace.operators import hotkeys
+
+    monkeypatch.setattr(hotkeys, limit, 1)
+    feed = random_feed(5, rows=1500, ties=True)
+    feed += [{"k": None, "seq": 10_000 + i, "a": str(i // 50), "b": None, "op": "U"} for i in range(300)]
+    cdc = Cdc(["k"], "seq", 2, apply_as_deletes="op = 'D'", except_column_list=["op"], ignore_null_updates=nulls)
+    rows = ops.prepare(frame(spark, feed), cdc)
+    ((sliced, keyed),) = hotkeys.order_by_key(rows, ["k"], ["__seq"], 60)
+    sizes = [r["count"] for r in sliced.groupBy(*keyed.group).count().collect()]
+    assert keyed.sliced and sum(sizes) == len(feed) and max(sizes) < 200
+    assert spans(ops.scd2(frame(spark, feed), cdc, 60)) == model(feed, ["a", "b"], ["a", "b"] if nulls else [])
+
+
 def test_one_value_of_a_hot_key_repeated(spark):
     feed = [{"k": 7, "seq": 5, "a": "x", "b": i % 3, "op": "U"} for i in range(300)]
     feed += [{"k": 7, "seq": 6, "a": "z", "b": 1, "op": "U"}]

@@ -27,6 +27,13 @@ def test_group_wins_over_ids(spark):
     assert chosen(group="west", ids=[4]) == [] and chosen() == chosen(ids=[]) == [4, 8, 9, 15, 16]
 
 
+def test_upsert_sorts_each_side_once(spark):
+    old = spark.range(50).selectExpr("id AS k", "'a' AS x").hint("merge")
+    new = spark.range(30).selectExpr("id * 2 AS k", "'b' AS x")
+    plan = tables.upsert(old, new, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and plan.count("Sort [") <= 2 and plan.count("Exchange hashpartitioning") <= 2
+
+
 def test_upsert(spark):
     old = spark.createDataFrame([(1, "a", "me"), (2, "b", "me")], "k long, x string, createdBy string")
     new = spark.createDataFrame([(2, "c", "you"), (3, None, "you")], "k long, x string, createdBy string")
