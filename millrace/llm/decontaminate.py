@@ -4,9 +4,10 @@ All items go into one automaton over words. Training text is streamed through it
 state gives the longest suffix read so far that occurs in some item. A word is hit if it lies in an
 occurrence of a window: ``window`` consecutive words of an item, or a whole shorter item.
 
-Items are cut into blocks of at most ``block_words`` words, each with its own automaton. The blocks
-are passed over a document one after the other in the same stage, so what is broadcast is bounded
-whatever the number of items.
+Items are dealt by hash to blocks of about ``block_words`` words. Each block's automaton is built by a task and put into the shared
+folder; nothing of the items passes through the driver. The documents are scanned once per block, by workers that hold that block's
+automaton alone, so memory is bounded whatever the number of items; a benchmark of one block, as most are, takes one scan.
+With more blocks the spans of a document are joined by its row number, so documents must come from a stable table.
 
 Defined results: a NULL or empty text has no words, no hits and is not contaminated. Items without
 words (NULL, empty, punctuation only) never occur. Rows with the same item id count as one item; an
@@ -16,16 +17,19 @@ documents each get their own row. Extra columns pass through whatever their name
 
 from __future__ import annotations
 
-import hashlib
+import pickle
+from functools import reduce
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import Shared, fresh_name, map_batches
+from millrace.llm.common import filesystem, fresh_name, map_batches, per_worker, publish
+from millrace.session import materialise, scratch_path
 
 # ASCII capitals become small, other ASCII but digits and small letters become spaces, bytes of
 # other characters stay
@@ -161,20 +165,45 @@ def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return merged
 
 
-def _blocks(items: DataFrame, id_column: str, text_column: str, block_words: int):
-    """Lists of (id, words) of at most ``block_words`` words (one item may have more by itself)."""
-    block, size = [], 0
-    for row in items.select(F.col(id_column).cast("string"), F.col(text_column)).toLocalIterator():
-        words = words_of(row[1])
-        if not words:
-            continue
-        if block and size + len(words) > block_words:
-            yield block
-            block, size = [], 0
-        block.append(("null" if row[0] is None else row[0], words))
-        size += len(words)
-    if block:
-        yield block
+def write_automata(items: DataFrame, item_id: str, item_text: str, window: int, block_words: int) -> list[str]:
+    """Build the automata of all blocks in tasks; gives the paths of their files."""
+    spark = items.sparkSession
+    folder = scratch_path(spark, "automata")
+    rows = items.select(F.col(f"`{item_id}`").cast("string").alias("id"), F.col(f"`{item_text}`").alias("text"))
+
+    def count(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([sum(len(words_of(t)) for t in batch.column(0).to_pylist())], pa.int64())})
+
+    total = map_batches(rows.select("text"), count, "n long").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
+    if not total:
+        return []
+    blocks = -(-total // block_words)
+
+    def build(group: pa.Table) -> pa.Table:
+        block = group.column("block")[0].as_py()
+        named = [("null" if i is None else i, words_of(t)) for i, t in zip(group.column("id").to_pylist(), group.column("text").to_pylist())]
+        named = sorted((i, w) for i, w in named if w)
+        if not named:
+            return pa.table({"block": pa.array([], pa.int64())})
+        data = cloudpickle.dumps(Automaton(named, window))
+        publish(folder, f"block-{block}", TaskContext.get().taskAttemptId(), lambda out: out.write(data))
+        return pa.table({"block": pa.array([block], pa.int64())})
+
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(blocks)).cast("long"))
+    made = dealt.groupBy("block").applyInArrow(build, "block long").collect()  # a number per block
+    return [f"{folder}/block-{row.block}" for row in sorted(made)]
+
+
+def _automaton(path: str) -> Automaton:
+    """The automaton of a file; a worker keeps the last one."""
+    kept = per_worker("automaton", dict)
+    if path not in kept:
+        kept.clear()
+        files, place = filesystem(path)
+        with files.open_input_stream(place, compression=None) as source:
+            kept[path] = pickle.loads(source.read())
+    return kept[path]
 
 
 FOUND = T.StructType(
@@ -200,33 +229,52 @@ def match_items(
     item_id: str = "item_id",
     item_text: str = "text",
     window: int = 13,
-    block_words: int = 500_000,
+    block_words: int = 250_000,
 ) -> tuple[DataFrame, str]:
     """``docs`` with one struct column more (n_words, spans of hit words, ids of the items), and its name."""
-    spark = docs.sparkSession
     name = fresh_name("found", docs.columns)
+    paths = write_automata(items, item_id, item_text, window, block_words)
+    if len(paths) <= 1:
+        return _scan(docs, text, paths, name), name
+    # a scan per block; the first gives a row for every document, the others for those with hits
+    row = fresh_name("row", [*docs.columns, name])
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    texts = numbered.select(F.col(row).alias("row"), F.col(f"`{text}`").alias("text"))
+    parts = []
+    for number, path in enumerate(paths):
+        part = _scan(texts, "text", [path], "found").drop("text")
+        parts.append(materialise(part.where(F.size("found.spans") > 0) if number else part, "hit-spans"))
+    found = reduce(DataFrame.unionByName, parts).groupBy("row").agg(F.collect_list("found").alias("all"))
+
+    def merge(batches):
+        for batch in batches:
+            merged = []
+            for every in batch.column(1).to_pylist():
+                spans = merge_spans([(s["start"], s["end"]) for f in every for s in f["spans"]])
+                names = sorted({n for f in every for n in f["items"]})
+                merged.append({"n_words": every[0]["n_words"], "spans": [{"start": a, "end": b} for a, b in spans], "items": names})
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(merged, FOUND_ARROW)], names=["row", "found"])
+
+    merged = map_batches(found.select("row", "all"), merge, T.StructType([T.StructField("row", T.LongType()), T.StructField("found", FOUND)]))
+    merged = merged.select(F.col("row").alias(row), F.col("found").alias(name))
+    return numbered.join(merged, row).select(*[F.col(f"`{c}`") for c in docs.columns], name), name
+
+
+def _scan(docs: DataFrame, text: str, paths: list[str], name: str) -> DataFrame:
+    """``docs`` with the struct of what the automaton finds, if there is one."""
     text_at = docs.columns.index(text)
-    automata = [
-        Shared(spark, Automaton(block, window)) for block in _blocks(items, item_id, item_text, block_words)
-    ]
 
     def scan(batches):
-        machines = [automaton.value for automaton in automata]
+        machine = _automaton(paths[0]) if paths else None
         for batch in batches:
             rows = []
             for value in batch.column(text_at).to_pylist():
                 words = words_of(value)
-                spans, names = [], set()
-                for machine in machines:
-                    more, of = machine.spans(words)
-                    spans, names = (merge_spans(spans + more) if spans else more), names | of
-                rows.append(
-                    {"n_words": len(words), "spans": [{"start": a, "end": b} for a, b in spans], "items": sorted(names)}
-                )
-            column = pa.array(rows, FOUND_ARROW)
-            yield pa.RecordBatch.from_arrays([*batch.columns, column], names=[*batch.schema.names, name])
-
-    return map_batches(docs, scan, T.StructType([*docs.schema.fields, T.StructField(name, FOUND)])), name
+                spans, names = machine.spans(words) if machine else ([], set())
+                rows.append({"n_words": len(words), "spans": [{"start": a, "end": b} for a, b in spans], "items": sorted(names)})
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rows, FOUND_ARROW)], names=[*batch.schema.names, name])
+
+    return map_batches(docs, scan, T.StructType([*docs.schema.fields, T.StructField(name, FOUND)]))
 
 
 def hit_words(found) -> F.Column:

@@ -76,6 +76,19 @@ def test_spans_are_cut_and_documents_dropped(spark, documents):
     assert dec.drop_contaminated(docs, items).columns == docs.columns
 
 
+def test_blocks_are_bounded_and_built_by_tasks(spark, monkeypatch):
+    rnd = random.Random(9)
+    items = spark.createDataFrame([(i, " ".join(rnd.choices("abcdefgh", k=20)), "x") for i in range(200)], ITEMS)
+    monkeypatch.setattr(dec, "Automaton", None)  # the driver builds none
+    paths = dec.write_automata(items.where("item_id < 0"), "item_id", "text", 13, 500)
+    assert paths == []
+    monkeypatch.undo()
+    paths = dec.write_automata(items, "item_id", "text", 13, 500)
+    assert len(paths) == 8
+    sizes = [len(dec._automaton(p).vocabulary) for p in paths]
+    assert max(sizes) <= 8 and sum(len({n for of in dec._automaton(p).items_of.values() for n in of}) for p in paths) == 200
+
+
 def test_empty_tables(spark, documents):
     none = spark.createDataFrame([], ITEMS)
     assert dec.digest(documents([]), none).count() == 0

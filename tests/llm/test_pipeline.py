@@ -86,5 +86,5 @@ def test_every_stage_on_its_own_input(spark, tables):
 
 
 def test_names():
-    assert {n.split("_")[0] for n in llm.QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {n.split("_")[0] for n in llm.QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(llm.ORACLES) <= set(llm.QUERIES) and len(corpus_pipeline.STAGES) == 5
