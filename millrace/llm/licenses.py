@@ -1,7 +1,8 @@
 """License scans by conditional compression.
 
-A text's candidate blocks are the words around cue words, as far as the longest template reaches in both directions; blocks that touch
-are one, and a long block is cut into overlapping parts. A block is compressed on its own and once with each template as a raw
+Cue words are chosen from the templates: of each so many that a place with all of them missing could not be confirmed. A text's
+candidate blocks are the words around cue words, as far as a place of the longest template reaches in both directions; blocks that touch
+are one, and a long block is cut into parts that overlap by more than such a place. A block is compressed on its own and once with each template as a raw
 zstandard dictionary. The bytes that a template saves rank the templates. From the first on, a template is confirmed if its words stand in
 the block nearly whole and in order: all but ``MISSING`` of them, with few others between. Every common run that is long enough
 for that is tried, the longest first, so a fragment of a template does not hide a whole one beside it. What is missing and added is
@@ -26,10 +27,10 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import map_batches, per_worker, table
 
-CUE = r"(?i)licen[cs]e|copyright|permission|redistribut|warrant|spdx|creative commons|public domain|\bCC(?:0|[ -]BY)"
+TELLING = r"licen[cs]e|copyright|permission|redistribut|warrant|spdx|^cc"  # words that are chosen as cues first
 WORD = r"[^\W_]+(?:[.+-][^\W_]+)*"
 MISSING, LIKENESS = 0.1, 0.85
-PART, OVERLAP = 1_200, 400
+PART, OVERLAP = 1_200, 400  # words, at least
 LEAST_SAVED = 4
 
 #: The texts of the licenses and their usual notices.
@@ -68,6 +69,16 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
 }
 
 
+def cue_pattern(templates: dict[str, tuple[str, ...]]) -> str:
+    """A pattern that every text with a confirmed place of a template has: the beginnings of words of which each place has one."""
+    cues: set[str] = set()
+    for variant in (v for variants in templates.values() for v in variants):
+        words = re.findall(WORD, " ".join(variant.split()).lower())
+        order = sorted(set(words), key=lambda w: (not re.search(TELLING, w), -len(w), w))
+        cues.update(order[: math.floor(MISSING * len(words) + 1e-9) + 1])
+    return r"(?i)(?<![A-Za-z0-9])(?:" + "|".join(sorted(map(re.escape, cues))) + ")" if cues else r"(?!)"
+
+
 class Scanner:
     """Compressors for the templates, and the search in one text."""
 
@@ -75,7 +86,7 @@ class Scanner:
         import zstandard
 
         self.plain = zstandard.ZstdCompressor(level=6, write_content_size=False)
-        self.cue, self.word = re.compile(CUE), re.compile(WORD)
+        self.cue, self.word = re.compile(cue_pattern(templates)), re.compile(WORD)
         self.templates = []
         for name, variants in sorted(templates.items()):
             for variant in variants:
@@ -83,7 +94,10 @@ class Scanner:
                 raw = zstandard.ZstdCompressionDict(text.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
                 packer = zstandard.ZstdCompressor(level=6, dict_data=raw, write_content_size=False, write_dict_id=False)
                 self.templates.append((name, self.word.findall(text.lower()), packer))
-        self.reach = max((len(words) for _, words, _ in self.templates), default=0) + 8
+        longest = max((len(words) for _, words, _ in self.templates), default=0)
+        self.reach = math.floor(longest * (2 / LIKENESS - 1)) + 1  # the words of a place, at most
+        self.overlap = max(OVERLAP, self.reach + longest // 5 + 2)
+        self.part = max(PART, 3 * self.overlap)
 
     def blocks(self, text: str):
         """Words of each block as (word, start, end)."""
@@ -103,10 +117,10 @@ class Scanner:
                 spans.append([low, high])
         for low, high in spans:
             while True:
-                yield words[low : min(high, low + PART)]
-                if low + PART >= high:
+                yield words[low : min(high, low + self.part)]
+                if low + self.part >= high:
                     break
-                low += PART - OVERLAP
+                low += self.part - self.overlap
 
     def scan(self, text: str) -> list[tuple]:
         """(license, start, end, plain bytes, bytes saved, missing, added) of each finding, by place."""
@@ -125,8 +139,12 @@ class Scanner:
                     found.setdefault(row[:3], row)
                     open_words[first:last] = [None] * (last - first)
         # a part's edge may show a template that the next part has whole
-        rows = sorted(found.values(), key=lambda r: (r[1], -r[2], r[0]))
-        return [r for i, r in enumerate(rows) if not any(s[1] <= r[1] and r[2] <= s[2] and s[:3] != r[:3] for s in rows[max(0, i - 3) : i])]
+        rows, reached = [], -1
+        for row in sorted(found.values(), key=lambda r: (r[1], -r[2], r[0])):
+            if row[2] > reached:
+                rows.append(row)
+                reached = row[2]
+        return rows
 
     def confirm(self, words: list[str], block: list[str | None]) -> tuple[int, int, str, str] | None:
         """Where a template's words stand in order: first and last word, what is missing and what is added.
@@ -246,7 +264,7 @@ def find(docs: DataFrame, templates: dict[str, tuple[str, ...]] | None = None, d
             columns = list(zip(*rows)) if rows else [()] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=list(names))
 
-    rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")).where(F.col("text").rlike(CUE))
+    rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")).where(F.col("text").rlike(cue_pattern(chosen)))
     schema = "doc_id long, license string, start long, end long, plain_bytes long, saved_bytes long, missing string, added string, exact boolean"
     return map_batches(rows, scan, schema)
 

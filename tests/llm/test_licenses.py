@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -67,6 +68,59 @@ def test_a_longer_fragment_does_not_hide_an_edited_notice(scanner, name, fragmen
         assert found == {notice[alone[0][1] : alone[0][2]]} and len(rows) == text.count(notice)
 
 
+@pytest.mark.parametrize("size", [700, 1400, 3000])
+@pytest.mark.parametrize("before", [0, 600, 2500])
+def test_templates_of_any_size_are_found(documents, size, before):
+    rnd = random.Random(size)
+    words = ["".join(rnd.choices("abcdefghijkl", k=rnd.randint(2, 9))) for _ in range(size)]
+    other = ["".join(rnd.choices("mnopqrst", k=rnd.randint(2, 9))) for _ in range(before)]
+    held = [w if i % 20 else "xx" for i, w in enumerate(words)]  # a twentieth changed
+    text = " ".join([*other, *held, *other])
+    (row,) = licenses.find(documents([(1, text)]), {"own": (" ".join(words),)}).collect()
+    assert text[row.start : row.end].split()[-1] == held[-1] and len(row.missing.split()) == sum(i % 20 == 0 for i in range(size))
+
+
+def test_nested_findings_far_apart_are_dropped(scanner):
+    inner = "Licensed under CC BY-NC 4.0."
+    own = licenses.Scanner({"outer": (" ".join([f"license{i} {inner}" for i in range(6)]),), "inner": (inner,)})
+    rows = own.scan(" ".join([f"license{i} {inner}" for i in range(6)]))
+    assert [r[0] for r in rows] == ["outer"]
+
+
+def places(words, block):
+    """Whether a template stands anywhere: all stretches, by the longest common subsequence."""
+    needed = (1 - licenses.MISSING) * len(words)
+    for low in range(len(block)):
+        row = [0] * (len(words) + 1)
+        for high in range(low, min(len(block), low + 2 * len(words))):
+            last = 0
+            for i, w in enumerate(words):
+                last, row[i + 1] = row[i + 1], (last + 1 if w == block[high] else max(row[i + 1], row[i]))
+            if row[-1] >= needed and 2 * row[-1] >= licenses.LIKENESS * (len(words) + high + 1 - low):
+                return True
+    return False
+
+
+def test_against_all_templates_at_all_places(documents):
+    rnd = random.Random(6)
+    vocabulary = ["".join(rnd.choices("abcdefghijklmnop", k=rnd.randint(4, 9))) for _ in range(60)]
+    templates = {f"t{k}": (" ".join(rnd.sample(vocabulary, k=rnd.randint(8, 25))),) for k in range(6)}
+    rows = []
+    for i in range(120):
+        words = rnd.choices(vocabulary, k=rnd.randint(0, 20))
+        held = templates[f"t{rnd.randrange(6)}"][0].split()
+        for _ in range(rnd.randint(0, 4)):
+            at = rnd.randrange(len(held))
+            held[at : at + rnd.randint(0, 1)] = rnd.choices(vocabulary, k=rnd.randint(0, 1))
+        at = rnd.randint(0, len(words))
+        rows.append((i, " ".join([*words[:at], *held, *words[at:]])))
+    got = {i: set() for i, _ in rows}
+    for r in licenses.find(documents(rows), templates).collect():
+        got[r.doc_id].add(r.license)
+    want = {i: {n for n, (v,) in templates.items() if places(v.split(), text.split())} for i, text in rows}
+    assert got == want and sum(map(bool, want.values())) > 40
+
+
 def test_runs_and_alignments():
     words, block = "a b c d e".split(), "a b x c d e a b c".split()
     assert licenses.anchors(words, [*block, None])[:2] == [(3, 0, 6), (3, 2, 3)]
