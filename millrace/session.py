@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,9 +43,31 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+#: Folders of the ``scratch`` blocks that are open in this process, the innermost last.
+_open_scratch: list[str] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """A folder for all scratch tables that are written within the block, deleted at its end, also where the block fails.
+
+    What the library returns may still read its scratch tables, so write results to a place of your own within the block. The
+    block holds for the whole process, threads and callbacks of streams included: open one at a time, or one within another.
+    """
+    folder = f"{shared_folder(spark)}/millrace/run-{uuid.uuid4().hex}"
+    _open_scratch.append(folder)
+    try:
+        yield folder
+    finally:
+        _open_scratch.remove(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder; nothing is created yet."""
-    return f"{shared_folder(spark)}/millrace/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, or that of the open ``scratch`` block; nothing is created yet."""
+    base = _open_scratch[-1] if _open_scratch else f"{shared_folder(spark)}/millrace"
+    return f"{base}/{label}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
