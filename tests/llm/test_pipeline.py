@@ -7,6 +7,7 @@ import pytest
 import corpus_pipeline
 from millrace.llm import decontaminate, quality, simhash
 from millrace.llm import queries as llm
+from millrace.session import scratch, shared_folder
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -88,3 +89,13 @@ def test_every_stage_on_its_own_input(spark, tables):
 def test_names():
     assert {n.split("_")[0] for n in llm.QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(llm.ORACLES) <= set(llm.QUERIES) and len(corpus_pipeline.STAGES) == 5
+
+
+def test_a_scratch_block_leaves_only_results(spark, tables, tmp_path):
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/millrace")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = lambda: sorted(s.getPath().getName() for s in files.listStatus(path)) if files.exists(path) else []
+    before = names()
+    with scratch(spark):
+        corpus_pipeline.run(spark, tables).write.parquet(str(tmp_path / "out"))
+    assert names() == before and spark.read.parquet(str(tmp_path / "out")).count() > 0
