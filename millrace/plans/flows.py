@@ -13,7 +13,6 @@ from dataclasses import dataclass, field, replace
 from graphlib import TopologicalSorter
 
 from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.functions.schemas import resolve_schema
@@ -141,7 +140,7 @@ class Runner:
     def _store(self, flow: Flow) -> Scd1Store | Scd2Store | SnapshotStore:
         """The store of a keyed flow."""
         if flow.snapshot:
-            return SnapshotStore(self.spark, flow.target.path, flow.snapshot)
+            return SnapshotStore(self.spark, flow.target.path, flow.snapshot, self.buckets)
         return open_store(self.spark, flow.target.path, flow.cdc, self.input(flow).schema, self.buckets)
 
     def publish(self, flow: Flow | str, target: Target) -> None:
@@ -211,22 +210,13 @@ class Runner:
         """Bring the named table of a CDC or snapshot flow, in the target's layout, to what the store holds: only the buckets that
         changed are written. Gives them."""
         store = self._store(flow)
-        if flow.snapshot:
-
-            def rows(buckets):
-                table = store.table() if buckets is None or buckets else store.table().limit(0)
-                return table.withColumn(BUCKET, F.lit(0))
+        keys = (flow.cdc or flow.snapshot).keys
 
-            def touched(version):
-                return [0] if store.pointer()["version"] > version else []
-        else:
-            touched = store.touched_since
-
-            def rows(buckets):
-                return store.table(buckets).withColumn(BUCKET, bucket_of(flow.cdc.keys, self.buckets))
+        def rows(buckets):
+            return store.table(buckets).withColumn(BUCKET, bucket_of(keys, self.buckets))
 
         root = f"{flow.target.path.rstrip('/')}-named"
-        return PublishedTable(self.spark, root, self._target(flow), rows).publish(store.pointer()["version"], touched)
+        return PublishedTable(self.spark, root, self._target(flow), rows).publish(store.pointer()["version"], store.touched_since)
 
     def _handler(self, flow: Flow, run: FlowRun):
         """``handle(batch, batch_id)`` for the flow's main source."""
@@ -268,7 +258,7 @@ class Runner:
 
     def _run_snapshots(self, flow: Flow, run: FlowRun) -> None:
         """Snapshots from the callback if there is one, else the source's content now."""
-        store = SnapshotStore(self.spark, flow.target.path, flow.snapshot)
+        store = self._store(flow)
         latest = store.latest()
         if flow.next_snapshot:
             series = snapshot_versions(flow.next_snapshot, latest)

@@ -49,7 +49,7 @@ BOTH = SnapshotCdc(["p_partkey"], 2)
 
 @query("snap_scd1", f"SELECT p_partkey, name, price FROM ({snapshot_sql(3)})")
 def snap_scd1(spark, sf):
-    store = SnapshotStore(spark, scratch_path(spark, "snap-scd1"), SnapshotCdc(["p_partkey"], 1))
+    store = SnapshotStore(spark, scratch_path(spark, "snap-scd1"), SnapshotCdc(["p_partkey"], 1), buckets=8)
     store.apply_all(series(spark, sf))
     return store.table()
 
@@ -61,7 +61,7 @@ def snap_scd2(spark, sf):
 
 @query("snap_scd2_store", history_sql())
 def snap_scd2_store(spark, sf):
-    store = SnapshotStore(spark, scratch_path(spark, "snap-scd2"), BOTH)
+    store = SnapshotStore(spark, scratch_path(spark, "snap-scd2"), BOTH, buckets=8)
     store.apply_all(series(spark, sf))
     return store.table()
 
@@ -103,7 +103,7 @@ def snap_silver(spark, sf):
     shaped = where_all(
         select_exprs(table_scan(spark, bronze, streaming=False), ["p_partkey", "name", "price"]), ["__END_AT IS NULL"]
     )
-    store = SnapshotStore(spark, scratch_path(spark, "snap-silver"), BOTH)
+    store = SnapshotStore(spark, scratch_path(spark, "snap-silver"), BOTH, buckets=8)
     store.apply(1, shaped)
     return store.table()
 

@@ -205,3 +205,39 @@ def test_retractions_of_a_hot_key_take_one_pass(spark):
     want = [(k, s) for k, s, v in versions if not any(k == tk and s >= f and rv > v for tk, f, rv in taken)]
     assert sorted(map(str, [(r.k, r["__start"]) for r in got.collect()])) == sorted(map(str, want))
     assert got.columns == ["k", "__start", "a"]
+
+
+@pytest.mark.parametrize("kind", [1, 2])
+def test_snapshot_writes_follow_the_changes(spark, tmp_path, kind):
+    cdc = SnapshotCdc(["k"], kind)
+    store = SnapshotStore(spark, str(tmp_path / "t"), cdc, buckets=8)
+
+    def taken(changed, first=0, last=10_000):
+        odd = "CASE WHEN k % 100 = 3 THEN array(NULL, k) ELSE array(k, NULL) END"
+        return spark.range(first, last).selectExpr("id AS k").selectExpr("k", f"IF(k < {changed}, NULL, 'a') AS x", f"IF(k < {changed}, 'a', NULL) AS y", f"{odd} AS z")
+
+    def written(version):
+        return spark.read.parquet(f"{tmp_path}/t/rows/__v={version}").count()
+
+    versions = [taken(0), taken(100), taken(100, 20), taken(100, 20), taken(130, 20, 10_050), taken(9_000, 20)]
+    seen = []
+    for i, snapshot in enumerate(versions, 1):
+        store.apply(i, snapshot)
+        seen.append((i, snapshot))
+        assert rows(store.table()) == rows(snap.snapshot_table(seen, cdc))
+    assert written(1) == 10_000 and written(2) <= 200 and written(3) <= 40 and written(5) <= 110
+    assert not list((tmp_path / "t" / "rows" / "__v=4").rglob("*.parquet"))
+    assert all(len(v) == 1 for v in store.pointer()["parts"]["open"]["by_bucket"].values())  # the last one was merged in
+    store.apply(7, taken(0, 0, 0))
+    assert store.table().where("__END_AT IS NULL" if kind == 2 else "true").count() == 0
+    store.apply(8, taken(5, 0, 10))
+    assert rows(store.table()) == rows(snap.snapshot_table([*seen, (7, taken(0, 0, 0)), (8, taken(5, 0, 10))], cdc))
+
+
+def test_snapshot_fingerprints_tell_nulls_apart(spark):
+    from millrace.streaming.snapshots import fingerprint
+
+    df = spark.sql("""SELECT * FROM VALUES (1, NULL, array(1, NULL), named_struct('a', 1, 'b', NULL)), (NULL, 1, array(1, NULL), named_struct('a', 1, 'b', NULL)),
+        (1, NULL, array(NULL, 1), named_struct('a', 1, 'b', NULL)), (1, NULL, array(1, NULL), named_struct('a', NULL, 'b', 1)), (1, NULL, NULL, named_struct('a', 1, 'b', NULL)),
+        (1, NULL, array(), named_struct('a', 1, 'b', NULL)) AS t(x, y, z, s)""")
+    assert df.select(fingerprint(df, df.columns).alias("p")).distinct().count() == 6
