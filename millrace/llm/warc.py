@@ -269,9 +269,10 @@ def digest(pages: DataFrame) -> DataFrame:
     )
     wanted = rows.where("named IS NOT NULL").select(F.col("named").alias("capture")).distinct()
     first = rows.join(wanted, "capture", "left_semi").select(F.col("capture").alias("named"), F.col("page_id").alias("refers_to"))
-    return rows.join(first, "named", "left").select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
-    )
+    # responses name none: as one key they would lie in one partition
+    none = rows.where("named IS NULL").withColumn("refers_to", F.lit(None).cast("long"))
+    both = rows.where("named IS NOT NULL").join(first, "named", "left").unionByName(none)
+    return both.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op4_warc(spark, sf_dir):

@@ -56,3 +56,11 @@ def test_few_or_no_rows(spark):
 def test_leaves_are_listed_once_each():
     tree = neighbours.Tree(np.random.default_rng(1).normal(size=(900, 5)))
     assert len(tree.leaves) > 10 and sorted(tree.visits(np.zeros(5))) == tree.leaves
+
+
+def test_repeated_ids_and_columns_named_like_inner_ones(spark):
+    rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (1, [2.0, 0.0]), (1, [3.0, 0.0]), (100, [2.5, 0.0])]
+    frame = spark.createDataFrame([(*r, 1, "x") for r in rows], ROWS).selectExpr("*", "1 AS vector", "2 AS slice", "3 AS part", "4 AS query_id", "5 AS rank", "6 AS score")
+    index = neighbours.Index(frame)
+    got = sorted((r.query_id, r.vec_id, r.score) for r in index.search(index.rows.where("vec_id = 100")).collect())
+    assert got == [(100, 0, 1.5), (100, 0, 1.5), (100, 1, 0.5), (100, 1, 0.5)]

@@ -99,3 +99,24 @@ def test_a_scratch_block_leaves_only_results(spark, tables, tmp_path):
     with scratch(spark):
         corpus_pipeline.run(spark, tables).write.parquet(str(tmp_path / "out"))
     assert names() == before and spark.read.parquet(str(tmp_path / "out")).count() > 0
+
+
+def test_odd_rows_and_columns(spark, tables, tmp_path):
+    text = "the of and to in is that for it as was with be by on not he his but at"
+    odd = [(None, text, None, None, 1), (None, text, None, None, 1), (7001, None, None, None, None), (7001, "", "xx", "web", 0), (7002, "word " * 60_000, "en", "src1", 5)]
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    more = docs.unionByName(spark.createDataFrame(odd, docs.schema)).selectExpr("*", "1 AS row", "'x' AS found", "2 AS epoch", "3 AS score", "4 AS component_id", "5 AS tokens")
+    names = more.columns
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, more, tables)
+        if name == "tokens":
+            assert out.count() == more.count()
+            break
+        more = corpus_pipeline.materialise(out, name)
+        assert more.columns == names
+
+
+def test_empty_tables_pass_every_stage(spark, tables, tmp_path):
+    for name in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{tables}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0

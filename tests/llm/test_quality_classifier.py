@@ -69,3 +69,10 @@ def test_indicators():
     assert not {0, 1} & set(quality.indicators("a b a b").tolist()) - set(quality.indicators("x y z w").tolist())
     assert 0 in quality.indicators("a a b") and 1 in quality.indicators("A a a")
     assert quality.indicators("Abc def 12").tolist() == quality.indicators("Xy z 345").tolist()
+
+
+def test_very_long_texts(spark, documents):
+    docs, labels = corpus(300)
+    long = "the of and to in is that for it as was with be by on. " * 20_000
+    got = {r.doc_id: r for r in quality.digest(documents([*docs, (5000, long), (5001, long.upper().replace(" ", "!! "))]), spark.createDataFrame([(*x,) for x in labels], LABELS)).collect()}
+    assert got[5000].predicted == 1 and got[5001].score < got[5000].score

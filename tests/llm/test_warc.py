@@ -63,3 +63,9 @@ def test_a_cut_archive_is_an_error():
         list(warc.parse_archive(io.BytesIO(record("response", "a")[:-8])))
     with pytest.raises(ValueError):
         list(warc.parse_archive(io.BytesIO(b"HTTP/1.1 200\r\n")))
+
+
+def test_columns_named_like_inner_ones(spark):
+    rows = [(1, "u", "y" * 120), (2, "u", "y" * 120), (3, None, None)]
+    pages = spark.createDataFrame([(*r, "x") for r in rows], PAGES).selectExpr("*", "7 AS digest", "8 AS row", "9 AS capture", "'a' AS named", "'b' AS refers_to")
+    assert sorted((tuple(r) for r in warc.digest(pages).collect()), key=repr) == want([(*r, "x") for r in rows])
