@@ -149,11 +149,15 @@ WORDWISE = {
 }
 
 
+# The letter that byte-level vocabularies have for a byte: printable Latin-1 characters stand for themselves, the others for those from 256 on.
+BYTE_LETTERS = dict(zip([b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)], range(256, 512)))
+
+
 class WordEncoder:
     """The ids that a tokenizer gives to texts.
 
     Where its settings never join words across white space (``WORDWISE``), each distinct word is given to it once and its ids are
-    kept: a run of ASCII letters straight to its model, the other new words of a text together, held apart by a mark. At most ``keep``
+    kept: a run of Latin letters straight to its model, the other new words of a text together, held apart by a mark. At most ``keep``
     words are kept in each of two generations, so memory is bounded and frequent words stay. Texts that hold a string of an added token, or a
     character that Python takes for white space and the tokenizer does not, and all texts under other settings, are encoded whole.
     """
@@ -190,8 +194,9 @@ class WordEncoder:
         mixed, pack = [], struct.pack
         letter = "<H" if self.width == 2 else "<I"
         for word in words:
-            if word.isascii() and word.isalpha():  # small letters: capitals were made small
-                self.new[word] = b"".join([pack(letter, t.id) for t in self.model.tokenize(word)])
+            if word.isalpha() and (plain := word.isascii()) | (max(word) < self.STEM_END):  # small letters: capitals were made small
+                held = word if plain else word.encode().decode("latin-1").translate(BYTE_LETTERS)
+                self.new[word] = b"".join([pack(letter, t.id) for t in self.model.tokenize(held)])
             else:
                 mixed.append(word)
         for begin in range(0, len(mixed), self.PER_CALL):
@@ -218,7 +223,7 @@ class WordEncoder:
             stem, stop = word, ""
             if word[-1] in self.STOPS and max(word) < self.STEM_END and word[:-1].isalpha():
                 stem, stop = word[:-1], word[-1]
-            if stem.isascii() and stem.isalpha():  # others may become the string of an added token
+            if stem.isalpha() and (stem.isascii() or max(stem) < self.STEM_END):  # others may become the string of an added token
                 stem = stem.lower()
             if stem not in new:
                 if (ids := old.get(stem)) is not None:
