@@ -42,6 +42,7 @@ MASK_ADD = 0xA282EAD8
 HEAD, TAIL, PAYLOAD_HEAD, INDEX_ENTRY = "<QI", "<I", "<BBq", "<QQ"
 HEAD_BYTES, TAIL_BYTES, PAYLOAD_HEAD_BYTES, INDEX_BYTES = map(struct.calcsize, (HEAD, TAIL, PAYLOAD_HEAD, INDEX_ENTRY))
 READ_BYTES = 4 << 20
+ROWS_HELD = 500  # texts that are Python strings at once
 
 
 def masked(data: bytes) -> int:
@@ -271,14 +272,16 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2,
         def records(out):
             batch = first
             while batch is not None:
-                for number, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    ids = encoder.encode(value)
-                    record = frame(pack(number, ids, encoder.width))
-                    index.append((counts[2], len(record) - HEAD_BYTES - TAIL_BYTES))
-                    out.write(record)
-                    counts[0] += 1
-                    counts[1] += len(ids) // encoder.width
-                    counts[2] += len(record)
+                for at in range(0, batch.num_rows, ROWS_HELD):
+                    part = batch.slice(at, ROWS_HELD)
+                    for number, value in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                        ids = encoder.encode(value)
+                        record = frame(pack(number, ids, encoder.width))
+                        index.append((counts[2], len(record) - HEAD_BYTES - TAIL_BYTES))
+                        out.write(record)
+                        counts[0] += 1
+                        counts[1] += len(ids) // encoder.width
+                        counts[2] += len(record)
                 batch = next(batches, None)
 
         publish(folder, f"{shard_name(shard)}.rec", attempt, records)
