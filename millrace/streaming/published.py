@@ -3,7 +3,7 @@
 The table is partitioned by the store's buckets and then by the target's partition columns. A publication writes the changed buckets
 to a folder of its own, in the target's layout, and then switches each partition of them to its new place in the catalog; readers
 find every other partition untouched, and the name is made anew only where a column has gone or changed its type. Files that were
-replaced stay for one more publication, for those who still read them. What is where is kept in a small file beside the folders, written last: a publication that dies
+replaced stay for one more publication, for those who still read them. What is where is kept in small files beside the folders, written last: a publication that dies
 is made again by the next one.
 """
 
@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from millrace.operators.layout import writer
 from millrace.specs import Target
-from millrace.streaming.store import BUCKET, folders_below, read_small, remove_path, write_small
+from millrace.streaming.store import BUCKET, folders_below, read_state, remove_path, write_state
 from millrace.streaming.targets import deregister, set_table_facts, sql_name, sql_text
 
 PLACE = "at"
@@ -35,8 +35,7 @@ class PublishedTable:
         self.levels = [BUCKET, *target.partition_by]
 
     def _state(self) -> dict:
-        text = read_small(self.spark, f"{self.root}.json")
-        return json.loads(text) if text else {"version": -1, "leaves": {}, "stale": []}
+        return read_state(self.spark, f"{self.root}.state") or {"version": -1, "leaves": {}, "stale": []}
 
     def publish(self, version: int, touched: Callable[[int], Sequence[int] | None]) -> list[int]:
         """Bring the table to a version of the store; ``touched(version)`` names the buckets that changed since one, or None for all.
@@ -63,7 +62,7 @@ class PublishedTable:
         stale = self._clear(set(leaves.values()), set(state["stale"]))
         self.spark.catalog.refreshTable(name)
         set_table_facts(self.spark, name, self.target.properties, self.target.comment)
-        write_small(self.spark, f"{self.root}.json", json.dumps({"version": version, "leaves": leaves, "stale": stale}))
+        write_state(self.spark, f"{self.root}.state", {**state, "version": version, "leaves": leaves, "stale": stale})
         return sorted({int(json.loads(leaf)[0]) for leaf in (*written, *gone)})
 
     def _leaves(self, place: str) -> dict[str, str]:

@@ -58,6 +58,18 @@ def remove_path(spark: SparkSession, path: str) -> None:
     files.delete(at, True)
 
 
+def read_state(spark: SparkSession, folder: str) -> dict | None:
+    """The newest state kept in a folder; None if there is none. Two slots are written in turns, so one is always whole."""
+    slots = [read_small(spark, f"{folder}/slot-{i}.json") for i in (0, 1)]
+    return max((json.loads(text) for text in slots if text is not None), key=lambda s: s["serial"], default=None)
+
+
+def write_state(spark: SparkSession, folder: str, state: dict) -> None:
+    """Keep the state that follows the one it was read with."""
+    state = {**state, "serial": state.get("serial", 0) + 1}
+    write_small(spark, f"{folder}/slot-{state['serial'] % 2}.json", json.dumps(state))
+
+
 def _filesystem(spark: SparkSession, path: str):
     """(Hadoop path, its file system)."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -24,10 +24,12 @@ from millrace.streaming.store import (
     check_columns,
     folders_below,
     read_small,
+    read_state,
     refuse_other_types,
     remove_path,
     series_of,
     write_small,
+    write_state,
 )
 
 FLOW = "__flow"
@@ -64,7 +66,7 @@ class AppendTable:
     Every batch of a flow owns one folder, ``__flow=<flow>/__batch=<id>``, which a replay
     overwrites; so each row is in the table once, and flows never touch each other's files.
 
-    ``compact`` copies the folders of old batches into *packs*, few files beside the table, and a small file (the manifest) says which packs
+    ``compact`` copies the folders of old batches into *packs*, few files beside the table, and a small file (the manifest, of which the last two are kept) says which packs
     there are and up to which batch of each flow they reach. Readers take the packs and the folders of later batches, and a
     replay of a packed batch is skipped. Streams go on reading folders, so none sees a row again; ``vacuum`` deletes the packed
     folders once no stream lags behind, and a stream that starts later reads the packs of that time first.
@@ -187,11 +189,11 @@ class AppendTable:
     def _manifest(self) -> dict:
         """``packs`` (with their level), ``bases`` (packs whose folders are gone), ``upto`` and ``gone`` (the last batch that packs and
         bases hold, by flow and series), ``old`` (packs that were made into one)."""
-        text = read_small(self.spark, f"{self.root}.packs.json")
-        return json.loads(text) if text else {"packs": [], "bases": [], "upto": {}, "gone": {}, "old": []}
+        found = read_state(self.spark, f"{self.root}.packs/list")
+        return found or {"packs": [], "bases": [], "upto": {}, "gone": {}, "old": []}
 
     def _keep(self, manifest: dict) -> None:
-        write_small(self.spark, f"{self.root}.packs.json", json.dumps(manifest))
+        write_state(self.spark, f"{self.root}.packs/list", manifest)
 
     def _pack(self, at: str) -> str:
         return f"{self.root}.packs/at={at}"

@@ -175,3 +175,18 @@ def test_packs_keep_the_layout_and_named_tables_their_folders(spark, tmp_path):
     assert {p.name for p in (tmp_path / "t.packs").rglob("g=*")} == {"g=g0", "g=g1"}
     with pytest.raises(ValueError):
         AppendTable(spark, Target(str(tmp_path / "t"), "named_append")).vacuum()
+
+
+def test_a_state_is_never_between_two_files(spark, tmp_path, monkeypatch):
+    from millrace.streaming import store
+
+    folder = str(tmp_path / "state")
+    assert store.read_state(spark, folder) is None
+    state = {"n": 0}
+    for n in range(5):
+        store.write_state(spark, folder, {**state, "n": n})
+        state = store.read_state(spark, folder)
+        assert state["n"] == n
+        # the slot that is written next may be missing or gone
+        (tmp_path / "state" / f"slot-{(state['serial'] + 1) % 2}.json").unlink(missing_ok=True)
+        assert store.read_state(spark, folder)["n"] == n
