@@ -76,8 +76,9 @@ class SnapshotStore(VersionedStore):
         """The buckets that changed after a version."""
         parts = self.pointer()["parts"]
         opened = {int(b) for b, vs in parts.get("open", {"by_bucket": {}})["by_bucket"].items() if any(v > version for v, _ in vs)}
-        closed = {b for v, bs in parts.get("closed", {"by_version": {}})["by_version"].items() if int(v) > version for b in bs}
-        return sorted(opened | closed | self.appended_since(version))
+        noted = [parts.get(part, {"by_version": {}})["by_version"] for part in ("closed", "emptied")]
+        other = {b for held in noted for v, bs in held.items() if int(v) > version for b in bs}
+        return sorted(opened | other | self.appended_since(version))
 
     def table(self, buckets: Sequence[int] | None = None) -> DataFrame:
         """The table as it is now, or some of its buckets, with the rows that were appended."""
@@ -110,7 +111,7 @@ class SnapshotStore(VersionedStore):
         if whole:
             checked = ops.checked(snapshot, keys)
             rows = checked if self.cdc.scd_type == 1 else ops.first_scd2(checked, version, self.cdc)
-            following["parts"] = {k: v for k, v in following["parts"].items() if k == "appended"}
+            following["parts"] = {k: v for k, v in following["parts"].items() if k in ("appended", "emptied")}
             due, counts = [], {}
         else:
             differing = self._differing(pointer, snapshot)
@@ -131,8 +132,11 @@ class SnapshotStore(VersionedStore):
         # a differing key leaves one open row; what was merged is counted
         sizes = counts | self._open_rows(now, [b for b in opened if whole or b in set(due)])
         held = following["parts"].setdefault("open", {"by_bucket": {}})["by_bucket"]
+        before = pointer["parts"].get("open", {"by_bucket": {}})["by_bucket"]
         for b in due:
             held.pop(str(b), None)  # merged into what was written now, if anything is left
+        if emptied := [int(b) for b in before if int(b) not in set(opened) and b not in held]:
+            following["parts"].setdefault("emptied", {"by_version": {}})["by_version"][str(now)] = emptied
         for b in opened:
             held[str(b)] = [*held.get(str(b), []), [now, sizes[b]]]
         if closed := [b for part, b in written if part == "closed"]:

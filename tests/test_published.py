@@ -190,3 +190,14 @@ def test_a_state_is_never_between_two_files(spark, tmp_path, monkeypatch):
         # the slot that is written next may be missing or gone
         (tmp_path / "state" / f"slot-{(state['serial'] + 1) % 2}.json").unlink(missing_ok=True)
         assert store.read_state(spark, folder)["n"] == n
+
+
+def test_buckets_that_lose_all_rows_are_published(spark, tmp_path):
+    name, place = "published_emptied", str(tmp_path / "in")
+    flow = Flow("f", Source("snapshot", {"path": place}), Target(str(tmp_path / "t"), name), snapshot=SnapshotCdc(["id"], 1))
+    runner = Runner(spark, str(tmp_path / "progress"), [flow], buckets=8)
+    for first, last in ((0, 100), (0, 3), (0, 0), (5, 9)):
+        spark.range(first, last).selectExpr("id", "id * 2 AS v").write.mode("overwrite").parquet(place)
+        runner.run(flow)
+        assert runner.table(flow).count() == last - first
+        same(spark, runner, flow)
